@@ -15,6 +15,7 @@ from surveymill.operators import headers
 from surveymill.operators.harmonise import harmonise, union_editions
 from surveymill.operators.respondents import DERIVATIONS, enrich
 from surveymill.plans import analyses, cells, gold, silver
+from surveymill.session import tune
 from surveymill.sources import editions, lake, landing, survey_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,13 +31,12 @@ def _gold(name: str) -> Query:
 
 
 def _analysis(name: str) -> Query:
-    return lambda spark, sf_dir: analyses.ANALYSES[name](gold.gold_tables(_silver(spark, sf_dir)))
+    question, table_name = analyses.ANALYSES[name]
+    return lambda spark, sf_dir: question(_gold(table_name)(spark, sf_dir))
 
 
 def _derived(name: str) -> Query:
-    return lambda spark, sf_dir: respondents(spark, sf_dir, "resp_id").select(
-        "resp_id", DERIVATIONS[name]().alias(name)
-    )
+    return lambda spark, sf_dir: enrich(respondents(spark, sf_dir, "resp_id"), [name]).select("resp_id", name)
 
 
 # --- sources and sinks -----------------------------------------------------------------------
@@ -49,7 +49,7 @@ def scan_csv_edition(spark, sf_dir):
 
 
 def null_cells(spark, sf_dir):
-    return from_orders(spark, sf_dir, CELLS).select("o_orderkey", null_tokens(F.col("cell")).alias("cell"))
+    return from_orders(spark, sf_dir, CELLS).selectExpr("o_orderkey", f"{null_tokens('cell')} AS cell")
 
 
 def edition_registry(spark, sf_dir):
@@ -191,13 +191,9 @@ def folded_text(spark, sf_dir):
 
 
 def token_tests(spark, sf_dir):
-    norm = F.col("norm")
-    return normalize_text(spark, sf_dir).select(
-        "doc_id",
-        has_token(norm, "der").alias("has_word"),
-        has_token(norm, "of the").alias("has_phrase"),
-        has_token(norm, "tion.").alias("has_dotted"),
-        has_token(norm, "").alias("has_nothing"),
+    tests = {"has_word": "der", "has_phrase": "of the", "has_dotted": "tion.", "has_nothing": ""}
+    return normalize_text(spark, sf_dir).selectExpr(
+        "doc_id", *[f"{has_token('norm', token)} AS {name}" for name, token in tests.items()]
     )
 
 
@@ -265,7 +261,7 @@ def scalar_round(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", net.alias("net"))
 
 
-QUERIES: dict[str, Query] = {
+_QUERIES: dict[str, Query] = {
     "scan_csv_edition": scan_csv_edition,
     "null_tokens": null_cells,
     "edition_registry": edition_registry,
@@ -305,3 +301,10 @@ QUERIES: dict[str, Query] = {
     "gold_all": gold_all,
     **{name: _analysis(name) for name in analyses.ANALYSES},
 }
+
+
+def _tuned(query: Query) -> Query:
+    return lambda spark, sf_dir: query(tune(spark), sf_dir)
+
+
+QUERIES: dict[str, Query] = {name: _tuned(query) for name, query in _QUERIES.items()}

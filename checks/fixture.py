@@ -1,7 +1,8 @@
 """Survey data made from the given ``orders`` table by arithmetic, as SQL both engines run.
 
-``{orders}`` is the place of the table. All values are synthetic and every row of ``orders``
-becomes one respondent (or one header), so the work grows with the table.
+``{orders}``, ``{array}`` and ``{pick}`` are the places of the table and of the engine's names
+for a list and its n-th element. All values are synthetic and every row of ``orders`` becomes one
+respondent (or one header), so the work grows with the table.
 """
 
 from __future__ import annotations
@@ -9,57 +10,109 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveymill.fixed_values import EDITIONS
+from surveymill.fixed_values import EDITIONS, NULL_TOKENS
 from surveymill.operators.respondents import contract
 from surveymill.sources.editions import edition_path
 
-RESPONDENTS = """
-SELECT
-  o_orderkey AS resp_id,
-  CAST(2023 + o_orderkey % 3 AS INT) AS survey_year,
-  CASE o_orderkey % 3 WHEN 0 THEN '2023-2024' WHEN 1 THEN '2024-2025' ELSE '2025-2026' END AS edition,
-  CASE (o_custkey * 31 + o_orderkey) % 16
-    WHEN 0 THEN 'Cientista de Dados/Data Scientist' WHEN 1 THEN 'Data Scientist'
-    WHEN 2 THEN 'Engenheiro de Machine Learning/ML Engineer' WHEN 3 THEN 'Engenheiro de Dados/Data Engineer'
-    WHEN 4 THEN 'Arquiteto de Dados' WHEN 5 THEN 'Analytics Engineer' WHEN 6 THEN 'Analista de Dados/Data Analyst'
-    WHEN 7 THEN 'DATA ANALYST' WHEN 8 THEN 'Analista de BI/BI Analyst' WHEN 9 THEN 'Analista de Negócios/Business Analyst'
-    WHEN 10 THEN 'Data Product Manager' WHEN 11 THEN 'Desenvolvedor/Engenheiro de Software'
-    WHEN 12 THEN 'Analista de Negócios' WHEN 13 THEN '  ' WHEN 14 THEN NULL ELSE 'Professor' END AS job_title,
-  CASE o_custkey % 5 WHEN 0 THEN 'Sim' WHEN 1 THEN '1.0' WHEN 2 THEN 'não' WHEN 3 THEN '0' ELSE NULL END AS is_manager,
-  CASE (o_custkey * 7 + o_orderkey) % 11
-    WHEN 0 THEN 'Júnior' WHEN 1 THEN 'Junior' WHEN 2 THEN 'Pleno' WHEN 3 THEN 'PLENO' WHEN 4 THEN 'Sênior' WHEN 5 THEN 'Senior'
-    WHEN 6 THEN 'Sênior' WHEN 7 THEN 'Especialista/Staff+' WHEN 8 THEN 'Gerente' WHEN 9 THEN NULL ELSE 'Pleno' END AS seniority,
-  CASE (o_orderkey * 13 + o_custkey) % 7 WHEN 0 THEN 'Feminino' WHEN 1 THEN 'Mulher cis' WHEN 2 THEN 'Masculino' WHEN 3 THEN 'Homem'
-    WHEN 4 THEN 'Masculino' WHEN 5 THEN 'Prefiro não informar' ELSE NULL END AS gender,
-  CASE (o_orderkey * 17 + o_custkey) % 8 WHEN 0 THEN 'Sudeste' WHEN 1 THEN 'sudeste' WHEN 2 THEN 'Sul' WHEN 3 THEN 'Nordeste'
-    WHEN 4 THEN 'Centro-oeste' WHEN 5 THEN 'RIO grande' WHEN 6 THEN '  ' ELSE NULL END AS region,
-  CASE (o_orderkey * 19 + o_custkey) % 7 WHEN 0 THEN 'Modelo 100% remoto' WHEN 1 THEN 'Modelo híbrido flexível' WHEN 2 THEN 'Hybrid'
-    WHEN 3 THEN 'Modelo 100% presencial' WHEN 4 THEN 'Outro arranjo' WHEN 5 THEN '' ELSE NULL END AS work_model,
-  CASE (o_orderkey * 23 + o_custkey) % 15 WHEN 0 THEN 'Menos de R$ 1.000/mês' WHEN 1 THEN 'de R$ 1.001/mês a R$ 2.000/mês'
-    WHEN 2 THEN 'de R$ 2.001/mês a R$ 3.000/mês' WHEN 3 THEN 'de R$ 3.001/mês a R$ 4.000/mês' WHEN 4 THEN 'de R$ 4.001/mês a R$ 6.000/mês'
-    WHEN 5 THEN 'de R$ 6.001/mês a R$ 8.000/mês' WHEN 6 THEN 'de R$ 8.001/mês a R$ 12.000/mês' WHEN 7 THEN 'de R$ 12.001/mês a R$ 16.000/mês'
-    WHEN 8 THEN 'de R$ 16.001/mês a R$ 20.000/mês' WHEN 9 THEN 'de R$ 20.001/mês a R$ 25.000/mês' WHEN 10 THEN 'de R$ 25.001/mês a R$ 30.000/mês'
-    WHEN 11 THEN 'de R$ 30.001/mês a R$ 40.000/mês' WHEN 12 THEN 'Acima de R$ 40.001/mês' WHEN 13 THEN 'faixa desconhecida' ELSE NULL END AS salary_band,
-  CASE (o_orderkey * 29 + o_custkey) % 8 WHEN 0 THEN 'Empregado (CLT)' WHEN 1 THEN 'Empreendedor ou Empregado (CNPJ)' WHEN 2 THEN 'Servidor Público'
-    WHEN 3 THEN 'Freelancer' WHEN 4 THEN 'Desempregado' WHEN 5 THEN 'Empregado (CLT)' WHEN 6 THEN 'Estagiário' ELSE NULL END AS work_status,
-  CASE WHEN o_orderkey % 499 = 93 THEN 'Setor raro' WHEN o_orderkey % 97 < 90 THEN CONCAT('Setor ', CAST(o_custkey % 12 AS VARCHAR(8))) WHEN o_orderkey % 97 < 93 THEN ' ' ELSE NULL END AS sector,
-  CASE (o_orderkey * 37 + o_custkey) % 9 WHEN 0 THEN 'Sim' WHEN 1 THEN '1' WHEN 2 THEN '0.0' WHEN 3 THEN 'False' WHEN 4 THEN ' TRUE '
-    WHEN 5 THEN 'Python' WHEN 6 THEN 'nan' WHEN 7 THEN '' ELSE NULL END AS uses_python,
-  CASE (o_orderkey * 41 + o_custkey) % 6 WHEN 0 THEN '1.0' WHEN 1 THEN '0.0' WHEN 2 THEN 'yes' WHEN 3 THEN 'no' WHEN 4 THEN NULL ELSE '1' END AS uses_sql,
-  CASE (o_orderkey * 43 + o_custkey) % 4 WHEN 0 THEN '1' WHEN 1 THEN '0' WHEN 2 THEN NULL ELSE '0' END AS uses_aws,
-  CASE (o_orderkey * 47 + o_custkey) % 5 WHEN 0 THEN '1' WHEN 1 THEN '0' ELSE NULL END AS genai_free,
-  CASE (o_orderkey * 53 + o_custkey) % 6 WHEN 0 THEN '1' WHEN 1 THEN '0' ELSE NULL END AS genai_not_used,
-  CASE (o_orderkey * 61 + o_custkey) % 4 WHEN 0 THEN '1' WHEN 1 THEN '0' WHEN 2 THEN NULL ELSE '0' END AS uses_gcp,
-  CASE (o_orderkey * 67 + o_custkey) % 5 WHEN 0 THEN '1' WHEN 1 THEN '0' WHEN 2 THEN NULL ELSE '0' END AS uses_azure,
-  CASE (o_orderkey * 71 + o_custkey) % 3 WHEN 0 THEN '1' WHEN 1 THEN '0' WHEN 2 THEN NULL ELSE '0' END AS uses_powerbi,
-  CASE (o_orderkey * 73 + o_custkey) % 7 WHEN 0 THEN '1' WHEN 1 THEN '0' WHEN 2 THEN NULL ELSE '0' END AS uses_tableau,
-  CASE (o_orderkey * 79 + o_custkey) % 6 WHEN 0 THEN '1' WHEN 1 THEN '0' WHEN 2 THEN NULL ELSE '0' END AS uses_databricks,
-  CASE WHEN o_orderkey % 3 = 0 THEN NULL WHEN (o_orderkey * 83 + o_custkey) % 6 = 0 THEN '1' ELSE '0' END AS uses_snowflake,
-  CASE (o_orderkey * 89 + o_custkey) % 9 WHEN 0 THEN '1' WHEN 1 THEN '0' ELSE NULL END AS genai_paid_self,
-  CASE (o_orderkey * 97 + o_custkey) % 8 WHEN 0 THEN '1' WHEN 1 THEN '0' ELSE NULL END AS genai_paid_company,
-  CASE (o_orderkey * 101 + o_custkey) % 10 WHEN 0 THEN '1' WHEN 1 THEN '0' ELSE NULL END AS genai_copilot,
-  CASE (o_orderkey * 59 + o_custkey) % 5 WHEN 0 THEN 'Uso o ChatGPT no trabalho' WHEN 1 THEN 'Não utilizo' WHEN 2 THEN 'nao utilizo' ELSE NULL END AS genai_use_text
-FROM {orders}
+# field -> (number made from the order, answers); the answer at number % len(answers) is taken.
+ANSWERS = {
+    "edition": ("o_orderkey", ("2023-2024", "2024-2025", "2025-2026")),
+    "job_title": (
+        "o_custkey * 31 + o_orderkey",
+        (
+            "Cientista de Dados/Data Scientist", "Data Scientist", "Engenheiro de Machine Learning/ML Engineer",
+            "Engenheiro de Dados/Data Engineer", "Arquiteto de Dados", "Analytics Engineer",
+            "Analista de Dados/Data Analyst", "DATA ANALYST", "Analista de BI/BI Analyst",
+            "Analista de Negócios/Business Analyst", "Data Product Manager",
+            "Desenvolvedor/Engenheiro de Software", "Analista de Negócios", "  ", None, "Professor",
+        ),
+    ),
+    "is_manager": ("o_custkey", ("Sim", "1.0", "não", "0", None)),
+    "seniority": (
+        "o_custkey * 7 + o_orderkey",
+        (
+            "Júnior", "Junior", "Pleno", "PLENO", "Sênior", "Senior", "Sênior", "Especialista/Staff+", "Gerente",
+            None, "Pleno",
+        ),
+    ),
+    "gender": (
+        "o_orderkey * 13 + o_custkey",
+        (
+            "Feminino", "Mulher cis", "Masculino", "Homem", "Masculino", "Prefiro não informar", None,
+        ),
+    ),
+    "region": (
+        "o_orderkey * 17 + o_custkey",
+        (
+            "Sudeste", "sudeste", "Sul", "Nordeste", "Centro-oeste", "RIO grande", "  ", None,
+        ),
+    ),
+    "work_model": (
+        "o_orderkey * 19 + o_custkey",
+        (
+            "Modelo 100% remoto", "Modelo híbrido flexível", "Hybrid", "Modelo 100% presencial", "Outro arranjo",
+            "", None,
+        ),
+    ),
+    "salary_band": (
+        "o_orderkey * 23 + o_custkey",
+        (
+            "Menos de R$ 1.000/mês", "de R$ 1.001/mês a R$ 2.000/mês", "de R$ 2.001/mês a R$ 3.000/mês",
+            "de R$ 3.001/mês a R$ 4.000/mês", "de R$ 4.001/mês a R$ 6.000/mês", "de R$ 6.001/mês a R$ 8.000/mês",
+            "de R$ 8.001/mês a R$ 12.000/mês", "de R$ 12.001/mês a R$ 16.000/mês",
+            "de R$ 16.001/mês a R$ 20.000/mês", "de R$ 20.001/mês a R$ 25.000/mês",
+            "de R$ 25.001/mês a R$ 30.000/mês", "de R$ 30.001/mês a R$ 40.000/mês", "Acima de R$ 40.001/mês",
+            "faixa desconhecida", None,
+        ),
+    ),
+    "work_status": (
+        "o_orderkey * 29 + o_custkey",
+        (
+            "Empregado (CLT)", "Empreendedor ou Empregado (CNPJ)", "Servidor Público", "Freelancer",
+            "Desempregado", "Empregado (CLT)", "Estagiário", None,
+        ),
+    ),
+    "uses_python": ("o_orderkey * 37 + o_custkey", ("Sim", "1", "0.0", "False", " TRUE ", "Python", "nan", "", None)),
+    "uses_sql": ("o_orderkey * 41 + o_custkey", ("1.0", "0.0", "yes", "no", None, "1")),
+    "uses_aws": ("o_orderkey * 43 + o_custkey", ("1", "0", None, "0")),
+    "genai_free": ("o_orderkey * 47 + o_custkey", ("1", "0", None, None, None)),
+    "genai_not_used": ("o_orderkey * 53 + o_custkey", ("1", "0", None, None, None, None)),
+    "uses_gcp": ("o_orderkey * 61 + o_custkey", ("1", "0", None, "0")),
+    "uses_azure": ("o_orderkey * 67 + o_custkey", ("1", "0", None, "0", "0")),
+    "uses_powerbi": ("o_orderkey * 71 + o_custkey", ("1", "0", None)),
+    "uses_tableau": ("o_orderkey * 73 + o_custkey", ("1", "0", None, "0", "0", "0", "0")),
+    "uses_databricks": ("o_orderkey * 79 + o_custkey", ("1", "0", None, "0", "0", "0")),
+    "genai_paid_self": ("o_orderkey * 89 + o_custkey", ("1", "0", None, None, None, None, None, None, None)),
+    "genai_paid_company": ("o_orderkey * 97 + o_custkey", ("1", "0", None, None, None, None, None, None)),
+    "genai_copilot": ("o_orderkey * 101 + o_custkey", ("1", "0", None, None, None, None, None, None, None, None)),
+    "genai_use_text": (
+        "o_orderkey * 59 + o_custkey",
+        (
+            "Uso o ChatGPT no trabalho", "Não utilizo", "nao utilizo", None, None,
+        ),
+    ),
+}
+
+
+def _literal(value: str | None) -> str:
+    return "NULL" if value is None else "'" + value.replace("'", "''") + "'"
+
+
+def _pick(number: str, values) -> str:
+    """The value at ``number`` modulo the length of the list."""
+    return f"{{pick}}({{array}}({', '.join(map(_literal, values))}), CAST(({number}) % {len(values)} AS INT) + 1)"
+
+
+_ANSWERS = ",\n  ".join(f"{_pick(number, values)} AS {field}" for field, (number, values) in ANSWERS.items())
+
+RESPONDENTS = f"""
+SELECT o_orderkey AS resp_id, CAST(2023 + o_orderkey % 3 AS INT) AS survey_year,
+  {_ANSWERS},
+  CASE WHEN o_orderkey % 499 = 93 THEN 'Setor raro'
+       WHEN o_orderkey % 97 < 90 THEN CONCAT('Setor ', CAST(o_custkey % 12 AS VARCHAR(8)))
+       WHEN o_orderkey % 97 < 93 THEN ' ' END AS sector,
+  CASE WHEN o_orderkey % 3 = 0 THEN NULL WHEN (o_orderkey * 83 + o_custkey) % 6 = 0 THEN '1' ELSE '0' END AS uses_snowflake
+FROM {{orders}}
 """
 
 # Respondents as a survey file holds them: more text columns, with line breaks, quotes, commas
@@ -207,10 +260,7 @@ CATALOG_HEADERS = (
 )
 
 
-def _choose(values) -> str:
-    branches = " ".join(f"WHEN {n} THEN '{value}'" for n, value in enumerate(values))
-    return f"CASE (o_orderkey * 7 + o_custkey) % {len(CATALOG_HEADERS)} {branches} END"
-
+_HEADER_NUMBER = "o_orderkey * 7 + o_custkey"
 
 # One header per order, 48 to an edition; even editions quote them as tuples, odd ones use dots.
 HEADER_CATALOG = f"""
@@ -219,22 +269,18 @@ SELECT survey_year, pos,
        ELSE CONCAT(dotted, '_', replace(label, ' ', '_')) END AS header
 FROM (
   SELECT CAST(floor(o_orderkey / 48) AS INT) AS survey_year, CAST(o_orderkey % 48 AS INT) AS pos,
-    {_choose([quoted for quoted, _, _ in CATALOG_HEADERS])} AS quoted,
-    {_choose([dotted for _, dotted, _ in CATALOG_HEADERS])} AS dotted,
-    {_choose([label for _, _, label in CATALOG_HEADERS])} AS label
+    {_pick(_HEADER_NUMBER, [quoted for quoted, _, _ in CATALOG_HEADERS])} AS quoted,
+    {_pick(_HEADER_NUMBER, [dotted for _, dotted, _ in CATALOG_HEADERS])} AS dotted,
+    {_pick(_HEADER_NUMBER, [label for _, _, label in CATALOG_HEADERS])} AS label
   FROM {{orders}}
 ) catalog
 """
 
 # Cells of all kinds, for the null tokens.
-CELLS = """
-SELECT o_orderkey,
-  CASE o_orderkey % 25 WHEN 0 THEN '' WHEN 1 THEN '#N/A' WHEN 2 THEN '#N/A N/A' WHEN 3 THEN '#NA' WHEN 4 THEN '-1.#IND'
-    WHEN 5 THEN '-1.#QNAN' WHEN 6 THEN '-NaN' WHEN 7 THEN '-nan' WHEN 8 THEN '1.#IND' WHEN 9 THEN '1.#QNAN' WHEN 10 THEN '<NA>'
-    WHEN 11 THEN 'N/A' WHEN 12 THEN 'NA' WHEN 13 THEN 'NULL' WHEN 14 THEN 'NaN' WHEN 15 THEN 'None' WHEN 16 THEN 'n/a'
-    WHEN 17 THEN 'nan' WHEN 18 THEN 'null' WHEN 19 THEN NULL WHEN 20 THEN 'Null' WHEN 21 THEN ' NA' WHEN 22 THEN 'none'
-    ELSE o_orderpriority END AS cell
-FROM {orders}
+CELLS = f"""
+SELECT o_orderkey, CASE WHEN o_orderkey % 27 >= 24 THEN o_orderpriority
+  ELSE {_pick("o_orderkey % 27", (*NULL_TOKENS, None, "Null", " NA", "none", "-", None, None, None))} END AS cell
+FROM {{orders}}
 """
 
 
@@ -243,13 +289,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def from_orders(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    return spark.sql(sql, orders=table(spark, sf_dir, "orders"))
+    text = sql.format(orders="{orders}", array="array", pick="element_at")
+    return spark.sql(text, orders=table(spark, sf_dir, "orders"))
 
 
 def respondents(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     """The fixture on the input schema (flags normalised), ``extra`` columns in front."""
     raw = from_orders(spark, sf_dir, RESPONDENTS)
-    return contract(raw, {name: F.col(name) for name in raw.columns if name != "resp_id"}, *extra)
+    return contract(raw, {name: name for name in raw.columns if name != "resp_id"}, *extra)
 
 
 def write_bronze(spark: SparkSession, sf_dir: str, bronze: str) -> None:

@@ -11,7 +11,7 @@ from surveymill.fixed_values import FLAG_FIELDS, HEADER_RULES, INPUT_FIELDS, NUL
 
 
 def _orders(sql: str) -> str:
-    return sql.format(orders="orders")
+    return sql.format(orders="orders", array="list_value", pick="list_extract")
 
 
 def _strings(values) -> str:

@@ -1,30 +1,21 @@
-"""Rule expressions: first matching label, exact lookup."""
+"""Rule expressions as SQL: first matching label, exact lookup."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from surveymill.functions.text import contains_any, literal
 
-from surveymill.functions.text import contains_any
 
-
-def first_label(text: Column, rules: Iterable[tuple[str, tuple[str, ...]]], *rest: tuple[Column, object], default):
-    """Label of the first rule with a phrase in ``text``, then the ``rest`` conditions, then the default."""
+def first_label(text: str, rules: Iterable[tuple[str, tuple[str, ...]]], *rest: tuple[str, str], default: str) -> str:
+    """Label of the first rule with a phrase in ``text``, else of the first of the ``rest``
+    conditions that holds, else the default expression."""
     cases = [(contains_any(text, phrases), label) for label, phrases in rules] + list(rest)
-    (condition, label), *others = cases
-    labelled = F.when(condition, label)
-    for condition, label in others:
-        labelled = labelled.when(condition, label)
-    return labelled.otherwise(default)
+    branches = " ".join(f"WHEN {condition} THEN {literal(label)}" for condition, label in cases)
+    return f"CASE {branches} ELSE {default} END"
 
 
-def lookup(key: Column, table: Mapping[str, float]) -> Column:
+def lookup(key: str, table: Mapping[str, float]) -> str:
     """Value of an exactly matching key as a double, else null."""
-    entries = iter(table.items())
-    text, value = next(entries)
-    found = F.when(key == text, F.lit(float(value)))
-    for text, value in entries:
-        found = found.when(key == text, F.lit(float(value)))
-    return found
+    entries = ", ".join(f"{literal(text)}, {value}D" for text, value in table.items())
+    return f"try_element_at(map({entries}), {key})"

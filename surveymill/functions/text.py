@@ -1,6 +1,8 @@
 """Text expressions: accent folding, header names, null tokens, flags, word tests.
 
-All of them are Column -> Column on built-in functions, so they stay inside generated code.
+Functions that take and return ``str`` work on SQL expressions: rules are long, and one parsed
+expression is far cheaper to build than a tree of Column calls. They are kept short on purpose:
+a projection whose generated method outgrows the JIT limit runs several times slower.
 """
 
 from __future__ import annotations
@@ -8,8 +10,7 @@ from __future__ import annotations
 import re
 import sys
 import unicodedata
-from functools import cache, reduce
-from operator import and_, or_
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,19 +19,28 @@ from surveymill.fixed_values import FLAG_NO, FLAG_NO_ANSWER, FLAG_YES, NULL_TOKE
 
 # What str.strip() removes; Spark's trim() alone removes only the space.
 WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
-_ZERO = r"^[-+]?(0+\.?0*|\.0+)(e[-+]?[0-9]+)?$"
+_ZERO = "^[-+]?(0+[.]?0*|[.]0+)(e[-+]?[0-9]+)?$"
 _HANGUL = range(0xAC00, 0xD7A4)
 _SURROGATES = range(0xD800, 0xE000)
-_PAIR, _GAP = "", ""
+_PAIR, _GAP = "\x02", "\x03"
+
+
+def literal(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def literals(texts) -> str:
+    return ", ".join(map(literal, texts))
 
 
 @cache
-def _folds() -> tuple[str, str, str, str]:
+def _folds() -> tuple[str, str, str]:
     """Compatibility decomposition without combining marks, generated from ``unicodedata``.
 
-    Returns the two translate() strings (a character missing in the second is deleted), the
-    characters that expand to several, and their expansions as one str_to_map() text.
-    Composed Hangul syllables keep their form; they never reach a header name.
+    Returns the two translate() strings (a character missing in the second is deleted) and the
+    characters that expand to several, as one str_to_map() text. Composed Hangul syllables keep
+    their form; they never reach a header name.
     """
     single, deleted, several = {}, [], {}
     for point in range(0x80, sys.maxunicode + 1):
@@ -49,24 +59,29 @@ def _folds() -> tuple[str, str, str, str]:
     return (
         "".join(single) + "".join(deleted),
         "".join(single.values()),
-        "".join(several),
         _PAIR.join(f"{char}{_GAP}{plain}" for char, plain in several.items()),
     )
 
 
+def _is_ascii(text: Column) -> Column:
+    return F.octet_length(text) == F.length(text)
+
+
 def strip_accents(text: Column) -> Column:
-    """NFKD without combining marks. Pure ASCII text (bytes = characters) passes untouched."""
-    source, target, expanding, expansions = _folds()
+    """NFKD without combining marks.
+
+    ASCII text passes untouched. Of other text, only the words that are still not ASCII after
+    the one-to-one translation are looked at character by character.
+    """
+    source, target, expansions = _folds()
     table = F.str_to_map(F.lit(expansions), F.lit(_PAIR), F.lit(_GAP))
-    folded = F.translate(text, source, target)
-    expanded = F.array_join(
-        F.transform(F.split(folded, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), ""
-    )
-    return (
-        F.when(F.octet_length(text) == F.length(text), text)
-        .when(folded.rlike(f"[{expanding}]"), expanded)
-        .otherwise(folded)
-    )
+
+    def expand(word: Column) -> Column:
+        chars = F.transform(F.split(word, ""), lambda c: F.coalesce(F.try_element_at(table, c), c))
+        return F.when(_is_ascii(word), word).otherwise(F.array_join(chars, ""))
+
+    words = F.split(F.translate(text, source, target), " ")
+    return F.when(_is_ascii(text), text).otherwise(F.array_join(F.transform(words, expand), " "))
 
 
 def header_name(text: Column) -> Column:
@@ -85,38 +100,41 @@ def header_token(token: str) -> str:
     return " ".join(re.findall("[a-z0-9.]+", "".join(c for c in folded if not unicodedata.combining(c))))
 
 
-def has_token(name: Column, token: str) -> Column:
+def has_token(name: str, token: str) -> str:
     """Whole-word test on a header name; a token with a space or dot is a substring test."""
     if not token:
-        return F.lit(True)
+        return "true"
     if " " in token or "." in token:
-        return name.contains(token)
-    return F.concat(F.lit(" "), name, F.lit(" ")).contains(f" {token} ")
+        return f"contains({name}, {literal(token)})"
+    return f"contains(concat(' ', {name}, ' '), {literal(f' {token} ')})"
 
 
-def matches(name: Column, include=(), exclude=()) -> Column:
+def matches(name: str, include=(), exclude=()) -> str:
     """All include tokens and none of the exclude tokens occur in a header name."""
     wanted = [has_token(name, header_token(token)) for token in include]
-    barred = [~has_token(name, header_token(token)) for token in exclude]
-    return reduce(and_, wanted + barred, F.lit(True))
+    barred = [f"NOT {has_token(name, header_token(token))}" for token in exclude]
+    return " AND ".join(wanted + barred) or "true"
 
 
-def contains_any(text: Column, phrases) -> Column:
-    return reduce(or_, [text.contains(phrase) for phrase in phrases])
+def contains_any(text: str, phrases) -> str:
+    return "(" + " OR ".join(f"contains({text}, {literal(phrase)})" for phrase in phrases) + ")"
 
 
-def null_tokens(cell: Column) -> Column:
+def null_tokens(cell: str) -> str:
     """Cells that spell a missing value become null."""
-    return F.when(~cell.isin(*NULL_TOKENS), cell)
+    return f"IF({cell} IN ({literals(NULL_TOKENS)}), NULL, {cell})"
 
 
-def to_flag(cell: Column) -> Column:
-    """0/1/null from a yes/no answer; text that is neither is a chosen option, so 1."""
-    answer = F.lower(F.btrim(cell, F.lit(WHITESPACE)))
-    return (
-        F.when(answer.isNull() | answer.isin(*FLAG_NO_ANSWER), F.lit(None))
-        .when(answer.isin(*FLAG_YES), 1)
-        .when(answer.isin(*FLAG_NO) | answer.rlike(_ZERO), 0)
-        .otherwise(1)
-        .cast("int")
-    )
+def to_flag(cell: str) -> str:
+    """0/1/null from a yes/no answer; text that is neither is a chosen option, so 1.
+
+    Answers in plain spelling are looked up as they are; the others are trimmed and lowered first.
+    """
+    known = ", ".join([f"{literal(yes)}, 1" for yes in FLAG_YES] + [f"{literal(no)}, 0" for no in FLAG_NO])
+    answer = f"lower(btrim({cell}, {literal(WHITESPACE)}))"
+    return f"""CASE
+        WHEN {cell} IS NULL THEN NULL
+        WHEN map_contains_key(map({known}), {cell}) THEN try_element_at(map({known}), {cell})
+        WHEN {answer} IN ({literals(FLAG_NO_ANSWER)}) THEN NULL
+        WHEN {answer} RLIKE {literal(_ZERO)} THEN 0
+        ELSE coalesce(try_element_at(map({known}), {answer}), 1) END"""

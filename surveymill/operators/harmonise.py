@@ -6,17 +6,16 @@ from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from surveymill.functions.text import null_tokens
+from surveymill.functions.text import literal, null_tokens
 from surveymill.operators.respondents import contract
 from surveymill.sources.survey_csv import Edition
 
 
 def harmonise(edition: Edition, positions: Mapping[str, int], survey_year: int, name: str) -> DataFrame:
     """Rows of one edition with the canonical input schema; only mapped columns are read."""
-    answers = {field: null_tokens(F.col(f"c{pos}")) for field, pos in positions.items()}
-    return contract(edition.rows, {"survey_year": F.lit(survey_year), "edition": F.lit(name), **answers})
+    answers = {field: null_tokens(f"c{pos}") for field, pos in positions.items()}
+    return contract(edition.rows, {"survey_year": str(survey_year), "edition": literal(name), **answers})
 
 
 def union_editions(parts: list[DataFrame]) -> DataFrame:

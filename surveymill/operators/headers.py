@@ -9,10 +9,7 @@ reduced before the shuffle.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveymill.fixed_values import (
@@ -23,61 +20,45 @@ from surveymill.fixed_values import (
     POWERBI_CODES_INSIDE,
     POWERBI_PHRASE,
 )
-from surveymill.functions.text import contains_any, header_name, matches
+from surveymill.functions.text import contains_any, header_name, literal, matches
 
 RESOLVED_FIELDS = INPUT_FIELDS[2:]  # survey_year and edition come from the registry
 
 
-def _name() -> Column:
-    return F.col("name")
-
+def _candidate(step: str, by_length: bool = True) -> str:
+    """Sort key and payload of a hit: earlier step, shorter name, shorter header, earlier column.
 
-def _candidate(step: int, by_length: bool = True) -> Column:
-    """Sort key and payload of a hit: earlier step, shorter name, shorter header, earlier column."""
-    length = (lambda c: F.length(c)) if by_length else (lambda c: F.lit(0))
-    return F.struct(
-        F.lit(step).alias("step"),
-        length(_name()).alias("name_length"),
-        length(F.col("header")).alias("header_length"),
-        F.col("pos").alias("pos"),
-        F.col("header").alias("header"),
-    )
+    Null where ``step`` is null, that is, where no rule fits.
+    """
+    lengths = "length(name), length(header)" if by_length else "0, 0"
+    return f"IF({step} IS NULL, NULL, struct({step}, {lengths}, pos, header))"
 
 
-def chain(steps, prefer_shortest: bool = True) -> Column:
+def chain(steps, prefer_shortest: bool = True) -> str:
     """Candidate of a header for a chain of (include, exclude) steps, null when none fits."""
-    return F.coalesce(
-        *[
-            F.when(matches(_name(), include, exclude), _candidate(step, prefer_shortest))
-            for step, (include, exclude) in enumerate(steps)
-        ]
-    )
+    fits = [f"WHEN {matches('name', include, exclude)} THEN {n}" for n, (include, exclude) in enumerate(steps)]
+    return _candidate(f"CASE {' '.join(fits)} END", prefer_shortest)
 
 
-def powerbi() -> Column:
+def powerbi() -> str:
     """Candidate for Power BI: headers with a question code first, then survey order."""
-    fits = F.replace(_name(), F.lit(" "), F.lit("")).contains(POWERBI_PHRASE) & ~contains_any(_name(), POWERBI_BARRED)
-    coded = reduce(or_, [_name().startswith(code) for code in POWERBI_CODE_STARTS]) | contains_any(
-        _name(), POWERBI_CODES_INSIDE
-    )
-    return F.when(fits & coded, _candidate(0, by_length=False)).when(fits, _candidate(1, by_length=False))
+    fits = f"contains(replace(name, ' ', ''), {literal(POWERBI_PHRASE)}) AND NOT {contains_any('name', POWERBI_BARRED)}"
+    starts = " OR ".join(f"startswith(name, {literal(code)})" for code in POWERBI_CODE_STARTS)
+    coded = f"({starts} OR {contains_any('name', POWERBI_CODES_INSIDE)})"
+    return _candidate(f"CASE WHEN {fits} AND {coded} THEN 0 WHEN {fits} THEN 1 END", by_length=False)
+
 
+def best_headers(headers: DataFrame, candidates: dict[str, str], by: str = "survey_year") -> DataFrame:
+    """``(by, field, source_header, pos)``: one row per edition and field, null where nothing fits.
 
-def best_headers(headers: DataFrame, candidates: dict[str, Column], by: str = "survey_year") -> DataFrame:
-    """``(by, field, source_header, pos)``: one row per edition and field, null where nothing fits."""
+    ``candidates`` maps a field to its candidate expression, see :func:`chain`.
+    """
     named = headers.select(by, "pos", "header", header_name(F.col("header")).alias("name"))
-    per_edition = named.groupBy(by).agg(*[F.min(hit).alias(field) for field, hit in candidates.items()])
-    answers = F.array(
-        *[
-            F.struct(
-                F.lit(field).alias("field"),
-                F.col(field)["header"].alias("source_header"),
-                F.col(field)["pos"].alias("pos"),
-            )
-            for field in candidates
-        ]
+    per_edition = named.groupBy(by).agg(*[F.expr(f"min({hit}) AS {field}") for field, hit in candidates.items()])
+    answers = ", ".join(
+        f"struct({literal(field)} AS field, {field}.header AS source_header, {field}.pos AS pos)" for field in candidates
     )
-    return per_edition.select(by, F.inline(answers))
+    return per_edition.selectExpr(by, f"inline(array({answers}))")
 
 
 def find_column(

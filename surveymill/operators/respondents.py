@@ -3,11 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
-from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from surveymill.fixed_values import (
@@ -28,7 +25,7 @@ from surveymill.fixed_values import (
     WORK_MODELS,
 )
 from surveymill.functions.labels import first_label, lookup
-from surveymill.functions.text import contains_any, to_flag
+from surveymill.functions.text import contains_any, literal, to_flag
 
 INPUT_SCHEMA = StructType(
     [
@@ -43,88 +40,63 @@ INPUT_SCHEMA = StructType(
 SILVER_COLUMNS = INPUT_FIELDS + DERIVED_FIELDS
 
 
-def contract(source: DataFrame, answers: Mapping[str, Column], *extra: str) -> DataFrame:
+def contract(source: DataFrame, answers: Mapping[str, str], *extra: str) -> DataFrame:
     """Project raw answers onto the input schema, in order; fields without an answer are null.
 
-    ``answers`` maps a field to the raw column holding it. Flags are normalised on the way.
-    ``extra`` columns of the source are kept in front.
+    ``answers`` maps a field to the SQL expression of its raw text, evaluated once in a first
+    projection; the second one values the flags. ``extra`` columns of the source go in front.
     """
-
-    def typed(field: StructField) -> Column:
-        if field.name not in answers:
-            return F.lit(None).cast(field.dataType).alias(field.name)
-        raw = answers[field.name]
-        value = to_flag(raw) if field.name in FLAG_FIELDS else raw.cast(field.dataType)
-        return value.alias(field.name)
-
-    return source.select(*extra, *[typed(field) for field in INPUT_SCHEMA])
-
-
-def _lowered(column: str) -> Column:
-    return F.lower(F.coalesce(F.col(column), F.lit("")))
-
-
-def job_family() -> Column:
-    title = _lowered("job_title")
-    untitled = F.trim(title) == ""
-    return first_label(
-        title,
-        JOB_FAMILIES,
-        (untitled & F.col("is_manager").eqNullSafe(1), MANAGEMENT),
-        (untitled, NOT_INFORMED),
-        default=OTHERS,
-    )
-
-
-def work_model_group() -> Column:
-    model = _lowered("work_model")
-    return first_label(model, WORK_MODELS, (model == "", NOT_INFORMED), default=OTHERS)
-
-
-def gender_group() -> Column:
-    gender = _lowered("gender")
-    return first_label(gender, GENDERS, (gender == "", NOT_INFORMED), default=OTHERS)
-
-
-def seniority_group() -> Column:
-    level = _lowered("seniority")
-    return first_label(level, SENIORITIES, (level == "", NOT_INFORMED), default=F.initcap("seniority"))
-
-
-def salary_midpoint() -> Column:
-    return lookup(_lowered("salary_band"), SALARY_MIDPOINTS)
-
-
-def is_employed() -> Column:
-    return contains_any(_lowered("work_status"), EMPLOYED_PHRASES).cast("int")
-
-
-def uses_genai() -> Column:
-    """1 / 0 / null: null only when none of the questions was answered."""
-    unanswered = reduce(and_, [F.col(answer).isNull() for answer in GENAI_ANSWERS])
-    by_flag = reduce(or_, [F.col(flag).eqNullSafe(1) for flag in GENAI_USE_FLAGS])
-    text = _lowered("genai_use_text")
-    by_text = ~text.rlike("^$") & ~contains_any(text, GENAI_DENIALS)
-    return F.when(~unanswered, (by_flag | by_text).cast("int"))
-
-
-def region_group() -> Column:
-    blank = F.trim(F.coalesce(F.col("region"), F.lit(""))) == ""
-    return F.when(blank, NOT_INFORMED).otherwise(F.initcap("region"))
-
-
+    raw, typed = [], []
+    for field in INPUT_SCHEMA:
+        name, kind = field.name, field.dataType.simpleString()
+        if name not in answers:
+            typed.append(f"CAST(NULL AS {kind}) AS {name}")
+        elif name in FLAG_FIELDS:
+            raw.append(f"{answers[name]} AS {name}")
+            typed.append(f"{to_flag(name)} AS {name}")
+        else:
+            raw.append(f"CAST({answers[name]} AS {kind}) AS {name}")
+            typed.append(name)
+    return source.selectExpr(*extra, *raw).selectExpr(*extra, *typed)
+
+
+# Texts the rules read, lowered once per row: every rule asks for its text many times.
+_LOWERED = ("job_title", "work_model", "gender", "seniority", "salary_band", "work_status", "genai_use_text")
+
+_NO_GENAI_ANSWER = " AND ".join(f"{answer} IS NULL" for answer in GENAI_ANSWERS)
+_GENAI_FLAGGED = " OR ".join(f"{flag} <=> 1" for flag in GENAI_USE_FLAGS)
+
+# Derived column -> expression on the input fields and the lowered texts.
 DERIVATIONS = {
-    "job_family": job_family,
-    "work_model_group": work_model_group,
-    "gender_group": gender_group,
-    "seniority_group": seniority_group,
-    "salary_midpoint": salary_midpoint,
-    "is_employed": is_employed,
-    "uses_genai": uses_genai,
-    "region_group": region_group,
+    "job_family": first_label(
+        "lowered_job_title",
+        JOB_FAMILIES,
+        ("trim(lowered_job_title) = '' AND is_manager <=> 1", MANAGEMENT),
+        ("trim(lowered_job_title) = ''", NOT_INFORMED),
+        default=literal(OTHERS),
+    ),
+    "work_model_group": first_label(
+        "lowered_work_model", WORK_MODELS, ("lowered_work_model = ''", NOT_INFORMED), default=literal(OTHERS)
+    ),
+    "gender_group": first_label(
+        "lowered_gender", GENDERS, ("lowered_gender = ''", NOT_INFORMED), default=literal(OTHERS)
+    ),
+    "seniority_group": first_label(
+        "lowered_seniority", SENIORITIES, ("lowered_seniority = ''", NOT_INFORMED), default="initcap(seniority)"
+    ),
+    "salary_midpoint": lookup("lowered_salary_band", SALARY_MIDPOINTS),
+    "is_employed": f"CAST({contains_any('lowered_work_status', EMPLOYED_PHRASES)} AS INT)",
+    # null only when none of the questions was answered
+    "uses_genai": f"""IF({_NO_GENAI_ANSWER}, NULL, CAST(
+        {_GENAI_FLAGGED}
+        OR NOT (lowered_genai_use_text RLIKE '^$' OR {contains_any('lowered_genai_use_text', GENAI_DENIALS)})
+        AS INT))""",
+    "region_group": f"IF(trim(coalesce(region, '')) = '', {literal(NOT_INFORMED)}, initcap(region))",
 }
 
 
-def enrich(respondents: DataFrame) -> DataFrame:
+def enrich(respondents: DataFrame, fields=DERIVED_FIELDS) -> DataFrame:
     """Append the derived columns."""
-    return respondents.withColumns({name: derive() for name, derive in DERIVATIONS.items()})
+    lowered = [f"lower(coalesce({column}, '')) AS lowered_{column}" for column in _LOWERED]
+    derived = [f"{DERIVATIONS[field]} AS {field}" for field in fields]
+    return respondents.selectExpr("*", *lowered).selectExpr(*respondents.columns, *derived)

@@ -11,10 +11,11 @@ Midpoints are multiples of 500 and flags are 0/1, so the sums are exact in any o
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveymill.fixed_values import REMOTE, SENIOR, TOOLS, WOMEN
+from surveymill.functions.text import literal
 
 ROLE_KEYS = ("survey_year", "is_employed", "gender_group", "job_family", "seniority_group")
 EDITION_KEYS = ("survey_year", "edition", "is_employed", "answered_tools")
@@ -29,30 +30,30 @@ EDITION_MEASURES = ("n", *_SALARY, "women", "remote", "genai_n", "genai_sum") +
 PLACE_MEASURES = ("n", *_SALARY)
 
 
-def _is(condition: Column) -> Column:
-    return F.when(condition, F.lit(1)).otherwise(F.lit(0)).cast("long")
+def _one_if(condition: str) -> str:
+    return f"IF({condition}, 1L, 0L)"
+
+
+_UNITS = {
+    "n": "1L",
+    "salary_n": _one_if("salary_midpoint IS NOT NULL"),
+    "salary_sum": "salary_midpoint",
+    "women": _one_if(f"gender_group = {literal(WOMEN)}"),
+    "remote": _one_if(f"work_model_group = {literal(REMOTE)}"),
+    "seniors": _one_if(f"seniority_group = {literal(SENIOR)}"),
+    "genai_n": _one_if("uses_genai IS NOT NULL"),
+    "genai_sum": "CAST(uses_genai AS BIGINT)",
+    "genai_salary_n": _one_if("uses_genai IS NOT NULL AND salary_midpoint IS NOT NULL"),
+    "genai_salary_sum": "IF(uses_genai IS NOT NULL, salary_midpoint, NULL)",
+    "answered_tools": "uses_python IS NOT NULL OR uses_sql IS NOT NULL",
+    **{f"{tool}_n": _one_if(f"{tool} IS NOT NULL") for tool in TOOLS},
+    **{f"{tool}_sum": f"CAST({tool} AS BIGINT)" for tool in TOOLS},
+}
 
 
 def units(silver: DataFrame) -> DataFrame:
     """One cell per respondent; a projection, pruned to what the table at hand uses."""
-    salary, genai = F.col("salary_midpoint"), F.col("uses_genai")
-    measures = {
-        "n": F.lit(1).cast("long"),
-        "salary_n": _is(salary.isNotNull()),
-        "salary_sum": salary,
-        "women": _is(F.col("gender_group") == WOMEN),
-        "remote": _is(F.col("work_model_group") == REMOTE),
-        "seniors": _is(F.col("seniority_group") == SENIOR),
-        "genai_n": _is(genai.isNotNull()),
-        "genai_sum": genai.cast("long"),
-        "genai_salary_n": _is(genai.isNotNull() & salary.isNotNull()),
-        "genai_salary_sum": F.when(genai.isNotNull(), salary),
-        "answered_tools": F.col("uses_python").isNotNull() | F.col("uses_sql").isNotNull(),
-    }
-    for tool in TOOLS:
-        measures[f"{tool}_n"] = _is(F.col(tool).isNotNull())
-        measures[f"{tool}_sum"] = F.col(tool).cast("long")
-    return silver.withColumns(measures)
+    return silver.selectExpr("*", *[f"{measure} AS {name}" for name, measure in _UNITS.items()])
 
 
 def add_up(cells: DataFrame, keys, measures) -> DataFrame:
