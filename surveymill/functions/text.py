@@ -26,8 +26,8 @@ _PAIR, _GAP = "\x02", "\x03"
 
 
 def literal(text: str) -> str:
-    """A SQL string literal."""
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    """A SQL string literal (``${`` would otherwise be read as a variable)."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'").replace("${", "\\u0024{") + "'"
 
 
 def literals(texts) -> str:

@@ -4,8 +4,8 @@ Columns are addressed by position (``c0``, ``c1``, ...), because headers hold qu
 parentheses and duplicates. The header row is the only data that reaches the driver.
 
 A quoted cell may contain line breaks, and Spark's multi-line reader takes a whole file in one
-task. That is right for small files. For files larger than one split the scan looks at the text
-first, in parallel:
+task. That is right for small files (with plain line ends; the reader guesses at others). For the
+rest the scan looks at the text first, in parallel:
 
 * every line is a complete record: the ordinary reader splits the file;
 * records span lines: they are put together from the lines, still in parallel;
@@ -14,6 +14,8 @@ first, in parallel:
 
 from __future__ import annotations
 
+import csv
+import io
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -22,9 +24,9 @@ from pyspark.sql import functions as F
 from surveymill.functions.text import null_tokens
 from surveymill.sources.lake import stage, workspace
 
-DIALECT = {"escape": '"', "multiLine": True}
 SPLIT_BYTES = 128 * 1024 * 1024  # files up to this size are one task in any case
 _FILES = {"pathGlobFilter": "*.csv", "recursiveFileLookup": True}
+_HEADER_LINES = 4096  # a header whose quotes do not close within as many lines is one line
 _MARK = "\x01"
 
 
@@ -70,25 +72,28 @@ def clean(rows: DataFrame) -> DataFrame:
 
 
 def read_header(spark: SparkSession, path: str) -> list[str]:
-    first = spark.read.options(**_FILES, **DIALECT).csv(path).first()
-    if first is None:
+    """The header row: the first lines of a file up to where its quotes are closed."""
+    start, taken, lines = _lines(spark, path).filter("block = 0 AND trim(value) <> ''"), 1, []
+    while taken <= _HEADER_LINES:
+        lines = start.take(taken)
+        for count in range(1, len(lines) + 1):
+            text = "\n".join(line["value"] for line in lines[:count])
+            if text.count('"') % 2 == 0:
+                return unique_names(next(csv.reader(io.StringIO(text, newline=""))))
+        if len(lines) < taken:
+            break
+        taken *= 4
+    if not lines:
         raise ValueError(f"no header row below {path}")
-    return unique_names(list(first))
+    return unique_names(next(csv.reader([lines[0]["value"]])))
 
 
 def _schema(width: int) -> str:
     return ", ".join(f"c{pos} string" for pos in range(width))
 
 
-def _by_file(spark: SparkSession, path: str, width: int, splittable: bool) -> DataFrame:
-    return (
-        spark.read.options(**_FILES)
-        .options(**DIALECT)
-        .option("multiLine", not splittable)
-        .option("header", True)
-        .schema(_schema(width))
-        .csv(path)
-    )
+def _by_file(spark: SparkSession, path: str, width: int, **how) -> DataFrame:
+    return spark.read.options(**_FILES, escape='"', header=True, **how).schema(_schema(width)).csv(path)
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
@@ -143,11 +148,13 @@ def place_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def is_regular(placed: DataFrame) -> bool:
-    """Whether the quoting state is right: every line is whole cells once its open ends are quoted."""
+    """Whether the quoting state is right: every line is whole cells once its open ends are quoted
+    (and files begin with their header)."""
     quote, nothing = F.lit('"'), F.lit("")
     before = F.when(F.col("opened") % 2 == 1, quote).otherwise(nothing)
     after = F.when((F.col("opened") + F.col("odd")) % 2 == 1, quote).otherwise(nothing)
-    return placed.filter(~_is_whole(F.concat(before, F.col("value"), after))).isEmpty()
+    headless = F.col("head") & (F.trim("value") == "")
+    return placed.filter(headless | ~_is_whole(F.concat(before, F.col("value"), after))).isEmpty()
 
 
 def join_lines(placed: DataFrame) -> DataFrame:
@@ -178,15 +185,16 @@ def _parse(records: DataFrame, width: int) -> DataFrame:
 
 
 def _rows(spark: SparkSession, path: str, width: int, split_bytes: int) -> DataFrame:
+    lines, value = _lines(spark, path), F.col("value")
     largest = csv_files(spark, path).agg(F.max("length")).first()[0] or 0
-    if largest <= split_bytes:
-        return _by_file(spark, path, width, splittable=False)
-    if _lines(spark, path).filter(~_is_whole(F.col("value"))).isEmpty():
-        return _by_file(spark, path, width, splittable=True)
+    if largest <= split_bytes and lines.filter("cr").isEmpty():
+        return _by_file(spark, path, width, multiLine=True, lineSep="\n")
+    if lines.filter(value.contains("\r") | ~_is_whole(value)).isEmpty():
+        return _by_file(spark, path, width)
     placed = stage(place_lines(spark, path), f"{workspace(spark)}/lines")
     if is_regular(placed):
         return _parse(join_lines(placed), width)
-    return _by_file(spark, path, width, splittable=False)
+    return _by_file(spark, path, width, multiLine=True)
 
 
 def scan_edition(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> Edition:
