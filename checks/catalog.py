@@ -12,7 +12,7 @@ from surveymill.fixed_values import EDITIONS, FLAG_FIELDS, HEADER_RULES
 from surveymill.functions import measures
 from surveymill.functions.text import fold_text, has_token, header_name, null_tokens
 from surveymill.operators import headers
-from surveymill.operators.harmonise import harmonise, union_editions
+from surveymill.operators.harmonise import union_editions
 from surveymill.operators.respondents import DERIVATIONS, enrich
 from surveymill.plans import analyses, cells, gold, silver
 from surveymill.session import tune
@@ -143,25 +143,19 @@ def _bronze(spark, sf_dir):
 
 
 def mapping_report(spark, sf_dir):
-    opened = silver.open_editions(spark, _bronze(spark, sf_dir))
-    return silver.mapping_report(spark, opened).drop("pos")
+    return silver.mapping_report(spark, silver.open_editions(spark, _bronze(spark, sf_dir)))
 
 
-def _harmonised(spark, sf_dir, years):
-    opened = silver.open_editions(spark, _bronze(spark, sf_dir), {year: EDITIONS[year] for year in years})
-    report = silver.mapping_report(spark, opened).filter("pos IS NOT NULL").collect()
-    return [
-        harmonise(opened[y], {r["field"]: r["pos"] for r in report if r["survey_year"] == y}, y, EDITIONS[y])
-        for y in years
-    ]
+def _harmonised(spark, sf_dir, registered):
+    return silver.harmonised(spark, silver.open_editions(spark, _bronze(spark, sf_dir), registered), registered)
 
 
 def harmonise_edition(spark, sf_dir):
-    return _harmonised(spark, sf_dir, [2025])[0]
+    return _harmonised(spark, sf_dir, {2025: EDITIONS[2025]})
 
 
 def all_editions(spark, sf_dir):
-    return union_editions(_harmonised(spark, sf_dir, list(EDITIONS)))
+    return _harmonised(spark, sf_dir, EDITIONS)
 
 
 def silver_pipeline(spark, sf_dir):

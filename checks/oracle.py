@@ -156,9 +156,16 @@ def silver(query: str) -> str:
     return f"WITH {SILVER}\n{query}"
 
 
+_EMPLOYED = "employed AS (SELECT * FROM silver WHERE is_employed = 1)"
+
+
 def gold(table: str, query: str | None = None) -> str:
-    base = f"WITH {SILVER},\nemployed AS (SELECT * FROM silver WHERE is_employed = 1),\n{table} AS ({GOLD[table]})"
-    return f"{base}\n{query or f'SELECT * FROM {table}'}"
+    return f"WITH {SILVER},\n{_EMPLOYED},\n{table} AS ({GOLD[table]})\n{query or f'SELECT * FROM {table}'}"
+
+
+def gold_sizes() -> str:
+    counts = [f"SELECT '{name}' AS gold_table, count(*) AS \"rows\" FROM ({table}) t" for name, table in GOLD.items()]
+    return f"WITH {SILVER},\n{_EMPLOYED}\n" + " UNION ALL ".join(counts)
 
 
 NAMES = f"""headers AS ({_orders(HEADER_CATALOG)}),
@@ -282,6 +289,7 @@ GROUP BY 1""",
   contains(p_name, 'ring') AS has_ring, regexp_matches(p_name, 'red|blue') AS color FROM part""",
         "scalar_round": """SELECT l_orderkey, l_linenumber, l_partkey, round(l_extendedprice * (1 - l_discount), 0) AS net
 FROM lineitem""",
+        "gold_all": gold_sizes(),
         "gold_roundtrip": gold("region_work_model"),
         "gold_csv_roundtrip": gold("sector"),
         "q_overview": gold("overview"),

@@ -8,7 +8,6 @@ a projection whose generated method outgrows the JIT limit runs several times sl
 from __future__ import annotations
 
 import re
-import sys
 import unicodedata
 from functools import cache
 
@@ -22,6 +21,7 @@ WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 _ZERO = "^[-+]?(0+[.]?0*|[.]0+)(e[-+]?[0-9]+)?$"
 _HANGUL = range(0xAC00, 0xD7A4)
 _SURROGATES = range(0xD800, 0xE000)
+_LAST_DECOMPOSING = 0x2FA1D  # no character beyond it decomposes or combines
 _PAIR, _GAP = "\x02", "\x03"
 
 
@@ -43,7 +43,7 @@ def _folds() -> tuple[str, str, str]:
     their form; they never reach a header name.
     """
     single, deleted, several = {}, [], {}
-    for point in range(0x80, sys.maxunicode + 1):
+    for point in range(0x80, _LAST_DECOMPOSING + 1):
         if point in _HANGUL or point in _SURROGATES:
             continue
         char = chr(point)

@@ -25,40 +25,44 @@ from surveymill.functions.text import contains_any, header_name, literal, matche
 RESOLVED_FIELDS = INPUT_FIELDS[2:]  # survey_year and edition come from the registry
 
 
-def _candidate(step: str, by_length: bool = True) -> str:
-    """Sort key and payload of a hit: earlier step, shorter name, shorter header, earlier column.
+def chain(steps, prefer_shortest: bool = True) -> tuple[str, bool]:
+    """First step of (include, exclude) a header fits, null when none, and whether short ones go first."""
+    fits = " ".join(f"WHEN {matches('name', include, exclude)} THEN {n}" for n, (include, exclude) in enumerate(steps))
+    return f"CASE {fits} END", prefer_shortest
 
-    Null where ``step`` is null, that is, where no rule fits.
-    """
-    lengths = "length(name), length(header)" if by_length else "0, 0"
-    return f"IF({step} IS NULL, NULL, struct({step}, {lengths}, pos, header))"
-
-
-def chain(steps, prefer_shortest: bool = True) -> str:
-    """Candidate of a header for a chain of (include, exclude) steps, null when none fits."""
-    fits = [f"WHEN {matches('name', include, exclude)} THEN {n}" for n, (include, exclude) in enumerate(steps)]
-    return _candidate(f"CASE {' '.join(fits)} END", prefer_shortest)
 
-
-def powerbi() -> str:
-    """Candidate for Power BI: headers with a question code first, then survey order."""
+def powerbi() -> tuple[str, bool]:
+    """Power BI as a chain: headers with a question code first, then survey order."""
     fits = f"contains(replace(name, ' ', ''), {literal(POWERBI_PHRASE)}) AND NOT {contains_any('name', POWERBI_BARRED)}"
     starts = " OR ".join(f"startswith(name, {literal(code)})" for code in POWERBI_CODE_STARTS)
     coded = f"({starts} OR {contains_any('name', POWERBI_CODES_INSIDE)})"
-    return _candidate(f"CASE WHEN {fits} AND {coded} THEN 0 WHEN {fits} THEN 1 END", by_length=False)
+    return f"CASE WHEN {fits} THEN IF({coded}, 0, 1) END", False
 
 
-def best_headers(headers: DataFrame, candidates: dict[str, str], by: str = "survey_year") -> DataFrame:
+def best_headers(headers: DataFrame, rules: dict[str, tuple[str, bool]], by: str = "survey_year") -> DataFrame:
     """``(by, field, source_header, pos)``: one row per edition and field, null where nothing fits.
 
-    ``candidates`` maps a field to its candidate expression, see :func:`chain`.
+    ``rules`` maps a field to its rule, see :func:`chain`. The best header has the earliest step,
+    then the shortest name, the shortest header and the first position.
     """
     named = headers.select(by, "pos", "header", header_name(F.col("header")).alias("name"))
-    per_edition = named.groupBy(by).agg(*[F.expr(f"min({hit}) AS {field}") for field, hit in candidates.items()])
+    steps = named.selectExpr(
+        by,
+        "pos",
+        "header",
+        "length(name) AS name_length",
+        "length(header) AS header_length",
+        *[f"{step} AS {field}" for field, (step, _) in rules.items()],
+    )
+    best = [
+        f"min(IF({field} IS NULL, NULL, struct({field}, {'name_length, header_length' if shortest else '0, 0'}, "
+        f"pos, header))) AS {field}"
+        for field, (_, shortest) in rules.items()
+    ]
     answers = ", ".join(
-        f"struct({literal(field)} AS field, {field}.header AS source_header, {field}.pos AS pos)" for field in candidates
+        f"struct({literal(field)} AS field, {field}.header AS source_header, {field}.pos AS pos)" for field in rules
     )
-    return per_edition.selectExpr(by, f"inline(array({answers}))")
+    return steps.groupBy(by).agg(*map(F.expr, best)).selectExpr(by, f"inline(array({answers}))")
 
 
 def find_column(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -157,6 +160,11 @@ GOLD_TABLES = {
     "ai_adoption": (ai_adoption, "role"),
     "sector": (sector, "sector"),
 }
+# cell sets that serve several tables -> (categories, measures); the others are read as they are
+_SHARED_CELLS = {
+    "edition": (c.EDITION_KEYS, c.EDITION_MEASURES),
+    "role": (c.ROLE_KEYS, c.ROLE_MEASURES),
+}
 
 
 def gold_tables(silver: DataFrame) -> dict[str, DataFrame]:
@@ -167,19 +175,23 @@ def gold_tables(silver: DataFrame) -> dict[str, DataFrame]:
 def build_gold(spark: SparkSession, silver: str, gold: str, csv: str | None = None) -> dict[str, DataFrame]:
     """Write all gold tables (and CSV copies) and return them as read back.
 
-    The two cell sets that serve several tables are written to the shared work folder first; the
-    respondents are scanned four times for nine tables.
+    Cell sets that serve several tables are written to the shared work folder first, so the
+    respondents are scanned four times for nine tables. The four branches do not depend on each
+    other and are submitted side by side.
     """
-    units = c.units(read_silver(spark, silver))
-    work = workspace(spark)
-    sources = {
-        "edition": stage(c.add_up(units, c.EDITION_KEYS, c.EDITION_MEASURES), f"{work}/edition"),
-        "role": stage(c.add_up(units, c.ROLE_KEYS, c.ROLE_MEASURES), f"{work}/role"),
-        "place": units,
-        "sector": units,
-    }
-    for name, (table, source) in GOLD_TABLES.items():
-        write_gold(table(sources[source]), f"{gold.rstrip('/')}/{name}")
+    units, work = c.units(read_silver(spark, silver)), workspace(spark)
+
+    def write_branch(cell_set: str) -> None:
+        cells = units
+        if cell_set in _SHARED_CELLS:
+            cells = stage(c.add_up(units, *_SHARED_CELLS[cell_set]), f"{work}/{cell_set}")
+        for name, (table, source) in GOLD_TABLES.items():
+            if source == cell_set:
+                write_gold(table(cells), f"{gold.rstrip('/')}/{name}")
+
+    branches = {source for _, source in GOLD_TABLES.values()}
+    with ThreadPoolExecutor(len(branches)) as pool:
+        list(pool.map(inheritable_thread_target(spark)(write_branch), branches))
     tables = read_gold(spark, gold, GOLD_TABLES)
     if csv is not None:
         for name, table in tables.items():

@@ -25,26 +25,25 @@ def open_editions(
     return {year: read(spark, edition_path(bronze, year)) for year in editions}
 
 
+def mapping(spark: SparkSession, opened: Mapping[int, Edition]) -> DataFrame:
+    """``(survey_year, field, source_header, pos)`` for every canonical field of the editions."""
+    return resolve_schema(header_catalog(spark, {year: edition.headers for year, edition in opened.items()}))
+
+
 def mapping_report(spark: SparkSession, opened: Mapping[int, Edition], editions: Mapping[int, str] = EDITIONS):
-    """``(survey_year, edition, field, source_header, pos)`` for every canonical field."""
-    headers = header_catalog(spark, {year: edition.headers for year, edition in opened.items()})
-    return (
-        resolve_schema(headers)
-        .join(F.broadcast(registry(spark, editions)), "survey_year")  # one row per registered edition
-        .select("survey_year", "edition", "field", "source_header", "pos")
-    )
+    """The mapping with edition names, for people."""
+    named = mapping(spark, opened).join(F.broadcast(registry(spark, editions)), "survey_year")  # a row per edition
+    return named.select("survey_year", "edition", "field", "source_header")
 
 
-def respondents(spark: SparkSession, opened: Mapping[int, Edition], editions: Mapping[int, str] = EDITIONS) -> DataFrame:
-    """All editions harmonised, united and enriched. The mapping (one row per edition and field)
-    is brought to the driver to write the projections; no data row is."""
+def harmonised(spark: SparkSession, opened: Mapping[int, Edition], editions: Mapping[int, str] = EDITIONS) -> DataFrame:
+    """All editions on the canonical input schema. The mapping (one row per edition and field) is
+    brought to the driver to write the projections; no data row is."""
     positions: dict[int, dict[str, int]] = {year: {} for year in opened}
-    for row in mapping_report(spark, opened, editions).filter("pos IS NOT NULL").collect():
+    for row in mapping(spark, opened).filter("pos IS NOT NULL").collect():
         positions[row["survey_year"]][row["field"]] = row["pos"]
-    return enrich(
-        union_editions(
-            [harmonise(edition, positions[year], year, editions[year]) for year, edition in opened.items()]
-        )
+    return union_editions(
+        [harmonise(edition, positions[year], year, editions[year]) for year, edition in opened.items()]
     )
 
 
@@ -52,5 +51,6 @@ def build_silver(
     spark: SparkSession, bronze: str, target: str, editions: Mapping[int, str] = EDITIONS, landed: bool = False
 ) -> DataFrame:
     """Write the respondent table and return it as read back."""
-    write_silver(respondents(spark, open_editions(spark, bronze, editions, landed), editions), target)
+    opened = open_editions(spark, bronze, editions, landed)
+    write_silver(enrich(harmonised(spark, opened, editions)), target)
     return read_silver(spark, target)
