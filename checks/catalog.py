@@ -196,9 +196,8 @@ def to_flag(spark, sf_dir):
 
 
 def filter_employed(spark, sf_dir):
-    return (
-        _silver(spark, sf_dir, "resp_id").filter(F.col("is_employed") == 1).select("resp_id", "survey_year", "job_family")
-    )
+    employed = _silver(spark, sf_dir, "resp_id").filter(F.col("is_employed") == 1)
+    return employed.select("resp_id", "survey_year", "job_family")
 
 
 def silver_counts(spark, sf_dir):

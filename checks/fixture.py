@@ -111,7 +111,8 @@ SELECT o_orderkey AS resp_id, CAST(2023 + o_orderkey % 3 AS INT) AS survey_year,
   CASE WHEN o_orderkey % 499 = 93 THEN 'Setor raro'
        WHEN o_orderkey % 97 < 90 THEN CONCAT('Setor ', CAST(o_custkey % 12 AS VARCHAR(8)))
        WHEN o_orderkey % 97 < 93 THEN ' ' END AS sector,
-  CASE WHEN o_orderkey % 3 = 0 THEN NULL WHEN (o_orderkey * 83 + o_custkey) % 6 = 0 THEN '1' ELSE '0' END AS uses_snowflake
+  CASE WHEN o_orderkey % 3 = 0 THEN NULL
+       WHEN (o_orderkey * 83 + o_custkey) % 6 = 0 THEN '1' ELSE '0' END AS uses_snowflake
 FROM {{orders}}
 """
 
@@ -122,8 +123,10 @@ SELECT r.*,
   CAST(resp_id AS VARCHAR(20)) AS age,
   CONCAT('Faixa ', CAST(resp_id % 6 AS VARCHAR(8))) AS age_band,
   CONCAT('Área ', CAST(resp_id % 7 AS VARCHAR(8)), chr(10), 'cita "dados", e mais', chr(10)) AS job_function,
-  CASE resp_id % 6 WHEN 0 THEN 'NA' WHEN 1 THEN 'nan' WHEN 2 THEN 'mais de 4 anos' WHEN 3 THEN 'None' WHEN 4 THEN '' ELSE ' "3" ' END AS experience,
-  CASE resp_id % 4 WHEN 0 THEN 'Ensino, superior' WHEN 1 THEN '#N/A' WHEN 2 THEN 'null' ELSE 'Null' END AS education
+  CASE resp_id % 6 WHEN 0 THEN 'NA' WHEN 1 THEN 'nan' WHEN 2 THEN 'mais de 4 anos'
+    WHEN 3 THEN 'None' WHEN 4 THEN '' ELSE ' "3" ' END AS experience,
+  CASE resp_id % 4 WHEN 0 THEN 'Ensino, superior' WHEN 1 THEN '#N/A'
+    WHEN 2 THEN 'null' ELSE 'Null' END AS education
 FROM ({RESPONDENTS}) r
 """
 

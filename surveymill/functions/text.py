@@ -86,7 +86,7 @@ def strip_accents(text: Column) -> Column:
 
 def header_name(text: Column) -> Column:
     """Comparable form of a header: lower-case ASCII words and dotted codes, single-spaced."""
-    return F.trim(F.regexp_replace(strip_accents(F.lower(text)), "[^a-z0-9.]+", " "))
+    return F.array_join(F.regexp_extract_all(strip_accents(F.lower(text)), F.lit("[a-z0-9.]+"), 0), " ")
 
 
 def fold_text(text: Column) -> Column:
@@ -132,9 +132,6 @@ def to_flag(cell: str) -> str:
     """
     known = ", ".join([f"{literal(yes)}, 1" for yes in FLAG_YES] + [f"{literal(no)}, 0" for no in FLAG_NO])
     answer = f"lower(btrim({cell}, {literal(WHITESPACE)}))"
-    return f"""CASE
-        WHEN {cell} IS NULL THEN NULL
-        WHEN map_contains_key(map({known}), {cell}) THEN try_element_at(map({known}), {cell})
-        WHEN {answer} IN ({literals(FLAG_NO_ANSWER)}) THEN NULL
-        WHEN {answer} RLIKE {literal(_ZERO)} THEN 0
-        ELSE coalesce(try_element_at(map({known}), {answer}), 1) END"""
+    no_answer = f"{cell} IS NULL OR {answer} IN ({literals(FLAG_NO_ANSWER)})"
+    no = f"{answer} IN ({literals(FLAG_NO)}) OR {answer} RLIKE {literal(_ZERO)}"
+    return f"coalesce(try_element_at(map({known}), {cell}), IF({no_answer}, NULL, IF({no}, 0, 1)))"

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from surveymill.functions.text import null_tokens
 from surveymill.sources.lake import stage, workspace
 
-SPLIT_BYTES = 128 * 1024 * 1024  # files up to this size are one task in any case
+WHOLE_FILE_BYTES = 1 << 30  # a file up to this size may be one task: about half a minute of parsing
 _FILES = {"pathGlobFilter": "*.csv", "recursiveFileLookup": True}
 _HEADER_LINES = 4096  # a header whose quotes do not close within as many lines is one line
 _MARK = "\x01"
@@ -184,10 +184,10 @@ def _parse(records: DataFrame, width: int) -> DataFrame:
     return records.select(F.from_csv("record", _schema(width), options).alias("cells")).select("cells.*")
 
 
-def _rows(spark: SparkSession, path: str, width: int, split_bytes: int) -> DataFrame:
+def _rows(spark: SparkSession, path: str, width: int, whole_file_bytes: int) -> DataFrame:
     lines, value = _lines(spark, path), F.col("value")
     largest = csv_files(spark, path).agg(F.max("length")).first()[0] or 0
-    if largest <= split_bytes and lines.filter("cr").isEmpty():
+    if largest <= whole_file_bytes and lines.filter("cr").isEmpty():
         return _by_file(spark, path, width, multiLine=True, lineSep="\n")
     if lines.filter(value.contains("\r") | ~_is_whole(value)).isEmpty():
         return _by_file(spark, path, width)
@@ -197,7 +197,7 @@ def _rows(spark: SparkSession, path: str, width: int, split_bytes: int) -> DataF
     return _by_file(spark, path, width, multiLine=True)
 
 
-def scan_edition(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> Edition:
+def scan_edition(spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_FILE_BYTES) -> Edition:
     """All rows of an edition's CSV files, cells as raw text."""
     headers = read_header(spark, path)
-    return Edition(headers, _rows(spark, path, len(headers), split_bytes))
+    return Edition(headers, _rows(spark, path, len(headers), whole_file_bytes))

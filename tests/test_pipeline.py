@@ -13,7 +13,7 @@ from surveymill.operators.respondents import SILVER_COLUMNS, enrich
 from surveymill.plans import cells as c
 from surveymill.plans.analyses import ANALYSES, analyse
 from surveymill.plans.gold import GOLD_TABLES, build_gold, gold_tables
-from surveymill.plans.silver import build_silver, mapping_report, open_editions
+from surveymill.plans.silver import build_silver, harmonised, mapping_report, open_editions
 from surveymill.sources.editions import Locations, edition_path, registry, retain_registered
 from surveymill.sources.lake import read_gold_csv, read_silver, register_tables, register_views, workspace, write_silver
 from surveymill.sources.landing import land_edition
@@ -70,6 +70,12 @@ def test_only_mapped_columns_are_parsed(spark, lake):
     assert "ReadSchema: struct<c0:string>" in plan
 
 
+def test_silver_is_one_pass_without_a_shuffle(spark, lake):
+    rows = enrich(harmonised(spark, open_editions(spark, lake[1].bronze)))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 3 and "Exchange" not in plan and "Python" not in plan
+
+
 def test_rebuilding_one_edition_leaves_the_others(spark, tmp_path):
     silver = enrich(respondents(spark, SF))
     path = f"{tmp_path}/s"
@@ -189,7 +195,8 @@ def test_measures(spark):
 
 def test_registry_and_retention(spark, tmp_path):
     assert {tuple(r) for r in registry(spark).collect()} == set(EDITIONS.items())
-    spark.range(12).selectExpr("id", "CAST(2020 + id AS INT) AS survey_year").write.partitionBy("survey_year").parquet(f"{tmp_path}/b")
+    years = spark.range(12).selectExpr("id", "CAST(2020 + id AS INT) AS survey_year")
+    years.write.partitionBy("survey_year").parquet(f"{tmp_path}/b")
     kept = retain_registered(spark.read.parquet(f"{tmp_path}/b"))
     assert {r["survey_year"] for r in kept.collect()} == set(EDITIONS)
     assert "PartitionFilters: [survey_year" in kept._jdf.queryExecution().executedPlan().toString()

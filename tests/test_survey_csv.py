@@ -77,7 +77,7 @@ def test_records_that_span_lines_are_read_in_parallel(spark, tmp_path, small_spl
     first, second = _rows(rng, 900, WORDS), _rows(rng, 300, WORDS)
     _write(tmp_path / "e" / "one.csv", HEADER, first, line_end, quoting)
     _write(tmp_path / "e" / "two.csv", HEADER, second, line_end, quoting)
-    edition = scan_edition(spark, str(tmp_path / "e"), split_bytes=0)
+    edition = scan_edition(spark, str(tmp_path / "e"), whole_file_bytes=0)
     assert ways == ["assembled"]
     assert edition.headers == [HEADER[0], "a.b", "a.b.1", HEADER[3]]
     expected = _expected(first + second)
