@@ -34,6 +34,10 @@ def literals(texts) -> str:
     return ", ".join(map(literal, texts))
 
 
+def _plain(text: str) -> str:
+    return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
+
+
 @cache
 def _folds() -> tuple[str, str, str]:
     """Compatibility decomposition without combining marks, generated from ``unicodedata``.
@@ -47,7 +51,7 @@ def _folds() -> tuple[str, str, str]:
         if point in _HANGUL or point in _SURROGATES:
             continue
         char = chr(point)
-        plain = "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
+        plain = _plain(char)
         if plain == char:
             continue
         if not plain:
@@ -96,8 +100,7 @@ def fold_text(text: Column) -> Column:
 
 def header_token(token: str) -> str:
     """Rule words go through the same normal form as the headers they are matched with."""
-    folded = unicodedata.normalize("NFKD", token.lower())
-    return " ".join(re.findall("[a-z0-9.]+", "".join(c for c in folded if not unicodedata.combining(c))))
+    return " ".join(re.findall("[a-z0-9.]+", _plain(token.lower())))
 
 
 def has_token(name: str, token: str) -> str:

@@ -6,7 +6,7 @@
     python -m surveymill.jobs run    [--bronze URI] [--silver URI] [--gold URI] [--csv URI] [--landed]
 
 Layer locations default to BRONZE_URI, SILVER_URI and GOLD_URI, and these to folders of LAKE_URI.
-The names --BRONZE_S3, --SILVER_S3 and --GOLD_S3 are accepted as well.
+The names --BRONZE_S3, --SILVER_S3 and --GOLD_S3 are accepted as well, and --JOB_NAME names the job.
 """
 
 from __future__ import annotations
@@ -41,6 +41,7 @@ def _arguments(argv=None) -> argparse.Namespace:
     parser.add_argument("job", choices=["land", "silver", "gold", "run"])
     for layer in ("bronze", "silver", "gold"):
         parser.add_argument(f"--{layer}", f"--{layer.upper()}_S3", dest=layer, default=getattr(layers, layer))
+    parser.add_argument("--JOB_NAME", dest="name")
     parser.add_argument("--download", type=_download, action="append", default=[], metavar="YEAR=FOLDER")
     parser.add_argument("--landed", action="store_true", help="the bronze layer holds landed Parquet copies")
     parser.add_argument("--csv", help="also write the gold tables as CSV below this location")
@@ -50,7 +51,7 @@ def _arguments(argv=None) -> argparse.Namespace:
 def main(argv=None) -> None:
     args = _arguments(argv)
     layers = Locations(args.bronze, args.silver, args.gold)
-    spark = session(f"surveymill-{args.job}")
+    spark = session(args.name or f"surveymill-{args.job}")
     try:
         if args.job == "land":
             land_downloads(spark, dict(args.download), layers.bronze)

@@ -106,7 +106,7 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("line"),
-            F.regexp_replace("value", r"\r\z", "").alias("value"),
+            F.expr("IF(endswith(value, '\r'), left(value, length(value) - 1), value)").alias("value"),
             F.col("value").endswith("\r").alias("cr"),
         )
     )
@@ -115,16 +115,17 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 def _is_whole(text: Column) -> Column:
     """Every quoted section of the text is closed and fills its cell, so the text is whole cells."""
     sections = F.regexp_replace(F.replace(text, F.lit(_MARK), F.lit("x")), '"[^"]*"', _MARK)
-    return ~(sections.contains('"') | sections.rlike(f"[^,{_MARK}]{_MARK}|{_MARK}[^,{_MARK}]"))
+    return ~text.contains('"') | ~sections.rlike(f'"|[^,{_MARK}]{_MARK}|{_MARK}[^,{_MARK}]')
 
 
 def place_lines(spark: SparkSession, path: str) -> DataFrame:
-    """The lines of CSV files with ``opened``: how many lines before it changed the quoting state.
+    """The lines of CSV files with their quoting state.
 
     A line with an odd number of quotes opens or closes a quoted cell. Those lines are counted
     per split, summed up over the file (one row per split) and added to the running count within
-    the split (one split per window partition). ``opened`` is odd where the line starts inside a
-    quoted cell.
+    the split (one split per window partition). ``opened`` is how many of them lie before a line:
+    odd where the line starts inside a quoted cell. ``regular`` tells that this state fits the
+    line: it is whole cells once its open ends are quoted (and the first line is not blank).
     """
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     lines = _lines(spark, path).withColumn("odd", (quotes % 2).cast("long"))
@@ -135,26 +136,19 @@ def place_lines(spark: SparkSession, path: str) -> DataFrame:
 
     within = Window.partitionBy("file", "block").orderBy("line")
     running = F.sum("odd").over(within.rowsBetween(Window.unboundedPreceding, 0))
-    return lines.join(splits, ["file", "block"]).select(
-        "file",
-        "block",
-        "line",
-        "value",
-        "cr",
-        "odd",
-        (F.col("before") + running - F.col("odd")).alias("opened"),
-        ((F.col("block") == 0) & (F.row_number().over(within) == 1)).alias("head"),
+    placed = lines.join(splits, ["file", "block"]).withColumns(
+        {
+            "opened": F.col("before") + running - F.col("odd"),
+            "head": (F.col("block") == 0) & (F.row_number().over(within) == 1),
+        }
     )
 
+    def quote_if(state: Column) -> Column:
+        return F.when(state % 2 == 1, F.lit('"')).otherwise(F.lit(""))
 
-def is_regular(placed: DataFrame) -> bool:
-    """Whether the quoting state is right: every line is whole cells once its open ends are quoted
-    (and files begin with their header)."""
-    quote, nothing = F.lit('"'), F.lit("")
-    before = F.when(F.col("opened") % 2 == 1, quote).otherwise(nothing)
-    after = F.when((F.col("opened") + F.col("odd")) % 2 == 1, quote).otherwise(nothing)
-    headless = F.col("head") & (F.trim("value") == "")
-    return placed.filter(headless | ~_is_whole(F.concat(before, F.col("value"), after))).isEmpty()
+    closed = F.concat(quote_if(F.col("opened")), F.col("value"), quote_if(F.col("opened") + F.col("odd")))
+    regular = _is_whole(closed) & ~(F.col("head") & (F.trim("value") == ""))
+    return placed.drop("before").withColumn("regular", regular)
 
 
 def join_lines(placed: DataFrame) -> DataFrame:
@@ -166,7 +160,7 @@ def join_lines(placed: DataFrame) -> DataFrame:
     whole = (F.col("opened") % 2 == 0) & (F.col("odd") == 0)
     singles = placed.filter(whole & ~F.col("head")).select(F.col("value").alias("record"))
     ends = F.transform(
-        F.array_sort(F.collect_list(F.struct("block", "line", "value", "cr"))),
+        F.sort_array(F.collect_list(F.struct("block", "line", "value", "cr"))),
         lambda piece: F.concat(piece["value"], F.when(piece["cr"], F.lit("\r")).otherwise(F.lit(""))),
     )
     spanning = (
@@ -192,7 +186,7 @@ def _rows(spark: SparkSession, path: str, width: int, whole_file_bytes: int) ->
     if lines.filter(value.contains("\r") | ~_is_whole(value)).isEmpty():
         return _by_file(spark, path, width)
     placed = stage(place_lines(spark, path), f"{workspace(spark)}/lines")
-    if is_regular(placed):
+    if placed.filter(~F.col("regular")).isEmpty():
         return _parse(join_lines(placed), width)
     return _by_file(spark, path, width, multiLine=True)
 

@@ -218,7 +218,7 @@ def test_command_line(monkeypatch):
     monkeypatch.setattr(jobs, "build_silver", lambda s, b, t, landed: calls.append((b, t, landed)))
     monkeypatch.setattr(jobs, "build_gold", lambda s, silver, gold, csv: calls.append((silver, gold, csv)))
     monkeypatch.setattr(jobs, "land_downloads", lambda s, d, b: calls.append((d, b)))
-    jobs.main(["silver", "--BRONZE_S3", "b", "--SILVER_S3", "s"])
+    jobs.main(["silver", "--JOB_NAME", "nightly", "--BRONZE_S3", "b", "--SILVER_S3", "s"])
     jobs.main(["gold", "--silver", "s", "--gold", "g", "--csv", "c"])
     jobs.main(["land", "--download", "2023=x", "--download", "2024=y=z", "--bronze", "b"])
     jobs.main(["run", "--bronze", "b", "--silver", "s", "--gold", "g", "--landed"])
