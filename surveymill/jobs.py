@@ -1,35 +1,50 @@
 """Command line of the pipeline, for spark-submit.
 
-    python -m surveymill.jobs land   --download 2023=PATH --download 2024=PATH ... [--bronze URI]
-    python -m surveymill.jobs silver [--bronze URI] [--silver URI] [--landed]
-    python -m surveymill.jobs gold   [--silver URI] [--gold URI] [--csv URI]
-    python -m surveymill.jobs run    [--bronze URI] [--silver URI] [--gold URI] [--csv URI] [--landed]
-
-Layer locations default to BRONZE_URI, SILVER_URI and GOLD_URI, and these to folders of LAKE_URI.
-The names --BRONZE_S3, --SILVER_S3 and --GOLD_S3 are accepted as well, and --JOB_NAME names the job.
+    python -m surveymill.jobs land    --download 2023=PATH --download 2024=PATH ... [--bronze URI]
+    python -m surveymill.jobs mapping [--bronze URI] [--landed]
+    python -m surveymill.jobs silver  [--bronze URI] [--silver URI] [--landed]
+    python -m surveymill.jobs gold    [--silver URI] [--gold URI] [--csv URI]
+    python -m surveymill.jobs run     [all of these]
+
+``mapping`` prints which source column each field takes. ``run`` lands the downloads, if any, and
+builds silver and gold. Layer locations default to BRONZE_URI, SILVER_URI and GOLD_URI, and these
+to folders of LAKE_URI. The names --BRONZE_S3, --SILVER_S3 and --GOLD_S3 are accepted as well, and
+--JOB_NAME names the job.
 """
 
 from __future__ import annotations
 
 import argparse
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 from surveymill.plans.gold import build_gold
-from surveymill.plans.silver import build_silver
+from surveymill.plans.silver import build_silver, mapping_report, open_editions
 from surveymill.session import session
 from surveymill.sources.editions import Locations
 from surveymill.sources.landing import land_downloads
 
 
 def run(
-    spark: SparkSession, layers: Locations, landed: bool = False, csv: str | None = None
+    spark: SparkSession,
+    layers: Locations,
+    downloads: Mapping[int, str] | None = None,
+    landed: bool = False,
+    csv: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Bronze to silver to gold. The caller owns the session."""
-    build_silver(spark, layers.bronze, layers.respondents, landed=landed)
+    """Landing (when there are downloads), silver and gold. The caller owns the session."""
+    if downloads:
+        land_downloads(spark, downloads, layers.bronze)
+    build_silver(spark, layers.bronze, layers.respondents, landed=landed or bool(downloads))
     return build_gold(spark, layers.respondents, layers.gold, csv)
 
 
+def print_mapping(spark: SparkSession, bronze: str, landed: bool = False) -> None:
+    report = mapping_report(spark, open_editions(spark, bronze, landed=landed))
+    report.orderBy("survey_year", "field").show(report.count(), truncate=False)
+
+
 def _download(text: str) -> tuple[int, str]:
     year, _, path = text.partition("=")
     return int(year), path
@@ -38,7 +53,7 @@ def _download(text: str) -> tuple[int, str]:
 def _arguments(argv=None) -> argparse.Namespace:
     layers = Locations.from_env()
     parser = argparse.ArgumentParser(prog="surveymill", allow_abbrev=False)
-    parser.add_argument("job", choices=["land", "silver", "gold", "run"])
+    parser.add_argument("job", choices=["land", "mapping", "silver", "gold", "run"])
     for layer in ("bronze", "silver", "gold"):
         parser.add_argument(f"--{layer}", f"--{layer.upper()}_S3", dest=layer, default=getattr(layers, layer))
     parser.add_argument("--JOB_NAME", dest="name")
@@ -55,12 +70,14 @@ def main(argv=None) -> None:
     try:
         if args.job == "land":
             land_downloads(spark, dict(args.download), layers.bronze)
+        elif args.job == "mapping":
+            print_mapping(spark, layers.bronze, args.landed)
         elif args.job == "silver":
             build_silver(spark, layers.bronze, layers.respondents, landed=args.landed)
         elif args.job == "gold":
             build_gold(spark, layers.respondents, layers.gold, args.csv)
         else:
-            run(spark, layers, args.landed, args.csv)
+            run(spark, layers, dict(args.download), args.landed, args.csv)
     finally:
         spark.stop()
 

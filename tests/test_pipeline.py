@@ -56,6 +56,17 @@ def test_silver_from_landed_editions_is_the_same(spark, lake, tmp_path):
     assert set(edition.headers) == {*EDITION_HEADERS[2025].values(), DECOY_HEADERS[2025]}
 
 
+def test_run_from_downloads_and_printed_mapping(spark, lake, tmp_path, capsys):
+    downloads = {year: edition_path(lake[1].bronze, year) for year in EDITIONS}
+    layers = Locations(f"{tmp_path}/bronze", f"{tmp_path}/silver", f"{tmp_path}/gold")
+    tables = jobs.run(spark, layers, downloads)
+    for name, table in tables.items():
+        assert _sorted(table) == _sorted(spark.read.parquet(f"{lake[1].gold}/{name}")), name
+    jobs.print_mapping(spark, layers.bronze, landed=True)
+    printed = capsys.readouterr().out
+    assert printed.count("\n|") == 1 + 3 * 33 and EDITION_HEADERS[2023]["genai_free"] in printed
+
+
 def test_mapping_report_lists_every_field(spark, lake):
     report = mapping_report(spark, open_editions(spark, lake[1].bronze)).collect()
     assert len(report) == 3 * 33
@@ -123,6 +134,13 @@ def test_gold_filters_and_columns_reach_the_scan(spark, lake):
     assert tech.count("FileScan") == 1
 
 
+def test_a_question_about_one_year_reads_one_partition(spark, lake):
+    tables = gold_tables(read_silver(spark, lake[1].respondents))
+    for name in ("q_market_2025", "q_region", "q_genai_by_family", "q_tech_2025", "q_top_sectors"):
+        plan = analyse(name, tables)._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(survey_year" in plan, name
+
+
 def test_a_tool_nobody_was_asked_about_keeps_its_row(spark):
     tech = gold_tables(enrich(respondents(spark, SF)))["tech_adoption"].filter("survey_year = 2023")
     rows = {r["technology"]: r for r in tech.collect()}
@@ -222,11 +240,13 @@ def test_command_line(monkeypatch):
     jobs.main(["gold", "--silver", "s", "--gold", "g", "--csv", "c"])
     jobs.main(["land", "--download", "2023=x", "--download", "2024=y=z", "--bronze", "b"])
     jobs.main(["run", "--bronze", "b", "--silver", "s", "--gold", "g", "--landed"])
+    jobs.main(["run", "--download", "2023=x", "--bronze", "b", "--silver", "s", "--gold", "g"])
     assert calls == [
         ("b", "s/professionals", False), "stop",
         ("s/professionals", "g", "c"), "stop",
         ({2023: "x", 2024: "y=z"}, "b"), "stop",
         ("b", "s/professionals", True), ("s/professionals", "g", None), "stop",
+        ({2023: "x"}, "b"), ("b", "s/professionals", True), ("s/professionals", "g", None), "stop",
     ]
 
 
