@@ -12,7 +12,7 @@ from surveymill.functions.measures import condition_pct, flag_pct, mean, pick, r
 from surveymill.operators.respondents import SILVER_COLUMNS, enrich
 from surveymill.plans import cells as c
 from surveymill.plans.analyses import ANALYSES, analyse
-from surveymill.plans.gold import GOLD_TABLES, build_gold, gold_tables
+from surveymill.plans.gold import GOLD_TABLES, gold_tables
 from surveymill.plans.silver import build_silver, harmonised, mapping_report, open_editions
 from surveymill.sources.editions import Locations, edition_path, registry, retain_registered
 from surveymill.sources.lake import read_gold_csv, read_silver, register_tables, register_views, workspace, write_silver
