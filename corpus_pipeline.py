@@ -1,12 +1,70 @@
-"""A training corpus from the documents table: stages that filter, clean, scan and pack."""
+"""A training corpus from the documents table: filtered, cleaned, deduplicated, scanned for secrets and packed.
+
+Each stage takes all rows that its predecessor kept. All but the last return the columns of documents; a
+stage that changes texts brings ``n_chars`` up to date.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from surveymill.llm import boilerplate, packing, quality, secrets, simhash
 from surveymill.llm.common import stage, table
 
-STAGES: list = []
+
+def _counted(docs: DataFrame) -> DataFrame:
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail a rule of the policy go."""
+    return quality.keep_good(docs)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that are boilerplate of their source go; documents stay."""
+    return _counted(boilerplate.drop_boilerplate(docs))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that fingerprint links connect, the one with the smallest id stays.
+
+    Of rows that repeat its id one stays (that with the smallest hash). Rows without id all stay.
+    """
+    found = stage(simhash.near_duplicates(docs), "near-dedup")
+    first = found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
+    first = stage(first, "near-dedup-first")
+    kept = docs.join(first.select("doc_id"), "doc_id", "left_semi").unionByName(docs.filter("doc_id IS NULL"))
+    repeated = first.filter("n > 1").select("doc_id")
+    if not repeated.isEmpty():
+        again = kept.join(repeated, "doc_id", "left_semi")
+        hashed = again.withColumn("row_hash", F.xxhash64(*docs.columns))
+        least = hashed.groupBy("doc_id").agg(F.min("row_hash").alias("row_hash"))
+        one = hashed.join(least, ["doc_id", "row_hash"]).dropDuplicates(["doc_id"]).drop("row_hash")
+        kept = kept.join(repeated, "doc_id", "left_anti").unionByName(one.select(docs.columns))
+    return kept.select(docs.columns)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in the texts are replaced by a mark; documents stay."""
+    return _counted(secrets.redact(docs))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' token ids in windows of equal capacity, a row for each piece."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("secret_scan", secret_scan),
+    ("packing", packed),
+]
 
 #: No SQL: the stages hash, test and pack in ways SQL cannot express.
 ORACLE_SQL = None
@@ -17,4 +75,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, work in STAGES[:-1]:
         docs = stage(work(spark, docs, sf_dir), f"pipeline-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir) if STAGES else docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -64,17 +64,19 @@ def per_text(
 ) -> DataFrame:
     """Columns ``keep`` of every row, and the columns ``added`` (a DDL string) that ``work`` makes of its text.
 
-    ``work`` takes a list of texts and returns a list for each added column. Rows are neither moved nor
+    Columns are given by name, ``text`` may be one of ``keep``. ``work`` takes a list of texts and returns a list for each added column. Rows are neither moved nor
     joined; extra columns of the frame are not read.
     """
     keep = list(keep)
-    picked = frame.select(*keep, frame[text].cast("string").alias("_text"))
-    schema = StructType(picked.schema.fields[:-1] + _parse_datatype_string(added).fields)
+    own = text in keep  # then the text goes to the workers once
+    picked = frame.select(*keep) if own else frame.select(*keep, frame[text].cast("string").alias("_text"))
+    schema = StructType(picked.schema.fields[: len(keep)] + _parse_datatype_string(added).fields)
     types = to_arrow_schema(schema)
+    place = keep.index(text) if own else len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in slices(batch, len(keep)):
+            for part, texts in slices(batch, place):
                 made = work(texts)
                 columns = [part.column(i).cast(types.field(i).type) for i in range(len(keep))]
                 columns += [pa.array(made[f.name], f.type) for f in list(types)[len(keep) :]]
