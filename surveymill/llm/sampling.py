@@ -18,7 +18,6 @@ frequencies fall with their rank, to the power of ``sharpness``.
 from __future__ import annotations
 
 import re
-from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -37,6 +36,7 @@ KEPT_EDGES = 5_000_000
 _BLANK = "▁"  # how the model writes a blank; one in a text is spelled by bytes
 _UNIT = re.compile(r" *[^ \n]+| +|\n")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_BASE = np.uint64(0x100000001B3)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -53,121 +53,146 @@ class Sampler:
         from sentencepiece import SentencePieceProcessor
 
         model = SentencePieceProcessor(model_file=path)
-        spelled: list[bytes] = []
-        self._bytes = [0] * 256
-        self._pieces: dict[str, tuple[int, float]] = {}
-        for number in range(model.get_piece_size()):
+        size = model.get_piece_size()
+        self.spelled = [b""] * size  # control pieces spell nothing
+        self._bytes = np.zeros(256, np.int64)
+        self.pieces: dict[str, tuple[int, float]] = {}  # spelling -> number, weight
+        for number in range(size):
             piece = model.id_to_piece(number)
             if model.is_byte(number):
-                spelled.append(bytes([int(piece[3:5], 16)]))
-                self._bytes[spelled[-1][0]] = number
-            elif model.is_control(number) or model.is_unknown(number) or model.is_unused(number):
-                spelled.append(b"")
-            else:
-                spelled.append(piece.replace(_BLANK, " ").encode())
-                rank = max(0.0, -model.get_score(number))
-                self._pieces[piece.replace(_BLANK, " ")] = (number, (rank + RANK_SHIFT) ** -sharpness)
-        self.spelled = spelled
-        self._byte_weight = (model.get_piece_size() + RANK_SHIFT) ** -sharpness
-        self._starts = {piece[:n] for piece in self._pieces for n in range(1, len(piece) + 1)}
+                self.spelled[number] = bytes([int(piece[3:5], 16)])
+                self._bytes[self.spelled[number][0]] = number
+            elif not (model.is_control(number) or model.is_unknown(number) or model.is_unused(number)):
+                text = piece.replace(_BLANK, " ")
+                self.spelled[number] = text.encode()
+                self.pieces[text] = (number, (max(0.0, -model.get_score(number)) + RANK_SHIFT) ** -sharpness)
+        self.longest = max(map(len, self.pieces))
+        self._byte_weight = (size + RANK_SHIFT) ** -sharpness
+        # by length: the hashes of the pieces in order, their numbers and weights
+        self._tables = []
+        for n in range(1, self.longest + 1):
+            own = [(text, *found) for text, found in self.pieces.items() if len(text) == n]
+            codes = np.array([[ord(c) for c in text] for text, *_ in own], np.uint64).reshape(-1, n)
+            hashes = np.zeros(len(own), np.uint64)
+            for i in range(n):
+                hashes = hashes * _BASE + codes[:, i]
+            order = np.argsort(hashes)
+            numbers, weights = (np.array([x[i] for x in own], t)[order] for i, t in ((1, np.int64), (2, np.float64)))
+            self._tables.append((hashes[order], numbers, weights, codes[order]))
         self._reset()
 
     def _reset(self) -> None:
-        """Tables: of a unit the node before its first place; of a node its edges' keys (node << 32 | summed share);
-        of an edge the node it comes from (0: the unit's start) and its ids."""
+        """Tables: of a unit its last node; of an edge its key (node << 32 | share of the node's weight up to
+        the edge), the node it comes from (0: the unit's start) and its piece (negative: a character in bytes)."""
         self._unit: dict[str, int] = {}
         self._nodes = 0
-        self._keys, self._from, self._first, self._more = array("Q"), array("q"), array("q"), {}
-
-    def _add(self, unit: str) -> int:
-        """Forward pass over a unit; returns its last node."""
-        n, pieces, starts = len(unit), self._pieces, self._starts
-        into: list[list[tuple[int, float, int | str]]] = [[] for _ in range(n + 1)]
-        for i in range(n):
-            j, own = i + 1, unit[i]
-            if own not in pieces:
-                into[j].append((i, self._byte_weight ** len(own.encode("utf-8", "surrogatepass")), own))
-            while j <= n and (part := unit[i:j]) in starts:
-                if (found := pieces.get(part)) is not None:
-                    into[j].append((i, found[1], found[0]))
-                j += 1
-        total = [1.0] + [0.0] * n
-        base = self._nodes
-        for j in range(1, n + 1):
-            shares = [total[i] * weight for i, weight, _ in into[j]]
-            total[j] = whole = sum(shares)
-            summed, key = 0.0, (base + j) << 32
-            last = len(shares) - 1
-            for at, (share, (i, _, what)) in enumerate(zip(shares, into[j], strict=True)):
-                summed += share
-                self._keys.append(key | (0xFFFFFFFF if at == last else min(0xFFFFFFFF, int(summed / whole * 2**32))))
-                self._from.append(base + i if i else 0)
-                if isinstance(what, str):
-                    ids = [self._bytes[b] for b in what.encode("utf-8", "surrogatepass")]
-                    if len(ids) > 1:
-                        self._more[len(self._first)] = ids
-                    self._first.append(ids[0])
-                else:
-                    self._first.append(what)
-            if whole < 1e-150:  # only places a piece's length back are still read
-                for i in range(max(0, j - 64), j + 1):
-                    total[i] *= 1e150
-        self._nodes += n
-        return base + n
+        self._keys, self._from, self._piece = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _pieces_in(self, codes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each length, ``(piece, weight)`` of what starts at each place of units of one length (weight 0: none)."""
+        n = codes.shape[1]
+        found, hashes = [], np.zeros(codes.shape, np.uint64)
+        for length, (table, numbers, weights, spelled) in enumerate(self._tables[:n], 1):
+            places = n - length + 1
+            hashes = hashes[:, :places] * _BASE + codes[:, length - 1 :]
+            at = np.minimum(np.searchsorted(table, hashes), len(table) - 1)
+            hit = np.argwhere(table[at] == hashes)
+            entry = at[hit[:, 0], hit[:, 1]]
+            same = (codes[hit[:, :1], hit[:, 1:] + np.arange(length)] == spelled[entry]).all(axis=1)
+            (rows, starts), entry = hit[same].T, entry[same]
+            piece, weight = np.zeros((len(codes), places), np.int64), np.zeros((len(codes), places))
+            piece[rows, starts], weight[rows, starts] = numbers[entry], weights[entry]
+            if length == 1:
+                spell = weight == 0
+                wide = 1 + (codes >= 0x80).astype(np.int64) + (codes >= 0x800) + (codes >= 0x10000)
+                piece[spell], weight[spell] = -1 - codes[spell].astype(np.int64), self._byte_weight ** wide[spell]
+            found.append((piece, weight))
+        return found
+
+    def _add(self, units: list[str]) -> None:
+        """Forward passes over new units, all of one length side by side."""
+        by_length: dict[int, list[str]] = {}
+        for unit in units:
+            by_length.setdefault(len(unit), []).append(unit)
+        made = [(self._keys, self._from, self._piece)]
+        for n, alike in by_length.items():
+            codes = np.frombuffer("".join(alike).encode("utf-32-le", "surrogatepass"), "<u4").reshape(-1, n).astype(np.uint64)
+            found = self._pieces_in(codes)
+            reach = len(found)
+            base = self._nodes + n * np.arange(len(alike))
+            total = np.zeros((len(alike), n + 1))
+            total[:, 0] = 1
+            edges = []
+            for j in range(1, n + 1):
+                lengths = range(1, min(reach, j) + 1)
+                shares = np.stack([total[:, j - k] * found[k - 1][1][:, j - k] for k in lengths], axis=1)
+                summed = np.cumsum(shares, axis=1)
+                total[:, j] = summed[:, -1]
+                rows, k = np.nonzero(shares)
+                share = np.minimum(summed[rows, k] / summed[rows, -1] * 2.0**32, 2.0**32 - 1).astype(np.uint64)
+                share[np.append(rows[1:] != rows[:-1], True)] = 2**32 - 1
+                pieces = np.stack([found[k - 1][0][:, j - k] for k in lengths], axis=1)[rows, k]
+                start = j - 1 - k
+                node = (base[rows] + j).astype(np.uint64)
+                edges.append((node << np.uint64(32) | share, np.where(start > 0, base[rows] + start, 0), pieces))
+                small = total[:, j] < 1e-100
+                if small.any():  # only the places a piece's length back are read again, and only their ratios count
+                    window = slice(max(0, j - self.longest), j + 1)
+                    total[small, window] = np.minimum(total[small, window] * 1e100, 1e300)
+            keys, origin, pieces = (np.concatenate(x) for x in zip(*edges, strict=True))
+            order = np.argsort(keys, kind="stable")
+            made.append((keys[order], origin[order], pieces[order]))
+            self._unit.update(zip(alike, (base + n).tolist(), strict=True))
+            self._nodes += n * len(alike)
+        self._keys, self._from, self._piece = (np.concatenate(x) for x in zip(*made, strict=True))
 
     def sample(self, texts: list[str], seeds: np.ndarray) -> list[np.ndarray]:
         """Sampled piece ids of each text; ``seeds`` are unsigned 64-bit numbers, one for each text."""
         if len(self._keys) > KEPT_EDGES:
             self._reset()
         units = [_UNIT.findall(f" {text}") for text in texts]
-        known, last = self._unit, []
-        for row in units:
-            for unit in row:
-                node = known.get(unit)
-                if node is None:
-                    node = known[unit] = self._add(unit)
-                last.append(node)
+        new = set().union(*units) - self._unit.keys()
+        if new:
+            self._add(sorted(new))
         counts = np.array([len(row) for row in units], np.int64)
-        node = np.array(last, np.int64)
+        node = np.array([self._unit[unit] for row in units for unit in row], np.int64)
         row = np.repeat(np.arange(len(units)), counts)
         place = np.arange(len(node)) - np.repeat(np.cumsum(counts) - counts, counts)
         state = mixed(seeds[row] + _STEP * (place.astype(np.uint64) + np.uint64(1)))
-        keys, origin = np.frombuffer(self._keys, np.uint64), np.frombuffer(self._from, np.int64)
         at = np.arange(len(node))
         drawn: list[tuple[np.ndarray, np.ndarray]] = []
-        step = 0
         while len(at):
-            step += 1
-            u = mixed(state[at] + _STEP * np.uint64(step)) >> np.uint64(32)
-            key = (node[at].astype(np.uint64) << np.uint64(32)) | np.minimum(u, np.uint64(0xFFFFFFFE))
-            edge = np.searchsorted(keys, key, side="right")
+            u = mixed(state[at] + _STEP * np.full(1, len(drawn) + 1, np.uint64)) >> np.uint64(32)
+            key = (node[at].astype(np.uint64) << np.uint64(32)) | np.minimum(u, np.uint64(2**32 - 2))
+            edge = np.searchsorted(self._keys, key, side="right")
             drawn.append((at, edge))
-            node[at] = origin[edge]
+            node[at] = self._from[edge]
             at = at[node[at] > 0]
-        if not drawn:
-            return [np.zeros(0, np.int64) for _ in texts]
         length = np.zeros(len(node), np.int64)
         for unit, _ in drawn:
             length[unit] += 1
         end = np.cumsum(length)
-        edges = np.empty(int(end[-1]), np.int64)
+        ids = np.zeros(int(length.sum()), np.int64)
         for back, (unit, edge) in enumerate(drawn, 1):
-            edges[end[unit] - back] = edge
-        ids = np.frombuffer(self._first, np.int64)[edges]
+            ids[end[unit] - back] = self._piece[edge]
         bounds = np.append(0, end)[np.append(0, np.cumsum(counts))]
-        if self._more:
-            wide = np.array([len(self._more.get(e, (0,))) for e in edges.tolist()]) if self._has_wide(edges) else None
-            if wide is not None:
-                flat = np.repeat(ids, wide)
-                starts = np.cumsum(wide) - wide
-                for i in np.flatnonzero(wide > 1).tolist():
-                    flat[starts[i] : starts[i] + wide[i]] = self._more[int(edges[i])]
-                ids, bounds = flat, np.append(starts, len(flat))[bounds]
-        del keys, origin  # the tables can grow again
+        if (ids < 0).any():
+            ids, bounds = self._in_bytes(ids, bounds)
         return [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
 
-    def _has_wide(self, edges: np.ndarray) -> bool:
-        return bool(np.isin(edges, np.fromiter(self._more, np.int64, len(self._more))).any())
+    def _in_bytes(self, ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids with characters that no piece spells replaced by the pieces of their bytes."""
+        spelled = {i: chr(-1 - i).encode("utf-8", "surrogatepass") for i in np.unique(ids[ids < 0]).tolist()}
+        wide = np.ones(len(ids), np.int64)
+        for i, text in spelled.items():
+            wide[ids == i] = len(text)
+        first = np.cumsum(wide) - wide
+        flat = np.repeat(ids, wide)
+        for i, text in spelled.items():
+            starts = first[ids == i]
+            for k, byte in enumerate(text):
+                flat[starts + k] = self._bytes[byte]
+        return flat, np.append(first, len(flat))[bounds]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text that piece ids spell; the blank before the first word is not the text's."""

@@ -29,7 +29,7 @@ SCALE = 256
 VECTOR_BLOCK = 8192
 QUERY_BLOCK = 1024
 READ_TOGETHER = 128  # queries whose bounds are in memory at a time
-DEPTHS = (0.125, 0.5, 0.875, 1.0)  # shares of the lists read before the bounds are looked at
+DEPTHS = (0.5, 0.75, 0.875, 1.0)  # shares of the lists read before the bounds are looked at
 LEFT = 1 / 16  # scores are resolved once at most this share of a block is left
 
 _FOUND = "query_place long, query_id long, vec_id long, score long"
