@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from surveymill.sources.editions import edition_path
-from surveymill.sources.survey_csv import WHOLE_FILE_BYTES, Edition, csv_files, scan_edition
+from surveymill.sources.survey_csv import Edition, csv_files, scan_edition
 
 
 def pick_largest(spark: SparkSession, folder: str) -> str:
@@ -23,11 +23,9 @@ def pick_largest(spark: SparkSession, folder: str) -> str:
     return largest["path"]
 
 
-def land_edition(
-    spark: SparkSession, source: str, bronze: str, survey_year: int, whole_file_bytes: int = WHOLE_FILE_BYTES
-) -> str:
+def land_edition(spark: SparkSession, source: str, bronze: str, survey_year: int) -> str:
     """Copy one edition into its ``survey_year=`` partition of the bronze layer."""
-    edition = scan_edition(spark, source, whole_file_bytes)
+    edition = scan_edition(spark, source)
     target = edition_path(bronze, survey_year)
     columns = [
         F.col(name).alias(name, metadata={"header": header})

@@ -1,33 +1,43 @@
 """Scan of one survey edition: CSV files with a header row, all cells as text.
 
 Columns are addressed by position (``c0``, ``c1``, ...), because headers hold quotes, dots,
-parentheses and duplicates. The header row is the only data that reaches the driver.
+parentheses and duplicates. The header rows are the only data that reaches the driver.
 
-A quoted cell may contain line breaks, and Spark's multi-line reader takes a whole file in one
-task. That is right for small files (with plain line ends; the reader guesses at others). For the
-rest the scan looks at the text first, in parallel:
+How a file is read follows from its text alone, never from its size:
 
-* every line is a complete record: the ordinary reader splits the file;
-* records span lines: they are put together from the lines, still in parallel;
-* quoting is irregular: only then the multi-line reader takes the file as a whole.
+* Every line is a record: the ordinary reader splits the file, nothing else touches it.
+* Cells hold line breaks, or quotes stand where they open nothing: the lines are followed through
+  their quoting state. A line takes one of two states at its start (outside or inside a quoted cell)
+  to one at its end, so a first pass works out for each split where it ends from either start, and
+  the splits' starts follow from that. The second pass assembles records, split by split. Only the
+  pieces of a record that a split boundary cuts are shuffled.
+
+Both follow the same rules. A quote opens a cell only as its first character; a doubled quote is one;
+what follows a closing quote belongs to the cell. Blank lines, of nothing but blanks and tabs, are no
+records. A record of more cells than the header is an error, and so are files whose headers differ.
 """
 
 from __future__ import annotations
 
 import csv
 import io
+import sys
+from collections.abc import Iterator
 from dataclasses import dataclass
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveymill.functions.text import null_tokens
-from surveymill.sources.lake import stage, workspace
 
-WHOLE_FILE_BYTES = 1 << 30  # a file up to this size may be one task: about half a minute of parsing
 _FILES = {"pathGlobFilter": "*.csv", "recursiveFileLookup": True}
-_HEADER_LINES = 4096  # a header whose quotes do not close within as many lines is one line
 _MARK = "\x01"
+_RECORDS = "record string, file long, block long, opener long, head boolean"
+_TEXT_BYTES = 8_000_000  # records handed on at a time
 
 
 @dataclass(frozen=True)
@@ -71,45 +81,38 @@ def clean(rows: DataFrame) -> DataFrame:
     return rows.selectExpr(*[f"{null_tokens(c)} AS {c}" for c in rows.columns])
 
 
-def read_header(spark: SparkSession, path: str) -> list[str]:
-    """The header row: the first lines of a file up to where its quotes are closed."""
-    start, taken, lines = _lines(spark, path).filter("block = 0 AND trim(value) <> ''"), 1, []
-    while taken <= _HEADER_LINES:
-        lines = start.take(taken)
-        for count in range(1, len(lines) + 1):
-            text = "\n".join(line["value"] for line in lines[:count])
-            if text.count('"') % 2 == 0:
-                return unique_names(next(csv.reader(io.StringIO(text, newline=""))))
-        if len(lines) < taken:
-            break
-        taken *= 4
-    if not lines:
-        raise ValueError(f"no header row below {path}")
-    return unique_names(next(csv.reader([lines[0]["value"]])))
+# --- quoting -----------------------------------------------------------------------------------
 
 
-def _schema(width: int) -> str:
-    return ", ".join(f"c{pos} string" for pos in range(width))
+def open_after(line: str, inside: bool) -> bool:
+    """Whether a quoted cell is open at the end of a line that starts inside one, or not."""
+    for part in line.split("\r") if "\r" in line else (line,):  # a bare return ends a record too, outside a cell
+        at = 0
+        if not inside:
+            at = 1 if part.startswith('"') else part.find(',"') + 2
+            inside = part.startswith('"') or at > 1
+        while inside and (at := part.find('"', at)) >= 0:
+            if part.startswith('"', at + 1):
+                at += 2
+                continue
+            at = part.find(',"', at + 1) + 2
+            inside = at > 1
+    return inside
 
 
-def _by_file(spark: SparkSession, path: str, width: int, **how) -> DataFrame:
-    return spark.read.options(**_FILES, escape='"', header=True, **how).schema(_schema(width)).csv(path)
+def cells_of(record: str) -> list[list[str]]:
+    """The rows of a whole record; more than one if bare returns end records in it, none if it is blank."""
+    csv.field_size_limit(sys.maxsize)
+    rows = [row for row in csv.reader(io.StringIO(record, newline="")) if row]
+    return rows if '"' in record else [row for row in rows if len(row) > 1 or row[0].strip(" \t")]
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """The physical lines with their place: file, start of the split, number within the read."""
-    return (
-        spark.read.options(**_FILES)
-        .option("lineSep", "\n")
-        .text(path)
-        .select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line"),
-            F.expr("IF(endswith(value, '\r'), left(value, length(value) - 1), value)").alias("value"),
-            F.col("value").endswith("\r").alias("cr"),
-        )
-    )
+def _quoted(row: list[str]) -> str:
+    return ",".join('"' + cell.replace('"', '""') + '"' if cell else "" for cell in row) or '""'
+
+
+def _too_long(record: str, cells: int, width: int) -> ValueError:
+    return ValueError(f"a record has {cells} cells, the header has {width}: {record[:200]!r}")
 
 
 def _is_whole(text: Column) -> Column:
@@ -118,80 +121,271 @@ def _is_whole(text: Column) -> Column:
     return ~text.contains('"') | ~sections.rlike(f'"|[^,{_MARK}]{_MARK}|{_MARK}[^,{_MARK}]')
 
 
-def place_lines(spark: SparkSession, path: str) -> DataFrame:
-    """The lines of CSV files with their quoting state.
+def _separators(text: Column) -> Column:
+    """Commas between the cells of a line of whole cells."""
+    bare = F.when(text.contains('"'), F.regexp_replace(text, '"[^"]*"', "")).otherwise(text)
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))
 
-    A line with an odd number of quotes opens or closes a quoted cell. Those lines are counted
-    per split, summed up over the file (one row per split) and added to the running count within
-    the split (one split per window partition). ``opened`` is how many of them lie before a line:
-    odd where the line starts inside a quoted cell. ``regular`` tells that this state fits the
-    line: it is whole cells once its open ends are quoted (and the first line is not blank).
-    """
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    lines = _lines(spark, path).withColumn("odd", (quotes % 2).cast("long"))
-
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    splits = lines.groupBy("file", "block").agg(F.sum("odd").alias("odds"))
-    splits = splits.select("file", "block", F.coalesce(F.sum("odds").over(earlier), F.lit(0)).alias("before"))
-
-    within = Window.partitionBy("file", "block").orderBy("line")
-    running = F.sum("odd").over(within.rowsBetween(Window.unboundedPreceding, 0))
-    placed = lines.join(splits, ["file", "block"]).withColumns(
-        {
-            "opened": F.col("before") + running - F.col("odd"),
-            "head": (F.col("block") == 0) & (F.row_number().over(within) == 1),
-        }
-    )
 
-    def quote_if(state: Column) -> Column:
-        return F.when(state % 2 == 1, F.lit('"')).otherwise(F.lit(""))
+# --- headers and the choice of reader ------------------------------------------------------------
 
-    closed = F.concat(quote_if(F.col("opened")), F.col("value"), quote_if(F.col("opened") + F.col("odd")))
-    regular = _is_whole(closed) & ~(F.col("head") & (F.trim("value") == ""))
-    return placed.drop("before").withColumn("regular", regular)
 
+def _text(spark: SparkSession, paths) -> DataFrame:
+    return spark.read.options(**_FILES).option("lineSep", "\n").text(paths)
 
-def join_lines(placed: DataFrame) -> DataFrame:
-    """``(record)``: the data records of placed lines, header left out.
 
-    Lines that are whole records go straight through; only lines of records that span lines are
-    grouped, by file and number of the record.
-    """
-    whole = (F.col("opened") % 2 == 0) & (F.col("odd") == 0)
-    singles = placed.filter(whole & ~F.col("head")).select(F.col("value").alias("record"))
-    ends = F.transform(
-        F.sort_array(F.collect_list(F.struct("block", "line", "value", "cr"))),
-        lambda piece: F.concat(piece["value"], F.when(piece["cr"], F.lit("\r")).otherwise(F.lit(""))),
+def file_header(spark: SparkSession, file: str) -> list[str] | None:
+    """The header row of one file: its first lines up to where their quotes are closed; None without one."""
+    lines, taken = _text(spark, file), 1
+    while True:
+        head = [row["value"] for row in lines.take(taken)]
+        inside, text = False, []
+        for line in head:
+            if text or line.strip(" \t\r"):
+                text.append(line)
+                inside = open_after(line, inside)
+                if not inside:
+                    return cells_of("\n".join(text))[0]
+        if len(head) < taken:
+            if text:
+                raise ValueError(f"the header of {file} has a quoted cell that is never closed")
+            return None
+        taken *= 4
+
+
+def read_header(spark: SparkSession, path: str) -> list[str]:
+    """The header row that all files at or below a path share."""
+    found: dict[tuple[str, ...], str] = {}
+    for row in csv_files(spark, path).orderBy("path").collect():  # a row for each file of the edition
+        header = file_header(spark, row["path"])
+        if header is not None:
+            found.setdefault(tuple(header), row["path"])
+    if not found:
+        raise ValueError(f"no header row below {path}")
+    if len(found) > 1:
+        raise ValueError(f"files with different headers: {', '.join(found.values())}")
+    return unique_names(list(*found))
+
+
+def _survey(spark: SparkSession, path: str) -> list:
+    """For each file: whether every line is a record, and the most separators in a line of whole cells."""
+    value = F.regexp_replace("value", r"\r+\z", "")
+    lines = _text(spark, path).select(F.col("_metadata.file_path").alias("file"), value.alias("value"))
+    whole = ~F.col("value").contains("\r") & _is_whole(F.col("value"))
+    most = F.max(F.when(whole, _separators(F.col("value"))))
+    return lines.groupBy("file").agg(F.every(whole).alias("whole"), most.alias("separators")).collect()
+
+
+def _schema(width: int) -> str:
+    return ", ".join(f"c{pos} string" for pos in range(width))
+
+
+def _by_line(spark: SparkSession, paths, width: int) -> DataFrame:
+    return spark.read.options(**_FILES, escape='"', header=True).schema(_schema(width)).csv(paths)
+
+
+# --- records that span lines ----------------------------------------------------------------------
+
+
+def _placed(spark: SparkSession, paths) -> DataFrame:
+    """The lines with their file (hashed) and the start of their split, in order within a split."""
+    return _text(spark, paths).select(
+        F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value"
     )
-    spanning = (
-        placed.filter(~whole)
-        .groupBy("file", F.floor(F.col("opened") / 2).alias("spanning"))
-        .agg(F.max("head").alias("head"), F.array_join(ends, "\n").alias("record"))
-        .filter(~F.col("head"))
-        .select(F.regexp_replace("record", r"\r\z", "").alias("record"))
+
+
+def _split_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], pa.Array]]:
+    """The lines of a partition as ``((file, block), lines)``; a split may come in several runs."""
+    for batch in batches:
+        file, block = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        ends = np.flatnonzero((file[1:] != file[:-1]) | (block[1:] != block[:-1])) + 1
+        start = 0
+        for end in [*ends.tolist(), batch.num_rows]:
+            if end > start:
+                yield (int(file[start]), int(block[start])), batch.column(2).slice(start, end - start)
+            start = end
+
+
+def _quoting(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """For each split: whether a cell is open at its end if none (or one) is at its start, and whether a
+    record ends in it in the latter case."""
+    state: dict[tuple[int, int], list[bool]] = {}
+    for key, lines in _split_runs(batches):
+        s = state.setdefault(key, [False, True, False])
+        for line in lines.filter(pc.match_substring(lines, '"')).to_pylist():
+            s[0], s[1] = open_after(line, s[0]), open_after(line, s[1])
+            s[2] |= not s[1]
+    rows = [(*key, *s) for key, s in state.items()]
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], schema=schema)
+
+
+def _starts_inside(lines: DataFrame) -> dict[tuple[int, int], int]:
+    """``(file, block) -> opener`` of the splits that start inside a cell: the split where that record starts.
+
+    At most one entry for each split of the files, about 100 bytes; no text.
+    """
+    schema = pa.schema([("file", pa.int64()), ("block", pa.int64()), *((n, pa.bool_()) for n in ("after_out", "after_in", "ends"))])
+    splits = lines.mapInArrow(
+        lambda batches: _quoting(batches, schema), "file long, block long, after_out boolean, after_in boolean, ends boolean"
     )
-    return singles.unionAll(spanning).filter(F.trim("record") != "")
+    inside: dict[tuple[int, int], int] = {}
+    file, opened, opener = None, False, 0
+    for row in splits.orderBy("file", "block").toLocalIterator():
+        if row["file"] != file:
+            file, opened, opener = row["file"], False, row["block"]
+        if opened:
+            inside[file, row["block"]] = opener
+        if not opened or row["ends"]:
+            opener = row["block"]
+        opened = row["after_in"] if opened else row["after_out"]
+    return inside
+
+
+def _assemble(
+    batches: Iterator[pa.RecordBatch], inside: dict[tuple[int, int], int], width: int, cut: bool, schema: pa.Schema
+) -> Iterator[pa.RecordBatch]:
+    """The records of a partition's splits: those that lie within a split, or (``cut``) the pieces of the others."""
+    made: list[tuple] = []
+    size = 0
+
+    def plain(lines: pa.Array) -> Iterator[pa.RecordBatch]:
+        if pc.max(pc.count_substring(lines, ",")).as_py() >= width:
+            for line in lines.to_pylist():
+                if line.count(",") >= width:
+                    raise _too_long(line, line.count(",") + 1, width)
+        empty = [pa.nulls(len(lines), field.type) for field in schema][1:]
+        yield pa.RecordBatch.from_arrays([lines.cast(pa.string()), *empty], schema=schema)
+
+    def special(record: str) -> None:
+        nonlocal size
+        rows = cells_of(record)
+        for row in rows:
+            if len(row) > width:
+                raise _too_long(record, len(row), width)
+            made.append((_quoted(row), None, None, None, None))
+        size += len(record)
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        nonlocal size
+        if made:
+            columns = zip(*made, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+        made.clear()
+        size = 0
+
+    def piece(key, lines: list[str], opener: int, head: bool) -> None:
+        made.append(("\n".join(lines), *key, opener, head))
+
+    key, opened, opener, header, begun = None, False, 0, False, []
+    for run_key, lines in _split_runs(batches):
+        if run_key != key:
+            if opened and cut:
+                piece(key, begun, opener, header)
+            key = run_key
+            opened = key in inside
+            opener, header, begun = inside.get(key, key[1]), key[1] == 0, []
+        trimmed = pc.utf8_rtrim(lines, "\r")
+        marked = pc.or_(pc.match_substring(trimmed, '"'), pc.match_substring(trimmed, "\r"))
+        if header:  # up to the first record of the file lines are taken one by one
+            marked = pc.or_(marked, pa.array(np.arange(len(lines)) < _header_reach(lines)))
+        at = 0
+        for mark in [*np.flatnonzero(marked.to_numpy(zero_copy_only=False)).tolist(), len(lines)]:
+            if mark > at:
+                if opened:
+                    begun += lines.slice(at, mark - at).to_pylist()
+                elif not cut:
+                    yield from flush()
+                    yield from plain(trimmed.slice(at, mark - at))
+            at = mark + 1
+            if mark == len(lines):
+                break
+            line = lines[mark].as_py()
+            still = open_after(line, opened)
+            begun.append(line)
+            if still:
+                if not opened:
+                    opener = key[1]
+            else:
+                if opener != key[1]:
+                    if cut:
+                        piece(key, begun, opener, False)
+                    opener = key[1]
+                elif header:
+                    text = "\n".join(begun)
+                    header = not text.strip(" \t\r\n")
+                    if not header and not cut:
+                        for row in cells_of(text)[1:]:
+                            special(_quoted(row))
+                elif not cut:
+                    special("\n".join(begun))
+                begun = []
+            opened = still
+            if size > _TEXT_BYTES:
+                yield from flush()
+    if opened and cut:
+        piece(key, begun, opener, header)
+    yield from flush()
+
+
+def _header_reach(lines: pa.Array) -> int:
+    """Lines up to the first that is not blank."""
+    filled = np.flatnonzero(pc.not_equal(pc.utf8_trim(lines, " \t\r"), "").to_numpy(zero_copy_only=False))
+    return int(filled[0]) + 1 if len(filled) else len(lines)
+
+
+def _whole_records(pieces: Iterator[pa.RecordBatch], width: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    for batch in pieces:
+        rows = []
+        for record in batch.column(0).to_pylist():
+            for row in cells_of(record):
+                if len(row) > width:
+                    raise _too_long(record, len(row), width)
+                rows.append(_quoted(row))
+        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.string())], schema=schema)
+
+
+def _spanning(spark: SparkSession, paths, width: int) -> DataFrame:
+    """``(record)``: the data records of files whose records may span lines."""
+    lines = _placed(spark, paths)
+    inside = _starts_inside(lines)
+    types = pa.schema([("record", pa.string()), *((n, pa.int64()) for n in ("file", "block", "opener")), ("head", pa.bool_())])
+
+    def assembled(cut: bool) -> DataFrame:
+        return lines.mapInArrow(lambda batches: _assemble(batches, inside, width, cut, types), _RECORDS)
+
+    records = assembled(False).select("record")
+    if inside:
+        pieces = F.transform(F.array_sort(F.collect_list(F.struct("block", "record"))), lambda x: x["record"])
+        joined = (
+            assembled(True).groupBy("file", "opener")
+            .agg(F.bool_or("head").alias("head"), F.array_join(pieces, "\n").alias("record"))
+            .filter(~F.col("head")).select("record")
+        )
+        one = pa.schema([("record", pa.string())])
+        records = records.unionAll(joined.mapInArrow(lambda batches: _whole_records(batches, width, one), "record string"))
+    return records.filter(F.col("record").rlike("[^ \t]"))
 
 
 def _parse(records: DataFrame, width: int) -> DataFrame:
-    options = {"escape": '"', "multiLine": "true"}
+    options = {"escape": '"', "multiLine": "true", "maxCharsPerColumn": "-1"}
     return records.select(F.from_csv("record", _schema(width), options).alias("cells")).select("cells.*")
 
 
-def _rows(spark: SparkSession, path: str, width: int, whole_file_bytes: int) -> DataFrame:
-    lines, value = _lines(spark, path), F.col("value")
-    largest = csv_files(spark, path).agg(F.max("length")).first()[0] or 0
-    if largest <= whole_file_bytes and lines.filter("cr").isEmpty():
-        return _by_file(spark, path, width, multiLine=True, lineSep="\n")
-    if lines.filter(value.contains("\r") | ~_is_whole(value)).isEmpty():
-        return _by_file(spark, path, width)
-    placed = stage(place_lines(spark, path), f"{workspace(spark)}/lines")
-    if placed.filter(~F.col("regular")).isEmpty():
-        return _parse(join_lines(placed), width)
-    return _by_file(spark, path, width, multiLine=True)
-
-
-def scan_edition(spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_FILE_BYTES) -> Edition:
+def scan_edition(spark: SparkSession, path: str) -> Edition:
     """All rows of an edition's CSV files, cells as raw text."""
     headers = read_header(spark, path)
-    return Edition(headers, _rows(spark, path, len(headers), whole_file_bytes))
+    width = len(headers)
+    files = _survey(spark, path)
+    for file in files:
+        if (file["separators"] or 0) >= width:
+            raise ValueError(f"{file['file']}: a record has {file['separators'] + 1} cells, the header has {width}")
+    by_line = [unquote(file["file"]) for file in files if file["whole"]]
+    spanning = [unquote(file["file"]) for file in files if not file["whole"]]
+    parts = []
+    if by_line:
+        parts.append(_by_line(spark, path if not spanning else by_line, width))
+    if spanning:
+        parts.append(_parse(_spanning(spark, path if not by_line else spanning, width), width))
+    rows = parts[0] if len(parts) == 1 else parts[0].unionAll(parts[1])
+    return Edition(headers, rows)

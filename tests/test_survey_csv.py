@@ -7,6 +7,7 @@ import io
 import random
 from collections import Counter
 
+import pandas
 import pytest
 
 from surveymill.sources import survey_csv
@@ -50,20 +51,20 @@ def small_splits(conf):
 
 @pytest.fixture
 def ways(monkeypatch):
-    """Records which reader a scan settled on."""
+    """Records which reader a scan settled on, and for how many files."""
     seen = []
-    by_file, parse = survey_csv._by_file, survey_csv._parse
+    by_line, spanning = survey_csv._by_line, survey_csv._spanning
 
-    def spy_file(spark, path, width, **how):
-        seen.append("file" if how.get("multiLine") else "split")
-        return by_file(spark, path, width, **how)
+    def spy_lines(spark, paths, width):
+        seen.append("lines")
+        return by_line(spark, paths, width)
 
-    def spy_parse(records, width):
-        seen.append("assembled")
-        return parse(records, width)
+    def spy_spanning(spark, paths, width):
+        seen.append("spanning")
+        return spanning(spark, paths, width)
 
-    monkeypatch.setattr(survey_csv, "_by_file", spy_file)
-    monkeypatch.setattr(survey_csv, "_parse", spy_parse)
+    monkeypatch.setattr(survey_csv, "_by_line", spy_lines)
+    monkeypatch.setattr(survey_csv, "_spanning", spy_spanning)
     return seen
 
 
@@ -77,58 +78,72 @@ def test_records_that_span_lines_are_read_in_parallel(spark, tmp_path, small_spl
     first, second = _rows(rng, 900, WORDS), _rows(rng, 300, WORDS)
     _write(tmp_path / "e" / "one.csv", HEADER, first, line_end, quoting)
     _write(tmp_path / "e" / "two.csv", HEADER, second, line_end, quoting)
-    edition = scan_edition(spark, str(tmp_path / "e"), whole_file_bytes=0)
-    assert ways == ["assembled"]
+    edition = scan_edition(spark, str(tmp_path / "e"))
+    assert ways == ["spanning"]
     assert edition.headers == [HEADER[0], "a.b", "a.b.1", HEADER[3]]
-    expected = _expected(first + second)
-    assert _blank_as_null(_cells(edition)) == expected
-    small = scan_edition(spark, str(tmp_path / "e"))  # lines end in \r\n, in cells or of records
-    assert ways[1:] == ["assembled"]
-    assert _blank_as_null(_cells(small)) == expected
+    assert edition.rows.rdd.getNumPartitions() > 8
+    assert _blank_as_null(_cells(edition)) == _expected(first + second)
 
 
-def test_small_files_with_plain_line_ends_are_one_task_each(spark, tmp_path, ways):
-    rows = _rows(random.Random(4), 300, [w for w in WORDS if "\r" not in w])
+def test_a_file_gives_the_same_rows_in_one_split_and_in_many(spark, tmp_path, conf):
+    rows = _rows(random.Random(4), 300, WORDS)
     _write(tmp_path / "e" / "one.csv", HEADER, rows)
-    edition = scan_edition(spark, str(tmp_path / "e"))
-    assert ways == ["file"]
-    assert _blank_as_null(_cells(edition)) == _expected(rows)
-    assert _blank_as_null(_cells(scan_edition(spark, str(tmp_path / "e"), 0))) == _expected(rows)
-    assert ways == ["file", "assembled"]
+    assert _blank_as_null(_cells(scan_edition(spark, str(tmp_path / "e")))) == _expected(rows)
+    conf("spark.sql.files.maxPartitionBytes", "700")
+    conf("spark.sql.files.openCostInBytes", "0")
+    assert _blank_as_null(_cells(scan_edition(spark, str(tmp_path / "e")))) == _expected(rows)
 
 
 def test_a_cell_larger_than_several_splits(spark, tmp_path, small_splits, ways):
-    rows = [["id0", "x"], ["id1", 'longa\n"linha" ' * 900], ["id2", "y\n"], ["id3", "\n" * 4000]]
+    rows = [["id0", "x"], ["id1", 'longa\n"linha" ' * 900], ["id2", "y\n"], ["id3", "\n" * 4000], ["id4", "z " * 3000 + '"']]
     _write(tmp_path / "big.csv", ["id", "text"], rows)
-    assert _blank_as_null(_cells(scan_edition(spark, str(tmp_path / "big.csv"), 0))) == _expected(rows)
-    assert ways == ["assembled"]
+    assert _blank_as_null(_cells(scan_edition(spark, str(tmp_path / "big.csv")))) == _expected(rows)
+    assert ways == ["spanning"]
+
+
+def test_a_header_larger_than_several_splits(spark, tmp_path, small_splits):
+    header = ["id", "linha\n" * 2000]
+    _write(tmp_path / "h.csv", header, [["a", "b"], ["c", "d\ne"]])
+    edition = scan_edition(spark, str(tmp_path / "h.csv"))
+    assert edition.headers == header and _cells(edition) == _expected([["a", "b"], ["c", "d\ne"]])
+
+
+def test_a_header_that_never_ends(spark, tmp_path):
+    (tmp_path / "h.csv").write_text('id,"a\n' + "1,2\n" * 5000)
+    with pytest.raises(ValueError, match="never closed"):
+        scan_edition(spark, str(tmp_path / "h.csv"))
 
 
 def test_lines_that_are_records_are_split_by_the_reader(spark, tmp_path, small_splits, ways):
     rows = _rows(random.Random(5), 1500, [w for w in WORDS if not set("\r\n") & set(w)])
     _write(tmp_path / "flat.csv", ["id", "a", "b", "c"], rows, "\r\n")
-    edition = scan_edition(spark, str(tmp_path / "flat.csv"), 0)
-    assert ways == ["split"]
+    edition = scan_edition(spark, str(tmp_path / "flat.csv"))
+    assert ways == ["lines"]
     assert edition.rows.rdd.getNumPartitions() > 8
     assert _blank_as_null(_cells(edition)) == _expected(rows)
 
 
-def test_irregular_quotes_fall_back_to_the_whole_file(spark, tmp_path, small_splits, ways):
+def test_each_file_has_its_own_way(spark, tmp_path, small_splits, ways):
+    flat, spanning = [[f"a{n}", "x"] for n in range(200)], [[f"b{n}", "x\ny"] for n in range(200)]
+    _write(tmp_path / "e" / "a b.csv", ["id", "t"], flat)
+    _write(tmp_path / "e" / "b.csv", ["id", "t"], spanning)
+    assert _cells(scan_edition(spark, str(tmp_path / "e"))) == _expected(flat + spanning)
+    assert ways == ["lines", "spanning"]
+
+
+def test_irregular_quotes_do_not_end_in_one_task(spark, tmp_path, small_splits, ways):
     lines = ["id,a"] + [f'id{n},5" tela' if n % 50 == 0 else f'id{n},"x\ny"' for n in range(400)]
     (tmp_path / "odd.csv").write_text("\n".join(lines) + "\n")
-    path = str(tmp_path / "odd.csv")
-    assert _cells(scan_edition(spark, path, 0)) == _cells(scan_edition(spark, path))
-    assert ways == ["file", "file"]
-    rows = _cells(scan_edition(spark, path))
+    edition = scan_edition(spark, str(tmp_path / "odd.csv"))
+    rows = _cells(edition)
+    assert ways == ["spanning"] and edition.rows.rdd.getNumPartitions() > 3
     assert sum(rows.values()) == 400 and rows[("id50", '5" tela')] == 1 and rows[("id51", "x\ny")] == 1
 
 
-def test_carriage_returns_inside_lines_are_not_line_ends(spark, tmp_path, small_splits, ways):
-    rows = [[f"id{n}", "a\rb" if n % 9 == 0 else "c"] for n in range(500)]
-    _write(tmp_path / "cr.csv", ["id", "a"], rows)
-    assert _cells(scan_edition(spark, str(tmp_path / "cr.csv"), 0)) == _expected(rows)
-    assert _cells(scan_edition(spark, str(tmp_path / "cr.csv"))) == _expected(rows)
-    assert ways == ["assembled", "file"]
+def test_only_pieces_of_cut_records_are_shuffled(spark, tmp_path, small_splits):
+    _write(tmp_path / "s.csv", ["id", "t"], [[f"b{n}", "x\ny"] for n in range(900)])
+    plan = scan_edition(spark, str(tmp_path / "s.csv")).rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "hashpartitioning(file" in plan and "opener" in plan
 
 
 @pytest.mark.parametrize("seed", range(6))
@@ -136,7 +151,57 @@ def test_random_files(spark, tmp_path, small_splits, seed):
     rng = random.Random(seed)
     rows = _rows(rng, rng.choice([1, 40, 700]), rng.sample(WORDS, rng.randint(3, len(WORDS))), width=3)
     _write(tmp_path / "r.csv", ["id", "b", "c"], rows, rng.choice(["\n", "\r\n"]))
-    assert _blank_as_null(_cells(scan_edition(spark, str(tmp_path / "r.csv"), 0))) == _expected(rows)
+    assert _blank_as_null(_cells(scan_edition(spark, str(tmp_path / "r.csv")))) == _expected(rows)
+
+
+@pytest.mark.parametrize("seed", range(12))
+@pytest.mark.parametrize("split", ["120", "100000"])
+def test_any_text_is_read_as_pandas_reads_it(spark, tmp_path, conf, seed, split):
+    conf("spark.sql.files.maxPartitionBytes", split)
+    conf("spark.sql.files.openCostInBytes", "0")
+    rng = random.Random(seed)
+    parts = ["a", "b c", '"', '""', '"x"', "\n", "\r\n", "  ", "\t", "   \n", "\n\n", 'q"q', "é", "\n1", "\n2"]
+    parts = rng.sample(parts, rng.randint(4, len(parts)))
+    records = ["".join(rng.choices(parts, k=rng.randint(0, 4))) + rng.choice([",", ",", ""]) + rng.choice(parts + ["z"]) for _ in range(120)]
+    text = "id,b\n" + "\n".join(records) + "\n"
+    try:
+        frame = pandas.read_csv(io.StringIO(text, newline=""), dtype=str, keep_default_na=False, index_col=False, skipinitialspace=False)
+        lengths = {len(row) for row in csv.reader(io.StringIO(text, newline=""))}
+    except (pandas.errors.ParserError, csv.Error):
+        lengths = {9}
+    (tmp_path / "t.csv").write_bytes(text.encode())
+    if max(lengths) > 2:
+        with pytest.raises(Exception, match="the header has 2"):
+            scan_edition(spark, str(tmp_path / "t.csv")).rows.collect()
+        return
+    expected = Counter(tuple(c if isinstance(c, str) and c else None for c in row) for row in frame.itertuples(index=False, name=None))
+    assert _blank_as_null(_cells(scan_edition(spark, str(tmp_path / "t.csv")))) == expected
+
+
+@pytest.mark.parametrize("tail", ['"x\ny",z', "x,z", '"a, b"c,z'])
+def test_blank_lines_are_no_records(spark, tmp_path, conf, tail):
+    (tmp_path / "b.csv").write_text(f"\n  \na,b\n1,2\n   \n\t\n\n3,4\n{tail}\n \n")
+    for split in ("100000", "8"):
+        conf("spark.sql.files.maxPartitionBytes", split)
+        conf("spark.sql.files.openCostInBytes", "0")
+        first = next(csv.reader(io.StringIO(tail)))
+        assert _cells(scan_edition(spark, str(tmp_path / "b.csv"))) == _expected([["1", "2"], ["3", "4"], first])
+
+
+@pytest.mark.parametrize("record", ["3,4,EXTRA", "3,4,", '"3\n",4,x', '"3,",",4",","'])
+def test_records_longer_than_the_header_are_errors(spark, tmp_path, record):
+    (tmp_path / "l.csv").write_text(f"a,b\n1,2\n{record}\n")
+    with pytest.raises(Exception, match="3 cells, the header has 2"):
+        scan_edition(spark, str(tmp_path / "l.csv")).rows.collect()
+
+
+def test_files_with_different_headers_are_an_error(spark, tmp_path):
+    _write(tmp_path / "e" / "a.csv", ["idade", "genero"], [["40", "M"]])
+    _write(tmp_path / "e" / "b.csv", ["genero", "idade"], [["M", "40"]])
+    with pytest.raises(ValueError, match="different headers"):
+        scan_edition(spark, str(tmp_path / "e"))
+    _write(tmp_path / "e" / "b.csv", ["idade", "genero"], [["41", "F"]])
+    assert _cells(scan_edition(spark, str(tmp_path / "e"))) == _expected([["40", "M"], ["41", "F"]])
 
 
 def test_null_tokens_and_short_records(spark, tmp_path):
