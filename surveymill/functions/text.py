@@ -20,6 +20,10 @@ from surveymill.fixed_values import FLAG_NO, FLAG_NO_ANSWER, FLAG_YES, NULL_TOKE
 WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 _ZERO = "^[-+]?(0+[.]?0*|[.]0+)(e[-+]?[0-9]+)?$"
 _HANGUL = range(0xAC00, 0xD7A4)
+# Letters of composed syllables in the order their numbers count: initials, vowels, finals.
+_INITIALS = "".join(map(chr, range(0x1100, 0x1113)))
+_VOWELS = "".join(map(chr, range(0x1161, 0x1176)))
+_FINALS = "".join(map(chr, range(0x11A8, 0x11C3)))
 _SURROGATES = range(0xD800, 0xE000)
 _LAST_DECOMPOSING = 0x2FA1D  # no character beyond it decomposes or combines
 _PAIR, _GAP = "\x02", "\x03"
@@ -39,12 +43,12 @@ def _plain(text: str) -> str:
 
 
 @cache
-def _folds() -> tuple[str, str, str]:
+def _folds() -> tuple[str, str, str, str]:
     """Compatibility decomposition without combining marks, generated from ``unicodedata``.
 
-    Returns the two translate() strings (a character missing in the second is deleted) and the
-    characters that expand to several, as one str_to_map() text. Composed Hangul syllables keep
-    their form; they never reach a header name.
+    Returns the two translate() strings (a character missing in the second is deleted), and the
+    characters that expand to several: as a str_to_map() text, and by themselves. Composed Hangul
+    syllables are left out, they decompose by arithmetic.
     """
     single, deleted, several = {}, [], {}
     for point in range(0x80, _LAST_DECOMPOSING + 1):
@@ -64,6 +68,7 @@ def _folds() -> tuple[str, str, str]:
         "".join(single) + "".join(deleted),
         "".join(single.values()),
         _PAIR.join(f"{char}{_GAP}{plain}" for char, plain in several.items()),
+        "".join(several),
     )
 
 
@@ -71,21 +76,54 @@ def _is_ascii(text: Column) -> Column:
     return F.octet_length(text) == F.length(text)
 
 
+def _hangul(char: Column) -> Column:
+    """The two or three letters of a composed syllable, by their order in the syllable's number."""
+    number = F.ascii(char) - _HANGUL.start
+    finals = len(_FINALS) + 1
+
+    def letter(letters: str, place: Column) -> Column:
+        return F.substr(F.lit(letters), place.cast("int"), F.lit(1))
+
+    return F.concat(
+        letter(_INITIALS, F.floor(number / (len(_VOWELS) * finals)) + 1),
+        letter(_VOWELS, F.floor(number / finals) % len(_VOWELS) + 1),
+        F.when(number % finals == 0, "").otherwise(letter(_FINALS, number % finals)),
+    )
+
+
+def _once(value: Column, work) -> Column:
+    """``work`` of a value that is computed once however often the result names it."""
+    return F.get(F.transform(F.array(value), work), F.lit(0))
+
+
 def strip_accents(text: Column) -> Column:
     """NFKD without combining marks.
 
-    ASCII text passes untouched. Of other text, only the words that are still not ASCII after
-    the one-to-one translation are looked at character by character.
+    ASCII text passes untouched. Of other text, only what still holds a character with an expansion to
+    several after the one-to-one translation is looked at by word, and of the words only those that do,
+    character by character.
     """
-    source, target, expansions = _folds()
+    source, target, expansions, expanding = _folds()
     table = F.str_to_map(F.lit(expansions), F.lit(_PAIR), F.lit(_GAP))
+    first, last = chr(_HANGUL.start), chr(_HANGUL.stop - 1)
+
+    def expands(part: Column) -> Column:
+        special = F.length(F.translate(part, expanding, "")) != F.length(part)
+        return ~_is_ascii(part) & (special | part.rlike(f"[{first}-{last}]"))
+
+    def letters(char: Column) -> Column:
+        return F.when(char.between(first, last), _hangul(char)).otherwise(F.coalesce(F.try_element_at(table, char), char))
 
     def expand(word: Column) -> Column:
-        chars = F.transform(F.split(word, ""), lambda c: F.coalesce(F.try_element_at(table, c), c))
-        return F.when(_is_ascii(word), word).otherwise(F.array_join(chars, ""))
+        return F.when(expands(word), F.array_join(F.transform(F.split(word, ""), letters), "")).otherwise(word)
+
+    def fold(plain: Column) -> Column:
+        return F.when(expands(plain), F.array_join(F.transform(F.split(plain, " "), expand), " ")).otherwise(plain)
+
+    def plain(lowered: Column) -> Column:
+        return F.when(_is_ascii(lowered), lowered).otherwise(_once(F.translate(lowered, source, target), fold))
 
-    words = F.split(F.translate(text, source, target), " ")
-    return F.when(_is_ascii(text), text).otherwise(F.array_join(F.transform(words, expand), " "))
+    return _once(text, plain)
 
 
 def header_name(text: Column) -> Column:

@@ -29,7 +29,7 @@ def _plain(text: str) -> str:
 
 
 def _every_character(width: int = 61):
-    chars = [chr(p) for p in range(1, sys.maxunicode + 1) if not 0xD800 <= p < 0xE000 and not 0xAC00 <= p <= 0xD7A3]
+    chars = [chr(p) for p in range(1, sys.maxunicode + 1) if not 0xD800 <= p < 0xE000]
     return ["".join(chars[i : i + width]) for i in range(0, len(chars), width)]
 
 
@@ -40,6 +40,12 @@ def test_strip_accents_agrees_on_every_character(spark):
     assert len(rows) == len(texts) and not wrong, wrong[:3]
 
 
+def test_fold_text_of_many_scripts(spark):
+    texts = ["  한국어 설문 ", "Ação ½ e ﬁm", "Прочее Ёлка", "ὮΔΉ", "日本 ゲーム", "가각힣", "a 한 b ½", "É", "plain", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").select("text", fold_text(F.col("text"))).collect()
+    assert [s for _, s in rows] == [_plain((t or "").strip().lower()) for t in texts]
+
+
 @pytest.mark.parametrize(
     "header, name",
     [
