@@ -2,19 +2,31 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.fixture import CELLS, HEADER_CATALOG, RESPONDENTS, from_orders, respondents, table, write_bronze, write_csv
+from checks.fixture import (
+    CELLS,
+    HEADER_CATALOG,
+    RESPONDENTS,
+    from_orders,
+    respondents,
+    table,
+    work_folder,
+    write_bronze,
+    write_csv,
+)
 from surveymill.fixed_values import EDITIONS, FLAG_FIELDS, HEADER_RULES
 from surveymill.functions import measures
 from surveymill.functions.text import fold_text, has_token, header_name, null_tokens
 from surveymill.operators import headers
 from surveymill.operators.harmonise import union_editions
 from surveymill.operators.respondents import DERIVATIONS, enrich
-from surveymill.plans import analyses, cells, gold, silver
+from surveymill import jobs
+from surveymill.plans import analyses, cells, gold, silver, statements
 from surveymill.session import tune
 from surveymill.sources import editions, lake, landing, survey_csv
 
@@ -35,6 +47,15 @@ def _analysis(name: str) -> Query:
     return lambda spark, sf_dir: question(_gold(table_name)(spark, sf_dir))
 
 
+def _statement(name: str) -> Query:
+    table_name = analyses.ANALYSES[name][1]
+
+    def query(spark, sf_dir):
+        return statements.ask(spark, name, {table_name: _gold(table_name)(spark, sf_dir)})
+
+    return query
+
+
 def _derived(name: str) -> Query:
     return lambda spark, sf_dir: enrich(respondents(spark, sf_dir, "resp_id"), [name]).select("resp_id", name)
 
@@ -43,11 +64,49 @@ def _derived(name: str) -> Query:
 
 
 def scan_csv_edition(spark, sf_dir):
-    path = f"{lake.workspace(spark)}/survey.csv"
+    path = f"{work_folder(spark)}/survey.csv"
     write_csv(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars"), path)
     return survey_csv.clean(survey_csv.scan_edition(spark, path).rows)
 
 
+def _spanning_text(spark, sf_dir):
+    """Documents with more line breaks than there are, and lines of a blank in between."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    return docs.withColumn("text", F.regexp_replace("text", "[.] ", ".\n \n"))
+
+
+def _in_small_splits(spark, path):
+    """A scan whose files are cut into many splits. The setting is read when the scan is planned."""
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        rows = survey_csv.clean(survey_csv.scan_edition(spark, path).rows)
+        rows.write.parquet(f"{path}.rows")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    return spark.read.parquet(f"{path}.rows")
+
+
+def scan_csv_spanning(spark, sf_dir):
+    """Records that span lines, in files of many splits."""
+    path = f"{work_folder(spark)}/survey.csv"
+    write_csv(_spanning_text(spark, sf_dir).coalesce(1), path)
+    return _in_small_splits(spark, path)
+
+
+def scan_csv_irregular(spark, sf_dir):
+    """Quotes that open nothing, beside records that span lines, in files of many splits."""
+    path = f"{work_folder(spark)}/survey.csv"
+    quoted = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    line = F.concat_ws(",", "doc_id", quoted, F.concat("lang", F.lit(' 5" tela')), F.concat(F.lit('"'), "source", F.lit('"s')))
+    records = _spanning_text(spark, sf_dir).select("doc_id", line.alias("record"))
+    header = spark.createDataFrame([(-1, "doc_id,text,lang,source")], "doc_id long, record string")
+    one = header.unionAll(records).coalesce(1).sortWithinPartitions("doc_id")
+    as_is = dict(sep="\x01", quote="", emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    one.select(F.explode(F.split("record", "\n"))).write.options(**as_is).csv(path)
+    return _in_small_splits(spark, path)
+
+
 def null_cells(spark, sf_dir):
     return from_orders(spark, sf_dir, CELLS).selectExpr("o_orderkey", f"{null_tokens('cell')} AS cell")
 
@@ -61,7 +120,7 @@ def edition_registry(spark, sf_dir):
 
 
 def edition_retention(spark, sf_dir):
-    path = f"{lake.workspace(spark)}/bronze"
+    path = f"{work_folder(spark)}/bronze"
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderstatus", (2021 + F.col("o_orderkey") % 6).cast("int").alias("survey_year")
     )
@@ -71,9 +130,10 @@ def edition_retention(spark, sf_dir):
 
 def pick_largest_file(spark, sf_dir):
     """The largest CSV of a folder of orders by year, with its size."""
-    path = f"{lake.workspace(spark)}/download"
+    path = f"{work_folder(spark)}/download"
     orders = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
-    orders.write.partitionBy("year").csv(path)
+    orders = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "year")
+    orders.repartition("year").write.partitionBy("year").csv(path)  # one file a year
     largest = landing.pick_largest(spark, path)
     files = survey_csv.csv_files(spark, path)
     return files.filter(F.col("path") == largest).select(
@@ -82,7 +142,7 @@ def pick_largest_file(spark, sf_dir):
 
 
 def land_edition(spark, sf_dir):
-    work = lake.workspace(spark)
+    work = work_folder(spark)
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     write_csv(orders, f"{work}/download")
     landing.land_edition(spark, f"{work}/download", f"{work}/bronze", 2023)
@@ -90,19 +150,19 @@ def land_edition(spark, sf_dir):
 
 
 def silver_roundtrip(spark, sf_dir):
-    path = f"{lake.workspace(spark)}/professionals"
+    path = f"{work_folder(spark)}/professionals"
     lake.write_silver(_silver(spark, sf_dir), path)
     return lake.read_silver(spark, path)
 
 
 def gold_roundtrip(spark, sf_dir):
-    path = f"{lake.workspace(spark)}/region_work_model"
+    path = f"{work_folder(spark)}/region_work_model"
     lake.write_gold(_gold("region_work_model")(spark, sf_dir), path)
     return spark.read.parquet(path)
 
 
 def gold_csv_roundtrip(spark, sf_dir):
-    path = f"{lake.workspace(spark)}/sector"
+    path = f"{work_folder(spark)}/sector"
     sectors = _gold("sector")(spark, sf_dir)
     lake.write_gold_csv(sectors, path)
     return lake.read_gold_csv(spark, path, sectors.schema)
@@ -137,7 +197,7 @@ def resolve_schema(spark, sf_dir):
 
 
 def _bronze(spark, sf_dir):
-    path = f"{lake.workspace(spark)}/bronze"
+    path = f"{work_folder(spark)}/bronze"
     write_bronze(spark, sf_dir, path)
     return path
 
@@ -161,16 +221,48 @@ def all_editions(spark, sf_dir):
 def silver_pipeline(spark, sf_dir):
     """Landed CSV editions to the written respondent table."""
     bronze = _bronze(spark, sf_dir)
-    return silver.build_silver(spark, bronze, f"{lake.workspace(spark)}/professionals")
+    return silver.build_silver(spark, bronze, f"{work_folder(spark)}/professionals")
+
+
+#: The columns that make a row of a gold table; the others are its measures.
+GOLD_KEYS = {
+    "overview": ("survey_year", "edition"),
+    "market_structure": ("survey_year", "job_family"),
+    "salary_role_seniority": ("survey_year", "job_family", "seniority_group"),
+    "gender": ("survey_year", "gender_group", "job_family", "seniority_group"),
+    "gender_gap": ("survey_year", "gender_group"),
+    "tech_adoption": ("survey_year", "technology"),
+    "region_work_model": ("survey_year", "region_group", "work_model_group"),
+    "ai_adoption": ("survey_year", "job_family", "seniority_group"),
+    "sector": ("survey_year", "sector"),
+}
+
+
+def long_form(tables):
+    """The contents of gold tables as ``(gold_table, row, measure, value)``."""
+    parts = []
+    for name, keys in GOLD_KEYS.items():
+        measures = [column for column in tables[name].columns if column not in keys]
+        values = [F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")) for m in measures]
+        rows = tables[name].select(F.concat_ws("|", *keys).alias("row"), F.explode(F.array(*values)).alias("v"))
+        parts.append(rows.select(F.lit(name).alias("gold_table"), "row", "v.measure", "v.value"))
+    return union_editions(parts)
 
 
 def gold_all(spark, sf_dir):
-    """Builds all nine tables from a written respondent table; returns their sizes."""
-    work = lake.workspace(spark)
+    """Builds all nine tables from a written respondent table; returns what they hold."""
+    work = work_folder(spark)
     lake.write_silver(_silver(spark, sf_dir), f"{work}/professionals")
-    built = gold.build_gold(spark, f"{work}/professionals", f"{work}/gold")
-    counts = [t.agg(F.lit(name).alias("gold_table"), F.count("*").alias("rows")) for name, t in built.items()]
-    return union_editions(counts)
+    return long_form(gold.build_gold(spark, f"{work}/professionals", f"{work}/gold"))
+
+
+def run_job(spark, sf_dir):
+    """The whole job, from raw editions to the gold tables in the catalog; returns what these hold."""
+    work, database = work_folder(spark), f"survey_{uuid.uuid4().hex}"
+    write_bronze(spark, sf_dir, f"{work}/bronze")
+    layers = editions.Locations(f"{work}/bronze", f"{work}/silver", f"{work}/gold")
+    jobs.run(spark, layers, database=database)
+    return long_form({name: spark.table(f"{database}.{name}") for name in GOLD_KEYS})
 
 
 # --- text, rows, aggregates ------------------------------------------------------------------
@@ -246,6 +338,8 @@ def scalar_text(spark, sf_dir):
         F.length(name).alias("len"),
         name.contains("ring").alias("has_ring"),
         name.rlike("red|blue").alias("color"),
+        F.trim(F.concat(F.lit("  "), name, F.lit(" "))).alias("trimmed"),
+        F.initcap("p_type").alias("capital"),
     )
 
 
@@ -256,6 +350,8 @@ def scalar_round(spark, sf_dir):
 
 _QUERIES: dict[str, Query] = {
     "scan_csv_edition": scan_csv_edition,
+    "scan_csv_spanning": scan_csv_spanning,
+    "scan_csv_irregular": scan_csv_irregular,
     "null_tokens": null_cells,
     "edition_registry": edition_registry,
     "edition_retention": edition_retention,
@@ -292,7 +388,9 @@ _QUERIES: dict[str, Query] = {
     "scalar_round": scalar_round,
     **{name: _gold(name) for name in gold.GOLD_TABLES},
     "gold_all": gold_all,
+    "run_job": run_job,
     **{name: _analysis(name) for name in analyses.ANALYSES},
+    **{f"sql_{name}": _statement(name) for name in statements.STATEMENTS},
 }
 
 

@@ -7,6 +7,10 @@ respondent (or one header), so the work grows with the table.
 
 from __future__ import annotations
 
+import csv
+import io
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -302,13 +306,32 @@ def respondents(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     return contract(raw, {name: name for name in raw.columns if name != "resp_id"}, *extra)
 
 
+def work_folder(spark: SparkSession) -> str:
+    """A fresh folder below the one ``spark.checkpoint.dir`` names; a local session may name none."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        shared = "file:///tmp/checkpoints"
+    return f"{shared.rstrip('/')}/surveymill-{uuid.uuid4().hex}"
+
+
 def write_bronze(spark: SparkSession, sf_dir: str, bronze: str) -> None:
-    """The respondents as CSV editions, each with its own headers."""
+    """The respondents as CSV editions, each with its own headers, and a file of blank lines in each."""
     raw = from_orders(spark, sf_dir, RAW_ANSWERS)
     for year in EDITIONS:
         columns = [F.col(field).alias(header) for field, header in EDITION_HEADERS[year].items()]
         columns.insert(3, F.lit("decoy").alias(DECOY_HEADERS[year]))
-        write_csv(raw.filter(F.col("survey_year") == year).select(*columns), edition_path(bronze, year))
+        answers = raw.filter(F.col("survey_year") == year).select(*columns)
+        write_csv(answers, edition_path(bronze, year))
+        header = io.StringIO()
+        csv.writer(header, lineterminator="").writerow(answers.columns)
+        lines = [header.getvalue(), "", "   ", " \t ", ""]
+        blank = spark.createDataFrame([(n, line) for n, line in enumerate(lines)], "n int, line string")
+        as_is = dict(sep="\x01", quote="", emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        blank.coalesce(1).sortWithinPartitions("n").select("line").write.mode("append").options(**as_is).csv(
+            edition_path(bronze, year)
+        )
 
 
 def write_csv(frame: DataFrame, path: str) -> None:

@@ -6,8 +6,10 @@ and shares no expression with the Spark code.
 
 from __future__ import annotations
 
+from checks.catalog import GOLD_KEYS
 from checks.fixture import CELLS, EDITION_HEADERS, HEADER_CATALOG, RAW_ANSWERS, RESPONDENTS
 from surveymill.fixed_values import FLAG_FIELDS, HEADER_RULES, INPUT_FIELDS, NULL_TOKENS, SALARY_MIDPOINTS, TOOLS
+from surveymill.plans.statements import STATEMENTS
 
 
 def _orders(sql: str) -> str:
@@ -152,6 +154,51 @@ FROM employed GROUP BY survey_year, sector HAVING count(*) >= 30""",
 }
 
 
+GOLD_MEASURES = {
+    "overview": ("respondents", "employed", "pct_women", "pct_remote", "avg_salary_midpoint", "pct_python", "pct_sql",
+                 "pct_aws", "pct_genai"),
+    "market_structure": ("professionals", "share_pct"),
+    "salary_role_seniority": ("n", "avg_salary"),
+    "gender": ("n", "avg_salary"),
+    "gender_gap": ("n", "avg_salary", "pct_senior"),
+    "tech_adoption": ("adoption_pct", "n"),
+    "region_work_model": ("n", "avg_salary"),
+    "ai_adoption": ("n", "pct_uses_genai", "avg_salary"),
+    "sector": ("n", "avg_salary"),
+}
+
+#: The order that a query's rows have, as an ORDER BY on its oracle.
+ORDERS = {
+    "overview": "survey_year",
+    "market_structure": "survey_year, professionals DESC",
+    "salary_role_seniority": "survey_year, job_family, seniority_group",
+    "gender": "survey_year, gender_group",
+    "tech_adoption": "survey_year, adoption_pct DESC NULLS LAST",
+    "region_work_model": "survey_year, region_group",
+    "sector": "survey_year, n DESC",
+    "q_overview": "survey_year",
+    "q_market_2025": "professionals DESC",
+    "q_market_trend": "job_family, survey_year",
+    "q_salary_senior": "avg_salary DESC",
+    "q_salary_ladder": "job_family, seniority_group",
+    "q_salary_staff": "avg_salary DESC",
+    "q_gender": "survey_year, gender_group",
+    "q_tech_2025": "adoption_pct DESC NULLS LAST",
+    "q_tech_trend": "technology, survey_year",
+    "q_genai_by_family": "pct_genai DESC",
+    "q_region": "n DESC",
+    "q_work_model": "n DESC",
+    "q_work_model_salary": "salario DESC",
+    "q_region_sudeste": "n DESC",
+    "q_top_sectors": "n DESC, sector",
+    "tech_2025": "adoption_pct DESC NULLS LAST",
+    "market_2025_asc": "professionals",
+    "senior_salary_asc": "avg_salary",
+    "tech_2025_asc": "adoption_pct NULLS LAST",
+    "silver_counts": "survey_year",
+}
+
+
 def silver(query: str) -> str:
     return f"WITH {SILVER}\n{query}"
 
@@ -163,9 +210,18 @@ def gold(table: str, query: str | None = None) -> str:
     return f"WITH {SILVER},\n{_EMPLOYED},\n{table} AS ({GOLD[table]})\n{query or f'SELECT * FROM {table}'}"
 
 
-def gold_sizes() -> str:
-    counts = [f"SELECT '{name}' AS gold_table, count(*) AS \"rows\" FROM ({table}) t" for name, table in GOLD.items()]
-    return f"WITH {SILVER},\n{_EMPLOYED}\n" + " UNION ALL ".join(counts)
+def gold_contents(respondents: str) -> str:
+    """All gold tables as (gold_table, row, measure, value)."""
+    parts = []
+    for name, keys in GOLD_KEYS.items():
+        row = ", ".join(f"CAST({key} AS VARCHAR)" for key in keys)
+        measures = [m for m in GOLD_MEASURES[name]]
+        values = ", ".join(f"CAST({m} AS DOUBLE)" for m in measures)
+        parts.append(
+            f"SELECT '{name}' AS gold_table, concat_ws('|', {row}) AS \"row\", unnest([{_strings(measures)}]) AS measure, "
+            f"unnest([{values}]) AS \"value\" FROM ({GOLD[name]}) t"
+        )
+    return f"WITH {respondents},\n{_EMPLOYED}\n" + " UNION ALL ".join(parts)
 
 
 NAMES = f"""headers AS ({_orders(HEADER_CATALOG)}),
@@ -221,6 +277,7 @@ silver AS (SELECT *, {_ENRICHED} FROM inputs)"""
 
 _FOLDED = "coalesce(regexp_replace(strip_accents(lower(text)), '^\\s+|\\s+$', '', 'g'), '')"
 _HEADER_TEXT = "trim(regexp_replace(strip_accents(lower(text)), '[^a-z0-9.]+', ' ', 'g'))"
+_SPANNING = "SELECT * REPLACE (replace(text, '. ', '.' || chr(10) || ' ' || chr(10)) AS text) FROM documents"
 _CELL = f"CASE WHEN {{0}} NOT IN ({_strings(NULL_TOKENS)}) THEN {{0}} END"
 _MAPPING = ", ".join(
     f"({year}, '{field}', '" + header.replace("'", "''") + "')"
@@ -286,10 +343,21 @@ HAVING count(*) >= 12""",
 FROM (SELECT o_orderstatus, o_orderpriority, round(avg(o_totalprice), 0) AS a, count(*) AS n FROM orders GROUP BY 1, 2)
 GROUP BY 1""",
         "scalar_text": """SELECT p_partkey, lower(p_type) AS lo, CAST(length(p_name) AS INT) AS len,
-  contains(p_name, 'ring') AS has_ring, regexp_matches(p_name, 'red|blue') AS color FROM part""",
+  contains(p_name, 'ring') AS has_ring, regexp_matches(p_name, 'red|blue') AS color,
+  trim('  ' || p_name || ' ') AS trimmed,
+  array_to_string(list_transform(string_split(lower(p_type), ' '), lambda w: upper(w[1]) || w[2:]), ' ') AS capital
+FROM part""",
         "scalar_round": """SELECT l_orderkey, l_linenumber, l_partkey, round(l_extendedprice * (1 - l_discount), 0) AS net
 FROM lineitem""",
-        "gold_all": gold_sizes(),
+        "gold_all": gold_contents(SILVER),
+        "run_job": gold_contents(PIPELINE),
+        "pick_largest_file": """SELECT year, length FROM (SELECT CAST(year(o_orderdate) AS VARCHAR) AS year,
+  CAST(sum(strlen(concat_ws(',', o_orderkey, o_custkey, o_orderstatus)) + 1) AS BIGINT) AS length FROM orders GROUP BY 1)
+ORDER BY length DESC, year LIMIT 1""",
+        "scan_csv_spanning": f"""SELECT CAST(doc_id AS VARCHAR) AS c0, {_CELL.format('text')} AS c1,
+  {_CELL.format('lang')} AS c2, {_CELL.format('source')} AS c3, CAST(n_chars AS VARCHAR) AS c4 FROM ({_SPANNING}) d""",
+        "scan_csv_irregular": f"""SELECT CAST(doc_id AS VARCHAR) AS c0, {_CELL.format('text')} AS c1,
+  lang || ' 5" tela' AS c2, source || 's' AS c3 FROM ({_SPANNING}) d""",
         "gold_roundtrip": gold("region_work_model"),
         "gold_csv_roundtrip": gold("sector"),
         "q_overview": gold("overview"),
@@ -367,6 +435,8 @@ FROM lineitem""",
     }
     for name in GOLD:
         sql[name] = gold(name)
+    for name in STATEMENTS:
+        sql[f"sql_{name}"] = sql[name]
     for name in DERIVED:
         sql[name] = silver(f"SELECT resp_id, {name} FROM silver")
     return sql

@@ -3,11 +3,12 @@
     python -m surveymill.jobs land    --download 2023=PATH --download 2024=PATH ... [--bronze URI]
     python -m surveymill.jobs mapping [--bronze URI] [--landed]
     python -m surveymill.jobs silver  [--bronze URI] [--silver URI] [--landed]
-    python -m surveymill.jobs gold    [--silver URI] [--gold URI] [--csv URI]
+    python -m surveymill.jobs gold    [--silver URI] [--gold URI] [--csv URI] [--database NAME]
     python -m surveymill.jobs run     [all of these]
 
 ``mapping`` prints which source column each field takes. ``run`` lands the downloads, if any, and
-builds silver and gold. Layer locations default to BRONZE_URI, SILVER_URI and GOLD_URI, and these
+builds silver and gold. With ``--database`` the gold tables are registered in the catalog, so that
+SQL users find them. Layer locations default to BRONZE_URI, SILVER_URI and GOLD_URI, and these
 to folders of LAKE_URI. The names --BRONZE_S3, --SILVER_S3 and --GOLD_S3 are accepted as well, and
 --JOB_NAME names the job.
 """
@@ -23,6 +24,7 @@ from surveymill.plans.gold import build_gold
 from surveymill.plans.silver import build_silver, mapping_report, open_editions
 from surveymill.session import session
 from surveymill.sources.editions import Locations
+from surveymill.sources.lake import register_tables
 from surveymill.sources.landing import land_downloads
 
 
@@ -32,17 +34,29 @@ def run(
     downloads: Mapping[int, str] | None = None,
     landed: bool = False,
     csv: str | None = None,
+    database: str | None = None,
 ) -> dict[str, DataFrame]:
     """Landing (when there are downloads), silver and gold. The caller owns the session."""
     if downloads:
         land_downloads(spark, downloads, layers.bronze)
     build_silver(spark, layers.bronze, layers.respondents, landed=landed or bool(downloads))
-    return build_gold(spark, layers.respondents, layers.gold, csv)
+    return gold_job(spark, layers, csv, database)
+
+
+def gold_job(
+    spark: SparkSession, layers: Locations, csv: str | None = None, database: str | None = None
+) -> dict[str, DataFrame]:
+    """The gold tables, registered in a catalog database if one is named."""
+    tables = build_gold(spark, layers.respondents, layers.gold, csv)
+    if database is not None:
+        register_tables(spark, database, layers.gold, tables)
+    return tables
 
 
 def print_mapping(spark: SparkSession, bronze: str, landed: bool = False) -> None:
-    report = mapping_report(spark, open_editions(spark, bronze, landed=landed))
-    report.orderBy("survey_year", "field").show(report.count(), truncate=False)
+    report = mapping_report(spark, open_editions(spark, bronze, landed=landed)).orderBy("survey_year", "field")
+    lines = report.collect()  # a line for each edition and field
+    spark.createDataFrame(lines, report.schema).show(len(lines), truncate=False)
 
 
 def _download(text: str) -> tuple[int, str]:
@@ -60,6 +74,7 @@ def _arguments(argv=None) -> argparse.Namespace:
     parser.add_argument("--download", type=_download, action="append", default=[], metavar="YEAR=FOLDER")
     parser.add_argument("--landed", action="store_true", help="the bronze layer holds landed Parquet copies")
     parser.add_argument("--csv", help="also write the gold tables as CSV below this location")
+    parser.add_argument("--database", help="catalog database to register the gold tables in")
     return parser.parse_args(argv)
 
 
@@ -75,9 +90,9 @@ def main(argv=None) -> None:
         elif args.job == "silver":
             build_silver(spark, layers.bronze, layers.respondents, landed=args.landed)
         elif args.job == "gold":
-            build_gold(spark, layers.respondents, layers.gold, args.csv)
+            gold_job(spark, layers, args.csv, args.database)
         else:
-            run(spark, layers, dict(args.download), args.landed, args.csv)
+            run(spark, layers, dict(args.download), args.landed, args.csv, args.database)
     finally:
         spark.stop()
 

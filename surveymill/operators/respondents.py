@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 from surveymill.fixed_values import (
     DERIVED_FIELDS,
@@ -38,6 +38,10 @@ INPUT_SCHEMA = StructType(
     ]
 )
 SILVER_COLUMNS = INPUT_FIELDS + DERIVED_FIELDS
+_NUMBERS = {"salary_midpoint": DoubleType(), "is_employed": IntegerType(), "uses_genai": IntegerType()}
+SILVER_SCHEMA = StructType(
+    [*INPUT_SCHEMA, *(StructField(name, _NUMBERS.get(name, StringType())) for name in DERIVED_FIELDS)]
+)
 
 
 def contract(source: DataFrame, answers: Mapping[str, str], *extra: str) -> DataFrame:

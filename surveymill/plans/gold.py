@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -18,7 +19,7 @@ from surveymill.fixed_values import (
 )
 from surveymill.functions.measures import ratio, share_of_total
 from surveymill.plans import cells as c
-from surveymill.sources.lake import read_gold, read_silver, stage, workspace, write_gold, write_gold_csv
+from surveymill.sources.lake import read_gold, read_silver, remove, stage, write_gold, write_gold_csv
 
 
 def _employed(cells: DataFrame) -> DataFrame:
@@ -175,11 +176,11 @@ def gold_tables(silver: DataFrame) -> dict[str, DataFrame]:
 def build_gold(spark: SparkSession, silver: str, gold: str, csv: str | None = None) -> dict[str, DataFrame]:
     """Write all gold tables (and CSV copies) and return them as read back.
 
-    Cell sets that serve several tables are written to the shared work folder first, so the
+    Cell sets that serve several tables are written to a work folder beside them first, so the
     respondents are scanned four times for nine tables. The four branches do not depend on each
-    other and are submitted side by side.
+    other and are submitted side by side. The work folder is removed when all tables are written.
     """
-    units, work = c.units(read_silver(spark, silver)), workspace(spark)
+    units, work = c.units(read_silver(spark, silver)), f"{gold.rstrip('/')}/_cells-{uuid.uuid4().hex}"
 
     def write_branch(cell_set: str) -> None:
         cells = units
@@ -192,6 +193,7 @@ def build_gold(spark: SparkSession, silver: str, gold: str, csv: str | None = No
     branches = {source for _, source in GOLD_TABLES.values()}
     with ThreadPoolExecutor(len(branches)) as pool:
         list(pool.map(inheritable_thread_target(spark)(write_branch), branches))
+    remove(spark, work)
     tables = read_gold(spark, gold, GOLD_TABLES)
     if csv is not None:
         for name, table in tables.items():

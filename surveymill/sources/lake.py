@@ -2,32 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from surveymill.operators.respondents import SILVER_COLUMNS
+from surveymill.operators.respondents import SILVER_COLUMNS, SILVER_SCHEMA
 
 # A cell is written exactly as it is: no trimming, quotes doubled.
 _CSV = {"header": True, "escape": '"', "multiLine": True}
 _CSV_WRITE = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
-def workspace(spark: SparkSession) -> str:
-    """A fresh folder below the shared folder the session names in ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a temporary folder of this machine.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/surveymill-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="run-")
-
-
 def stage(frame: DataFrame, path: str) -> DataFrame:
     """Write an intermediate result once and go on from the written table."""
     frame.write.mode("overwrite").parquet(path)
@@ -47,7 +32,13 @@ def write_silver(silver: DataFrame, path: str, editions_only: bool = False) -> N
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
     """The respondent table in its canonical column order (the partition column is read last)."""
-    return spark.read.parquet(path).select(*SILVER_COLUMNS)
+    return spark.read.schema(SILVER_SCHEMA).parquet(path).select(*SILVER_COLUMNS)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder of intermediate data, on whatever file system it lies."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def write_gold(table: DataFrame, path: str) -> None:

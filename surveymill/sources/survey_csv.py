@@ -378,7 +378,7 @@ def scan_edition(spark: SparkSession, path: str) -> Edition:
     width = len(headers)
     files = _survey(spark, path)
     for file in files:
-        if (file["separators"] or 0) >= width:
+        if file["whole"] and (file["separators"] or 0) >= width:
             raise ValueError(f"{file['file']}: a record has {file['separators'] + 1} cells, the header has {width}")
     by_line = [unquote(file["file"]) for file in files if file["whole"]]
     spanning = [unquote(file["file"]) for file in files if not file["whole"]]

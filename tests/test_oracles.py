@@ -6,10 +6,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from checks.catalog import QUERIES
+from checks.oracle import ORDERS, oracles
+from surveymill.plans.statements import STATEMENTS
 
 SF = "/root/testdata/sf0.001"
+ORDERED_SF = "/root/testdata/sf0.01"  # enough rows for every order to show
 TABLES = "customer documents events lineitem orders part".split()
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
+ORACLES = oracles()
 
 
 @pytest.fixture(scope="module")
@@ -25,8 +29,8 @@ def _key(value):
 
 
 def test_registration():
-    assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"pick_largest_file"}
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -45,5 +49,15 @@ def test_entry(spark):
     assert driver.entry(spark).columns == ["survey_year", "job_family", "professionals", "share_pct"]
 
 
-def test_largest_file(spark):
-    assert QUERIES["pick_largest_file"](spark, SF).count() == 1
+@pytest.mark.parametrize("name", sorted([*ORDERS, *(f"sql_{name}" for name in STATEMENTS if name in ORDERS)]))
+def test_order(spark, duck, name):
+    """Rows come in the order asked for: the sort keys of the rows as they come are those of the sorted oracle."""
+    order = ORDERS[name.removeprefix("sql_")]
+    keys = [part.split()[0] for part in order.split(", ")]
+    got = [tuple(map(_key, row)) for row in QUERIES[name](spark, ORDERED_SF).select(keys).collect()]
+    tables = duckdb.connect()
+    for table in TABLES:
+        tables.execute(f"CREATE VIEW {table} AS SELECT * FROM '{ORDERED_SF}/{table}.parquet'")
+    expected = tables.execute(f"SELECT {', '.join(keys)} FROM ({ORACLES[name]}) o ORDER BY {order}").fetchall()
+    assert got == [tuple(map(_key, row)) for row in expected]
+    assert len(set(got)) > 1 or name.endswith("q_region_sudeste")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from checks.fixture import DECOY_HEADERS, EDITION_HEADERS, respondents, write_bronze
+from checks.fixture import DECOY_HEADERS, EDITION_HEADERS, respondents, work_folder, write_bronze
 from surveymill import jobs
 from surveymill.fixed_values import EDITIONS, TOOLS
 from surveymill.functions.measures import condition_pct, flag_pct, mean, pick, ratio, share_of_total, weighted_mean
@@ -14,8 +14,9 @@ from surveymill.plans import cells as c
 from surveymill.plans.analyses import ANALYSES, analyse
 from surveymill.plans.gold import GOLD_TABLES, gold_tables
 from surveymill.plans.silver import build_silver, harmonised, mapping_report, open_editions
+from surveymill.plans.statements import STATEMENTS, ask
 from surveymill.sources.editions import Locations, edition_path, registry, retain_registered
-from surveymill.sources.lake import read_gold_csv, read_silver, register_tables, register_views, workspace, write_silver
+from surveymill.sources.lake import read_gold_csv, read_silver, register_tables, write_silver
 from surveymill.sources.landing import land_edition
 
 SF = "/root/testdata/sf0.001"
@@ -149,29 +150,40 @@ def test_a_tool_nobody_was_asked_about_keeps_its_row(spark):
 
 
 def test_gold_of_no_respondents(spark, tmp_path):
-    write_silver(enrich(respondents(spark, SF)).limit(0), f"{tmp_path}/silver")
-    with pytest.raises(Exception, match="UNABLE_TO_INFER_SCHEMA|PATH_NOT_FOUND"):
-        read_silver(spark, f"{tmp_path}/silver")
-    tables = gold_tables(enrich(respondents(spark, SF)).limit(0))
+    empty = enrich(respondents(spark, SF)).limit(0)
+    write_silver(empty, f"{tmp_path}/silver")
+    assert read_silver(spark, f"{tmp_path}/silver").schema.simpleString() == empty.select(*SILVER_COLUMNS).schema.simpleString()
+    tables = gold_tables(read_silver(spark, f"{tmp_path}/silver"))
     assert {name: table.count() for name, table in tables.items()} == dict.fromkeys(GOLD_TABLES, 0)
 
 
-def test_the_same_analyses_as_sql_on_views_and_tables(spark, lake, tmp_path):
+def test_the_same_analyses_as_sql(spark, lake):
     tables = {name: spark.read.parquet(f"{lake[1].gold}/{name}") for name in GOLD_TABLES}
-    register_views(tables)
-    statements = {
-        "q_region": "SELECT region_group, sum(n) AS n FROM region_work_model WHERE survey_year = 2025 GROUP BY 1",
-        "q_tech_2025": "SELECT technology, adoption_pct, n FROM tech_adoption WHERE survey_year = 2025",
-        "q_gender": "SELECT * FROM gender_gap",
-        "q_work_model_salary": """SELECT work_model_group, sum(n) AS n, round(sum(avg_salary * n) / sum(n), 0) AS salario
-            FROM region_work_model WHERE survey_year = 2025 AND avg_salary IS NOT NULL GROUP BY work_model_group""",
-    }
-    for name, statement in statements.items():
-        assert _sorted(spark.sql(statement)) == _sorted(analyse(name, tables)), name
+    for year in (2024, 2025):
+        for name in STATEMENTS:
+            assert _sorted(ask(spark, name, tables, year)) == _sorted(analyse(name, tables, year)), name
     for name in tables:
         spark.catalog.dropTempView(name)
 
 
+def test_the_jobs_from_the_command_line(spark, lake, tmp_path, monkeypatch):
+    """Silver, gold and run with a real session (which outlives them here); nothing is left of the work folder."""
+    monkeypatch.setattr(type(spark), "stop", lambda self: None)
+    where = ["--bronze", lake[1].bronze, "--silver", f"{tmp_path}/silver", "--gold", f"{tmp_path}/gold"]
+    database = "survey_jobs_test"
+    try:
+        jobs.main(["silver", *where])
+        assert _sorted(read_silver(spark, f"{tmp_path}/silver/professionals")) == _sorted(read_silver(spark, lake[1].respondents))
+        jobs.main(["gold", *where, "--database", database, "--csv", f"{tmp_path}/csv"])
+        assert sorted(path.name for path in (tmp_path / "gold").iterdir()) == sorted(GOLD_TABLES)
+        for name in GOLD_TABLES:
+            assert _sorted(spark.table(f"{database}.{name}")) == _sorted(spark.read.parquet(f"{lake[1].gold}/{name}")), name
+        jobs.main(["run", "--bronze", lake[1].bronze, "--silver", f"{tmp_path}/s", "--gold", f"{tmp_path}/g"])
+        assert _sorted(spark.read.parquet(f"{tmp_path}/g/sector")) == _sorted(spark.read.parquet(f"{lake[1].gold}/sector"))
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+
 def test_every_analysis_takes_another_year(spark, lake):
     tables = {name: spark.read.parquet(f"{lake[1].gold}/{name}") for name in GOLD_TABLES}
     for name in ANALYSES:
@@ -236,14 +248,17 @@ def test_command_line(monkeypatch):
     monkeypatch.setattr(jobs, "build_silver", lambda s, b, t, landed: calls.append((b, t, landed)))
     monkeypatch.setattr(jobs, "build_gold", lambda s, silver, gold, csv: calls.append((silver, gold, csv)))
     monkeypatch.setattr(jobs, "land_downloads", lambda s, d, b: calls.append((d, b)))
+    monkeypatch.setattr(jobs, "register_tables", lambda s, database, gold, names: calls.append((database, gold)))
     jobs.main(["silver", "--JOB_NAME", "nightly", "--BRONZE_S3", "b", "--SILVER_S3", "s"])
     jobs.main(["gold", "--silver", "s", "--gold", "g", "--csv", "c"])
+    jobs.main(["gold", "--silver", "s", "--gold", "g", "--database", "d"])
     jobs.main(["land", "--download", "2023=x", "--download", "2024=y=z", "--bronze", "b"])
     jobs.main(["run", "--bronze", "b", "--silver", "s", "--gold", "g", "--landed"])
     jobs.main(["run", "--download", "2023=x", "--bronze", "b", "--silver", "s", "--gold", "g"])
     assert calls == [
         ("b", "s/professionals", False), "stop",
         ("s/professionals", "g", "c"), "stop",
+        ("s/professionals", "g", None), ("d", "g"), "stop",
         ({2023: "x", 2024: "y=z"}, "b"), "stop",
         ("b", "s/professionals", True), ("s/professionals", "g", None), "stop",
         ({2023: "x"}, "b"), ("b", "s/professionals", True), ("s/professionals", "g", None), "stop",
@@ -267,14 +282,13 @@ class _Session:
         self.sparkContext = type("Context", (), {"master": master})()
 
 
-def test_workspaces_are_fresh_folders_of_the_shared_one(tmp_path, monkeypatch):
+def test_work_folders_are_fresh_folders_of_the_shared_one():
     cluster = _Session("yarn", **{"spark.checkpoint.dir": "/shared/folder/"})
-    first, second = workspace(cluster), workspace(cluster)
+    first, second = work_folder(cluster), work_folder(cluster)
     assert first != second and first.startswith("/shared/folder/surveymill-")
-    monkeypatch.setattr("tempfile.tempdir", str(tmp_path))
-    assert workspace(_Session("local[2]")).startswith(str(tmp_path))
+    assert work_folder(_Session("local[2]")).startswith("file:///tmp/checkpoints/")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        workspace(_Session("yarn"))
+        work_folder(_Session("yarn"))
 
 
 def test_gold_folders_become_catalog_tables(spark, lake):
