@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 from surveymill.llm.common import slices
 
@@ -237,8 +238,8 @@ def sample_pieces(
     rows = docs.select(
         F.col(key_col).alias("key"), F.xxhash64(F.lit(seed), F.col(key_col)).alias("seed"), F.col(text_col).cast("string").alias("text")
     )
-    added = rows.select("key").schema.add("ids", "array<int>").add("decoded", "string")
-    types = to_arrow_schema(added)
+    schema = rows.select("key").schema.add("ids", ArrayType(IntegerType())).add("decoded", StringType())
+    types = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -249,4 +250,4 @@ def sample_pieces(
                 column = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)).cast(types.field(1).type)
                 yield pa.RecordBatch.from_arrays([part.column(0), column, pa.array(decoded)], schema=types)
 
-    return rows.mapInArrow(run, added)
+    return rows.mapInArrow(run, schema)
