@@ -143,7 +143,9 @@ WITH hosted AS (
   FROM placed p JOIN domains d USING (domain, suffix) JOIN suffixes s USING (suffix), overall
 ), judged AS (
   SELECT h.page_id, h.host, h.path, d.n, d.bad,
-    CASE WHEN d.share - {deviations} * sqrt(d.share * (1 - d.share) / (d.n + d.host_s + 1)) > {bad_share} THEN 'block' ELSE 'allow' END AS method,
+    CASE WHEN (d.share + {deviations} * {deviations} / (2 * (d.n + d.host_s)) - {deviations} * sqrt(d.share * (1 - d.share) / (d.n + d.host_s)
+      + {deviations} * {deviations} / (4 * (d.n + d.host_s) * (d.n + d.host_s)))) / (1 + {deviations} * {deviations} / (d.n + d.host_s)) > {bad_share}
+      THEN 'block' ELSE 'allow' END AS method,
     CASE {rules} END AS rule
   FROM hosted h JOIN drawn d USING (host)
 )

@@ -30,7 +30,7 @@ RULES = (
 TWO_LABEL_SUFFIXES = ("ac.uk", "co.jp", "co.nz", "co.uk", "com.au", "com.br", "gov.uk", "org.uk")
 
 BAD_SHARE = 0.5  # a host is blocked if its share of bad pages is beyond this,
-DEVIATIONS = 1.645  # so many posterior standard deviations below its mean
+DEVIATIONS = 1.645  # by the lower end of the score interval of so many standard deviations about its posterior
 WEAKEST, STRONGEST = 1.0, 1000.0  # limits of a prior's strength, in pages
 
 
@@ -123,8 +123,11 @@ def reputations(pages: DataFrame, bad_pages: DataFrame) -> DataFrame:
     domains = domains.join(suffixes, "suffix").select(
         "domain", "suffix", drawn("d_bad", "d_n", of_domains, F.col("s_share")).alias("d_share")
     )
-    share, pages_known = F.col("share"), F.col("n") + F.lit(of_hosts.strength)
-    low = share - F.lit(DEVIATIONS) * F.sqrt(share * (1 - share) / (pages_known + 1))
+    # the score interval of the posterior share over as many pages as labels and prior weigh: it stays
+    # wide where both are few, and shares near 0 or 1 do not make it narrow
+    share, weighed, z = F.col("share"), F.col("n") + F.lit(of_hosts.strength), F.lit(DEVIATIONS)
+    half = z * F.sqrt(share * (1 - share) / weighed + z * z / (4 * weighed * weighed))
+    low = (share + z * z / (2 * weighed) - half) / (1 + z * z / weighed)
     judged = hosts.join(domains, ["domain", "suffix"]).withColumn("share", drawn("bad", "n", of_hosts, F.col("d_share")))
     return judged.select("host", "n", "bad", "share", low.alias("low"))
 

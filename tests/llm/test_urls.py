@@ -76,7 +76,8 @@ def test_reputations(spark):
         share = (by_suffix[suffix[h]][1] + s_suffix * (bad + 1) / (n + 2)) / (by_suffix[suffix[h]][0] + s_suffix)
         share = (by_domain[domain[h]][1] + s_domain * share) / (by_domain[domain[h]][0] + s_domain)
         share = (b + s_host * share) / (k + s_host)
-        low = share - urls.DEVIATIONS * (share * (1 - share) / (k + s_host + 1)) ** 0.5
+        w, z = k + s_host, urls.DEVIATIONS
+        low = (share + z * z / (2 * w) - z * (share * (1 - share) / w + z * z / (4 * w * w)) ** 0.5) / (1 + z * z / w)
         assert abs(got[h].share - share) < 1e-9 and abs(got[h].low - low) < 1e-9
     judged = urls.judge_urls(frame.selectExpr("page_id", "concat('http://', host, '/') AS url"), marks, rules=())
     verdicts = {r.host: r.verdict for r in judged.collect()}
