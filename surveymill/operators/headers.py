@@ -22,6 +22,7 @@ from surveymill.fixed_values import (
 )
 from surveymill.functions.text import contains_any, header_name, literal, matches
 
+_PLACES = "10000000000BD"  # beyond any length or position; four numbers below it fit one decimal
 RESOLVED_FIELDS = INPUT_FIELDS[2:]  # survey_year and edition come from the registry
 
 
@@ -39,6 +40,13 @@ def powerbi() -> tuple[str, bool]:
     return f"CASE WHEN {fits} THEN IF({coded}, 0, 1) END", False
 
 
+def _rank(step: str, shortest: bool) -> str:
+    """Step, lengths and position as one number, the best header's being the least: a minimum over numbers is
+    taken in hash tables on the map side, one over structs or text only after a sort."""
+    name, header = ("name_length", "header_length") if shortest else ("0", "0")
+    return f"(({step} * {_PLACES} + {name}) * {_PLACES} + {header}) * {_PLACES} + pos"
+
+
 def best_headers(headers: DataFrame, rules: dict[str, tuple[str, bool]], by: str = "survey_year") -> DataFrame:
     """``(by, field, source_header, pos)``: one row per edition and field, null where nothing fits.
 
@@ -55,14 +63,14 @@ def best_headers(headers: DataFrame, rules: dict[str, tuple[str, bool]], by: str
         *[f"{step} AS {field}" for field, (step, _) in rules.items()],
     )
     best = [
-        f"min(IF({field} IS NULL, NULL, struct({field}, {'name_length, header_length' if shortest else '0, 0'}, "
-        f"pos, header))) AS {field}"
+        f"min(IF({field} IS NULL, NULL, {_rank(field, shortest)})) AS {field}"
         for field, (_, shortest) in rules.items()
     ]
-    answers = ", ".join(
-        f"struct({literal(field)} AS field, {field}.header AS source_header, {field}.pos AS pos)" for field in rules
-    )
-    return steps.groupBy(by).agg(*map(F.expr, best)).selectExpr(by, f"inline(array({answers}))")
+    answers = ", ".join(f"struct({literal(field)} AS field, {field} AS rank)" for field in rules)
+    found = steps.groupBy(by).agg(*map(F.expr, best)).selectExpr(by, f"inline(array({answers}))")
+    places = found.selectExpr(by, "field", f"CAST(rank % {_PLACES} AS INT) AS pos")
+    texts = headers.select(by, "pos", F.col("header").alias("source_header"))
+    return places.join(texts, [by, "pos"], "left").select(by, "field", "source_header", "pos")
 
 
 def find_column(

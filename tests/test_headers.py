@@ -90,4 +90,5 @@ def test_coded_powerbi_wins_over_an_earlier_one(spark):
 
 def test_the_headers_are_never_joined_with_the_rules(spark):
     plan = resolve_schema(_catalog(spark, {1: ["Idade"]}))._jdf.queryExecution().executedPlan().toString()
-    assert "Join" not in plan and "Cartesian" not in plan
+    assert "Cartesian" not in plan and "NestedLoop" not in plan and "SortAggregate" not in plan
+    assert plan.count("Join [") == 1 and "[survey_year" in plan.split("Join ", 1)[1]  # the texts of the best headers
