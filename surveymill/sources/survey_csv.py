@@ -168,12 +168,17 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
 
 
 def _survey(spark: SparkSession, path: str) -> list:
-    """For each file: whether every line is a record, and the most separators in a line of whole cells."""
+    """For each file: whether every line is a record (and the first one the header), and the most separators
+    in a line of whole cells."""
     value = F.regexp_replace("value", r"\r+\z", "")
-    lines = _text(spark, path).select(F.col("_metadata.file_path").alias("file"), value.alias("value"))
+    lines = _text(spark, path).select(
+        F.col("_metadata.file_path").alias("file"), value.alias("value"),
+        F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()).alias("place"),
+    )
+    starts = F.min_by(F.col("value").rlike("[^ \t]"), "place")
     whole = ~F.col("value").contains("\r") & _is_whole(F.col("value"))
     most = F.max(F.when(whole, _separators(F.col("value"))))
-    return lines.groupBy("file").agg(F.every(whole).alias("whole"), most.alias("separators")).collect()
+    return lines.groupBy("file").agg((F.every(whole) & starts).alias("whole"), most.alias("separators")).collect()
 
 
 def _schema(width: int) -> str:
@@ -207,11 +212,12 @@ def _split_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int,
 
 
 def _quoting(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """For each split: whether a cell is open at its end if none (or one) is at its start, and whether a
-    record ends in it in the latter case."""
+    """For each split: whether a cell is open at its end if none (or one) is at its start, whether a record
+    ends in it in the latter case, and whether it has a line that is not blank."""
     state: dict[tuple[int, int], list[bool]] = {}
     for key, lines in _split_runs(batches):
-        s = state.setdefault(key, [False, True, False])
+        s = state.setdefault(key, [False, True, False, False])
+        s[3] = s[3] or _header_reach(lines) < len(lines) or bool(lines[-1].as_py().strip(" \t\r"))
         for line in lines.filter(pc.match_substring(lines, '"')).to_pylist():
             s[0], s[1] = open_after(line, s[0]), open_after(line, s[1])
             s[2] |= not s[1]
@@ -220,30 +226,40 @@ def _quoting(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[p
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], schema=schema)
 
 
-def _starts_inside(lines: DataFrame) -> dict[tuple[int, int], int]:
-    """``(file, block) -> opener`` of the splits that start inside a cell: the split where that record starts.
+def _starts_inside(lines: DataFrame) -> tuple[dict[tuple[int, int], int], dict[int, int]]:
+    """``(file, block) -> opener`` of the splits that start inside a cell: the split where that record starts;
+    and ``file -> block`` of the split where its header starts.
 
     At most one entry for each split of the files, about 100 bytes; no text.
     """
-    schema = pa.schema([("file", pa.int64()), ("block", pa.int64()), *((n, pa.bool_()) for n in ("after_out", "after_in", "ends"))])
+    flags = ("after_out", "after_in", "ends", "filled")
+    schema = pa.schema([("file", pa.int64()), ("block", pa.int64()), *((n, pa.bool_()) for n in flags)])
     splits = lines.mapInArrow(
-        lambda batches: _quoting(batches, schema), "file long, block long, after_out boolean, after_in boolean, ends boolean"
+        lambda batches: _quoting(batches, schema), ", ".join(["file long", "block long", *(f"{n} boolean" for n in flags)])
     )
     inside: dict[tuple[int, int], int] = {}
+    heads: dict[int, int] = {}
     file, opened, opener = None, False, 0
     for row in splits.orderBy("file", "block").toLocalIterator():
         if row["file"] != file:
             file, opened, opener = row["file"], False, row["block"]
+        if row["filled"]:
+            heads.setdefault(file, row["block"])
         if opened:
             inside[file, row["block"]] = opener
         if not opened or row["ends"]:
             opener = row["block"]
         opened = row["after_in"] if opened else row["after_out"]
-    return inside
+    return inside, heads
 
 
 def _assemble(
-    batches: Iterator[pa.RecordBatch], inside: dict[tuple[int, int], int], width: int, cut: bool, schema: pa.Schema
+    batches: Iterator[pa.RecordBatch],
+    inside: dict[tuple[int, int], int],
+    heads: dict[int, int],
+    width: int,
+    cut: bool,
+    schema: pa.Schema,
 ) -> Iterator[pa.RecordBatch]:
     """The records of a partition's splits: those that lie within a split, or (``cut``) the pieces of the others."""
     made: list[tuple] = []
@@ -284,7 +300,7 @@ def _assemble(
                 piece(key, begun, opener, header)
             key = run_key
             opened = key in inside
-            opener, header, begun = inside.get(key, key[1]), key[1] == 0, []
+            opener, header, begun = inside.get(key, key[1]), key[1] == heads.get(key[0]), []
         trimmed = pc.utf8_rtrim(lines, "\r")
         marked = pc.or_(pc.match_substring(trimmed, '"'), pc.match_substring(trimmed, "\r"))
         if header:  # up to the first record of the file lines are taken one by one
@@ -348,11 +364,11 @@ def _whole_records(pieces: Iterator[pa.RecordBatch], width: int, schema: pa.Sche
 def _spanning(spark: SparkSession, paths, width: int) -> DataFrame:
     """``(record)``: the data records of files whose records may span lines."""
     lines = _placed(spark, paths)
-    inside = _starts_inside(lines)
+    inside, heads = _starts_inside(lines)
     types = pa.schema([("record", pa.string()), *((n, pa.int64()) for n in ("file", "block", "opener")), ("head", pa.bool_())])
 
     def assembled(cut: bool) -> DataFrame:
-        return lines.mapInArrow(lambda batches: _assemble(batches, inside, width, cut, types), _RECORDS)
+        return lines.mapInArrow(lambda batches: _assemble(batches, inside, heads, width, cut, types), _RECORDS)
 
     records = assembled(False).select("record")
     if inside:
