@@ -37,7 +37,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = stage(simhash.near_duplicates(docs), "near-dedup")
     first = found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
     first = stage(first, "near-dedup-first")
-    kept = docs.join(first.select("doc_id"), "doc_id", "left_semi").unionByName(docs.filter("doc_id IS NULL"))
+    # as many ids as documents: a merge join at every size, no broadcast
+    named = docs.join(first.select("doc_id").hint("merge"), "doc_id", "left_semi")
+    kept = named.unionByName(docs.filter("doc_id IS NULL"))
     repeated = first.filter("n > 1").select("doc_id")
     if not repeated.isEmpty():
         again = kept.join(repeated, "doc_id", "left_semi")
