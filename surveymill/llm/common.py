@@ -12,7 +12,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 #: Text handed to a worker function at once; a batch of longer texts is worked off in slices.
-SLICE_CHARS = 4_000_000
+SLICE_BYTES = 4_000_000
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
@@ -46,19 +46,24 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
-def slices(batch: pa.RecordBatch, text: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """The batch in runs of rows of about SLICE_CHARS, with the texts of column ``text`` (null: empty)."""
-    column = batch.column(text)
-    ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(column), 0).cast(pa.int64())).to_pylist()
+def runs(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows whose text or binary ``column`` holds about SLICE_BYTES."""
+    ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(batch.column(column)), 0).cast(pa.int64())).to_pylist()
     start = 0
     while start < len(ends):
-        limit, stop = (ends[start - 1] if start else 0) + SLICE_CHARS, start + 1
+        limit, stop = (ends[start - 1] if start else 0) + SLICE_BYTES, start + 1
         while stop < len(ends) and ends[stop] <= limit:
             stop += 1
-        yield batch.slice(start, stop - start), [x or "" for x in column.slice(start, stop - start).to_pylist()]
+        yield batch.slice(start, stop - start)
         start = stop
 
 
+def slices(batch: pa.RecordBatch, text: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """The runs of a batch, each with the texts of column ``text`` (null: empty)."""
+    for part in runs(batch, text):
+        yield part, [x or "" for x in part.column(text).to_pylist()]
+
+
 def per_text(
     frame: DataFrame, keep: Iterable[str], text: str, work: Callable[[list[str]], dict[str, list]], added: str
 ) -> DataFrame:

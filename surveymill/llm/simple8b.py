@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from surveymill.llm.common import arrow_schema, slices, work_folder
+from surveymill.llm.common import arrow_schema, runs, slices, work_folder
 from surveymill.llm.tokens import END_ID, encoder, public_file
 
 BLOCK = 1024
@@ -97,11 +97,23 @@ def encode(lists: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def decode(offsets: np.ndarray, words: np.ndarray, n: int) -> np.ndarray:
-    """The ``n`` ids of one list."""
-    if not n:
-        return np.zeros(0, np.uint64)
-    selectors = (words >> np.uint64(60)).astype(np.int64)
+def decode(lists: list[tuple[np.ndarray, np.ndarray, int]]) -> list[np.ndarray]:
+    """The ids of each list ``(offsets, words, n)``; the words of all lists are decoded side by side."""
+    counts = np.array([n for *_, n in lists], np.int64)
+    ends = np.cumsum(counts)
+    if not ends.size or not ends[-1]:
+        return [np.zeros(0, np.uint64) for _ in lists]
+    words = np.concatenate([words for _, words, _ in lists])
+    first_word = np.cumsum([0, *(len(words) for _, words, _ in lists)])
+    blocks = np.array([len(offsets) for offsets, *_ in lists], np.int64)
+    of_list = np.repeat(np.arange(len(lists)), blocks)
+    number = np.arange(len(of_list)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+    # of every block: its first word, and where its ids start and stop in the output
+    block_at = np.concatenate([offsets for offsets, *_ in lists]) + first_word[of_list]
+    block_start = (ends - counts)[of_list] + number * BLOCK
+    block_stop = np.minimum(block_start + BLOCK, ends[of_list])
+
+    selectors = (words >> np.uint64(60)).astype(np.uint8)
     is_raw = np.zeros(len(words), bool)
     for at in np.flatnonzero(selectors == ESCAPE).tolist():  # rare: ids of more than 60 bits
         if not is_raw[at]:
@@ -110,23 +122,24 @@ def decode(offsets: np.ndarray, words: np.ndarray, n: int) -> np.ndarray:
     chosen = selectors[head]
     nominal = np.append(_COUNTS, [0, 1])[chosen]
     before = np.cumsum(nominal) - nominal
-    block = np.searchsorted(offsets, head, side="right") - 1
-    opening = np.searchsorted(head, offsets)
-    start = block * BLOCK + before - before[opening][block]
-    ids = np.zeros(n + _REACH, np.uint64)
-    stop = np.minimum((block + 1) * BLOCK, n)
+    opening = np.searchsorted(head, block_at)
+    heads = np.diff(np.append(opening, len(head)))
+    start = before + np.repeat(block_start - before[opening], heads)
+    real = np.minimum(nominal, np.repeat(block_stop, heads) - start)  # a block's last word may be filled in part
+    ids = np.zeros(int(ends[-1]) + _REACH, np.uint64)
+    by_selector = np.argsort(chosen, kind="stable")
+    bounds = np.searchsorted(chosen[by_selector], np.arange(len(COUNTS) + 1))
     for selector, count in enumerate(COUNTS):
-        own = np.flatnonzero(chosen == selector)
-        if len(own):
-            width = np.uint64(60 // count)
-            shifts = np.arange(count, dtype=np.uint64) * width
-            values = (words[head[own]][:, None] >> shifts) & ((np.uint64(1) << width) - np.uint64(1))
-            place = start[own][:, None] + np.arange(count)
-            real = place < stop[own][:, None]
-            ids[place[real]] = values[real]
+        own = by_selector[bounds[selector] : bounds[selector + 1]]
+        packed, places, whole = words[head[own]], start[own], real[own]
+        mask = np.uint64((1 << (60 // count)) - 1)
+        for k in range(count):
+            if k and (part := whole > k).sum() < len(packed):
+                packed, places, whole = packed[part], places[part], whole[part]
+            ids[places + k] = (packed >> np.uint64(k * (60 // count))) & mask
     raw = chosen == ESCAPE
     ids[start[raw]] = words[head[raw] + 1]
-    return ids[:n]
+    return [ids[end - n : end] for end, n in zip(ends.tolist(), counts.tolist(), strict=True)]
 
 
 # --- token files -------------------------------------------------------------------------------
@@ -195,15 +208,17 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [
-                decode(np.asarray(offsets), np.frombuffer(words, "<u8"), n).astype("<u4").tobytes()
-                for offsets, words, n in zip(
-                    batch.column("offsets").to_pylist(), batch.column("words").to_pylist(),
-                    batch.column("n_tokens").to_pylist(), strict=True,
-                )
-            ]
-            kept = [batch.column(name) for name in ("part", "doc_id", "n_tokens", "before")]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(ids, pa.binary())], schema=types)
+            for part in runs(batch, batch.schema.get_field_index("words")):
+                lists = [
+                    (np.asarray(offsets), np.frombuffer(words, "<u8"), n)
+                    for offsets, words, n in zip(
+                        part.column("offsets").to_pylist(), part.column("words").to_pylist(),
+                        part.column("n_tokens").to_pylist(), strict=True,
+                    )
+                ]
+                ids = [x.astype("<u4").tobytes() for x in decode(lists)]
+                kept = [part.column(name) for name in ("part", "doc_id", "n_tokens", "before")]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(ids, pa.binary())], schema=types)
 
     decoded = _files(spark, path).mapInArrow(run, columns)
     base = read_index(spark, path)  # as many rows as tasks wrote

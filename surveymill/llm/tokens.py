@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 from functools import cache
 
 import numpy as np
@@ -45,11 +46,14 @@ class Encoder:
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self._model = self._tokenizer.model
         self._bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self._blank = self._bytes(" ")[0][0]  # visible ASCII stands for itself
         self._known: dict[str, bytes] = {}
 
     def _of_piece(self, piece: str) -> bytes:
-        mapped = self._bytes(piece)[0][0]
-        return np.array([token.id for token in self._model.tokenize(mapped)], "<u4").tobytes()
+        plain = piece.isascii() and "\n" not in piece
+        mapped = piece.replace(" ", self._blank) if plain else self._bytes(piece)[0][0]
+        ids = [token.id for token in self._model.tokenize(mapped)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         if _ODD.search(text):

@@ -54,8 +54,8 @@ ids = st.integers(0, 50256) | st.integers(0, 3) | st.integers(0, 2**64 - 1)
 @settings(max_examples=300, deadline=None)
 def test_simple8b_round_trip(lists):
     coded = simple8b.encode([np.array(x, np.uint64) for x in lists])
-    for values, (offsets, words) in zip(lists, coded, strict=True):
-        assert simple8b.decode(offsets, words, len(values)).tolist() == values
+    decoded = simple8b.decode([(*c, len(x)) for c, x in zip(coded, lists, strict=True)])
+    assert [x.tolist() for x in decoded] == lists
 
 
 def test_simple8b_blocks_and_escapes():
@@ -63,7 +63,7 @@ def test_simple8b_blocks_and_escapes():
     values = [rng.choice([0, 1, 7, 300, 50256, 2**60, 2**64 - 1, 15 << 60]) for _ in range(5 * simple8b.BLOCK + 17)]
     ((offsets, words),) = simple8b.encode([np.array(values, np.uint64)])
     assert len(offsets) == 6 and offsets[0] == 0
-    assert simple8b.decode(offsets, words, len(values)).tolist() == values
+    assert simple8b.decode([(offsets, words, len(values))])[0].tolist() == values
     ones = np.ones(simple8b.BLOCK, np.uint64)
     assert len(simple8b.encode([ones])[0][1]) == -(-simple8b.BLOCK // 60)
 
