@@ -33,8 +33,8 @@ MAX_BITS = 3
 HASH_SEED = 42
 NODE_LIMIT = 50_000  # fingerprints of a subtree that one walk takes
 CHUNK = 200_000  # fingerprints of whole units that are walked at a time
-FRONTIER = 2_000_000  # node pairs that are widened at a time
-SALTS = 16  # a node's links are dealt over so many tasks
+FRONTIER = 250_000  # node pairs that are widened at a time
+LINKS_OF_A_TASK = 100_000  # links of one node that one task joins
 LINKS = "fp_a long, id_a long, fp_b long, id_b long"
 _NO_ID = 2**63 - 1
 
@@ -248,22 +248,21 @@ def trie_links(classes: DataFrame, max_bits: int = MAX_BITS, node_limit: int = N
 # --- components --------------------------------------------------------------------------------
 
 
-def _least(links: DataFrame) -> DataFrame:
-    """The least neighbour of every node, a row for each salt."""
+def _with_least(links: DataFrame, salts: int) -> DataFrame:
+    """The links ``(u, v)`` with the least neighbour ``m`` of u; the links of a node are dealt over ``salts`` tasks."""
     least = links.groupBy("u").agg(F.min("v").alias("m"))
-    return least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    if salts == 1:
+        return links.join(least, "u")
+    least = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return links.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(salts)).cast("int")).join(least, ["u", "salt"])
 
 
-def _salted(links: DataFrame) -> DataFrame:
-    return links.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
-
-
-def _star_round(links: DataFrame) -> DataFrame:
+def _star_round(links: DataFrame, salts: int) -> DataFrame:
     """A large-star and a small-star step over links ``(u, v)`` with u > v."""
     both = links.unionAll(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    near = _salted(both).join(_least(both), ["u", "salt"])
-    large = near.filter("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
-    near = _salted(large).join(_least(large), ["u", "salt"])
+    near = _with_least(both, salts).filter("v > u")
+    large = near.select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
+    near = _with_least(large, salts)
     moved = near.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return near.select("u", F.col("m").alias("v")).unionAll(moved).distinct()
 
@@ -272,17 +271,20 @@ def components(links: DataFrame) -> DataFrame:
     """``(node, root)`` of every linked node but the roots: the least node of its component.
 
     links: ``(u, v)`` of any orderable type. Rounds go on until a round changes nothing; each is a
-    written table. A node's links are dealt over SALTS tasks, its minimum is pre-aggregated.
+    written table. The links of a node are dealt over as many tasks as the largest node needs to leave
+    LINKS_OF_A_TASK to each; its minimum is pre-aggregated.
     """
     links = links.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     before = None
     while True:
         links = stage(links, "simhash-links")
-        state = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state[0] == 0 or state == before:
+        ends = links.select(F.explode(F.array("u", "v")).alias("node"), F.xxhash64("u", "v").alias("hash"))
+        nodes = ends.groupBy("node").agg(F.count("*").alias("n"), F.sum(F.col("hash").cast("decimal(38,0)")).alias("hash"))
+        *state, most = nodes.agg(F.sum("n"), F.sum("hash"), F.max("n")).first()
+        if not most or state == before:
             return links.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = state
-        links = _star_round(links)
+        links = _star_round(links, 1 + most // LINKS_OF_A_TASK)
 
 
 def near_duplicates(

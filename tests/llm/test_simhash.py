@@ -107,3 +107,18 @@ def test_documents(spark):
 def test_empty_table(spark):
     frame = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(frame).collect() == []
+
+
+@pytest.mark.parametrize("frontier", [simhash.FRONTIER, 7])
+def test_walk_in_parts_of_the_frontier(monkeypatch, frontier):
+    monkeypatch.setattr(simhash, "FRONTIER", frontier)
+    rng = random.Random(frontier)
+    seeds = [rng.getrandbits(64) for _ in range(4)]
+    fps = sorted({s ^ sum(1 << i for i in rng.sample(range(64), rng.randrange(0, 4))) for s in seeds for _ in range(30)})
+    starts = np.array([[0], [len(fps)], [0], [len(fps)], [0]])
+    found = {
+        (min(a, b), max(a, b))
+        for x, y in simhash.walk(np.array(fps, np.uint64), starts, 64, 3)
+        for a, b in zip(x.tolist(), y.tolist(), strict=True)
+    }
+    assert found == {(i, j) for j in range(len(fps)) for i in range(j) if (fps[i] ^ fps[j]).bit_count() <= 3}
