@@ -22,7 +22,8 @@ def boilerplate_lines(
 ) -> DataFrame:
     """``(host, lines)``: the hashes of each host's boilerplate lines; hosts without any are left out."""
     rows = pages.select(F.col(host_col).alias("host"), F.col(text_col).alias("text")).filter("host IS NOT NULL")
-    totals = rows.groupBy("host").agg(F.count("*").alias("pages"))
+    # staged, so that its size is known, and that a host with many lines can be split in the join below
+    totals = stage(rows.groupBy("host").agg(F.count("*").alias("pages")), "boilerplate-hosts")
     line = F.explode(F.array_distinct(F.split("text", "\n")))
     lines = rows.select("host", line.alias("line")).filter("trim(line) <> ''")
     counts = (
