@@ -32,8 +32,8 @@ from surveymill.llm.common import slices
 
 SHARPNESS = 1.0
 RANK_SHIFT = 10
-#: Edges kept by a worker (16 bytes each and their unit's text); the tables start anew beyond it.
-KEPT_EDGES = 5_000_000
+#: Edges kept by a worker (12 bytes each, and as much for their units); the tables start anew beyond it.
+KEPT_EDGES = 10_000_000
 _BLANK = "▁"  # how the model writes a blank; one in a text is spelled by bytes
 _UNIT = re.compile(r" *[^ \n]+| +|\n")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -47,6 +47,20 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class _Slots:
+    """Hashes by slot: row k holds, for every slot, the number of the k-th hash that falls there, or -1."""
+
+    def __init__(self, hashes: np.ndarray) -> None:
+        bits = max(4, int(4 * len(hashes)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.hashes = hashes
+        slot = (mixed(hashes) >> self.shift).astype(np.int64)
+        order = np.argsort(slot, kind="stable")
+        rank = np.arange(len(order)) - np.searchsorted(slot[order], slot[order])
+        self.rows = np.full((int(rank.max(initial=0)) + 1, 1 << bits), -1, np.int32)
+        self.rows[rank, slot[order]] = order
+
+
 class Sampler:
     """Lattices over the pieces of a model file."""
 
@@ -69,7 +83,7 @@ class Sampler:
                 self.pieces[text] = (number, (max(0.0, -model.get_score(number)) + RANK_SHIFT) ** -sharpness)
         self.longest = max(map(len, self.pieces))
         self._byte_weight = (size + RANK_SHIFT) ** -sharpness
-        # by length: the hashes of the pieces in order, their numbers and weights
+        # by length: a hash table of the pieces, and their numbers, weights and characters
         self._tables = []
         for n in range(1, self.longest + 1):
             own = [(text, *found) for text, found in self.pieces.items() if len(text) == n]
@@ -77,32 +91,38 @@ class Sampler:
             hashes = np.zeros(len(own), np.uint64)
             for i in range(n):
                 hashes = hashes * _BASE + codes[:, i]
-            order = np.argsort(hashes)
-            numbers, weights = (np.array([x[i] for x in own], t)[order] for i, t in ((1, np.int64), (2, np.float64)))
-            self._tables.append((hashes[order], numbers, weights, codes[order]))
+            numbers, weights = (np.array([x[i] for x in own], t) for i, t in ((1, np.int64), (2, np.float64)))
+            self._tables.append((_Slots(hashes), numbers, weights, codes))
         self._reset()
 
     def _reset(self) -> None:
-        """Tables: of a unit its last node; of an edge its key (node << 32 | share of the node's weight up to
-        the edge), the node it comes from (0: the unit's start) and its piece (negative: a character in bytes)."""
+        """Tables: of a unit its last node; of a node its first edge; of an edge the share of the node's weight
+        up to it (of 2^32), the node it comes from (0: the unit's start) and its piece (negative: a
+        character in bytes)."""
         self._unit: dict[str, int] = {}
-        self._nodes = 0
-        self._keys, self._from, self._piece = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self._first = np.zeros(1, np.int32)  # node 0 is no unit's
+        self._share, self._from, self._piece = np.zeros(0, np.uint32), np.zeros(0, np.int32), np.zeros(0, np.int32)
 
     def _pieces_in(self, codes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each length, ``(piece, weight)`` of what starts at each place of units of one length (weight 0: none)."""
         n = codes.shape[1]
         found, hashes = [], np.zeros(codes.shape, np.uint64)
-        for length, (table, numbers, weights, spelled) in enumerate(self._tables[:n], 1):
+        for length, (slots, numbers, weights, spelled) in enumerate(self._tables[:n], 1):
             places = n - length + 1
             hashes = hashes[:, :places] * _BASE + codes[:, length - 1 :]
-            at = np.minimum(np.searchsorted(table, hashes), len(table) - 1)
-            hit = np.argwhere(table[at] == hashes)
-            entry = at[hit[:, 0], hit[:, 1]]
-            same = (codes[hit[:, :1], hit[:, 1:] + np.arange(length)] == spelled[entry]).all(axis=1)
-            (rows, starts), entry = hit[same].T, entry[same]
             piece, weight = np.zeros((len(codes), places), np.int64), np.zeros((len(codes), places))
-            piece[rows, starts], weight[rows, starts] = numbers[entry], weights[entry]
+            slot = mixed(hashes.ravel()) >> slots.shift
+            for entries in slots.rows:  # a row of the table holds each slot's first, second ... piece
+                entry = entries[slot]
+                full = np.flatnonzero(entry >= 0)
+                entry = entry[full]
+                full, entry = (x[slots.hashes[entry] == hashes.ravel()[full]] for x in (full, entry))
+                rows, starts = np.divmod(full, places)
+                same = np.ones(len(entry), bool)
+                for i in range(length):
+                    same &= codes[rows, starts + i] == spelled[entry, i]
+                rows, starts, entry = rows[same], starts[same], entry[same]
+                piece[rows, starts], weight[rows, starts] = numbers[entry], weights[entry]
             if length == 1:
                 spell = weight == 0
                 wide = 1 + (codes >= 0x80).astype(np.int64) + (codes >= 0x800) + (codes >= 0x10000)
@@ -115,12 +135,13 @@ class Sampler:
         by_length: dict[int, list[str]] = {}
         for unit in units:
             by_length.setdefault(len(unit), []).append(unit)
-        made = [(self._keys, self._from, self._piece)]
+        firsts, made, edges_before = [self._first], [(self._share, self._from, self._piece)], len(self._share)
+        nodes = len(self._first) - 1
         for n, alike in by_length.items():
             codes = np.frombuffer("".join(alike).encode("utf-32-le", "surrogatepass"), "<u4").reshape(-1, n).astype(np.uint64)
             found = self._pieces_in(codes)
             reach = len(found)
-            base = self._nodes + n * np.arange(len(alike))
+            base = nodes + n * np.arange(len(alike))
             total = np.zeros((len(alike), n + 1))
             total[:, 0] = 1
             edges = []
@@ -130,33 +151,37 @@ class Sampler:
                 summed = np.cumsum(shares, axis=1)
                 total[:, j] = summed[:, -1]
                 rows, k = np.nonzero(shares)
-                share = np.minimum(summed[rows, k] / summed[rows, -1] * 2.0**32, 2.0**32 - 1).astype(np.uint64)
+                share = np.minimum(summed[rows, k] / summed[rows, -1] * 2.0**32, 2.0**32 - 1).astype(np.uint32)
                 share[np.append(rows[1:] != rows[:-1], True)] = 2**32 - 1
                 pieces = np.stack([found[k - 1][0][:, j - k] for k in lengths], axis=1)[rows, k]
                 start = j - 1 - k
-                node = (base[rows] + j).astype(np.uint64)
-                edges.append((node << np.uint64(32) | share, np.where(start > 0, base[rows] + start, 0), pieces))
+                node = base[rows] + j
+                edges.append((node, share, np.where(start > 0, base[rows] + start, 0).astype(np.int32), pieces.astype(np.int32)))
                 small = total[:, j] < 1e-100
                 if small.any():  # only the places a piece's length back are read again, and only their ratios count
                     window = slice(max(0, j - self.longest), j + 1)
                     total[small, window] = np.minimum(total[small, window] * 1e100, 1e300)
-            keys, origin, pieces = (np.concatenate(x) for x in zip(*edges, strict=True))
-            order = np.argsort(keys, kind="stable")
-            made.append((keys[order], origin[order], pieces[order]))
+            node, *columns = (np.concatenate(x) for x in zip(*edges, strict=True))
+            order = np.argsort(node, kind="stable")
+            made.append(tuple(c[order] for c in columns))
+            of_node = np.bincount(node - nodes - 1, minlength=n * len(alike))
+            firsts.append((edges_before + np.cumsum(of_node) - of_node).astype(np.int32))
             self._unit.update(zip(alike, (base + n).tolist(), strict=True))
-            self._nodes += n * len(alike)
-        self._keys, self._from, self._piece = (np.concatenate(x) for x in zip(*made, strict=True))
+            nodes += n * len(alike)
+            edges_before += len(node)
+        self._first = np.concatenate(firsts)
+        self._share, self._from, self._piece = (np.concatenate(x) for x in zip(*made, strict=True))
 
     def sample(self, texts: list[str], seeds: np.ndarray) -> list[np.ndarray]:
         """Sampled piece ids of each text; ``seeds`` are unsigned 64-bit numbers, one for each text."""
-        if len(self._keys) > KEPT_EDGES:
+        if len(self._share) > KEPT_EDGES:
             self._reset()
         units = [_UNIT.findall(f" {text}") for text in texts]
         new = set().union(*units) - self._unit.keys()
         if new:
-            self._add(sorted(new))
+            self._add(list(new))
         counts = np.array([len(row) for row in units], np.int64)
-        node = np.array([self._unit[unit] for row in units for unit in row], np.int64)
+        node = np.fromiter((self._unit[unit] for row in units for unit in row), np.int64, int(counts.sum()))
         row = np.repeat(np.arange(len(units)), counts)
         place = np.arange(len(node)) - np.repeat(np.cumsum(counts) - counts, counts)
         state = mixed(seeds[row] + _STEP * (place.astype(np.uint64) + np.uint64(1)))
@@ -164,8 +189,12 @@ class Sampler:
         drawn: list[tuple[np.ndarray, np.ndarray]] = []
         while len(at):
             u = mixed(state[at] + _STEP * np.full(1, len(drawn) + 1, np.uint64)) >> np.uint64(32)
-            key = (node[at].astype(np.uint64) << np.uint64(32)) | np.minimum(u, np.uint64(2**32 - 2))
-            edge = np.searchsorted(self._keys, key, side="right")
+            u = np.minimum(u, np.uint64(2**32 - 2)).astype(np.uint32)
+            edge = self._first[node[at]]
+            beyond = np.flatnonzero(self._share[edge] <= u)
+            while len(beyond):  # on to the edge whose share is the first above the draw
+                edge[beyond] += 1
+                beyond = beyond[self._share[edge[beyond]] <= u[beyond]]
             drawn.append((at, edge))
             node[at] = self._from[edge]
             at = at[node[at] > 0]
