@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,9 +22,17 @@ from surveymill.sources.survey_csv import Edition, header_catalog, scan_edition
 def open_editions(
     spark: SparkSession, bronze: str, editions: Mapping[int, str] = EDITIONS, landed: bool = False
 ) -> dict[int, Edition]:
-    """The registered editions of a bronze layer, as CSV files or as landed Parquet copies."""
+    """The registered editions of a bronze layer, as CSV files or as landed Parquet copies.
+
+    Opening looks at headers and at the quoting of the text; editions are opened side by side.
+    """
     read = read_landed if landed else scan_edition
-    return {year: read(spark, edition_path(bronze, year)) for year in editions}
+
+    def opened(year: int) -> Edition:
+        return read(spark, edition_path(bronze, year))
+
+    with ThreadPoolExecutor(max(1, len(editions))) as pool:
+        return dict(zip(editions, pool.map(inheritable_thread_target(spark)(opened), editions), strict=True))
 
 
 def mapping(spark: SparkSession, opened: Mapping[int, Edition]) -> DataFrame:
