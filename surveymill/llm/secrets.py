@@ -1,10 +1,12 @@
 """Secret scans: fixed patterns, and a battery of randomness tests on runs that look encoded.
 
-A run of an encoding's characters that holds a digit is a candidate. Its encoding is inferred
-(hexadecimal, base32, base36 or base64), its characters become numbers, and three tests ask whether they were
-drawn at random: chi-squared against uniform use of the alphabet, runs above and below its middle, and
-serial correlation. Fisher's method joins their p-values into one, uniform for random strings and near zero
-for others.
+A run of an encoding's characters is a candidate. Its encoding is inferred: the smallest alphabet that holds it
+(hexadecimal, base32, base36, base58, base62, base64, in either case; a run without a digit, which few random strings
+are, is taken as letters, and with them base64's signs). A random string that lies in a smaller alphabet by chance is
+random there too. Its characters become numbers, and four tests ask whether they were drawn at random:
+chi-squared against uniform use of the alphabet, runs above and below its middle, serial correlation, and how
+common its letters are in words. Fisher's method joins their p-values into one, uniform for random strings and
+near zero for others.
 
 How well the battery tells the two apart depends on the length, so findings are cut for each encoding and
 length class by itself: random strings show as the even part of the class's p-values, which tells how many
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import math
 import re
+from functools import cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +47,25 @@ _VALUES = {name: {c: v for v, c in enumerate(text)} for name, text in (
     ("hex", _HEX), ("upper_hex", _UPPER_HEX), ("base32", _BASE32), ("base36", _BASE36), ("base64", _BASE64)
 )}
 _VALUES["base64"] |= {"-": 62, "_": 63}
+# Alphabets that leave out a few characters of a larger one, so that only long runs tell them apart,
+# and those of runs without a digit. Smallest first.
+_LOWER, _UPPER = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_CROCKFORD = "0123456789ABCDEFGHJKMNPQRSTVWXYZ"
+_LONG = {name: {c: v for v, c in enumerate(text)} for name, text in (
+    ("hex", _HEX), ("upper_hex", _UPPER_HEX), ("base32", _BASE32), ("lower_base32", _BASE32.lower()),
+    ("base32hex", _BASE36[:32].upper()), ("lower_base32hex", _BASE36[:32]),
+    ("crockford", _CROCKFORD), ("lower_crockford", _CROCKFORD.lower()), ("base36", _BASE36), ("upper_base36", _BASE36.upper()),
+    ("base58", "".join(c for c in _BASE64[:62] if c not in "0OIl")), ("base62", _BASE64[:62]),
+)}
+_LETTERS = {name: {c: v for v, c in enumerate(text)} for name, text in (
+    ("lower", _LOWER), ("upper", _UPPER), ("letters", _UPPER + _LOWER), ("letters_signs", _UPPER + _LOWER + "+/")
+)}
+_LETTERS["letters_signs"] |= {"-": 52, "_": 53}
+_TABLES = _VALUES | _LONG | _LETTERS
+# Letters from the commonest to the rarest in words; other characters weigh nothing.
+_COMMON = "etaoinsrhldcumfpgwybvkxjqz"
+_WEIGHTS = {c: 12.5 - v for v, c in enumerate(_COMMON)}
+_WEIGHTS |= {c.upper(): w for c, w in _WEIGHTS.items()}
 
 LENGTH_CLASSES = (24, 28, 32, 40, 48, 64, 128)  # upper ends, the last class is open
 BINS = 50
@@ -74,6 +96,10 @@ def _two_sided(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2))
 
 
+def _above(z: float) -> float:
+    return math.erfc(z / math.sqrt(2)) / 2
+
+
 def uniformity(values: list[int], size: int) -> float:
     """p of chi-squared against even use of the alphabet, in as many groups as leave four characters to each."""
     n = len(values)
@@ -108,20 +134,45 @@ def serial(values: list[int], size: int) -> float:
     return _two_sided(total / (variance * math.sqrt(n)))
 
 
+@cache
+def _expected(encoding: str) -> tuple[int, float, float]:
+    """The size of an alphabet, and mean and variance of its letters' weights."""
+    table = _TABLES[encoding]
+    size = max(table.values()) + 1
+    weights = [_WEIGHTS.get(c, 0.0) for c in list(table)[:size]]
+    mean = sum(weights) / size
+    return size, mean, sum((w - mean) ** 2 for w in weights) / size
+
+
+def commonness(run: str, encoding: str) -> float:
+    """p of the letters' weights: words use common letters more."""
+    _, mean, variance = _expected(encoding)
+    return _above((sum(_WEIGHTS.get(c, 0.0) for c in run) - len(run) * mean) / math.sqrt(variance * len(run)))
+
+
 def infer(run: str) -> str | None:
-    """The smallest encoding that holds the run; None without a digit, which random strings of this length have."""
+    """The smallest encoding that holds the run; None without a digit. See inferred() for those."""
     if not _DIGIT.search(run):
         return None
     chars = set(run)
+    if len(run) >= MIN_RANDOM and (found := next((name for name, values in _LONG.items() if chars <= values.keys()), None)):
+        return found
     return next((name for name, values in _VALUES.items() if chars <= values.keys()), None)
 
 
+def inferred(run: str) -> str:
+    """The smallest encoding that holds a candidate, with a digit or without."""
+    chars = set(run)
+    return infer(run) or next(name for name, values in _LETTERS.items() if chars <= values.keys())
+
+
 def randomness(run: str, encoding: str) -> float:
     """The battery's joint p-value for a run."""
-    table = _VALUES[encoding]
-    size = max(table.values()) + 1
+    table = _TABLES[encoding]
+    size = _expected(encoding)[0]
     values = [table[c] for c in run]
-    ps = [max(test(values, size), 1e-300) for test in (uniformity, runs, serial)]
+    found = [*(test(values, size) for test in (uniformity, runs, serial)), commonness(run, encoding)]
+    ps = [max(p, 1e-300) for p in found]
     return chi_squared_tail(-2 * sum(map(math.log, ps)), 2 * len(ps))
 
 
@@ -141,8 +192,8 @@ def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, st
         own = [(start + x.start(), 1, start + x.end()) for x in ACCESS.finditer(run) if len(x[0]) >= MIN_ACCESS]
         own += [(start + x.start(), 2, start + x.end()) for x in HEX.finditer(run) if len(x[0]) >= MIN_HEX]
         base += own
-        if not own and (encoding := infer(run)):
-            rest.append((start, m.end(), encoding, run))
+        if not own:
+            rest.append((start, m.end(), inferred(run), run))
     base.sort()
     candidates = [
         (start, end, f"{encoding}:{length_class(end - start)}", randomness(run, encoding))

@@ -79,6 +79,43 @@ def test_cut_follows_the_mixture():
     assert secrets.cut([100] + [0] * (secrets.BINS - 1)) == 2.0
 
 
+def reported(texts):
+    """The spans that are kept in each text, with the cuts learned from all of them."""
+    found = [secrets.scan(text)[1] for text in texts]
+    bins = {}
+    for c in (c for candidates in found for c in candidates):
+        bins.setdefault(c[2], [0] * secrets.BINS)[min(secrets.BINS - 1, int(c[3] * secrets.BINS))] += 1
+    lowest = {name: secrets.cut(counts) for name, counts in bins.items()}
+    return [[(a, b) for a, b, name, p in candidates if p >= lowest[name]] for candidates in found]
+
+
+ALPHABETS = {
+    "upper_base36": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ", "crockford": "0123456789ABCDEFGHJKMNPQRSTVWXYZ",
+    "base32hex": "0123456789ABCDEFGHIJKLMNOPQRSTUV", "lower_base32": "abcdefghijklmnopqrstuvwxyz234567",
+    "base58": "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz",
+}
+
+
+@pytest.mark.parametrize("name", ALPHABETS)
+def test_strings_of_other_alphabets(name):
+    rng = random.Random(21)
+    tokens = ["".join(rng.choices(ALPHABETS[name], k=40)) for _ in range(1000)]
+    other = ["".join(rng.choices(secrets._BASE64[:62], k=40)) for _ in range(1000)]
+    assert sum(secrets.infer(t) == name for t in tokens) > 900
+    for texts in (tokens, tokens + other):
+        assert sum(spans == [(0, 40)] for spans in reported(texts)[:1000]) > 950
+
+
+def test_runs_without_a_digit_are_tested():
+    rng = random.Random(22)
+    letters = secrets._BASE64[:52]
+    tokens = ["".join(rng.choices(letters, k=24)) for _ in range(500)]
+    words = ["internationalization", "getElementByIdentifierFromRegistry", "home/service/settings/keys/current", "counterrevolutionaries"]
+    found = reported(tokens + words)
+    assert sum(spans == [(0, 24)] for spans in found[:500]) > 450 and found[500:] == [[]] * 4
+    assert all(secrets.scan(word)[1][0][3] < 0.05 for word in words)
+
+
 def _frame(spark):
     rng = random.Random(11)
     rows = [(i, t) for i, t in enumerate(TEXTS)] + [(None, "token=abcdefg"), (3, None), (1, TEXTS[1]), (90, "plain words " * 30_000)]
