@@ -1,6 +1,7 @@
 """Secret scans: fixed patterns, and a battery of randomness tests on runs that look encoded.
 
-A run of an encoding's characters is a candidate. Its encoding is inferred: the smallest alphabet that holds it
+A run of an encoding's characters, or what base matches leave of it, is a candidate, and so are its pieces between
+each choice of the separators it holds, for a token may be joined to ordinary text. A candidate's encoding is inferred: the smallest alphabet that holds it
 (hexadecimal, base32, base36, base58, base62, base64, in either case; a run without a digit, which few random strings
 are, is taken as letters, and with them base64's signs). A random string that lies in a smaller alphabet by chance is
 random there too. Its characters become numbers, and four tests ask whether they were drawn at random:
@@ -18,12 +19,16 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterable, Iterator
 from functools import cache
+from itertools import combinations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType, _parse_datatype_string
 
-from surveymill.llm.common import per_text, stage
+from surveymill.llm.common import arrow_schema, per_text, stage
 
 # Kinds in their order, the base patterns, and the lengths that matches must have.
 KINDS = ("assign", "access", "hex", "random")
@@ -38,6 +43,11 @@ _KEYWORDS = ("passw", "secret", "token", "api")
 MIN_RANDOM = 20
 _RUN = re.compile(rf"[A-Za-z0-9+/_-]{{{MIN_RANDOM},}}")
 _DIGIT = re.compile("[0-9]")
+SEPARATORS = "/-_+"
+_PIECES = {
+    chosen: re.compile(f"[^{re.escape(''.join(chosen))}]{{{MIN_RANDOM},}}")
+    for n in range(1, len(SEPARATORS) + 1) for chosen in combinations(SEPARATORS, n)
+}
 # The alphabets in the order of their values; base64 also in its form for addresses.
 _HEX, _UPPER_HEX = "0123456789abcdef", "0123456789ABCDEF"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -180,26 +190,65 @@ def length_class(n: int) -> int:
     return sum(n > end for end in LENGTH_CLASSES)
 
 
+def merged(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans in order, those that overlap as one."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if out and start < out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
+
+
+def outside(found: Iterable[tuple[int, int]], taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """What spans in order, merged as well, leave of runs in order, where it is long enough."""
+    at = 0
+    for start, end in found:
+        while at < len(taken) and taken[at][1] <= start:
+            at += 1
+        i = at
+        while i < len(taken) and taken[i][0] < end:
+            if taken[i][0] - start >= MIN_RANDOM:
+                yield start, taken[i][0]
+            start = taken[i][1]
+            i += 1
+        if end - start >= MIN_RANDOM:
+            yield start, end
+
+
+def pieces(run: str) -> list[tuple[int, int]]:
+    """The run and its long enough pieces between separators of each choice of them, from left to right."""
+    present = [c for c in SEPARATORS if c in run]
+    found = {(0, len(run))}
+    for n in range(1, len(present) + 1):
+        for chosen in combinations(present, n):
+            found.update(m.span() for m in _PIECES[chosen].finditer(run))
+    return sorted(found, key=lambda span: (span[0], -span[1]))
+
+
 def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, str, float]]]:
-    """Base matches ``(start, kind, end)`` in order, and candidates ``(start, end, class, p)`` outside of them."""
+    """Base matches ``(start, kind, end)`` in order, and candidates ``(start, end, class, p)`` outside of them.
+
+    Candidates may overlap: a run and its pieces.
+    """
     base = []
     lowered = text.lower()
     if any(word in lowered for word in _KEYWORDS):
         base += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= MIN_VALUE]
-    rest = []
+    found = []
     for m in _RUN.finditer(text):  # the other base matches that are long enough lie within such runs
         start, run = m.start(), m[0]
-        own = [(start + x.start(), 1, start + x.end()) for x in ACCESS.finditer(run) if len(x[0]) >= MIN_ACCESS]
-        own += [(start + x.start(), 2, start + x.end()) for x in HEX.finditer(run) if len(x[0]) >= MIN_HEX]
-        base += own
-        if not own:
-            rest.append((start, m.end(), inferred(run), run))
+        found.append(m.span())
+        base += [(start + x.start(), 1, start + x.end()) for x in ACCESS.finditer(run) if len(x[0]) >= MIN_ACCESS]
+        base += [(start + x.start(), 2, start + x.end()) for x in HEX.finditer(run) if len(x[0]) >= MIN_HEX]
     base.sort()
-    candidates = [
-        (start, end, f"{encoding}:{length_class(end - start)}", randomness(run, encoding))
-        for start, end, encoding, run in rest
-        if not any(a < end and start < b for a, _, b in base)
-    ]
+    candidates = []
+    for start, end in outside(found, merged((a, b) for a, _, b in base)):
+        for a, b in pieces(text[start:end]):
+            piece = text[start + a : start + b]
+            encoding = inferred(piece)
+            candidates.append((start + a, start + b, f"{encoding}:{length_class(b - a)}", randomness(piece, encoding)))
     return base, candidates
 
 
@@ -238,6 +287,11 @@ def scan_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return stage(per_text(rows, ["doc_id"], "text", _scan_all, _FOUND), "secrets")
 
 
+def accepted(candidates: Iterable[tuple[int, int, str, float]], lowest: dict[str, float]) -> list[tuple[int, int]]:
+    """The candidates that their class's cut keeps, without overlap."""
+    return merged((a, b) for a, b, name, p in candidates if p >= lowest.get(name, 2.0))
+
+
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, spans)`` of every row: structs (start, kind, end) by start, then kind; code points, end exclusive.
 
@@ -245,12 +299,19 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     repeat one, have a row each; an empty table has none; other columns are not read.
     """
     found = scan_documents(docs, id_col, text_col)
-    lowest = F.create_map(*[F.lit(x) for pair in [("", 2.0), *cuts(found).items()] for x in pair])
-    random = F.transform(
-        F.filter("candidates", lambda c: c["p"] >= F.coalesce(F.try_element_at(lowest, c["class"]), F.lit(2.0))),
-        lambda c: F.struct(c["start"].alias("start"), F.lit(KINDS.index("random")).alias("kind"), c["end"].alias("end")),
-    )
-    return found.select("doc_id", F.array_sort(F.concat("base", random)).alias("spans"))
+    lowest, kind = cuts(found), KINDS.index("random")
+    added = "random array<struct<start:int,kind:int,end:int>>"
+    schema = StructType([*found.select("doc_id", "base").schema.fields, *_parse_datatype_string(added).fields])
+    spans_type = arrow_schema(added).field(0).type
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = ([tuple(c.values()) for c in row] for row in batch.column(2).to_pylist())
+            spans = [[{"start": a, "kind": kind, "end": b} for a, b in accepted(row, lowest)] for row in rows]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans, spans_type)], ["doc_id", "base", "random"])
+
+    kept = found.select("doc_id", "base", "candidates").mapInArrow(keep, schema)
+    return kept.select("doc_id", F.array_sort(F.concat("base", "random")).alias("spans"))
 
 
 def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
@@ -274,7 +335,7 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> D
 def replace_spans(text: str, mark: str, lowest: dict[str, float]) -> str:
     """The text with its secrets replaced; spans that overlap become one mark."""
     base, candidates = scan(text)
-    spans = [(a, b) for a, _, b in base] + [(a, b) for a, b, name, p in candidates if p >= lowest.get(name, 2.0)]
+    spans = [(a, b) for a, _, b in base] + accepted(candidates, lowest)
     out, at = [], 0
     end = -1
     for start, stop in sorted(spans):

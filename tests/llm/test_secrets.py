@@ -86,7 +86,7 @@ def reported(texts):
     for c in (c for candidates in found for c in candidates):
         bins.setdefault(c[2], [0] * secrets.BINS)[min(secrets.BINS - 1, int(c[3] * secrets.BINS))] += 1
     lowest = {name: secrets.cut(counts) for name, counts in bins.items()}
-    return [[(a, b) for a, b, name, p in candidates if p >= lowest[name]] for candidates in found]
+    return [secrets.accepted(candidates, lowest) for candidates in found]
 
 
 ALPHABETS = {
@@ -116,6 +116,35 @@ def test_runs_without_a_digit_are_tested():
     assert all(secrets.scan(word)[1][0][3] < 0.05 for word in words)
 
 
+def test_tokens_joined_to_ordinary_text():
+    rng = random.Random(23)
+    token = lambda k: "".join(rng.choices(secrets._BASE64[:62], k=k))
+    before = ["home/service/settings/keys/", "access-key-for-production-", "the_name_of_this_secret_is_", ""]
+    tokens = [(before[i % 4], token(32)) for i in range(2000)]
+    paths = ["home/service/settings/production/current/keys"] * 500
+    found = reported([a + t for a, t in tokens] + paths)
+    for n, start in enumerate(before):  # all of the token is reported
+        mine = [spans for spans, (a, _) in zip(found, tokens, strict=False) if a == start]
+        assert sum(any(a <= len(start) and b == len(start) + 32 for a, b in spans) for spans in mine) > 475, n
+    assert found[2000:] == [[]] * 500
+
+
+def test_pieces_and_what_base_matches_leave():
+    assert secrets.pieces("a" * 30) == [(0, 30)]
+    assert secrets.pieces("a" * 20 + "/" + "b" * 19) == [(0, 40), (0, 20)]
+    assert secrets.pieces("a" * 10 + "/" + "b" * 10 + "-" + "c" * 20) == [(0, 42), (0, 21), (11, 42), (22, 42)]
+    text = "zz " + "0f" * 15 + "G" + "xY3" * 8 + " token=" + "ab" * 15
+    base, candidates = secrets.scan(text)
+    assert base == brute_base(text) and [c[:2] for c in candidates] == [(33, 58)]
+    rng = random.Random(24)
+    for _ in range(300):  # candidates are long enough and clear of base matches
+        text = "".join(rng.choices(["token=", " ", "AKIA" + "Z" * 16, "0f" * 12, "Z9y" * 4, "/", "-", "word", "+", "_"], k=30))
+        base, candidates = secrets.scan(text)
+        for a, b, *_ in candidates:
+            assert b - a >= secrets.MIN_RANDOM and not any(a < e and s < b for s, _, e in base)
+    assert secrets.merged([(5, 9), (1, 3), (8, 12), (3, 4)]) == [(1, 3), (3, 4), (5, 12)]
+
+
 def _frame(spark):
     rng = random.Random(11)
     rows = [(i, t) for i, t in enumerate(TEXTS)] + [(None, "token=abcdefg"), (3, None), (1, TEXTS[1]), (90, "plain words " * 30_000)]
