@@ -12,13 +12,17 @@ near zero for others.
 How well the battery tells the two apart depends on the length, so findings are cut for each encoding and
 length class by itself: random strings show as the even part of the class's p-values, which tells how many
 of the candidates above a cut are not random, and the lowest cut with a share of at most FALSE_SHARE is taken.
-The counts this needs are a table of classes by bins, as large for any corpus, from all candidates.
+The counts this needs are a table of classes by bins, as large for any corpus, from all candidates. A class of
+few candidates that could be random says little about itself. Its counts are filled up with PRIOR candidates as they lie in
+its encoding, and those of an encoding with PRIOR random strings, and it keeps a fixed lowest p-value. So random
+strings alone in a class are kept, however small the corpus, and ordinary ones are not if their encoding shows many.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from functools import cache
 from itertools import combinations
@@ -77,9 +81,13 @@ _COMMON = "etaoinsrhldcumfpgwybvkxjqz"
 _WEIGHTS = {c: 12.5 - v for v, c in enumerate(_COMMON)}
 _WEIGHTS |= {c.upper(): w for c, w in _WEIGHTS.items()}
 
+AROUND = 0.001  # the least p-value of a candidate around one that is kept
 LENGTH_CLASSES = (24, 28, 32, 40, 48, 64, 128)  # upper ends, the last class is open
 BINS = 50
 FALSE_SHARE = 0.05
+PRIOR = 100  # candidates that a class is filled up with
+ENOUGH = 500  # candidates above the bound that let a class go by its own counts
+BOUND, LETTERS_BOUND = 1, 5  # the lowest bin that other classes keep; runs without a digit are words more often
 
 _FOUND = "base array<struct<start:int,kind:int,end:int>>, candidates array<struct<start:int,end:int,class:string,p:double>>"
 
@@ -260,17 +268,42 @@ def _scan_all(texts: list[str]) -> dict[str, list]:
     }
 
 
-def cut(bins: list[int]) -> float:
-    """The lowest p-value kept in a class, from its counts by bin of the p-value (the last bin ends at 1)."""
+def cut(bins: list[int] | list[float], bound: int = 0) -> float:
+    """The lowest p-value kept in a class, from its counts by bin of the p-value (the last bin ends at 1).
+
+    No bin below ``bound`` is kept, however many random strings there are.
+    """
     n, size = sum(bins), len(bins)
     random = min(n, 2 * sum(bins[size // 2 :]))  # random strings fill all bins alike; the upper half shows them best
-    for first in range(size):
+    for first in range(bound, size):
         above = sum(bins[first:])
         if above and above - random * (size - first) / size <= FALSE_SHARE * above:
             return first / size
     return 2.0
 
 
+def class_cuts(bins: dict[str, list[int]]) -> dict[str, float]:
+    """The cut of each class, from the counts of all; thin classes lean on their encoding."""
+    of_encodings: dict[str, list[float]] = {}
+    for name, counts in bins.items():
+        total = of_encodings.setdefault(name.partition(":")[0], [PRIOR / BINS] * BINS)
+        for i, count in enumerate(counts):
+            total[i] += count
+    lowest = {}
+    for name, counts in bins.items():
+        encoding = name.partition(":")[0]
+        bound = LETTERS_BOUND if encoding in _LETTERS else BOUND
+        if sum(counts[bound:]) >= ENOUGH:
+            lowest[name] = cut(counts)
+            continue
+        # below the bound nothing is kept, so how many lie there does not matter
+        like = of_encodings[encoding]
+        weight = PRIOR / sum(like[bound:])
+        filled = [0.0] * bound + [n + weight * x for n, x in zip(counts[bound:], like[bound:], strict=True)]
+        lowest[name] = cut(filled, bound)
+    return lowest
+
+
 def cuts(found: DataFrame) -> dict[str, float]:
     """The cut of each encoding and length class, from all candidates."""
     one = found.select(F.explode("candidates").alias("c"))
@@ -278,7 +311,7 @@ def cuts(found: DataFrame) -> dict[str, float]:
     bins: dict[str, list[int]] = {}
     for row in binned.groupBy("class", "bin").agg(F.count("*").alias("n")).collect():  # classes x bins at most
         bins.setdefault(row["class"], [0] * BINS)[row["bin"]] = row["n"]
-    return {name: cut(counts) for name, counts in bins.items()}
+    return class_cuts(bins)
 
 
 def scan_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -288,8 +321,18 @@ def scan_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def accepted(candidates: Iterable[tuple[int, int, str, float]], lowest: dict[str, float]) -> list[tuple[int, int]]:
-    """The candidates that their class's cut keeps, without overlap."""
-    return merged((a, b) for a, b, name, p in candidates if p >= lowest.get(name, 2.0))
+    """The candidates that their class's cut keeps, without overlap.
+
+    Where a piece is kept, so are those around it that may well be random, so that no part of a token is left.
+    """
+    candidates = list(candidates)
+    kept = merged((a, b) for a, b, name, p in candidates if p >= lowest.get(name, 2.0))
+    starts, around = [a for a, _ in kept], []
+    for a, b, _, p in candidates if kept else []:
+        i = bisect_left(starts, a)
+        if p >= AROUND and i < len(kept) and kept[i][1] <= b:
+            around.append((a, b))
+    return merged(kept + around)
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

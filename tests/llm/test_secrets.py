@@ -142,9 +142,45 @@ def test_pieces_and_what_base_matches_leave():
         base, candidates = secrets.scan(text)
         for a, b, *_ in candidates:
             assert b - a >= secrets.MIN_RANDOM and not any(a < e and s < b for s, _, e in base)
+    around = [(0, 50, "a:0", 0.01), (0, 25, "a:0", 0.5), (26, 50, "a:0", 0.0), (60, 99, "a:0", 0.01), (100, 150, "a:0", 0.0), (110, 150, "a:0", 0.9)]
+    assert secrets.accepted(around, {"a:0": 0.1}) == [(0, 50), (110, 150)]
     assert secrets.merged([(5, 9), (1, 3), (8, 12), (3, 4)]) == [(1, 3), (3, 4), (5, 12)]
 
 
+def kept_by_class_cuts(texts):
+    found = [secrets.scan(text)[1] for text in texts]
+    bins = {}
+    for c in (c for candidates in found for c in candidates):
+        bins.setdefault(c[2], [0] * secrets.BINS)[min(secrets.BINS - 1, int(c[3] * secrets.BINS))] += 1
+    return [secrets.accepted(candidates, secrets.class_cuts(bins)) for candidates in found]
+
+
+@pytest.mark.parametrize("n", [1, 3, 5])
+@pytest.mark.parametrize("beside", [[], ["home/service/settings/production/keys"] * 300])
+def test_few_random_strings_of_a_class_are_kept(n, beside):
+    rng = random.Random(n)
+    kept = 0
+    trials = 200 if not beside else 20
+    for _ in range(trials):
+        found = kept_by_class_cuts(["".join(rng.choices(secrets._BASE64[:62], k=32)) for _ in range(n)] + beside)
+        kept += sum(spans == [(0, 32)] for spans in found[:n])
+        assert not any(found[n:])
+    assert kept > 0.85 * n * trials
+
+
+def test_cuts_of_thin_classes():
+    words = ["internationalization", "onthtionwhonattionnd", "chteheitbergeerberer", "enkeitlichenzuversch"]
+    assert kept_by_class_cuts(words) == [[]] * 4
+    # where an encoding shows many that are not random, a thin class of it takes fewer
+    many = [0, 400, 300, 200] + [0] * (secrets.BINS - 4)
+    thin = [0, 1, 1, 0] + [0] * (secrets.BINS - 4)
+    assert secrets.class_cuts({"base36:0": many, "base36:1": thin})["base36:1"] > secrets.class_cuts({"base36:1": thin})["base36:1"]
+    # large classes go by themselves
+    even, ordinary = [20] * secrets.BINS, [5000] + [20] * (secrets.BINS - 1)
+    found = secrets.class_cuts({"base64:1": even, "base64:2": ordinary})
+    assert found == {"base64:1": secrets.cut(even), "base64:2": secrets.cut(ordinary)}
+
+
 def _frame(spark):
     rng = random.Random(11)
     rows = [(i, t) for i, t in enumerate(TEXTS)] + [(None, "token=abcdefg"), (3, None), (1, TEXTS[1]), (90, "plain words " * 30_000)]
