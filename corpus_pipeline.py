@@ -32,20 +32,24 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that fingerprint links connect, the one with the smallest id stays.
 
-    Of rows that repeat its id one stays (that with the smallest hash). Rows without id all stay.
+    Of its rows one stays (that of the smallest fingerprint, then of the smallest hash). Rows that share an id but are in
+    different components are documents of their own. Rows without id all stay.
     """
-    found = stage(simhash.near_duplicates(docs), "near-dedup")
-    first = found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
-    first = stage(first, "near-dedup-first")
+    found = stage(simhash.near_duplicate_classes(docs), "near-dedup")
+    first = found.filter("doc_id = component_id").groupBy("root_fp").agg(F.min(F.struct("doc_id", "fp")).alias("row"))
+    first = stage(first.select("row.doc_id", "row.fp"), "near-dedup-first")
     # as many ids as documents: a merge join at every size, no broadcast
     named = docs.join(first.select("doc_id").hint("merge"), "doc_id", "left_semi")
     kept = named.unionByName(docs.filter("doc_id IS NULL"))
-    repeated = first.filter("n > 1").select("doc_id")
+    counted = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"))
+    repeated = stage(counted.filter("n > 1").select("doc_id"), "near-dedup-repeated")
     if not repeated.isEmpty():
-        again = kept.join(repeated, "doc_id", "left_semi")
-        hashed = again.withColumn("row_hash", F.xxhash64(*docs.columns))
-        least = hashed.groupBy("doc_id").agg(F.min("row_hash").alias("row_hash"))
-        one = hashed.join(least, ["doc_id", "row_hash"]).dropDuplicates(["doc_id"]).drop("row_hash")
+        # the rows of an id are told apart by their fingerprints, those of one fingerprint are in one component
+        again = named.join(repeated, "doc_id", "left_semi").select(docs.columns)
+        rows = simhash.with_fingerprints(again.withColumn("row_hash", F.xxhash64(*docs.columns)))
+        chosen = rows.join(first.hint("merge"), (rows["doc_id"] == first["doc_id"]) & (rows["_fp"] == first["fp"]), "left_semi")
+        least = chosen.groupBy("doc_id", "_fp").agg(F.min("row_hash").alias("row_hash"))
+        one = chosen.join(least, ["doc_id", "_fp", "row_hash"]).dropDuplicates(["doc_id", "_fp"])
         kept = kept.join(repeated, "doc_id", "left_anti").unionByName(one.select(docs.columns))
     return kept.select(docs.columns)
 

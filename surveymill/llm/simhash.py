@@ -69,6 +69,15 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return per_text(rows, ["id"], "text", work, "fp long")
 
 
+def with_fingerprints(docs: DataFrame, text_col: str = "text", shingle_words: int = SHINGLE_WORDS) -> DataFrame:
+    """All rows and columns, and the fingerprint of the text as ``_fp``."""
+
+    def work(texts):
+        return {"_fp": np.array([fingerprint(t, shingle_words) for t in texts], np.uint64).view(np.int64)}
+
+    return per_text(docs, docs.columns, text_col, work, "_fp long")
+
+
 # --- the walk ----------------------------------------------------------------------------------
 
 
@@ -287,7 +296,7 @@ def components(links: DataFrame) -> DataFrame:
         links = _star_round(links, 1 + most // LINKS_OF_A_TASK)
 
 
-def near_duplicates(
+def near_duplicate_classes(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -295,13 +304,9 @@ def near_duplicates(
     max_bits: int = MAX_BITS,
     node_limit: int = NODE_LIMIT,
 ) -> DataFrame:
-    """``(doc_id, fp, component_id)`` for every row: its fingerprint and the smallest id reachable by links.
+    """``near_duplicates`` with a fourth column ``root_fp``: the fingerprint that names the component.
 
-    Fingerprints link at ``max_bits`` or fewer differing bits. Equal fingerprints are one class before
-    the join, so copies are never expanded into pairs. Defined cases: a null text counts as empty; texts
-    without words share fingerprint zero; rows that repeat an id are rows of their own; a row without id
-    links like any other but gives no id (its component has the smallest id of the others, or null);
-    an empty table gives no rows; other columns, whatever their names, are not looked at.
+    Two components may have the same smallest id where ids repeat; they never share a fingerprint.
     """
     rows = stage(fingerprints(docs, id_col, text_col, shingle_words), "simhash-rows")
     classes = rows.groupBy("fp").agg(F.coalesce(F.min("id"), F.lit(_NO_ID)).alias("id"))
@@ -310,11 +315,34 @@ def near_duplicates(
         F.struct(F.col("id_a").alias("id"), F.col("fp_a").alias("fp")).alias("u"),
         F.struct(F.col("id_b").alias("id"), F.col("fp_b").alias("fp")).alias("v"),
     )
-    moved = components(found).select(F.col("node.fp").alias("fp"), F.col("root.id").alias("root"))
+    moved = components(found).select(F.col("node.fp").alias("fp"), F.col("root.id").alias("root"), F.col("root.fp").alias("root_fp"))
     named = stage(
-        classes.join(moved, "fp", "left").select("fp", F.coalesce("root", "id").alias("component")), "simhash-named"
+        classes.join(moved, "fp", "left").select(
+            "fp", F.coalesce("root", "id").alias("component"), F.coalesce("root_fp", "fp").alias("root_fp")
+        ),
+        "simhash-named",
     )
     # a class may hold a third of all rows: both sides are files, so Spark splits the hot class's rows
     return rows.join(named, "fp", "left").select(
-        F.col("id").alias("doc_id"), "fp", F.nullif(F.col("component"), F.lit(_NO_ID)).alias("component_id")
+        F.col("id").alias("doc_id"), "fp", F.nullif(F.col("component"), F.lit(_NO_ID)).alias("component_id"), "root_fp"
     )
+
+
+def near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle_words: int = SHINGLE_WORDS,
+    max_bits: int = MAX_BITS,
+    node_limit: int = NODE_LIMIT,
+) -> DataFrame:
+    """``(doc_id, fp, component_id)`` for every row: its fingerprint and the smallest id reachable by links.
+
+    Fingerprints link at ``max_bits`` or fewer differing bits. Equal fingerprints are one class before
+    the join, so copies are never expanded into pairs. Defined cases: a null text counts as empty; texts
+    without words share fingerprint zero; rows that repeat an id are rows of their own; a row without id
+    links like any other but gives no id (its component has the smallest id of the others, or null);
+    an empty table gives no rows; other columns, whatever their names, are not looked at.
+    """
+    found = near_duplicate_classes(docs, id_col, text_col, shingle_words, max_bits, node_limit)
+    return found.select("doc_id", "fp", "component_id")

@@ -59,6 +59,16 @@ def test_near_duplicate_stage(results):
     assert sum(d["doc_id"] is None for d in after) == sum(d["doc_id"] is None for d in before)
 
 
+def test_near_duplicates_that_repeat_an_id(spark):
+    one, two, three = ("alpha beta gamma delta " * 20, "some quite other words " * 20, "third text of its own kind " * 20)
+    given = [(1, one), (1, two), (2, one), (3, two), (5, three), (6, three), (6, one), (6, "a document of its own with the id of two copies"), (9, one), (9, one)]
+    docs = spark.createDataFrame(given, "doc_id long, text string")
+    fps = {k: (i, simhash.fingerprint(t)) for k, (i, t) in enumerate(given)}
+    assert all((a[1] ^ b[1]).bit_count() in (0, *range(4, 65)) for a in fps.values() for b in fps.values())
+    kept = sorted(tuple(r) for r in corpus_pipeline.near_dedup(spark, docs, SF_DIR).collect())
+    assert kept == sorted([(1, one), (1, two), (5, three), given[7]])
+
+
 def test_secret_stage(results):
     before, after = rows(results[3]), rows(results[4])
     assert len(before) == len(after)
