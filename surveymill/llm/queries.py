@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveymill.llm import boilerplate, packing, quality, sampling, secrets, simhash, simple8b, topk, urls, warc
+from surveymill.llm import boilerplate, collocations, packing, quality, sampling, secrets, simhash, simple8b, topk, urls, warc
 from surveymill.llm.common import table
 
 
@@ -87,11 +87,16 @@ def op10_site_relative_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", F.octet_length("text").cast("long").alias("kept_bytes"), F.md5("text").alias("kept_md5"))
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_simple8b_token_files, op2_host_reputation, op3_simhash_trie_join, op4_differencing_packing, op5_rule_ledger,
         op6_randomness_battery, op7_warc_revisits, op8_sampled_pieces, op9_no_random_access_top_k, op10_site_relative_lines,
+        op13_phrase_collocations,
     )
 }
 
@@ -207,7 +212,55 @@ def _ledger_sql() -> str:
     return _LEDGER.format(failed=failed, base=quality.BASE.mask, policy=quality.POLICY.mask)
 
 
+_PHRASES = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '{no_lang}') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), pieces AS (
+  SELECT doc, lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM docs
+), numbered AS (SELECT row_number() OVER () AS p, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces
+), tokens AS (SELECT p, lang, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM numbered
+), totals AS (SELECT lang, count(*) AS n FROM tokens GROUP BY lang
+), ahead AS (
+  SELECT lang, word AS w1, lead(word, 1) OVER w AS w2, lead(word, 2) OVER w AS w3, lead(word, 3) OVER w AS w4, lead(word, 4) OVER w AS w5
+  FROM tokens WINDOW w AS (PARTITION BY p ORDER BY i)
+), counted AS (
+  SELECT lang, [w1] AS words, count(*) AS f FROM ahead GROUP BY lang, w1 HAVING count(*) >= {min_count} UNION ALL
+  SELECT lang, [w1, w2], count(*) FROM ahead WHERE w2 IS NOT NULL GROUP BY lang, w1, w2 HAVING count(*) >= {min_count} UNION ALL
+  SELECT lang, [w1, w2, w3], count(*) FROM ahead WHERE w3 IS NOT NULL GROUP BY lang, w1, w2, w3 HAVING count(*) >= {min_count} UNION ALL
+  SELECT lang, [w1, w2, w3, w4], count(*) FROM ahead WHERE w4 IS NOT NULL GROUP BY lang, w1, w2, w3, w4 HAVING count(*) >= {min_count} UNION ALL
+  SELECT lang, [w1, w2, w3, w4, w5], count(*) FROM ahead WHERE w5 IS NOT NULL GROUP BY lang, w1, w2, w3, w4, w5 HAVING count(*) >= {min_count}
+), inside AS (
+  SELECT c.lang, c.words[s.s : s.s + z.z - 1] AS words, max(c.f) AS longer
+  FROM counted c JOIN (SELECT unnest([2, 3, 4]) AS z) z ON len(c.words) > z.z JOIN (SELECT unnest([1, 2, 3, 4]) AS s) s ON s.s + z.z - 1 <= len(c.words)
+  GROUP BY ALL
+), candidates AS (
+  SELECT c.lang, c.words, c.f FROM counted c LEFT JOIN inside i USING (lang, words)
+  WHERE len(c.words) >= 2 AND NOT coalesce(100::HUGEINT * i.longer >= {contained}::HUGEINT * c.f, false)
+), cuts AS (
+  SELECT c.lang, c.words, c.f AS a, k.k, l.f AS l, r.f AS r, t.n,
+    ({scale}::HUGEINT * c.f * t.n) // (l.f::HUGEINT * r.f) AS score
+  FROM candidates c JOIN (SELECT unnest([1, 2, 3, 4]) AS k) k ON k.k < len(c.words)
+    JOIN counted l ON l.lang = c.lang AND l.words = c.words[: k.k] JOIN counted r ON r.lang = c.lang AND r.words = c.words[k.k + 1 :]
+    JOIN totals t ON t.lang = c.lang
+), worst AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1
+), ranked AS (
+  SELECT lang, array_to_string(words, ' ') AS phrase, a, l, r, n, score::BIGINT AS score FROM worst
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::BIGINT AS rank, phrase, a, l, r, n, score
+FROM ranked QUALIFY rank <= {top}
+"""
+
+
+def _phrases_sql() -> str:
+    return _PHRASES.format(
+        no_lang=collocations.NO_LANG, min_count=collocations.MIN_COUNT, contained=collocations.CONTAINED,
+        scale=collocations.SCALE, top=collocations.TOP,
+    )
+
+
 ORACLES: dict[str, str] = {
+    "op13_phrase_collocations": _phrases_sql(),
     "op2_host_reputation": _reputation_sql(),
     "op5_rule_ledger": _ledger_sql(),
     "op7_warc_revisits": f"""
