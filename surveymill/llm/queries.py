@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveymill.llm import boilerplate, collocations, packing, quality, sampling, secrets, simhash, simple8b, topk, urls, warc, whitening
+from surveymill.llm import boilerplate, collisions, collocations, packing, quality, sampling, secrets, simhash, simple8b, topk, urls, warc, whitening
 from surveymill.llm.common import table
 
 
@@ -87,6 +87,10 @@ def op10_site_relative_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", F.octet_length("text").cast("long").alias("kept_bytes"), F.md5("text").alias("kept_md5"))
 
 
+def op11_collision_counting_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collisions.nearest_neighbours(table(spark, sf_dir, "embeddings"), "id % 20 = 0")
+
+
 def op12_polarisation_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = whitening.whiten(table(spark, sf_dir, "embeddings"))
     each = rows.select("*", F.posexplode(F.arrays_zip("whitened", "explained")).alias("place", "of"))
@@ -105,7 +109,7 @@ QUERIES = {
     for f in (
         op1_simple8b_token_files, op2_host_reputation, op3_simhash_trie_join, op4_differencing_packing, op5_rule_ledger,
         op6_randomness_battery, op7_warc_revisits, op8_sampled_pieces, op9_no_random_access_top_k, op10_site_relative_lines,
-        op12_polarisation_whitening, op13_phrase_collocations,
+        op11_collision_counting_neighbours, op12_polarisation_whitening, op13_phrase_collocations,
     )
 }
 
