@@ -15,10 +15,13 @@ def op1_simple8b_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Page outcomes are the labels of the documents with the page's number: bad if of low quality or toxic."""
-    labels = table(spark, sf_dir, "labels")
-    bad = labels.select(F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
-    return urls.judge_urls(table(spark, sf_dir, "pages"), bad)
+    """The number in a page's path names the document it shows. Outcomes are that document's labels: bad if of low
+    quality or toxic."""
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    shown = pages.select("page_id", F.regexp_extract(urls.path_of(F.col("url")), "/([0-9]{1,18})", 1).alias("number"))
+    bad = labels.select("doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    outcomes = shown.join(bad, F.col("number").try_cast("long") == F.col("doc_id")).select("page_id", "bad")
+    return urls.judge_urls(pages, outcomes)
 
 
 def op3_simhash_trie_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,17 +125,18 @@ WITH hosted AS (
     regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
   FROM pages
 ), outcomes AS (
-  SELECT doc_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels GROUP BY doc_id
+  SELECT page_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad
+  FROM hosted JOIN labels ON doc_id = TRY_CAST(regexp_extract(path, '/([0-9]{{1,18}})', 1) AS BIGINT) GROUP BY page_id
 ), hosts AS (
   SELECT host, count(o.bad) AS n, coalesce(sum(o.bad), 0)::BIGINT AS bad, string_split(host, '.') AS labels
-  FROM hosted h LEFT JOIN outcomes o ON o.doc_id = h.page_id GROUP BY host
+  FROM hosted h LEFT JOIN outcomes o USING (page_id) GROUP BY host
 ), parts AS (
   SELECT host, n, bad, array_to_string(labels[-2:], '.') AS last_two, array_to_string(labels[-3:], '.') AS last_three, labels[-1] AS last_one
   FROM hosts
 ), placed AS (
   SELECT host, n, bad,
-    CASE WHEN last_two IN ({suffixes}) THEN last_three ELSE last_two END AS domain,
-    CASE WHEN last_two IN ({suffixes}) THEN last_two ELSE last_one END AS suffix
+    CASE WHEN {suffixes} THEN last_three ELSE last_two END AS domain,
+    CASE WHEN {suffixes} THEN last_two ELSE last_one END AS suffix
   FROM parts
 ), domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM placed GROUP BY ALL
 ), suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY ALL
@@ -156,18 +160,25 @@ WITH hosted AS (
     coalesce((SELECT strength FROM priors WHERE level = 'domain'), {strongest}) AS domain_s,
     coalesce((SELECT strength FROM priors WHERE level = 'suffix'), {strongest}) AS suffix_s
 ), drawn AS (
-  SELECT p.host, p.n, p.bad, host_s,
-    (p.bad + host_s * ((d.bad + domain_s * ((s.bad + suffix_s * share) / (s.n + suffix_s))) / (d.n + domain_s))) / (p.n + host_s) AS share
+  SELECT p.host, p.n, p.bad, host_s, share AS overall,
+    (d.bad + domain_s * ((s.bad + suffix_s * share) / (s.n + suffix_s))) / (d.n + domain_s) AS parent
   FROM placed p JOIN domains d USING (domain, suffix) JOIN suffixes s USING (suffix), overall
+), counted AS (
+  SELECT *, bad + host_s * parent AS a, n - bad + host_s * (1 - parent) AS b FROM drawn
+), points AS (
+  SELECT host, n, bad, overall, (bad + host_s * parent) / (n + host_s) AS share, a, b,
+    unnest(list_transform(range(-{points}, {points} + 1), lambda k: ln(a / b) + sqrt(1 / a + 1 / b) * (k * {step}))) AS odds FROM counted
+), reputed AS (
+  SELECT host, n, bad, share, sum(CASE WHEN 1 / (1 + exp(-odds)) > {multiple} * overall THEN f ELSE 0 END) / sum(f) AS above
+  FROM (SELECT *, exp(-a * ln(1 + exp(-odds)) - b * ln(1 + exp(odds)) - (a * ln(a / (a + b)) + b * ln(b / (a + b)))) AS f FROM points) p
+  GROUP BY ALL
 ), judged AS (
-  SELECT h.page_id, h.host, h.path, d.n, d.bad,
-    CASE WHEN (d.share + {deviations} * {deviations} / (2 * (d.n + d.host_s)) - {deviations} * sqrt(d.share * (1 - d.share) / (d.n + d.host_s)
-      + {deviations} * {deviations} / (4 * (d.n + d.host_s) * (d.n + d.host_s)))) / (1 + {deviations} * {deviations} / (d.n + d.host_s)) > {bad_share}
-      THEN 'block' ELSE 'allow' END AS method,
+  SELECT h.page_id, h.host, h.path, d.n, d.bad, round(share, 6) AS share, round(above, 6) AS above,
+    CASE WHEN round(above, 6) >= {certainty} THEN 'block' ELSE 'allow' END AS method,
     CASE {rules} END AS rule
-  FROM hosted h JOIN drawn d USING (host)
+  FROM hosted h JOIN reputed d USING (host)
 )
-SELECT page_id, host, path, rule, CASE rule {verdicts} ELSE method END AS verdict, n AS n_labelled, bad AS n_bad FROM judged
+SELECT page_id, host, path, rule, CASE rule {verdicts} ELSE method END AS verdict, n AS n_labelled, bad AS n_bad, share, above FROM judged
 """
 
 
@@ -180,9 +191,9 @@ def _reputation_sql() -> str:
             f"WHEN (h.host = '{host}' OR ends_with(h.host, '.{host}')) AND starts_with(h.path, '{slash}{path}') THEN '{rule}'"
         )
     return _REPUTATION.format(
-        suffixes=", ".join(f"'{s}'" for s in urls.TWO_LABEL_SUFFIXES),
-        strongest=f"{urls.STRONGEST}::DOUBLE", weakest=f"{urls.WEAKEST}::DOUBLE",
-        deviations=f"{urls.DEVIATIONS}::DOUBLE", bad_share=f"{urls.BAD_SHARE}::DOUBLE",
+        suffixes=f"(regexp_full_match(last_two, '({'|'.join(urls.REGISTRIES)})[.][a-z][a-z]') OR list_contains({list(urls.SHARED_SUFFIXES)}, last_two))",
+        strongest=f"{urls.STRONGEST}::DOUBLE", weakest=f"{urls.WEAKEST}::DOUBLE", multiple=f"{urls.BAD_MULTIPLE}::DOUBLE",
+        certainty=f"{urls.CERTAINTY}::DOUBLE", points=urls.POINTS, step=f"{urls.STEP}::DOUBLE",
         rules=" ".join(fits), verdicts=" ".join(f"WHEN '{rule}' THEN '{verdict}'" for rule, verdict in urls.RULES),
     )
 
@@ -307,7 +318,8 @@ ORACLES: dict[str, str] = {
         ), totals AS (SELECT source, count(*) AS pages FROM documents GROUP BY source
         ), common AS (
           SELECT source, list(line) AS boiler FROM counts JOIN totals USING (source)
-          WHERE n >= {boilerplate.MIN_PAGES} AND n > pages * {boilerplate.RATIO}::DOUBLE GROUP BY source
+          WHERE (n + {boilerplate.DEVIATIONS ** 2}::DOUBLE / 2 - {boilerplate.DEVIATIONS}::DOUBLE * sqrt(n * (pages - n) / pages + {boilerplate.DEVIATIONS ** 2}::DOUBLE / 4))
+            / (pages + {boilerplate.DEVIATIONS ** 2}::DOUBLE) > {boilerplate.RATIO}::DOUBLE GROUP BY source
         ), cleaned AS (
           SELECT doc_id, lines, CASE WHEN boiler IS NULL THEN text
             ELSE array_to_string(list_filter(lines, lambda l: trim(l) = '' OR NOT list_contains(boiler, l)), chr(10)) END AS kept

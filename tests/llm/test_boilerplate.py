@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections import Counter
 
@@ -11,13 +12,22 @@ from pyspark.sql import functions as F
 from surveymill.llm import boilerplate
 
 
-def brute(rows, ratio, least):
+def lower(n, pages, deviations):
+    """The lower end of the score interval: the least share s with n / pages - s <= deviations * sqrt(s (1 - s) / pages)."""
+    low, high = 0.0, n / pages
+    for _ in range(200):
+        s = (low + high) / 2
+        low, high = (s, high) if n / pages - s > deviations * math.sqrt(s * (1 - s) / pages) else (low, s)
+    return high
+
+
+def brute(rows, ratio, deviations=boilerplate.DEVIATIONS):
     totals = Counter(h for h, _ in rows)
     counts = Counter((h, line) for h, t in rows if h is not None and t is not None for line in set(t.split("\n")) if line.strip(" "))
     out = []
     for h, t in rows:
         if h is not None and t is not None:
-            t = "\n".join(x for x in t.split("\n") if not x.strip(" ") or not (counts[h, x] >= least and counts[h, x] > ratio * totals[h]))
+            t = "\n".join(x for x in t.split("\n") if not x.strip(" ") or lower(counts[h, x], totals[h], deviations) <= ratio)
         out.append((h, t))
     return sorted(out, key=repr)
 
@@ -38,12 +48,19 @@ def test_random_pages(spark, conf, threshold):
     frame = spark.createDataFrame(rows, "source string, text string").repartition(6)
     names = {"lines": F.lit(1), "known_host": F.lit("k"), "hash": F.lit(2), "c0": F.lit(3), "host": F.lit("h")}
     frame = frame.withColumns(names)
-    for ratio, least in ((0.1, 5), (0.5, 1)):
-        got = boilerplate.drop_boilerplate(frame, ratio=ratio, min_pages=least)
+    for ratio, deviations in ((0.1, 3.0), (0.5, 1.0), (0.1, 0.0)):
+        got = boilerplate.drop_boilerplate(frame, ratio=ratio, deviations=deviations)
         assert got.columns == frame.columns
-        assert sorted(((r.source, r.text) for r in got.collect()), key=repr) == brute(rows, ratio, least)
+        assert sorted(((r.source, r.text) for r in got.collect()), key=repr) == brute(rows, ratio, deviations)
 
 
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "source string, text string")
     assert boilerplate.drop_boilerplate(empty).collect() == []
+
+
+def test_a_single_page_keeps_its_lines_and_certainty_grows_with_pages(spark):
+    rows = [("one", "a\nb")] + [(f"h{n}", f"menu\nown {i}") for n in (2, 3, 8, 40) for i in range(n)]
+    got = boilerplate.drop_boilerplate(spark.createDataFrame(rows, "source string, text string")).collect()
+    assert sorted((r.source, r.text) for r in got) == brute(rows, 0.1)
+    assert ("one", "a\nb") in [(r.source, r.text) for r in got] and all("menu" not in r.text for r in got if r.source != "one")
