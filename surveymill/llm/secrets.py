@@ -13,9 +13,10 @@ How well the battery tells the two apart depends on the length, so findings are
 length class by itself: random strings show as the even part of the class's p-values, which tells how many
 of the candidates above a cut are not random, and the lowest cut with a share of at most FALSE_SHARE is taken.
 The counts this needs are a table of classes by bins, as large for any corpus, from all candidates. A class of
-few candidates that could be random says little about itself. Its counts are filled up with PRIOR candidates as they lie in
-its encoding, and those of an encoding with PRIOR random strings, and it keeps a fixed lowest p-value. So random
-strings alone in a class are kept, however small the corpus, and ordinary ones are not if their encoding shows many.
+few candidates says little about itself. So each class is joined by PRIOR candidates that lie as those of its encoding do, with
+PRIOR random strings among them, and by DOUBT that are not random in its lowest bins. Their weight falls as the class
+grows, without a step. So random strings alone in a class are kept but for the lowest bins, however small the corpus,
+and ordinary ones are not if their encoding shows many.
 """
 
 from __future__ import annotations
@@ -85,9 +86,9 @@ AROUND = 0.001  # the least p-value of a candidate around one that is kept
 LENGTH_CLASSES = (24, 28, 32, 40, 48, 64, 128)  # upper ends, the last class is open
 BINS = 50
 FALSE_SHARE = 0.05
-PRIOR = 100  # candidates that a class is filled up with
-ENOUGH = 500  # candidates above the bound that let a class go by its own counts
-BOUND, LETTERS_BOUND = 1, 5  # the lowest bin that other classes keep; runs without a digit are words more often
+SHARES = tuple(FALSE_SHARE * n / 20 for n in range(10, 31))
+PRIOR, DOUBT = 100, 40  # candidates that join a class: as its encoding has them, and in the lowest bins
+BOUND, LETTERS_BOUND = 1, 5  # the lowest bins, which a class must show to be random; runs without a digit are words more often
 
 _FOUND = "base array<struct<start:int,kind:int,end:int>>, candidates array<struct<start:int,end:int,class:string,p:double>>"
 
@@ -268,22 +269,29 @@ def _scan_all(texts: list[str]) -> dict[str, list]:
     }
 
 
-def cut(bins: list[int] | list[float], bound: int = 0) -> float:
+def cut(bins: list[int] | list[float]) -> float:
     """The lowest p-value kept in a class, from its counts by bin of the p-value (the last bin ends at 1).
 
-    No bin below ``bound`` is kept, however many random strings there are.
+    It is the mean over shares of false findings around FALSE_SHARE, so that one candidate does not move it far where
+    many bins are near the share. 2 if no bin has so few.
     """
-    n, size = sum(bins), len(bins)
-    random = min(n, 2 * sum(bins[size // 2 :]))  # random strings fill all bins alike; the upper half shows them best
-    for first in range(bound, size):
-        above = sum(bins[first:])
-        if above and above - random * (size - first) / size <= FALSE_SHARE * above:
-            return first / size
-    return 2.0
+    size, above, sums = len(bins), 0.0, []
+    for count in reversed(bins):
+        above += count
+        sums.append(above)
+    random = min(above, 2 * sums[size - size // 2 - 1])  # random strings fill all bins alike; the upper half shows them best
+    lowest = [size] * len(SHARES)
+    for first in range(size):
+        above = sums[size - 1 - first]
+        false = above - random * (size - first) / size
+        for i, share in enumerate(SHARES):
+            if above and false <= share * above:
+                lowest[i] = min(lowest[i], first)
+    return 2.0 if min(lowest) == size else sum(lowest) / len(lowest) / size
 
 
 def class_cuts(bins: dict[str, list[int]]) -> dict[str, float]:
-    """The cut of each class, from the counts of all; thin classes lean on their encoding."""
+    """The cut of each class, from the counts of all; the fewer a class has, the more it leans on its encoding."""
     of_encodings: dict[str, list[float]] = {}
     for name, counts in bins.items():
         total = of_encodings.setdefault(name.partition(":")[0], [PRIOR / BINS] * BINS)
@@ -293,14 +301,9 @@ def class_cuts(bins: dict[str, list[int]]) -> dict[str, float]:
     for name, counts in bins.items():
         encoding = name.partition(":")[0]
         bound = LETTERS_BOUND if encoding in _LETTERS else BOUND
-        if sum(counts[bound:]) >= ENOUGH:
-            lowest[name] = cut(counts)
-            continue
-        # below the bound nothing is kept, so how many lie there does not matter
         like = of_encodings[encoding]
         weight = PRIOR / sum(like[bound:])
-        filled = [0.0] * bound + [n + weight * x for n, x in zip(counts[bound:], like[bound:], strict=True)]
-        lowest[name] = cut(filled, bound)
+        lowest[name] = cut([n + (DOUBT / bound if i < bound else weight * x) for i, (n, x) in enumerate(zip(counts, like, strict=True))])
     return lowest
 
 
