@@ -7,9 +7,11 @@ everything below it.
 
 To deal the walk out, the 64 bits are cut into ``max_bits + 1`` blocks. Two fingerprints within the
 budget agree in one whole block at least, so there is one trie for each block with that block rotated
-to the top: the walk takes no error there, and every value of the block is a subtree of its own. A
-subtree with more than ``node_limit`` fingerprints is cut deeper, into the pairs of its nodes that the
-budget still lets through; a pair is then the unit. Each unit is a sorted array, a node a range of it.
+to the top: the walk takes no error there, and every value of the block is a subtree of its own. Each is a unit
+of work. A unit with more than ``node_limit`` fingerprints is cut into the pairs of its child nodes that the
+budget still lets through, below the bits that all its fingerprints share; units are counted again after
+each cut, until none is over the limit. A pair of which one node is empty is none. Each unit is a sorted array, a
+node a range of it.
 
 Links found in a unit leave it as a spanning forest, never as all pairs. Components of the links come
 from large-star and small-star rounds on written tables.
@@ -18,6 +20,7 @@ from large-star and small-star rounds on written tables.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
@@ -25,13 +28,15 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
 from surveymill.llm.common import arrow_schema, per_text, stage
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
 HASH_SEED = 42
-NODE_LIMIT = 50_000  # fingerprints of a subtree that one walk takes
+_MOST_DEEPER = 12  # bits that a unit is cut by at a time
+NODE_LIMIT = 50_000  # fingerprints of a unit that one walk takes
 CHUNK = 200_000  # fingerprints of whole units that are walked at a time
 FRONTIER = 250_000  # node pairs that are widened at a time
 LINKS_OF_A_TASK = 100_000  # links of one node that one task joins
@@ -69,15 +74,6 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return per_text(rows, ["id"], "text", work, "fp long")
 
 
-def with_fingerprints(docs: DataFrame, text_col: str = "text", shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """All rows and columns, and the fingerprint of the text as ``_fp``."""
-
-    def work(texts):
-        return {"_fp": np.array([fingerprint(t, shingle_words) for t in texts], np.uint64).view(np.int64)}
-
-    return per_text(docs, docs.columns, text_col, work, "_fp long")
-
-
 # --- the walk ----------------------------------------------------------------------------------
 
 
@@ -201,11 +197,10 @@ def _walk_units(batches: Iterator[pa.RecordBatch], depth: int, budget: int, sche
         yield _spanning_links([np.concatenate(parts) for parts in zip(*held, strict=True)], depth, budget, schema)
 
 
-def trie_links(classes: DataFrame, max_bits: int = MAX_BITS, node_limit: int = NODE_LIMIT) -> DataFrame:
-    """Links ``(fp_a, id_a, fp_b, id_b)`` that join distinct fingerprints ``(fp, id)`` within ``max_bits``.
-
-    They span the same components as all pairs within the budget, and every one is implied by such pairs.
-    """
+def trie_units(classes: DataFrame, max_bits: int = MAX_BITS, node_limit: int = NODE_LIMIT) -> DataFrame:
+    """The distinct fingerprints ``(fp, id)`` in the units that one walk takes each: rows (tree, top, a, b, split, node, rot,
+    id), where a unit (tree, top, a, b, split) is the pair of the nodes a and b, and ``node`` the one that a fingerprint
+    is in. A unit over the limit is one that has no bits left to be cut by."""
     blocks = max_bits + 1
     depth = 64 // blocks
     turned = F.array(*[
@@ -218,40 +213,69 @@ def trie_links(classes: DataFrame, max_bits: int = MAX_BITS, node_limit: int = N
     rows = classes.select("id", F.explode(turned).alias("t")).select(
         "id", "t.tree", "t.rot", F.expr(f"shiftrightunsigned(t.rot, {64 - depth})").alias("top")
     )
-    # subtrees over the limit: cut so many bits deeper that an even spread leaves half the limit
-    large = (
-        rows.groupBy("tree", "top").agg(F.count("*").alias("n")).filter(F.col("n") > node_limit)
-        .select(
-            "tree", "top",
-            F.least(F.lit(64 - depth), F.ceil(F.log2(F.col("n") / node_limit)) + 1).cast("long").alias("split"),
-        )
-    )
-    large = stage(large, "simhash-large")
-    hot = large.count()
-    whole = rows.join(F.broadcast(large) if hot <= 100_000 else large, ["tree", "top"], "left")
-    whole = whole.withColumn("split", F.coalesce("split", F.lit(0).cast("long")))
-    node = F.expr(f"IF(split = 0, 0L, shiftrightunsigned(shiftleft(rot, {depth}), CAST(64 - split AS INT)))")
-    # the other nodes of a pair: those that differ from this one in up to max_bits of the split bits
+    none = F.lit(0).cast("long")
+    units = rows.select("tree", "top", none.alias("a"), none.alias("b"), none.alias("split"), none.alias("node"), "rot", "id")
+    parts = []
+    while True:
+        large = stage(_large_units(units, depth, node_limit), "simhash-large")
+        hot = large.count()
+        if not hot:
+            parts.append(units)
+            break
+        known = F.broadcast(large) if hot <= 100_000 else large
+        parts.append(units.join(known.select(*_UNIT), _UNIT, "left_anti"))
+        units = stage(_cut_units(units.join(known, _UNIT), depth, max_bits), "simhash-units")
+    return reduce(DataFrame.unionAll, parts)
+
+
+def trie_links(classes: DataFrame, max_bits: int = MAX_BITS, node_limit: int = NODE_LIMIT) -> DataFrame:
+    """Links ``(fp_a, id_a, fp_b, id_b)`` that join distinct fingerprints ``(fp, id)`` within ``max_bits``.
+
+    They span the same components as all pairs within the budget, and every one is implied by such pairs.
+    """
+    depth, schema = 64 // (max_bits + 1), arrow_schema(LINKS)
+    dealt = trie_units(classes, max_bits, node_limit).repartition(*_UNIT).sortWithinPartitions(*_UNIT)
+    return dealt.mapInArrow(lambda batches: _walk_units(batches, depth, max_bits, schema), LINKS)
+
+
+_UNIT = ["tree", "top", "a", "b", "split"]
+
+
+def _large_units(units: DataFrame, depth: int, node_limit: int) -> DataFrame:
+    """The units over the limit that have bits left, with the bits ``skip`` that all of a unit's rows share below its
+    split (0 for a pair of nodes) and the bits ``deeper`` to cut by: an even spread leaves half the limit."""
+    rest = F.expr(f"IF(split >= {64 - depth}, 0L, shiftrightunsigned(shiftleft(rot, CAST({depth} + split AS INT)), CAST({depth} + split AS INT)))")
+    counted = units.groupBy(*_UNIT).agg(F.count("*").alias("n"), F.min(rest).alias("least"), F.max(rest).alias("most"))
+    left = F.lit(64 - depth) - F.col("split")
+    differing = F.when(F.col("least") == F.col("most"), 0).otherwise(F.length(F.bin(F.col("least").bitwiseXOR(F.col("most")))))
+    skip = F.when(F.col("a") == F.col("b"), left - differing).otherwise(0)
+    large = counted.filter((F.col("n") > node_limit) & (left > 0)).withColumn("skip", skip.cast("long"))
+    deeper = F.least(F.greatest(F.lit(1), F.ceil(F.log2(F.col("n") / node_limit)) + 1), left - F.col("skip"), F.lit(_MOST_DEEPER))
+    return large.withColumn("deeper", deeper.cast("long")).filter("deeper > 0").select(*_UNIT, "skip", "deeper")
+
+
+def _cut_units(units: DataFrame, depth: int, max_bits: int) -> DataFrame:
+    """The rows of units with their ``skip`` and ``deeper``, in the units of the pairs of child nodes; pairs with an empty node are left out."""
+    # masks: how a child of the other node may differ in the new bits
     masks = "array(0L)"
     for _ in range(max_bits):
         masks = (
             f"array_distinct(concat({masks}, flatten(transform({masks}, m -> "
-            "transform(sequence(0, CAST(split AS INT) - 1), s -> m ^ shiftleft(1L, s))))))"
+            "transform(sequence(0, CAST(deeper AS INT) - 1), s -> m ^ shiftleft(1L, s))))))"
         )
-    units = whole.withColumn("node", node)
-    plain = units.filter("split = 0").selectExpr("tree", "top", "0L AS a", "0L AS b", "split", "node", "rot", "id")
-    cut = (
-        units.filter("split > 0").withColumn("mask", F.explode(F.expr(masks)))
-        .withColumn("mate", F.expr("node ^ mask"))
-        .select("tree", "top", F.least("node", "mate").alias("a"), F.greatest("node", "mate").alias("b"), "split", "node", "rot", "id")
-    )
-    keys = ["tree", "top", "a", "b", "split"]
-    parts = plain.unionAll(cut) if hot else plain
-    schema = arrow_schema(LINKS)
-    return (
-        parts.repartition(*keys).sortWithinPartitions(*keys)
-        .mapInArrow(lambda batches: _walk_units(batches, depth, max_bits, schema), LINKS)
+    masks = f"filter({masks}, m -> bit_count(m) + bit_count(a ^ b) <= {max_bits})"
+    split = F.expr("split + skip + deeper")
+    child = F.expr(f"shiftrightunsigned(shiftleft(rot, {depth}), CAST(64 - split - skip - deeper AS INT))")
+    cut = units.withColumns({"child": child, "mask": F.explode(F.expr(masks))})
+    # the node across: in a pair of nodes its upper bits are the other node's
+    mate = F.expr("IF(a = b, child, child ^ shiftleft(a ^ b, CAST(skip + deeper AS INT))) ^ mask")
+    cut = cut.withColumn("mate", mate).select(
+        "tree", "top", F.least("child", "mate").alias("a"), F.greatest("child", "mate").alias("b"), split.alias("split"),
+        F.col("child").alias("node"), "rot", "id",
     )
+    sides = cut.groupBy(*_UNIT).agg(F.min("node").alias("first"), F.max("node").alias("last"))
+    both = sides.filter("a = b OR first < last").select(*_UNIT)
+    return cut.join(both, _UNIT, "left_semi")
 
 
 # --- components --------------------------------------------------------------------------------
@@ -346,3 +370,50 @@ def near_duplicates(
     """
     found = near_duplicate_classes(docs, id_col, text_col, shingle_words, max_bits, node_limit)
     return found.select("doc_id", "fp", "component_id")
+
+
+def keep_one_of_each(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle_words: int = SHINGLE_WORDS,
+    max_bits: int = MAX_BITS,
+) -> DataFrame:
+    """One row of each component of near duplicates, with all its columns.
+
+    The row with the smallest id stays (rows without id come last), of its rows the one with the smallest fingerprint, then
+    that with the smallest hash of all columns. Defined cases: those of ``near_duplicates``; rows that share an id but are in different
+    components are documents of their own; of rows without id one stays too, if no row of the component has an id;
+    of rows that are equal in all columns one stays; columns of any name and type are carried along.
+
+    Where ids tell rows apart, only the ids that go are joined, and Spark broadcasts them if they are few. Rows that
+    share an id, or have none, are told apart by their fingerprints, which are made again for them.
+    """
+    names = docs.columns
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    key, text = f"c{names.index(id_col)}", f"c{names.index(text_col)}"
+    found = stage(near_duplicate_classes(numbered, key, text, shingle_words, max_bits), "near-dedup")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")
+    first = found.groupBy("root_fp").agg(F.min(order).alias("row"))
+    first = stage(first.select(F.col("row.doc_id").alias("first_id"), F.col("row.fp").alias("first_fp")), "near-dedup-first")
+    of_ids = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"), F.min("fp").alias("fp"))
+    stays = (F.col("doc_id") == F.col("first_id")) & (F.col("fp") == F.col("first_fp"))
+    single = of_ids.filter("n = 1").join(first, stays, "left_anti").select("doc_id", F.lit(False).alias("again"))
+    apart = stage(single.unionAll(of_ids.filter("n > 1").select("doc_id", F.lit(True).alias("again"))), "near-dedup-apart")
+    kept = numbered.join(apart.select("doc_id"), F.col(key).cast("long") == F.col("doc_id"), "left_anti").filter(F.col(key).isNotNull())
+    repeated = apart.filter("again").select("doc_id")
+    again = numbered.filter(F.col(key).isNull()).unionAll(numbered.join(repeated, F.col(key).cast("long") == F.col("doc_id"), "left_semi"))
+    if not again.isEmpty():
+
+        def work(texts):
+            return {"fp": np.array([fingerprint(t, shingle_words) for t in texts], np.uint64).view(np.int64)}
+
+        rows = per_text(again, again.columns, text, work, "fp long")
+        chosen = rows.join(first, F.col(key).cast("long").eqNullSafe(F.col("first_id")) & (F.col("fp") == F.col("first_fp")), "left_semi")
+        hashed = F.xxhash64(*[F.to_json(F.struct(c)) if isinstance(chosen.schema[c].dataType, (MapType, VariantType)) else F.col(c) for c in again.columns])
+        chosen = stage(chosen.withColumn("hash", hashed), "near-dedup-chosen")
+        least = chosen.groupBy(key, "fp").agg(F.min("hash").alias("hash"))
+        same = F.expr(f"a.{key} <=> b.{key} AND a.fp = b.fp AND a.hash = b.hash")
+        one = chosen.alias("a").join(least.alias("b"), same, "left_semi").dropDuplicates([key, "fp"])
+        kept = kept.unionAll(one.select(*again.columns))
+    return kept.toDF(*names)

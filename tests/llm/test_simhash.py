@@ -10,6 +10,8 @@ import xxhash
 from pyspark.sql import functions as F
 
 from surveymill.llm import simhash
+from surveymill.llm.common import stage
+from surveymill.llm.queries import QUERIES
 
 
 def brute_fingerprint(text):
@@ -122,3 +124,27 @@ def test_walk_in_parts_of_the_frontier(monkeypatch, frontier):
         for a, b in zip(x.tolist(), y.tolist(), strict=True)
     }
     assert found == {(i, j) for j in range(len(fps)) for i in range(j) if (fps[i] ^ fps[j]).bit_count() <= 3}
+
+
+@pytest.mark.parametrize(("spread", "base"), [(range(20), 0x123456789ABCDEF0), (range(30, 50), 2**64 - 1), (range(0, 64, 3), 0)])
+def test_no_unit_is_over_the_limit(spark, spread, base):
+    """A large family of near copies whose differences lie in few bits, so that its fingerprints share long paths."""
+    rng = random.Random(len(spread))
+    fps = {base ^ sum(1 << b for b in rng.sample(list(spread), rng.randrange(0, 6))) for _ in range(2500)} | {rng.getrandbits(64) for _ in range(50)}
+    rows = {i: (i, fp) for i, fp in enumerate(sorted(fps))}
+    classes = spark.createDataFrame([(int(np.uint64(fp).view(np.int64)), i) for i, fp in rows.values()], "fp long, id long")
+    limit = 300
+    units = stage(simhash.trie_units(classes, 3, limit), "test-units")
+    sizes = units.groupBy("tree", "top", "a", "b", "split").agg(F.count("*").alias("n")).collect()
+    assert max(r.n for r in sizes) <= limit and max(r.split for r in sizes) > 0
+    found = simhash.components(simhash.trie_links(classes, 3, limit).select(F.col("id_a").alias("u"), F.col("id_b").alias("v")))
+    roots = {r.node: r.root for r in found.collect()}
+    assert {i: roots.get(i, i) for i in rows} == brute_components(rows, 3)
+
+
+def test_the_whole_given_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = {k: (r.doc_id, brute_fingerprint(r.text or "")) for k, r in enumerate(docs.collect())}
+    component = brute_components(rows, 3)
+    expected = sorted((i, f"{fp:016x}", component[k]) for k, (i, fp) in rows.items())
+    assert sorted(map(tuple, QUERIES["op3_simhash_trie_join"](spark, "/root/testdata/sf0.001").collect())) == expected
