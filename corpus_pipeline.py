@@ -20,47 +20,32 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail a rule of the policy go."""
+    """Documents that fail a rule of the policy go; one without text has no words and fails. Rows are judged each, whatever their
+    id; an empty table stays empty; all columns are carried along (see ``quality.keep_good``)."""
     return quality.keep_good(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that are boilerplate of their source go; documents stay."""
+    """Lines that are boilerplate of their source go; documents stay, also those without text or source. ``n_chars`` follows the
+    text where there is such a column (see ``boilerplate.drop_boilerplate``)."""
     return _counted(boilerplate.drop_boilerplate(docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that fingerprint links connect, the one with the smallest id stays.
-
-    Of its rows one stays (that of the smallest fingerprint, then of the smallest hash). Rows that share an id but are in
-    different components are documents of their own. Rows without id all stay.
-    """
-    found = stage(simhash.near_duplicate_classes(docs), "near-dedup")
-    first = found.filter("doc_id = component_id").groupBy("root_fp").agg(F.min(F.struct("doc_id", "fp")).alias("row"))
-    first = stage(first.select("row.doc_id", "row.fp"), "near-dedup-first")
-    # as many ids as documents: a merge join at every size, no broadcast
-    named = docs.join(first.select("doc_id").hint("merge"), "doc_id", "left_semi")
-    kept = named.unionByName(docs.filter("doc_id IS NULL"))
-    counted = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"))
-    repeated = stage(counted.filter("n > 1").select("doc_id"), "near-dedup-repeated")
-    if not repeated.isEmpty():
-        # the rows of an id are told apart by their fingerprints, those of one fingerprint are in one component
-        again = named.join(repeated, "doc_id", "left_semi").select(docs.columns)
-        rows = simhash.with_fingerprints(again.withColumn("row_hash", F.xxhash64(*docs.columns)))
-        chosen = rows.join(first.hint("merge"), (rows["doc_id"] == first["doc_id"]) & (rows["_fp"] == first["fp"]), "left_semi")
-        least = chosen.groupBy("doc_id", "_fp").agg(F.min("row_hash").alias("row_hash"))
-        one = chosen.join(least, ["doc_id", "_fp", "row_hash"]).dropDuplicates(["doc_id", "_fp"])
-        kept = kept.join(repeated, "doc_id", "left_anti").unionByName(one.select(docs.columns))
-    return kept.select(docs.columns)
+    """Of documents that fingerprint links connect, one stays: the one with the smallest id. Documents without id come
+    last, rows that repeat an id are told apart by their text; nulls and clashing names as in ``simhash.keep_one_of_each``."""
+    return simhash.keep_one_of_each(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets in the texts are replaced by a mark; documents stay."""
+    """Secrets in the texts are replaced by a mark; documents stay, a null text stays null. ``n_chars`` follows the text where there is
+    such a column (see ``secrets.redact``)."""
     return _counted(secrets.redact(docs))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' token ids in windows of equal capacity, a row for each piece."""
+    """The documents' token ids in windows of equal capacity, a row for each piece; a document without text is its end id alone, an
+    empty table has no pieces, other columns are not read (see ``packing.pack``)."""
     return packing.pack(docs)
 
 
