@@ -13,8 +13,7 @@ from the k-th best so far, for which the vectors that collide most in the first
 Nearness by inner product becomes nearness by distance: all vectors of a block are lengthened to the largest norm
 by a coordinate of their own, in which queries are zero.
 
-Vectors are dealt over blocks by hash and stay there; the queries visit every block, a few at a time. The best
-k of each block are joined by query.
+Queries meet the blocks of vectors as ``blocks`` deals them.
 """
 
 from __future__ import annotations
@@ -24,11 +23,10 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveymill.llm.common import arrow_schema, stage
+from surveymill.llm import blocks
 
 K = 20
 ARRAYS = 64
@@ -39,10 +37,6 @@ NEXT = 0.85  # the radius after the first round, as a share of the distance of t
 FIRST = 1 / 64  # share of the block that the first windows hold
 FIRST_VERIFIED = 4  # times k vectors are verified after the first round
 SEED = 20
-SMALLEST_BLOCK, LARGEST_BLOCK = 8192, 65536
-QUERIES = 256  # queries that are in memory at a time
-
-_FOUND = "query_place long, query_id long, vec_id long, score double"
 
 
 @cache
@@ -168,53 +162,11 @@ class Block:
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """``(id, v)`` of the rows with an id whose vector is not null, not zero and holds no null, NaN or infinite entry."""
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
-    odd = F.exists("v", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
-    whole = F.col("id").isNotNull() & F.col("v").isNotNull() & ~F.coalesce(odd, F.lit(True))
-    return rows.filter(whole).filter(F.exists("v", lambda c: c != 0))
-
-
-def _matrix(rows: pa.Table) -> np.ndarray:
-    return rows["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(rows.num_rows, -1)
-
-
-def _search(batches: Iterator[pa.RecordBatch], k: int, types: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """Rows in order of block, length and kind: a block's vectors are held, then its queries come a few at a time."""
-    current, vectors, block = None, [], None
-
-    def answered(queries: pa.RecordBatch) -> pa.RecordBatch:
-        rows = pa.Table.from_batches([queries])
-        place, ids = rows["place"].to_numpy(), rows["id"].to_numpy()
-        by_place = np.argsort(block.places, kind="stable")
-        near = np.minimum(np.searchsorted(block.places[by_place], place), len(by_place) - 1)
-        own = np.where(block.places[by_place][near] == place, by_place[near], -1)
-        found = list(block.nearest(_matrix(rows), own, block.ids, k))
-        sizes = [len(v) for _, v, _ in found]
-        asked = np.repeat([i for i, *_ in found], sizes)
-        picked = np.concatenate([v for _, v, _ in found])
-        columns = (place[asked], ids[asked], block.ids[picked], np.concatenate([s for *_, s in found]))
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=types)
-
-    for batch in batches:
-        keys = [batch.column(i).to_numpy() for i in range(3)]
-        bounds = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
-        for a, b in zip([0, *bounds.tolist()], [*bounds.tolist(), batch.num_rows], strict=True):
-            group, is_query = (int(keys[0][a]), int(keys[1][a])), bool(keys[2][a])
-            if group != current:
-                current, vectors, block = group, [], None
-            if not is_query:
-                vectors.append(batch.slice(a, b - a))
-                continue
-            if not vectors and block is None:
-                continue  # no vectors of this length in the block
-            if block is None:
-                held = pa.Table.from_batches(vectors)
-                block = Block(_matrix(held))
-                block.places, block.ids = held["place"].to_numpy(), held["id"].to_numpy()
-                vectors = []
-            for start in range(a, b, QUERIES):
-                yield answered(batch.slice(start, min(QUERIES, b - start)))
+    """``(id, x)`` of the rows with an id whose vector is not null, not zero and holds no null, NaN or infinite entry."""
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("x"))
+    odd = F.exists("x", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
+    whole = F.col("id").isNotNull() & F.col("x").isNotNull() & ~F.coalesce(odd, F.lit(True))
+    return rows.filter(whole).filter(F.exists("x", lambda c: c != 0))
 
 
 def nearest_neighbours(
@@ -233,25 +185,4 @@ def nearest_neighbours(
     rows of their own, ask each and find each other; vectors are compared with those of the same length; a query with
     fewer than k others gets all of them; an empty table has no answers; other columns are not read.
     """
-    spark = vectors.sparkSession
-    rows = usable(vectors, id_col, vector_col).withColumn("place", F.monotonically_increasing_id())
-    rows = stage(rows, "ann-vectors")  # places now stay
-    n = rows.count()
-    if block_rows is None:
-        share = n // spark.sparkContext.defaultParallelism + 1
-        block_rows = min(max(share, SMALLEST_BLOCK), LARGEST_BLOCK)
-    blocks = max(1, -(-n // block_rows))
-    dims = F.size("v").alias("dims")
-
-    def side(frame: DataFrame, block, kind: int) -> DataFrame:
-        return frame.select(block.alias("block"), dims, F.lit(kind).alias("kind"), "place", "id", "v")
-
-    own = F.pmod(F.xxhash64("place"), F.lit(blocks)).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    both = side(rows, own, 0).unionAll(side(rows.filter(is_query), every, 1))
-    types = arrow_schema(_FOUND)
-    dealt = both.repartition(3 * blocks, "block").sortWithinPartitions("block", "dims", "kind")
-    found = dealt.mapInArrow(lambda batches: _search(batches, k, types), _FOUND)
-    best_first = Window.partitionBy("query_place").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(best_first)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    return blocks.search(usable(vectors, id_col, vector_col), is_query, k, Block, Block.nearest, "double", block_rows)

@@ -1,16 +1,17 @@
 """Exact top-k by inner product with no random access to the vectors (NRA aggregation).
 
-Each dimension of a block of vectors is a list sorted by value. A query reads every list from its best
-end, downwards for a positive weight and upwards for a negative one, to the same depth in all lists. What has
-been read of a vector, and how far each list has come, bound its score: unread parts are at best the list's
-frontier and at worst its other end. Vectors whose upper bound is below the k-th best lower bound are out.
-When few are left (or the lists are read to their ends) the scores of those left are resolved exactly.
-
-All queries of a block read together, so the bounds of a depth are four products of matrices. Bounds are in
-floating point and are widened by their rounding error; scores are integers and are computed as such.
-
-Queries and vectors are cut into blocks; a task has one block of each. The best k of every pair of blocks
-are joined by query.
+Each dimension of a block of vectors is a list sorted by value. A query reads every list from its best end, downwards
+for a positive weight and upwards for a negative one, and the lists that can add most to a score farthest. Each step
+reads the next slice of every list and adds it to the sums of the vectors met there; nothing is read twice. What has been
+read of a vector, and how far each list has come, bound its score: unread parts are at best the list's
+frontier and at worst its other end. Vectors whose upper bound is below the k-th best lower bound are out, and reading
+stops when few are left (or the lists are at their ends). Only then are vectors looked up: the scores of those left are
+resolved exactly.
+
+Bounds of all vectors are a product of matrices, so they are looked at only if those of a few vectors show that
+some may go. They are in floating point and widened by their rounding error; scores are integers and are computed as such.
+
+Queries meet the blocks of vectors as ``blocks`` deals them.
 """
 
 from __future__ import annotations
@@ -18,21 +19,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveymill.llm.common import arrow_schema, stage
+from surveymill.llm import blocks
 
 K = 5
 SCALE = 256
-VECTOR_BLOCK = 8192
-QUERY_BLOCK = 1024
-READ_TOGETHER = 128  # queries whose bounds are in memory at a time
-DEPTHS = (0.5, 0.75, 0.875, 1.0)  # shares of the lists read before the bounds are looked at
+FIRST = 1 / 32  # share of the lists that the first step reads; each further step reads as far again
 LEFT = 1 / 16  # scores are resolved once at most this share of a block is left
-
-_FOUND = "query_place long, query_id long, vec_id long, score long"
+LOOKED_AT = 64  # vectors whose bounds tell whether those of all are worth their while
 
 
 def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = SCALE) -> DataFrame:
@@ -44,73 +40,74 @@ def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     return whole.select("id", F.transform("v", lambda c: F.floor(F.lit(float(scale)) * c)).alias("x"))
 
 
-def read_lists(vectors: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray]]:
-    """For each query (number, vectors that may be among its k best), by reading the sorted lists.
-
-    own: number of the query's own vector in the block, -1 if it is in another.
-    """
-    n, dims = vectors.shape
-    x = vectors.astype(np.float64)
-    order = np.argsort(x, axis=0, kind="stable")
-    rank = np.empty_like(order)
-    np.put_along_axis(rank, order, np.arange(n)[:, None], axis=0)
-    lists = np.take_along_axis(x, order, axis=0)
-    lowest, highest = lists[0], lists[-1]
-    largest = np.maximum(np.abs(lowest), np.abs(highest))
-    for first in range(0, len(queries), READ_TOGETHER):
-        asking = np.arange(first, min(first + READ_TOGETHER, len(queries)))
-        for share in DEPTHS:
-            depth = max(1, min(n, round(share * n)))
-            down, up = rank >= n - depth, rank < depth  # what has been read of each list from its ends
-            down_at, up_at = lists[n - depth], lists[depth - 1]  # the frontiers
-            w = queries[asking].astype(np.float64)
-            plus, minus = np.maximum(w, 0), np.minimum(w, 0)
-            margin = (np.abs(w) @ largest + 1)[:, None] * (dims + 2) * 2.0**-50
-
-            def bound(a, b, down=down, up=up, plus=plus, minus=minus):
-                """Scores with ``a`` for unread parts of lists read downwards, ``b`` for lists read upwards."""
-                read = plus @ np.where(down, x - a, 0).T
-                read += minus @ np.where(up, x - b, 0).T
-                return read + (plus @ a + minus @ b)[:, None]
-
-            best = bound(down_at, up_at) + margin
-            worst = bound(lowest, highest) - margin
-            there = np.flatnonzero(own[asking] >= 0)
-            best[there, own[asking][there]] = worst[there, own[asking][there]] = -np.inf
-            if n > k:
-                cut = np.partition(worst, n - k, axis=1)[:, n - k]
-                left = (best >= cut[:, None]) & (best > -np.inf)
-            else:
-                left = best > -np.inf
-            done = (left.sum(axis=1) <= max(4 * k, LEFT * n)) | (share == DEPTHS[-1])
-            yield from zip(asking[done].tolist(), map(np.flatnonzero, left[done]), strict=True)
-            asking = asking[~done]
-            if not len(asking):
-                break
-
-
-def block_top_k(queries: pa.Table, vectors: pa.Table, k: int, types: pa.Schema) -> pa.Table:
-    """The k best vectors of a block for each query of a block; equal scores go to the smaller id."""
-
-    def matrix(rows: pa.Table) -> np.ndarray:
-        flat = rows["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        return flat.reshape(rows.num_rows, -1) if rows.num_rows else np.zeros((0, 1), np.int64)
-
-    out: list[list[np.ndarray]] = []
-    if queries.num_rows and vectors.num_rows:
-        q, v = matrix(queries), matrix(vectors)
-        q_place, q_id = queries["place"].to_numpy(), queries["id"].to_numpy()
-        v_place, v_id = vectors["place"].to_numpy(), vectors["id"].to_numpy()
-        by_place = np.argsort(v_place, kind="stable")
-        at = np.minimum(np.searchsorted(v_place[by_place], q_place), len(v_place) - 1)
-        own = np.where(v_place[by_place][at] == q_place, by_place[at], -1)
-        found = read_lists(v, q, own, k) if q.shape[1] else ((i, np.flatnonzero(np.arange(len(v)) != own[i])) for i in range(len(q)))
-        for i, left in found:
-            scores = v[left] @ q[i]
-            top = np.lexsort((v_id[left], -scores))[:k]
-            out.append([np.full(len(top), q_place[i]), np.full(len(top), q_id[i]), v_id[left][top], scores[top]])
-    columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 4
-    return pa.table([pa.array(c.astype(np.int64)) for c in columns], schema=types)
+class Lists:
+    """The sorted lists of a block of vectors; ``read`` counts the entries read, ``resolved`` the scores made."""
+
+    def __init__(self, vectors: np.ndarray) -> None:
+        self.vectors = vectors
+        columns = vectors.T.astype(np.float64)
+        self.order = np.argsort(columns, axis=1, kind="stable")
+        self.values = np.take_along_axis(columns, self.order, axis=1)
+        self.read = self.resolved = 0
+
+    def candidates(self, query: np.ndarray, own: int, k: int) -> np.ndarray:
+        """Vectors that may be among the k best, by reading the lists."""
+        n, weights = len(self.vectors), query.astype(np.float64)
+        others = n - (own >= 0)
+        lists = np.flatnonzero(weights)
+        if others <= k or not len(lists):
+            return np.flatnonzero(np.arange(n) != own)
+        weights = weights[lists]
+        lowest, highest = self.values[lists, 0], self.values[lists, -1]
+        margin = (np.abs(weights) @ np.maximum(np.abs(lowest), np.abs(highest)) + 1) * (len(lists) + 2) * 2.0**-50
+        at_worst = weights * np.where(weights > 0, lowest, highest)
+        pull = np.abs(weights) * (highest - lowest)
+        pull = pull / pull.mean() if pull.any() else np.ones(len(lists))
+        depth = np.zeros(len(lists), np.int64)
+        sums, seen = np.zeros(n), np.zeros((len(lists), n))
+        share = FIRST
+        while True:
+            ends = np.minimum(n, np.maximum(depth, np.ceil(share * n * np.maximum(pull, FIRST)).astype(np.int64)))
+            met, parts = [], []
+            for j, (number, a, b) in enumerate(zip(lists.tolist(), depth.tolist(), ends.tolist(), strict=True)):
+                if b > a:
+                    piece = slice(n - b, n - a) if weights[j] > 0 else slice(a, b)
+                    met.append(self.order[number, piece])
+                    parts.append(weights[j] * self.values[number, piece])
+                    seen[j, met[-1]] = 1
+            if met:
+                sums += np.bincount(np.concatenate(met), weights=np.concatenate(parts), minlength=n)
+            self.read += int((ends - depth).sum())
+            depth, share = ends, 2 * share
+            frontier = weights * np.where(weights > 0, self.values[lists, n - depth], self.values[lists, depth - 1])
+            bounds = np.stack([frontier, at_worst])
+
+            def bound(picked, bounds=bounds):
+                unread = bounds.sum(axis=1)[:, None] - bounds @ seen[:, picked]
+                return sums[picked] + unread[0] + margin, sums[picked] + unread[1] - margin
+
+            done = bool((depth == n).all())
+            if not done:
+                best_sums = np.argpartition(sums, n - k - 1)[n - k - 1 :]  # one more than k: the own may be among them
+                floor = np.sort(bound(best_sums[best_sums != own])[1])[-k:].min()
+                few = np.linspace(0, n - 1, min(n, LOOKED_AT)).astype(np.int64)
+                if (bound(few)[0] >= floor).mean() > 2 * LEFT:
+                    continue
+            best, worst = bound(slice(None))
+            if own >= 0:
+                best[own] = worst[own] = -np.inf
+            left = np.flatnonzero((best >= np.partition(worst, n - k)[n - k]) & (best > -np.inf))
+            if done or len(left) <= max(4 * k, LEFT * n):
+                return left
+
+    def best(self, queries: np.ndarray, own: np.ndarray, ids: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """``(query, vectors, scores)`` of the k best of each query, equal scores by smaller id."""
+        for i, query in enumerate(queries):
+            left = self.candidates(query, int(own[i]), k)
+            self.resolved += len(left)
+            scores = self.vectors[left] @ query
+            top = np.lexsort((ids[left], -scores))[:k]
+            yield i, left[top], scores[top]
 
 
 def top_k(
@@ -119,8 +116,7 @@ def top_k(
     k: int = K,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
-    vector_block: int = VECTOR_BLOCK,
-    query_block: int = QUERY_BLOCK,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the k best of all other rows for each row that meets ``is_query``.
 
@@ -131,21 +127,4 @@ def top_k(
     all of them; an empty table has no answers; other columns are not read.
     """
     rows = quantised(vectors, id_col, vector_col)
-    rows = stage(rows.withColumn("place", F.monotonically_increasing_id()), "topk-vectors")  # places now stay
-    dims = F.size("x").alias("dims")
-    n, asking = rows.agg(F.count("*"), F.count_if(F.expr(is_query))).first()
-    v_blocks, q_blocks = max(1, -(-n // vector_block)), max(1, -(-asking // query_block))
-
-    def dealt(frame: DataFrame, own: str, blocks: int, other: str, others: int) -> DataFrame:
-        block = F.pmod(F.xxhash64("place"), F.lit(blocks)).cast("int").alias(own)
-        every = F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other)
-        return frame.select("place", "id", "x", dims, block, every)
-
-    types = arrow_schema(_FOUND)
-    keys = ["q_block", "v_block", "dims"]
-    q_side = dealt(rows.filter(is_query), "q_block", q_blocks, "v_block", v_blocks).groupBy(*keys)
-    v_side = dealt(rows, "v_block", v_blocks, "q_block", q_blocks).groupBy(*keys)
-    found = q_side.cogroup(v_side).applyInArrow(lambda q, v: block_top_k(q, v, k, types), _FOUND)
-    best_first = Window.partitionBy("query_place").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(best_first)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    return blocks.search(rows, is_query, k, Lists, Lists.best, "long", block_rows)
