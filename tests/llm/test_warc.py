@@ -5,8 +5,11 @@ from __future__ import annotations
 import gzip
 import hashlib
 import random
+import re
+import zlib
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from surveymill.llm import warc
@@ -49,8 +52,10 @@ def test_round_trip(spark, tmp_path):
     responses = {(i, d) for i, _, d, kind, _ in brute(rows) if kind == "response"}
     digest = lambda h: hashlib.sha256((h or "").encode()).hexdigest()
     assert texts == sorted((i or 0, h or "") for i, _, h in rows if (i, digest(h)) in responses)
-    stored = b"".join(gzip.decompress(p.read_bytes()) for p in Path(tmp_path / "warc").glob("*.gz"))
+    stored = b"".join(gzip.decompress(p.read_bytes()) for p in Path(tmp_path / "warc").glob("part-*"))
     assert stored.count(b"WARC/1.1\r\nWARC-Type: re") - 9 == len(rows)
+    ids = re.findall(rb"\nWARC-Record-ID: (\S+)", stored)
+    assert len(set(ids)) == len(ids) == len(rows)
     urls = {r.page_id: r.url for r in read}
     assert urls[2] == "http://b/%0D%0AWARC/1.1%20x" and urls[3] is None
 
@@ -58,3 +63,44 @@ def test_round_trip(spark, tmp_path):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.archived(empty).collect() == []
+
+
+def members(data):
+    """The records of an archive, each unpacked by itself."""
+    while data:
+        unpacker = zlib.decompressobj(wbits=31)
+        text = unpacker.decompress(data)
+        assert unpacker.eof
+        data = unpacker.unused_data
+        if text:
+            yield text
+
+
+def test_archives_are_bounded_by_bytes_and_records_are_members(spark, tmp_path):
+    rng = random.Random(1)
+    rows = [(i, f"http://a/{i}", "".join(chr(rng.randrange(33, 1000)) for _ in range(rng.choice([10, 3000, 400_000])))) for i in range(40)]
+    rows += [(100, "http://b", "long " * 4_000_000), (101, "http://c", "long " * 4_000_000)]  # over 16 MB each
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+    warc.write_archives(frame, str(tmp_path / "warc"), archive_bytes=500_000)
+    files = list(Path(tmp_path / "warc").glob("part-*"))
+    assert len(files) > 5 and max(f.stat().st_size for f in files) < 500_000 + 900_000
+    records = [text for f in files for text in members(f.read_bytes())]
+    assert len(records) == len(rows) and all(r.startswith(b"WARC/1.1\r\n") and r.endswith(b"\r\n\r\n") for r in records)
+    got = [(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in warc.read_archives(spark, str(tmp_path / "warc")).collect()]
+    assert sorted(got, key=repr) == brute(rows)
+
+
+@pytest.mark.parametrize("damage", ["payload", "original gone"])
+def test_damage_is_found(spark, tmp_path, damage):
+    frame = spark.createDataFrame([(1, "http://a", BIG), (2, "http://b", BIG), (3, "http://c", "x")], "page_id long, url string, html string")
+    warc.write_archives(frame.coalesce(1), str(tmp_path / "warc"))
+    (file,) = Path(tmp_path / "warc").glob("part-*")
+    records = list(members(file.read_bytes()))
+    if damage == "payload":
+        changed = [r.replace(b"payload \xc3\xa9", b"payload e ", 1) for r in records]
+    else:
+        changed = [r for r in records if b"X-Page-ID: <urn:x-page:1>" not in r]
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "part-0").write_bytes(b"".join(map(gzip.compress, changed)))
+    with pytest.raises(Exception, match="damaged record" if damage == "payload" else "does not match its original"):
+        warc.read_archives(spark, str(tmp_path / "bad")).collect()
