@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -102,3 +103,31 @@ def test_query_on_the_whole_table(spark):
     model = SentencePieceProcessor(model_file=sampling.public_model())
     for r in sampling.sample_pieces(docs.limit(20)).collect():
         assert model.decode(list(r.ids)) == r.decoded
+
+
+def test_passes_side_by_side_and_in_turn_draw_the_same(monkeypatch):
+    rng = random.Random(12)
+    texts = ["hello world the quick", "", "日本語テキスト" * 5, "naïve\n\n  x", "a" * 300, "nul \0 byte", "\0", "🙂é퟿"]
+    texts += ["".join(rng.choices("the of and ing 日é\n", k=80)) for _ in range(60)]
+    seeds = np.arange(len(texts)).astype(np.uint64) * np.uint64(7919)
+    drawn = []
+    for side_by_side, few in ((1, 1), (10**9, 1), (50, 16), (1, 10**9)):
+        monkeypatch.setattr(sampling, "SIDE_BY_SIDE", side_by_side)
+        monkeypatch.setattr(sampling, "FEW", few)
+        own = sampling.Sampler(sampling.public_model())
+        drawn.append([ids.tolist() for ids in own.sample(texts, seeds)])
+        assert [own.decode(np.array(ids)) for ids in drawn[-1]] == texts
+    assert all(one == drawn[0] for one in drawn)
+
+
+def test_long_units_and_scripts_without_blanks():
+    """Work grows with the characters: these took minutes when units were walked one character at a time."""
+    rng = random.Random(13)
+    own = sampling.Sampler(sampling.public_model())
+    letters = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=60_000))
+    lines = "\n".join("".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(rng.randrange(150, 450))) for _ in range(1100))
+    start = time.process_time()
+    for text in (letters, lines):
+        (ids,) = own.sample([text], np.array([3], np.uint64))
+        assert own.decode(ids) == text
+    assert time.process_time() - start < 20
