@@ -32,8 +32,13 @@ _WIDTHS = 60 // _COUNTS
 _REACH = max(COUNTS)
 
 
+_SMALL = np.maximum(1, np.ceil(np.log2(np.arange(1, 2**17 + 1)))).astype(np.uint8)  # bits of the ids up to 2^17
+
+
 def _widths(ids: np.ndarray) -> np.ndarray:
     """Bits of each id, 1 at least."""
+    if len(ids) and ids.max() < len(_SMALL):
+        return _SMALL[ids.astype(np.int64)]
     return np.searchsorted(np.uint64(1) << np.arange(1, 64, dtype=np.uint64), ids, side="right").astype(np.uint8) + 1
 
 
@@ -55,18 +60,19 @@ def encode(lists: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
     best = np.full(len(ids), ESCAPE, np.uint8)
     doubled = {1: widths}
     span = 1
-    while span < _REACH:
-        doubled[2 * span] = doubled[span].copy()
-        doubled[2 * span][:-span] = np.maximum(doubled[span][:-span], doubled[span][span:])
-        span *= 2
     for selector in range(len(COUNTS) - 1, -1, -1):
         count, width = COUNTS[selector], 60 // COUNTS[selector]
         power = 1 << (count.bit_length() - 1)
+        while span < power:
+            wider = doubled[span].copy()
+            np.maximum(doubled[span][:-span], doubled[span][span:], out=wider[:-span])
+            span *= 2
+            doubled[span] = wider
         most = doubled[power]
         if count > power:
             most = most.copy()
             most[: power - count] = np.maximum(most[: power - count], doubled[power][count - power :])
-        best[most <= width] = selector
+        np.copyto(best, np.uint8(selector), where=most <= width)
 
     steps = np.append(_COUNTS, [0, 1])  # 14 is not used; an escape takes one id
     stops, at, heads = begins + sizes, begins.copy(), []

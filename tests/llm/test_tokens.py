@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from surveymill.llm import packing, simple8b
+from surveymill.llm import packing, simple8b, tokens
 from surveymill.llm.queries import op1_simple8b_token_files, op4_differencing_packing
 from surveymill.llm.tokens import encoder, public_file
 
@@ -169,3 +169,17 @@ def test_differencing_balances():
     sizes = [rng.randrange(1, 256) for _ in range(300)]
     sums = [sum(sizes[i] for i in w) for w in packing.difference(sizes, 32)]
     assert len(sums) == 32 and max(sums) - min(sums) < 30
+
+
+@pytest.mark.parametrize("together", [1, 3, 1000])
+def test_a_small_store_forgets_and_learns_again(monkeypatch, together):
+    monkeypatch.setattr(tokens, "KEPT_PIECES", 40)
+    monkeypatch.setattr(tokens, "PIECES_TOGETHER", together)
+    own = tokens.Encoder(tokens.public_file())
+    rng = random.Random(together)
+    words = ["the", "Über", "naïve", "x1", "'s", "--", "\n\n", "  ", "élan", "don't", "<|endoftext|>", *("".join(rng.choices("abcdeé", k=7)) for _ in range(300))]
+    for _ in range(60):
+        text = " ".join(rng.choices(words, k=rng.randrange(0, 40)))
+        expected = own._tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == expected
+        assert len(own._pieces.young) <= 40 + 200
