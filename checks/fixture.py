@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import csv
 import io
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +16,7 @@ from pyspark.sql import functions as F
 from surveymill.fixed_values import EDITIONS, NULL_TOKENS
 from surveymill.operators.respondents import contract
 from surveymill.sources.editions import edition_path
+from surveymill.sources.lake import work_folder  # noqa: F401 (the queries' folder)
 
 # field -> (number made from the order, answers); the answer at number % len(answers) is taken.
 ANSWERS = {
@@ -306,16 +306,6 @@ def respondents(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     return contract(raw, {name: name for name in raw.columns if name != "resp_id"}, *extra)
 
 
-def work_folder(spark: SparkSession) -> str:
-    """A fresh folder below the one ``spark.checkpoint.dir`` names; a local session may name none."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = "file:///tmp/checkpoints"
-    return f"{shared.rstrip('/')}/surveymill-{uuid.uuid4().hex}"
-
-
 def write_bronze(spark: SparkSession, sf_dir: str, bronze: str) -> None:
     """The respondents as CSV editions, each with its own headers, and a file of blank lines in each."""
     raw = from_orders(spark, sf_dir, RAW_ANSWERS)

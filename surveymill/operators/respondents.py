@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 from surveymill.fixed_values import (
@@ -104,3 +105,15 @@ def enrich(respondents: DataFrame, fields=DERIVED_FIELDS) -> DataFrame:
     lowered = [f"lower(coalesce({column}, '')) AS lowered_{column}" for column in _LOWERED]
     derived = [f"{DERIVATIONS[field]} AS {field}" for field in fields]
     return respondents.selectExpr("*", *lowered).selectExpr(*respondents.columns, *derived)
+
+
+def violations() -> list[Column]:
+    """Counts of rows, and of what the contract of the respondent table forbids: rows without year, flags that are
+    neither 0, 1 nor null, salary bands without a midpoint."""
+    bad_flags = " + ".join(f"IF(coalesce({flag}, 0) NOT IN (0, 1), 1L, 0L)" for flag in FLAG_FIELDS)
+    return [
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("survey_year").isNull()).alias("null_years"),
+        F.sum(F.expr(bad_flags)).alias("bad_flags"),
+        F.count_if(F.expr("salary_band IS NOT NULL AND salary_midpoint IS NULL")).alias("unknown_bands"),
+    ]

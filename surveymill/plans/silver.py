@@ -3,64 +3,63 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from surveymill.fixed_values import EDITIONS
-from surveymill.operators.harmonise import harmonise, union_editions
+from surveymill.operators.harmonise import harmonise
 from surveymill.operators.headers import resolve_schema
-from surveymill.operators.respondents import enrich
+from surveymill.operators.respondents import enrich, violations
 from surveymill.sources.editions import edition_path, registry
-from surveymill.sources.lake import read_silver, write_silver
-from surveymill.sources.landing import read_landed
-from surveymill.sources.survey_csv import Edition, header_catalog, scan_edition
+from surveymill.sources.lake import read_silver, small, write_silver
+from surveymill.sources.landing import read_landed_editions
+from surveymill.sources.survey_csv import Editions, scan_editions
 
 
 def open_editions(
-    spark: SparkSession, bronze: str, editions: Mapping[int, str] = EDITIONS, landed: bool = False
-) -> dict[int, Edition]:
-    """The registered editions of a bronze layer, as CSV files or as landed Parquet copies.
+    spark: SparkSession, bronze: str, editions: Mapping[int, str] = EDITIONS, landed: bool = False, rejects: bool = False
+) -> Editions:
+    """The registered editions of a bronze layer, as CSV files or as landed Parquet copies."""
+    if landed:
+        return read_landed_editions(spark, bronze, list(editions))
+    return scan_editions(spark, {year: edition_path(bronze, year) for year in editions}, rejects=rejects)
 
-    Opening looks at headers and at the quoting of the text; editions are opened side by side.
-    """
-    read = read_landed if landed else scan_edition
-
-    def opened(year: int) -> Edition:
-        return read(spark, edition_path(bronze, year))
-
-    with ThreadPoolExecutor(max(1, len(editions))) as pool:
-        return dict(zip(editions, pool.map(inheritable_thread_target(spark)(opened), editions), strict=True))
 
-
-def mapping(spark: SparkSession, opened: Mapping[int, Edition]) -> DataFrame:
+def mapping(opened: Editions) -> DataFrame:
     """``(survey_year, field, source_header, pos)`` for every canonical field of the editions."""
-    return resolve_schema(header_catalog(spark, {year: edition.headers for year, edition in opened.items()}))
+    return resolve_schema(opened.catalog)
 
 
-def mapping_report(spark: SparkSession, opened: Mapping[int, Edition], editions: Mapping[int, str] = EDITIONS):
+def mapping_report(spark: SparkSession, opened: Editions, editions: Mapping[int, str] = EDITIONS) -> DataFrame:
     """The mapping with edition names, for people."""
-    named = mapping(spark, opened).join(F.broadcast(registry(spark, editions)), "survey_year")  # a row per edition
+    named = mapping(opened).join(small(registry(spark, editions)), "survey_year")
     return named.select("survey_year", "edition", "field", "source_header")
 
 
-def harmonised(spark: SparkSession, opened: Mapping[int, Edition], editions: Mapping[int, str] = EDITIONS) -> DataFrame:
-    """All editions on the canonical input schema. The mapping (one row per edition and field) is
-    brought to the driver to write the projections; no data row is."""
-    positions: dict[int, dict[str, int]] = {year: {} for year in opened}
-    for row in mapping(spark, opened).filter("pos IS NOT NULL").collect():
-        positions[row["survey_year"]][row["field"]] = row["pos"]
-    return union_editions(
-        [harmonise(edition, positions[year], year, editions[year]) for year, edition in opened.items()]
-    )
+def harmonised(spark: SparkSession, opened: Editions, editions: Mapping[int, str] = EDITIONS) -> DataFrame:
+    """All editions on the canonical input schema."""
+    return harmonise(opened, mapping(opened), registry(spark, editions))
 
 
 def build_silver(
-    spark: SparkSession, bronze: str, target: str, editions: Mapping[int, str] = EDITIONS, landed: bool = False
+    spark: SparkSession,
+    bronze: str,
+    target: str,
+    editions: Mapping[int, str] = EDITIONS,
+    landed: bool = False,
+    rejects: str | None = None,
+    observed: Observation | None = None,
 ) -> DataFrame:
-    """Write the respondent table and return it as read back."""
-    opened = open_editions(spark, bronze, editions, landed)
-    write_silver(enrich(harmonised(spark, opened, editions)), target)
+    """Write the respondent table and return it as read back.
+
+    ``rejects`` is where records that are no rows are written ``(survey_year, file, record, reason)``; without it one stops
+    the build. ``observed`` gets the counts of contract violations, taken from the rows as they are written.
+    """
+    opened = open_editions(spark, bronze, editions, landed, rejects is not None)
+    silver = enrich(harmonised(spark, opened, editions))
+    if observed is not None:
+        silver = silver.observe(observed, *violations())
+    write_silver(silver, target)
+    if opened.rejects is not None:
+        opened.rejects.write.mode("overwrite").parquet(rejects)
     return read_silver(spark, target)

@@ -2,17 +2,44 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from surveymill.fixed_values import EDITIONS
 from surveymill.operators.respondents import SILVER_COLUMNS, SILVER_SCHEMA
+from surveymill.sources.editions import RESPONDENTS
 
 # A cell is written exactly as it is: no trimming, quotes doubled.
 _CSV = {"header": True, "escape": '"', "multiLine": True}
 _CSV_WRITE = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
+#: Rows of a table of editions or headers up to which it may be broadcast (a few hundred bytes each).
+SMALL_ROWS = 100_000
+
+
+def work_folder(spark: SparkSession) -> str:
+    """A fresh folder below the one ``spark.checkpoint.dir`` names; a local session may name none."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        shared = "file:///tmp/checkpoints"
+    return f"{shared.rstrip('/')}/surveymill-{uuid.uuid4().hex}"
+
+
+def is_small(frame: DataFrame) -> bool:
+    return frame.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS
+
+
+def small(frame: DataFrame) -> DataFrame:
+    """The table marked for a broadcast join if it has few rows; else Spark joins it as it sees fit."""
+    return F.broadcast(frame) if is_small(frame) else frame
+
+
 def stage(frame: DataFrame, path: str) -> DataFrame:
     """Write an intermediate result once and go on from the written table."""
     frame.write.mode("overwrite").parquet(path)
@@ -69,3 +96,19 @@ def register_tables(spark: SparkSession, database: str, gold: str, names) -> Non
     for name in names:
         spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
         spark.catalog.createTable(f"{database}.{name}", path=f"{gold.rstrip('/')}/{name}", source="parquet")
+
+
+def register_silver(spark: SparkSession, database: str, path: str, editions: Mapping[int, str] = EDITIONS, name: str = RESPONDENTS) -> None:
+    """Register the respondent table, partitioned by year, with the partitions of registered editions.
+
+    Partitions are found in the folder; those of years that are not registered are dropped from the catalog (their files stay).
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+    columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in SILVER_SCHEMA)
+    location = path.replace("'", "\\'")
+    spark.sql(f"CREATE TABLE `{database}`.`{name}` ({columns}) USING parquet PARTITIONED BY (survey_year) LOCATION '{location}'")
+    spark.sql(f"ALTER TABLE `{database}`.`{name}` RECOVER PARTITIONS")
+    years = {int(row[0].partition("=")[2]) for row in spark.sql(f"SHOW PARTITIONS `{database}`.`{name}`").collect()}  # a row for each year
+    for year in sorted(years - set(editions)):
+        spark.sql(f"ALTER TABLE `{database}`.`{name}` DROP PARTITION (survey_year = {year})")

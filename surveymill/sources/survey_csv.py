@@ -1,20 +1,18 @@
-"""Scan of one survey edition: CSV files with a header row, all cells as text.
+"""Scan of survey editions: CSV files with a header row, all cells as text.
 
-Columns are addressed by position (``c0``, ``c1``, ...), because headers hold quotes, dots,
-parentheses and duplicates. The header rows are the only data that reaches the driver.
+Spark's own reader parses the files, with records that may span lines (``multiLine``): a file is one task's work, and
+parallel work comes from many files, or from landing an edition as Parquet (see ``landing``). Columns are
+addressed by position, because headers hold quotes, dots, parentheses and duplicates.
 
-How a file is read follows from its text alone, never from its size:
+Any number of files and editions takes the same few jobs. One finds the first record of every file: a minimum of
+record numbers for each file, joined back to the same scan. The header rows it yields are a small table, and
+the other scans are planned from what it says: the widest header, and whether blank lines come before one.
 
-* Every line is a record: the ordinary reader splits the file, nothing else touches it.
-* Cells hold line breaks, or quotes stand where they open nothing: the lines are followed through
-  their quoting state. A line takes one of two states at its start (outside or inside a quoted cell)
-  to one at its end, so a first pass works out for each split where it ends from either start, and
-  the splits' starts follow from that. The second pass assembles records, split by split. Only the
-  pieces of a record that a split boundary cuts are shuffled.
-
-Both follow the same rules. A quote opens a cell only as its first character; a doubled quote is one;
-what follows a closing quote belongs to the cell. Blank lines, of nothing but blanks and tabs, are no
-records. A record of more cells than the header is an error, and so are files whose headers differ.
+Records end at line feeds; a carriage return before one is not kept, nor one that ends a record's last cell. Blank
+lines, of nothing but blanks and tabs, are no records. Files of one edition whose headers differ are an error. A
+record of more cells than the header is rejected: an error where rows are asked for, a row of the
+reject table where that is. Spark keeps the text of records that do not have as many cells as the schema; the
+number of their cells is where a mark added to the text is found.
 """
 
 from __future__ import annotations
@@ -22,22 +20,22 @@ from __future__ import annotations
 import csv
 import io
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
-from urllib.parse import unquote
 
-import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveymill.functions.text import null_tokens
+from surveymill.sources.lake import is_small, small, stage, work_folder
 
 _FILES = {"pathGlobFilter": "*.csv", "recursiveFileLookup": True}
-_MARK = "\x01"
-_RECORDS = "record string, file long, block long, opener long, head boolean"
-_TEXT_BYTES = 8_000_000  # records handed on at a time
+_PARSE = {"multiLine": True, "escape": '"', "maxCharsPerColumn": -1, "lineSep": "\n"}
+_RAW, _MARK = "_raw", "\x02end of record\x03"
+_COUNTED = 8  # cells beyond the schema that are still counted
+_YEAR = r"/survey_year=(\d+)/"
+HEADS = "file string, blank long, header array<string>, closed boolean"
 
 
 @dataclass(frozen=True)
@@ -48,9 +46,25 @@ class Edition:
     rows: DataFrame
 
 
+@dataclass(frozen=True)
+class Editions:
+    """Any number of editions: their headers ``(survey_year, pos, header)``, and rows ``(survey_year, c0, c1 ...)``, as wide as
+    the widest edition.
+
+    ``rejects`` holds ``(survey_year, file, record, reason)`` of the records that are not rows; ``rows`` fails on them
+    unless the scan was told that they are looked after.
+    """
+
+    catalog: DataFrame
+    rows: DataFrame
+    rejects: DataFrame | None = None
+
+
 def csv_files(spark: SparkSession, path: str) -> DataFrame:
-    """``(path, length)`` of the CSV files at or below a path; contents are not read."""
-    return spark.read.format("binaryFile").options(**_FILES).load(path).select("path", "length")
+    """``(path, length, modified, file)`` of the CSV files at or below a path; contents are not read. ``file`` is the path as
+    scans name it."""
+    listed = spark.read.format("binaryFile").options(**_FILES).load(path)
+    return listed.select("path", "length", F.col("modificationTime").alias("modified"), F.col("_metadata.file_path").alias("file"))
 
 
 def unique_names(header_row: list[str | None]) -> list[str]:
@@ -70,338 +84,181 @@ def unique_names(header_row: list[str | None]) -> list[str]:
     return names
 
 
-def header_catalog(spark: SparkSession, editions: dict[int, list[str]]) -> DataFrame:
-    """``(survey_year, pos, header)`` of the editions about to be read."""
-    rows = [(year, pos, text) for year, headers in editions.items() for pos, text in enumerate(headers)]
-    return spark.createDataFrame(rows, "survey_year int, pos int, header string")
-
-
 def clean(rows: DataFrame) -> DataFrame:
     """All cells with null tokens turned into nulls."""
     return rows.selectExpr(*[f"{null_tokens(c)} AS {c}" for c in rows.columns])
 
 
-# --- quoting -----------------------------------------------------------------------------------
+# --- first records -------------------------------------------------------------------------------
 
 
-def open_after(line: str, inside: bool) -> bool:
-    """Whether a quoted cell is open at the end of a line that starts inside one, or not."""
-    for part in line.split("\r") if "\r" in line else (line,):  # a bare return ends a record too, outside a cell
-        at = 0
-        if not inside:
-            at = 1 if part.startswith('"') else part.find(',"') + 2
-            inside = part.startswith('"') or at > 1
-        while inside and (at := part.find('"', at)) >= 0:
-            if part.startswith('"', at + 1):
-                at += 2
-                continue
-            at = part.find(',"', at + 1) + 2
-            inside = at > 1
-    return inside
+def _columns(width: int) -> list[str]:
+    return [f"c{pos}" for pos in range(width)]
 
 
-def cells_of(record: str) -> list[list[str]]:
-    """The rows of a whole record; more than one if bare returns end records in it, none if it is blank."""
-    csv.field_size_limit(sys.maxsize)
-    rows = [row for row in csv.reader(io.StringIO(record, newline="")) if row]
-    return rows if '"' in record else [row for row in rows if len(row) > 1 or row[0].strip(" \t")]
+def _scan(spark: SparkSession, paths, width: int, header: bool) -> DataFrame:
+    """Records with the first ``width`` cells, the text of those with another number of cells, file and number."""
+    schema = ", ".join(f"{c} string" for c in (*_columns(width), _RAW))
+    read = spark.read.options(**_FILES, **_PARSE, header=header, columnNameOfCorruptRecord=_RAW).schema(schema).csv(paths)
+    return read.select("*", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("number"))
 
 
-def _quoted(row: list[str]) -> str:
-    return ",".join('"' + cell.replace('"', '""') + '"' if cell else "" for cell in row) or '""'
+def _is_blank() -> Column:
+    """Spark reads no text without a cell, so the first one is asked as well."""
+    return F.coalesce(F.col(_RAW).rlike(r"\A[ \t]*\z") & (F.btrim(F.coalesce("c0", F.lit("")), F.lit(" \t\r")) == ""), F.lit(False))
 
 
-def _too_long(record: str, cells: int, width: int) -> ValueError:
-    return ValueError(f"a record has {cells} cells, the header has {width}: {record[:200]!r}")
+def _header_cells(text: str) -> tuple[list[str], bool]:
+    """The cells of a header row, and whether its last quote is closed."""
+    csv.field_size_limit(sys.maxsize)
+    try:
+        return next(csv.reader(io.StringIO(text, newline=""), strict=True)), True
+    except csv.Error:
+        return [], False
 
 
-def _is_whole(text: Column) -> Column:
-    """Every quoted section of the text is closed and fills its cell, so the text is whole cells."""
-    sections = F.regexp_replace(F.replace(text, F.lit(_MARK), F.lit("x")), '"[^"]*"', _MARK)
-    return ~text.contains('"') | ~sections.rlike(f'"|[^,{_MARK}]{_MARK}|{_MARK}[^,{_MARK}]')
+def first_records(spark: SparkSession, paths) -> DataFrame:
+    """``(file, blank, header, closed)`` of every file with a record: blank lines before its first one, and that one.
 
+    A written table, a row for each file. Record numbers are compared within one plan only, in which both scans cut the
+    files alike.
+    """
+    scanned = _scan(spark, paths, 1, header=False)  # so the text is there of all records but those of one cell
+    blank = F.col(_RAW).isNull() & (F.btrim(F.coalesce("c0", F.lit("")), F.lit(" \t\r")) == "")
+    numbers = scanned.groupBy("file").agg(F.min("number").alias("begin"), F.min(F.when(~blank, F.col("number"))).alias("head"))
+    numbers = numbers.filter("head IS NOT NULL").withColumnRenamed("file", "of")
+    heads = scanned.join(numbers, (F.col("file") == F.col("of")) & (F.col("number") == F.col("head")))
+    picked = heads.select("file", (F.col("head") - F.col("begin")).alias("blank"), _RAW, "c0")
 
-def _separators(text: Column) -> Column:
-    """Commas between the cells of a line of whole cells."""
-    bare = F.when(text.contains('"'), F.regexp_replace(text, '"[^"]*"', "")).otherwise(text)
-    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, firsts = (batch.column(i).to_pylist() for i in (2, 3))
+            cells = [([(first or "").removesuffix("\r")], True) if text is None else _header_cells(text) for text, first in zip(texts, firsts, strict=True)]
+            header = pa.array([c for c, _ in cells], pa.list_(pa.field("element", pa.string())))
+            closed = pa.array([ok for _, ok in cells], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), header, closed], ["file", "blank", "header", "closed"])
 
+    return stage(picked.mapInArrow(run, HEADS), f"{work_folder(spark)}/first-records")
 
-# --- headers and the choice of reader ------------------------------------------------------------
 
+def _checked(heads: DataFrame, by: Column) -> DataFrame:
+    """``(edition, header)``, one row for each edition; an error if a header is not closed or files differ in it."""
+    broken = heads.filter("NOT closed").first()
+    if broken is not None:
+        raise ValueError(f"the header of {broken['file']} has a quoted cell that is never closed")
+    headers = heads.groupBy(by.alias("edition"), "header").agg(F.min("file").alias("file"))
+    mixed = headers.groupBy("edition").agg(F.count("*").alias("n"), F.min("file").alias("a"), F.max("file").alias("b")).filter("n > 1").first()
+    if mixed is not None:
+        raise ValueError(f"files with different headers: {mixed['a']}, {mixed['b']}")
+    return headers.select("edition", "header")
 
-def _text(spark: SparkSession, paths) -> DataFrame:
-    return spark.read.options(**_FILES).option("lineSep", "\n").text(paths)
 
+# --- records -------------------------------------------------------------------------------------
 
-def file_header(spark: SparkSession, file: str) -> list[str] | None:
-    """The header row of one file: its first lines up to where their quotes are closed; None without one."""
-    lines, taken = _text(spark, file), 1
-    while True:
-        head = [row["value"] for row in lines.take(taken)]
-        inside, text = False, []
-        for line in head:
-            if text or line.strip(" \t\r"):
-                text.append(line)
-                inside = open_after(line, inside)
-                if not inside:
-                    return cells_of("\n".join(text))[0]
-        if len(head) < taken:
-            if text:
-                raise ValueError(f"the header of {file} has a quoted cell that is never closed")
-            return None
-        taken *= 4
 
+def _records(spark: SparkSession, paths, width: int, heads: DataFrame) -> DataFrame:
+    """``(cells..., _raw, file)`` of all records but blank ones and headers, without the carriage return of a line end."""
+    found = _data_records(spark, paths, width, heads)
+    *others, last = _columns(width)
+    cut = [f"IF({_RAW} IS NOT NULL AND endswith({c}, '\r'), left({c}, length({c}) - 1), {c}) AS {c}" for c in others]
+    return found.selectExpr(*cut, f"IF(endswith({last}, '\r'), left({last}, length({last}) - 1), {last}) AS {last}", _RAW, "file")
+
+
+def _data_records(spark: SparkSession, paths, width: int, heads: DataFrame) -> DataFrame:
+    if not heads.agg(F.max("blank")).first()[0]:
+        return _scan(spark, paths, width, header=True).filter(~_is_blank())
+    scanned = _scan(spark, paths, width, header=False).filter(~_is_blank())
+    numbers = scanned.groupBy("file").agg(F.min("number").alias("head")).withColumnRenamed("file", "of")
+    if is_small(heads):  # a row for each file, as many as ``numbers``
+        numbers = F.broadcast(numbers)
+    return scanned.join(numbers, F.col("file") == F.col("of")).filter("number > head")
 
-def read_header(spark: SparkSession, path: str) -> list[str]:
-    """The header row that all files at or below a path share."""
-    found: dict[tuple[str, ...], str] = {}
-    for row in csv_files(spark, path).orderBy("path").collect():  # a row for each file of the edition
-        header = file_header(spark, row["path"])
-        if header is not None:
-            found.setdefault(tuple(header), row["path"])
-    if not found:
-        raise ValueError(f"no header row below {path}")
-    if len(found) > 1:
-        raise ValueError(f"files with different headers: {', '.join(found.values())}")
-    return unique_names(list(*found))
 
+def _cell_count(width: int) -> str:
+    """Cells of a record that is read as ``width`` columns: exact up to _COUNTED more, then one beyond that."""
+    schema = ", ".join(f"{c} string" for c in _columns(width + _COUNTED + 1))
+    options = ", ".join(f"'{k}', '{str(v).lower()}'" for k, v in _PARSE.items() if k != "lineSep")
+    ends = ", ".join(f"coalesce(endswith(s.{c}, '{_MARK}'), false)" for c in _columns(width + _COUNTED + 1))
+    read = f"from_csv(concat({_RAW}, ',', '{_MARK}'), '{schema}', map({options}))"
+    place = f"transform(array({read}), s -> array_position(array({ends}), true))[0]"
+    return f"CASE WHEN {_RAW} IS NULL THEN {width} ELSE coalesce(nullif({place}, 0) - 1, {width + _COUNTED + 1}) END"
 
-def _survey(spark: SparkSession, path: str) -> list:
-    """For each file: whether every line is a record (and the first one the header), and the most separators
-    in a line of whole cells."""
-    value = F.regexp_replace("value", r"\r+\z", "")
-    lines = _text(spark, path).select(
-        F.col("_metadata.file_path").alias("file"), value.alias("value"),
-        F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()).alias("place"),
-    )
-    starts = F.min_by(F.col("value").rlike("[^ \t]"), "place")
-    whole = ~F.col("value").contains("\r") & _is_whole(F.col("value"))
-    most = F.max(F.when(whole, _separators(F.col("value"))))
-    return lines.groupBy("file").agg((F.every(whole) & starts).alias("whole"), most.alias("separators")).collect()
 
+def _too_long(width: int, header_width: str) -> str:
+    """Whether a record has more cells than its header. Only one with as many commas is counted."""
+    commas = f"length({_RAW}) - length(replace({_RAW}, ',', ''))"
+    return f"CASE WHEN {_RAW} IS NULL THEN {width} > {header_width} WHEN {commas} < {header_width} THEN false ELSE {_cell_count(width)} > {header_width} END"
 
-def _schema(width: int) -> str:
-    return ", ".join(f"c{pos} string" for pos in range(width))
 
+def _reason(width: int, header_width: str) -> str:
+    return f"concat('a record has ', {_cell_count(width)}, ' cells, the header has ', {header_width})"
 
-def _by_line(spark: SparkSession, paths, width: int) -> DataFrame:
-    return spark.read.options(**_FILES, escape='"', header=True).schema(_schema(width)).csv(paths)
 
+def _record(width: int) -> str:
+    """The text of a record; of one that has as many cells as the schema, which Spark does not keep, an equal one."""
+    as_is = "map('escape', '\"', 'ignoreLeadingWhiteSpace', 'false', 'ignoreTrailingWhiteSpace', 'false')"
+    return f"coalesce({_RAW}, to_csv(struct({', '.join(_columns(width))}), {as_is}))"
 
-# --- records that span lines ----------------------------------------------------------------------
 
+def _fail_on_long(records: DataFrame, width: int, header_width: str) -> DataFrame:
+    """The records, with an error for one that is too long. A filter, so that no choice of columns drops the test."""
+    text = f"concat({_reason(width, header_width)}, ': ', left({_record(width)}, 200))"
+    return records.filter(F.expr(f"IF({_too_long(width, header_width)}, CAST(raise_error({text}) AS BOOLEAN), true)"))
 
-def _placed(spark: SparkSession, paths) -> DataFrame:
-    """The lines with their file (hashed) and the start of their split, in order within a split."""
-    return _text(spark, paths).select(
-        F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value"
-    )
 
+def scan_edition(spark: SparkSession, path: str) -> Edition:
+    """All rows of one edition's CSV files, cells as raw text."""
+    heads = first_records(spark, path)
+    headers = _checked(heads, F.lit(0)).first()
+    if headers is None:
+        raise ValueError(f"no header row below {path}")
+    names = unique_names(headers["header"])
+    width = max(2, len(names))
+    records = _records(spark, path, width, heads)
+    return Edition(names, _fail_on_long(records, width, str(len(names))).select(*_columns(len(names))))
 
-def _split_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], pa.Array]]:
-    """The lines of a partition as ``((file, block), lines)``; a split may come in several runs."""
-    for batch in batches:
-        file, block = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-        ends = np.flatnonzero((file[1:] != file[:-1]) | (block[1:] != block[:-1])) + 1
-        start = 0
-        for end in [*ends.tolist(), batch.num_rows]:
-            if end > start:
-                yield (int(file[start]), int(block[start])), batch.column(2).slice(start, end - start)
-            start = end
 
+def header_catalog(spark: SparkSession, headers: DataFrame) -> DataFrame:
+    """``(survey_year, pos, header)`` of ``(edition, header)`` rows, repeats numbered; a written table."""
+    named = "edition int, header array<string>"
 
-def _quoting(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """For each split: whether a cell is open at its end if none (or one) is at its start, whether a record
-    ends in it in the latter case, and whether it has a line that is not blank."""
-    state: dict[tuple[int, int], list[bool]] = {}
-    for key, lines in _split_runs(batches):
-        s = state.setdefault(key, [False, True, False, False])
-        s[3] = s[3] or _header_reach(lines) < len(lines) or bool(lines[-1].as_py().strip(" \t\r"))
-        for line in lines.filter(pc.match_substring(lines, '"')).to_pylist():
-            s[0], s[1] = open_after(line, s[0]), open_after(line, s[1])
-            s[2] |= not s[1]
-    rows = [(*key, *s) for key, s in state.items()]
-    if rows:
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], schema=schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = [unique_names(row) for row in batch.column(1).to_pylist()]
+            column = pa.array(names, pa.list_(pa.field("element", pa.string())))
+            yield pa.RecordBatch.from_arrays([batch.column(0), column], ["edition", "header"])
 
+    found = headers.mapInArrow(run, named).select(F.col("edition").alias("survey_year"), F.posexplode("header").alias("pos", "header"))
+    return stage(found, f"{work_folder(spark)}/headers")
 
-def _starts_inside(lines: DataFrame) -> tuple[dict[tuple[int, int], int], dict[int, int]]:
-    """``(file, block) -> opener`` of the splits that start inside a cell: the split where that record starts;
-    and ``file -> block`` of the split where its header starts.
 
-    At most one entry for each split of the files, about 100 bytes; no text.
-    """
-    flags = ("after_out", "after_in", "ends", "filled")
-    schema = pa.schema([("file", pa.int64()), ("block", pa.int64()), *((n, pa.bool_()) for n in flags)])
-    splits = lines.mapInArrow(
-        lambda batches: _quoting(batches, schema), ", ".join(["file long", "block long", *(f"{n} boolean" for n in flags)])
-    )
-    inside: dict[tuple[int, int], int] = {}
-    heads: dict[int, int] = {}
-    file, opened, opener = None, False, 0
-    for row in splits.orderBy("file", "block").toLocalIterator():
-        if row["file"] != file:
-            file, opened, opener = row["file"], False, row["block"]
-        if row["filled"]:
-            heads.setdefault(file, row["block"])
-        if opened:
-            inside[file, row["block"]] = opener
-        if not opened or row["ends"]:
-            opener = row["block"]
-        opened = row["after_in"] if opened else row["after_out"]
-    return inside, heads
-
-
-def _assemble(
-    batches: Iterator[pa.RecordBatch],
-    inside: dict[tuple[int, int], int],
-    heads: dict[int, int],
-    width: int,
-    cut: bool,
-    schema: pa.Schema,
-) -> Iterator[pa.RecordBatch]:
-    """The records of a partition's splits: those that lie within a split, or (``cut``) the pieces of the others."""
-    made: list[tuple] = []
-    size = 0
-
-    def plain(lines: pa.Array) -> Iterator[pa.RecordBatch]:
-        if pc.max(pc.count_substring(lines, ",")).as_py() >= width:
-            for line in lines.to_pylist():
-                if line.count(",") >= width:
-                    raise _too_long(line, line.count(",") + 1, width)
-        empty = [pa.nulls(len(lines), field.type) for field in schema][1:]
-        yield pa.RecordBatch.from_arrays([lines.cast(pa.string()), *empty], schema=schema)
-
-    def special(record: str) -> None:
-        nonlocal size
-        rows = cells_of(record)
-        for row in rows:
-            if len(row) > width:
-                raise _too_long(record, len(row), width)
-            made.append((_quoted(row), None, None, None, None))
-        size += len(record)
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        nonlocal size
-        if made:
-            columns = zip(*made, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-        made.clear()
-        size = 0
-
-    def piece(key, lines: list[str], opener: int, head: bool) -> None:
-        made.append(("\n".join(lines), *key, opener, head))
-
-    key, opened, opener, header, begun = None, False, 0, False, []
-    for run_key, lines in _split_runs(batches):
-        if run_key != key:
-            if opened and cut:
-                piece(key, begun, opener, header)
-            key = run_key
-            opened = key in inside
-            opener, header, begun = inside.get(key, key[1]), key[1] == heads.get(key[0]), []
-        trimmed = pc.utf8_rtrim(lines, "\r")
-        marked = pc.or_(pc.match_substring(trimmed, '"'), pc.match_substring(trimmed, "\r"))
-        if header:  # up to the first record of the file lines are taken one by one
-            marked = pc.or_(marked, pa.array(np.arange(len(lines)) < _header_reach(lines)))
-        at = 0
-        for mark in [*np.flatnonzero(marked.to_numpy(zero_copy_only=False)).tolist(), len(lines)]:
-            if mark > at:
-                if opened:
-                    begun += lines.slice(at, mark - at).to_pylist()
-                elif not cut:
-                    yield from flush()
-                    yield from plain(trimmed.slice(at, mark - at))
-            at = mark + 1
-            if mark == len(lines):
-                break
-            line = lines[mark].as_py()
-            still = open_after(line, opened)
-            begun.append(line)
-            if still:
-                if not opened:
-                    opener = key[1]
-            else:
-                if opener != key[1]:
-                    if cut:
-                        piece(key, begun, opener, False)
-                    opener = key[1]
-                elif header:
-                    text = "\n".join(begun)
-                    header = not text.strip(" \t\r\n")
-                    if not header and not cut:
-                        for row in cells_of(text)[1:]:
-                            special(_quoted(row))
-                elif not cut:
-                    special("\n".join(begun))
-                begun = []
-            opened = still
-            if size > _TEXT_BYTES:
-                yield from flush()
-    if opened and cut:
-        piece(key, begun, opener, header)
-    yield from flush()
-
-
-def _header_reach(lines: pa.Array) -> int:
-    """Lines up to the first that is not blank."""
-    filled = np.flatnonzero(pc.not_equal(pc.utf8_trim(lines, " \t\r"), "").to_numpy(zero_copy_only=False))
-    return int(filled[0]) + 1 if len(filled) else len(lines)
-
-
-def _whole_records(pieces: Iterator[pa.RecordBatch], width: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    for batch in pieces:
-        rows = []
-        for record in batch.column(0).to_pylist():
-            for row in cells_of(record):
-                if len(row) > width:
-                    raise _too_long(record, len(row), width)
-                rows.append(_quoted(row))
-        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.string())], schema=schema)
-
-
-def _spanning(spark: SparkSession, paths, width: int) -> DataFrame:
-    """``(record)``: the data records of files whose records may span lines."""
-    lines = _placed(spark, paths)
-    inside, heads = _starts_inside(lines)
-    types = pa.schema([("record", pa.string()), *((n, pa.int64()) for n in ("file", "block", "opener")), ("head", pa.bool_())])
-
-    def assembled(cut: bool) -> DataFrame:
-        return lines.mapInArrow(lambda batches: _assemble(batches, inside, heads, width, cut, types), _RECORDS)
-
-    records = assembled(False).select("record")
-    if inside:
-        pieces = F.transform(F.array_sort(F.collect_list(F.struct("block", "record"))), lambda x: x["record"])
-        joined = (
-            assembled(True).groupBy("file", "opener")
-            .agg(F.bool_or("head").alias("head"), F.array_join(pieces, "\n").alias("record"))
-            .filter(~F.col("head")).select("record")
-        )
-        one = pa.schema([("record", pa.string())])
-        records = records.unionAll(joined.mapInArrow(lambda batches: _whole_records(batches, width, one), "record string"))
-    return records.filter(F.col("record").rlike("[^ \t]"))
-
-
-def _parse(records: DataFrame, width: int) -> DataFrame:
-    options = {"escape": '"', "multiLine": "true", "maxCharsPerColumn": "-1"}
-    return records.select(F.from_csv("record", _schema(width), options).alias("cells")).select("cells.*")
+def scan_editions(
+    spark: SparkSession, paths: Mapping, files: DataFrame | None = None, years: int | None = None, rejects: bool = False
+) -> Editions:
+    """All editions in one plan, the paths of their folders by year.
 
+    The year of a file is that of the ``survey_year=YYYY`` folder it lies in; or what ``files`` ``(file, survey_year)`` says, a row for
+    each file, for ``years`` years. ``rejects``: records that are too long are left out of ``rows`` and are the rows of ``rejects``.
+    """
 
-def scan_edition(spark: SparkSession, path: str) -> Edition:
-    """All rows of an edition's CSV files, cells as raw text."""
-    headers = read_header(spark, path)
-    width = len(headers)
-    files = _survey(spark, path)
-    for file in files:
-        if file["whole"] and (file["separators"] or 0) >= width:
-            raise ValueError(f"{file['file']}: a record has {file['separators'] + 1} cells, the header has {width}")
-    by_line = [unquote(file["file"]) for file in files if file["whole"]]
-    spanning = [unquote(file["file"]) for file in files if not file["whole"]]
-    parts = []
-    if by_line:
-        parts.append(_by_line(spark, path if not spanning else by_line, width))
-    if spanning:
-        parts.append(_parse(_spanning(spark, path if not by_line else spanning, width), width))
-    rows = parts[0] if len(parts) == 1 else parts[0].unionAll(parts[1])
-    return Edition(headers, rows)
+    def dated(frame: DataFrame) -> DataFrame:
+        if files is None:
+            return frame.withColumn("survey_year", F.regexp_extract("file", _YEAR, 1).cast("int"))
+        return frame.join(small(files), "file")
+
+    where = list(paths.values())
+    heads = dated(first_records(spark, where))
+    catalog = header_catalog(spark, _checked(heads, F.col("survey_year")))
+    widths = catalog.groupBy("survey_year").agg(F.count("*").cast("int").alias("width"))
+    n, most = widths.agg(F.count("*"), F.max("width")).first()
+    if n < (len(paths) if years is None else years):
+        found = {row["survey_year"] for row in widths.select("survey_year").collect()}
+        raise ValueError(f"no header row below {next(path for year, path in paths.items() if year not in found)}")
+    width = max(2, most)
+    records = dated(_records(spark, where, width, heads)).join(small(widths), "survey_year")
+    columns = ["survey_year", *_columns(most)]
+    if not rejects:
+        return Editions(catalog, _fail_on_long(records, width, "width").select(*columns))
+    long = F.expr(_too_long(width, "width"))
+    rejected = records.filter(long).selectExpr("survey_year", "file", f"{_record(width)} AS record", f"{_reason(width, 'width')} AS reason")
+    return Editions(catalog, records.filter(~long).select(*columns), rejected)
