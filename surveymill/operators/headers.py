@@ -9,7 +9,9 @@ reduced before the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveymill.fixed_values import (
@@ -20,7 +22,7 @@ from surveymill.fixed_values import (
     POWERBI_CODES_INSIDE,
     POWERBI_PHRASE,
 )
-from surveymill.functions.text import contains_any, header_name, literal, matches
+from surveymill.functions.text import contains_any, header_name, header_token, literal, matches
 
 _PLACES = "10000000000BD"  # beyond any length or position; four numbers below it fit one decimal
 RESOLVED_FIELDS = INPUT_FIELDS[2:]  # survey_year and edition come from the registry
@@ -106,3 +108,61 @@ def resolve_schema(headers: DataFrame, by: str = "survey_year") -> DataFrame:
         },
         by,
     )
+
+
+# --- rules as a table ----------------------------------------------------------------------------
+
+RULES = "field string, step int, include array<string>, exclude array<string>, shortest boolean"
+
+
+def _needle(token: str) -> str:
+    """What a header name between two blanks must hold for a rule word: the word between blanks, or a phrase or code as it is."""
+    word = header_token(token)
+    return word if " " in word or "." in word or not word else f" {word} "
+
+
+def rules_table(spark: SparkSession, rules: Mapping[str, Sequence], shortest: bool = True) -> DataFrame:
+    """Chains of (include, exclude) steps by field as a table, words in the form in which names are searched."""
+    rows = [
+        (field, step, [n for n in map(_needle, include) if n], [n for n in map(_needle, exclude) if n], shortest)
+        for field, steps in rules.items()
+        for step, (include, exclude) in enumerate(steps)
+    ]
+    return spark.createDataFrame(rows, RULES)
+
+
+def _grams(text: Column) -> Column:
+    """The distinct pieces of three characters of a text."""
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text) - 2)), lambda i: F.substring(text, i, F.lit(3))))
+
+
+def resolve_by_rules(headers: DataFrame, rules: DataFrame, by: str = "survey_year") -> DataFrame:
+    """:func:`best_headers` for any number of rules, given as a table (RULES).
+
+    Headers and rules meet through an inverted index: a header fits a rule only if it holds every piece of three characters of
+    the rule's words, so each rule is looked up under the one that fewest headers hold. Rule words are then tested on the
+    headers found. A rule without a word of that length is tested on every header.
+    """
+    names = headers.select(by, "pos", "header", header_name(F.col("header")).alias("name"))
+    names = names.withColumn("padded", F.concat(F.lit(" "), "name", F.lit(" ")))
+    pieces = names.select(by, "pos", F.explode(_grams(F.col("padded"))).alias("gram"))
+    long = F.filter("include", lambda n: F.length(n) >= 3)
+    every = rules.filter(F.size(long) == 0)
+    wanted = rules.select("field", "step", F.explode(F.array_distinct(F.flatten(F.transform(long, _grams)))).alias("gram"))
+    held = pieces.join(wanted.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("n"))
+    rarest = wanted.join(held, "gram", "left").groupBy("field", "step").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("key"))
+    keyed = rules.join(rarest.select("field", "step", F.col("key.gram").alias("gram")), ["field", "step"])
+    if not every.isEmpty():
+        keyed = keyed.unionByName(every.withColumn("gram", F.lit("")))
+        pieces = pieces.unionByName(names.select(by, "pos", F.lit("").alias("gram")))
+    found = pieces.join(keyed, "gram").drop("gram").join(names, [by, "pos"])
+    fits = F.forall("include", lambda n: F.contains(F.col("padded"), n)) & ~F.exists("exclude", lambda n: F.contains(F.col("padded"), n))
+    lengths = found.filter(fits).withColumns({
+        "name_length": F.expr("IF(shortest, length(name), 0)"), "header_length": F.expr("IF(shortest, length(header), 0)"),
+    })
+    best = lengths.groupBy(by, "field").agg(F.min(F.expr(_rank("step", True))).alias("rank"))
+    fields = F.array(*[F.lit(row["field"]) for row in rules.select("field").distinct().collect()])  # a row for each field
+    asked = headers.select(by).distinct().withColumn("field", F.explode(fields))
+    places = asked.join(best, [by, "field"], "left").selectExpr(by, "field", f"CAST(rank % {_PLACES} AS INT) AS pos")
+    texts = headers.select(by, "pos", F.col("header").alias("source_header"))
+    return places.join(texts, [by, "pos"], "left").select(by, "field", "source_header", "pos")

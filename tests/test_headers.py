@@ -9,6 +9,7 @@ import pytest
 from checks.fixture import CATALOG_HEADERS, DECOY_HEADERS, EDITION_HEADERS
 from surveymill.fixed_values import HEADER_RULES
 from surveymill.functions.text import header_token
+from surveymill.operators import headers as by_table
 from surveymill.operators.headers import RESOLVED_FIELDS, find_column, find_first, find_powerbi, resolve_schema
 
 
@@ -92,3 +93,19 @@ def test_the_headers_are_never_joined_with_the_rules(spark):
     plan = resolve_schema(_catalog(spark, {1: ["Idade"]}))._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan and "SortAggregate" not in plan
     assert plan.count("Join [") == 1 and "[survey_year" in plan.split("Join ", 1)[1]  # the texts of the best headers
+
+
+def test_rules_as_a_table_find_what_compiled_rules_find(spark):
+    rng = random.Random(6)
+    words = ["sql", "python", "nivel", "de", "faixa", "4.d.1", "p4", "d", "1", "ai", "generativa", "nosql", "a", "x.y"]
+    rows = [(year, pos, " ".join(rng.choices(words, k=rng.randrange(0, 6)))) for year in range(40) for pos in range(rng.randrange(1, 12))]
+    catalog = spark.createDataFrame(rows, "survey_year int, pos int, header string")
+    rules = {}
+    for n in range(60):
+        step = lambda: (tuple(" ".join(rng.choices(words, k=rng.choice([1, 1, 2]))) for _ in range(rng.randrange(0, 3))), tuple(rng.choices(words, k=rng.randrange(0, 2))))
+        rules[f"f{n}"] = tuple(step() for _ in range(rng.randrange(1, 4)))
+    found = by_table.resolve_by_rules(catalog, by_table.rules_table(spark, rules))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+    expected = by_table.best_headers(catalog, {field: by_table.chain(steps) for field, steps in rules.items()})
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, expected.collect()))
