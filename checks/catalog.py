@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from checks.fixture import (
@@ -23,12 +26,12 @@ from surveymill.fixed_values import EDITIONS, FLAG_FIELDS, HEADER_RULES
 from surveymill.functions import measures
 from surveymill.functions.text import fold_text, has_token, header_name, null_tokens
 from surveymill.operators import headers
-from surveymill.operators.harmonise import union_editions
 from surveymill.operators.respondents import DERIVATIONS, enrich
 from surveymill import jobs
 from surveymill.plans import analyses, cells, gold, silver, statements
 from surveymill.session import tune
 from surveymill.sources import editions, lake, landing, survey_csv
+from surveymill.sources.editions import edition_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,36 +78,58 @@ def _spanning_text(spark, sf_dir):
     return docs.withColumn("text", F.regexp_replace("text", "[.] ", ".\n \n"))
 
 
-def _in_small_splits(spark, path):
-    """A scan whose files are cut into many splits. The setting is read when the scan is planned."""
-    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
-    try:
-        rows = survey_csv.clean(survey_csv.scan_edition(spark, path).rows)
-        rows.write.parquet(f"{path}.rows")
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
-    return spark.read.parquet(f"{path}.rows")
+def _write_lines(lines, header, path):
+    """Text as CSV files as they are, each with a header of its own."""
+
+    def with_header(batches):
+        for n, batch in enumerate(batches):
+            if not n:
+                yield pa.RecordBatch.from_pydict({"value": [header]}, schema=batch.schema)
+            yield batch
+
+    as_is = dict(sep="\x01", quote="", emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    whole = lines.mapInArrow(with_header, "value string")
+    whole.select(F.explode(F.split("value", "\n"))).write.options(**as_is).csv(path)
 
 
 def scan_csv_spanning(spark, sf_dir):
-    """Records that span lines, in files of many splits."""
+    """Records that span lines, in several files."""
     path = f"{work_folder(spark)}/survey.csv"
-    write_csv(_spanning_text(spark, sf_dir).coalesce(1), path)
-    return _in_small_splits(spark, path)
+    write_csv(_spanning_text(spark, sf_dir).repartitionByRange("doc_id"), path)
+    return survey_csv.clean(survey_csv.scan_edition(spark, path).rows)
 
 
 def scan_csv_irregular(spark, sf_dir):
-    """Quotes that open nothing, beside records that span lines, in files of many splits."""
+    """Quotes that open nothing, beside records that span lines, in several files."""
     path = f"{work_folder(spark)}/survey.csv"
     quoted = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
     line = F.concat_ws(",", "doc_id", quoted, F.concat("lang", F.lit(' 5" tela')), F.concat(F.lit('"'), "source", F.lit('"s')))
-    records = _spanning_text(spark, sf_dir).select("doc_id", line.alias("record"))
-    header = spark.createDataFrame([(-1, "doc_id,text,lang,source")], "doc_id long, record string")
-    one = header.unionAll(records).coalesce(1).sortWithinPartitions("doc_id")
-    as_is = dict(sep="\x01", quote="", emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-    one.select(F.explode(F.split("record", "\n"))).write.options(**as_is).csv(path)
-    return _in_small_splits(spark, path)
+    records = _spanning_text(spark, sf_dir).repartitionByRange("doc_id").select(line.alias("value"))
+    _write_lines(records, "doc_id,text,lang,source", path)
+    return survey_csv.clean(survey_csv.scan_edition(spark, path).rows)
+
+
+def _rejected(spark, sf_dir):
+    """Orders as CSV lines of two editions, of which some records have more cells than their header."""
+    path = f"{work_folder(spark)}/bronze"
+    extra = """CASE o_orderkey % 16 WHEN 0 THEN ',more' WHEN 1 THEN ',' WHEN 2 THEN ',,x' WHEN 3 THEN ',"a,b"' WHEN 4 THEN ',' WHEN 6 THEN ',,' ELSE '' END"""
+    line = f"""concat(o_orderkey, ',"', o_orderpriority, ', ', o_orderstatus, '",', o_custkey, {extra})"""
+    lines = table(spark, sf_dir, "orders").selectExpr("o_orderkey", f"{line} AS value")
+    for year, header in ((2023, "key,priority,customer"), (2024, "key,priority,customer,more")):
+        own = lines.filter(F.col("o_orderkey") % 2 == year % 2).repartitionByRange("o_orderkey").select("value")
+        _write_lines(own, header, edition_path(path, year))
+    return survey_csv.scan_editions(spark, {year: edition_path(path, year) for year in (2023, 2024)}, rejects=True)
+
+
+def scan_csv_rejects(spark, sf_dir):
+    """The records with more cells than their header, and how many they have."""
+    rejects = _rejected(spark, sf_dir).rejects
+    return rejects.select("survey_year", F.substring_index("record", ",", 1).cast("long").alias("o_orderkey"), "record", "reason")
+
+
+def scan_csv_accepted(spark, sf_dir):
+    """The rows beside them."""
+    return _rejected(spark, sf_dir).rows
 
 
 def null_cells(spark, sf_dir):
@@ -196,6 +221,14 @@ def resolve_schema(spark, sf_dir):
     return headers.resolve_schema(_headers(spark, sf_dir))
 
 
+def resolve_rules(spark, sf_dir):
+    """The canonical fields by a table of rules."""
+    catalog = _headers(spark, sf_dir)
+    by_words = {field: HEADER_RULES[field] for field in headers.RESOLVED_FIELDS if field != "uses_powerbi"}
+    found = headers.resolve_by_rules(catalog, headers.rules_table(spark, by_words))
+    return found.unionByName(headers.find_powerbi(catalog))
+
+
 def _bronze(spark, sf_dir):
     path = f"{work_folder(spark)}/bronze"
     write_bronze(spark, sf_dir, path)
@@ -246,7 +279,7 @@ def long_form(tables):
         values = [F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")) for m in measures]
         rows = tables[name].select(F.concat_ws("|", *keys).alias("row"), F.explode(F.array(*values)).alias("v"))
         parts.append(rows.select(F.lit(name).alias("gold_table"), "row", "v.measure", "v.value"))
-    return union_editions(parts)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def gold_all(spark, sf_dir):
@@ -256,6 +289,71 @@ def gold_all(spark, sf_dir):
     return long_form(gold.build_gold(spark, f"{work}/professionals", f"{work}/gold"))
 
 
+def gold_updated(spark, sf_dir):
+    """Gold tables after one edition has changed: built from a part of its rows first, then brought up to date for its year."""
+    work, complete = work_folder(spark), _silver(spark, sf_dir)
+    part = complete.filter("survey_year <> 2024 OR job_title IS NULL")
+    lake.write_silver(part, f"{work}/professionals")
+    gold.update_gold(spark, f"{work}/professionals", f"{work}/gold", EDITIONS)
+    lake.write_silver(complete.filter("survey_year = 2024"), f"{work}/professionals", editions_only=True)
+    return long_form(gold.update_gold(spark, f"{work}/professionals", f"{work}/gold", [2024]))
+
+
+def land_changed(spark, sf_dir):
+    """Downloads landed, one of them replaced by a smaller file, and landed again: what the bronze layer holds, and from which run."""
+    work = work_folder(spark)
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    folders = {year: f"{work}/download/{year}" for year in EDITIONS}
+    for year, folder in folders.items():
+        write_csv(orders.filter(F.col("o_orderkey") % 3 == year % 3).coalesce(1), folder)
+    landing.land_downloads(spark, folders, f"{work}/bronze")
+    folders[2024] = f"{work}/download/2024-again"
+    write_csv(orders.filter(F.col("o_orderkey") % 6 == 2024 % 6).coalesce(1), folders[2024])
+    landing.land_downloads(spark, folders, f"{work}/bronze")
+    opened = landing.read_landed_editions(spark, f"{work}/bronze", list(EDITIONS))
+    return opened.rows.select("survey_year", "c0", "c1", "c2")
+
+
+def contract_violations(spark, sf_dir):
+    """Counts of contract violations, taken as the respondent table is written."""
+    observed = Observation("contract")
+    silver.build_silver(spark, _bronze(spark, sf_dir), f"{work_folder(spark)}/professionals", observed=observed)
+    counts = observed.get
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{name} long" for name in counts))
+
+
+def silver_in_catalog(spark, sf_dir):
+    """Respondents of five years in a catalog table of the registered ones, counted by SQL."""
+    path, database = f"{work_folder(spark)}/professionals", f"survey_{uuid.uuid4().hex}"
+    years = _silver(spark, sf_dir).withColumn("survey_year", F.when(F.col("gender").isNull(), F.col("survey_year") - 2).otherwise(F.col("survey_year")))
+    lake.write_silver(years, path)
+    lake.register_silver(spark, database, path)
+    return spark.sql(f"SELECT survey_year, count(*) AS n, sum(is_employed) AS employed FROM {database}.professionals GROUP BY survey_year")
+
+
+def job_silver(spark, sf_dir):
+    """The silver job by its arguments."""
+    work = work_folder(spark)
+    write_bronze(spark, sf_dir, f"{work}/bronze")
+    jobs.main(["silver", "--JOB_NAME", "silver", "--BRONZE_S3", f"{work}/bronze", "--SILVER_S3", f"{work}/silver"], spark)
+    return lake.read_silver(spark, f"{work}/silver/professionals")
+
+
+def job_gold(spark, sf_dir):
+    """The gold job, with its locations from the environment."""
+    work, before = work_folder(spark), os.environ.get("LAKE_URI")
+    os.environ["LAKE_URI"] = work
+    try:
+        layers = editions.Locations.from_env()
+        lake.write_silver(_silver(spark, sf_dir), layers.respondents)
+        jobs.main(["gold"], spark)
+    finally:
+        os.environ.pop("LAKE_URI")
+        if before is not None:
+            os.environ["LAKE_URI"] = before
+    return long_form(lake.read_gold(spark, layers.gold, GOLD_KEYS))
+
+
 def run_job(spark, sf_dir):
     """The whole job, from raw editions to the gold tables in the catalog; returns what these hold."""
     work, database = work_folder(spark), f"survey_{uuid.uuid4().hex}"
@@ -352,6 +450,8 @@ _QUERIES: dict[str, Query] = {
     "scan_csv_edition": scan_csv_edition,
     "scan_csv_spanning": scan_csv_spanning,
     "scan_csv_irregular": scan_csv_irregular,
+    "scan_csv_rejects": scan_csv_rejects,
+    "scan_csv_accepted": scan_csv_accepted,
     "null_tokens": null_cells,
     "edition_registry": edition_registry,
     "edition_retention": edition_retention,
@@ -369,6 +469,7 @@ _QUERIES: dict[str, Query] = {
     "find_column_chain": find_column_chain,
     "find_column_ranked": find_column_ranked,
     "resolve_schema": resolve_schema,
+    "resolve_rules": resolve_rules,
     "mapping_report": mapping_report,
     "harmonise_edition": harmonise_edition,
     "to_flag": to_flag,
@@ -388,6 +489,12 @@ _QUERIES: dict[str, Query] = {
     "scalar_round": scalar_round,
     **{name: _gold(name) for name in gold.GOLD_TABLES},
     "gold_all": gold_all,
+    "gold_updated": gold_updated,
+    "land_changed": land_changed,
+    "contract_violations": contract_violations,
+    "silver_in_catalog": silver_in_catalog,
+    "job_silver": job_silver,
+    "job_gold": job_gold,
     "run_job": run_job,
     **{name: _analysis(name) for name in analyses.ANALYSES},
     **{f"sql_{name}": _statement(name) for name in statements.STATEMENTS},

@@ -277,6 +277,13 @@ silver AS (SELECT *, {_ENRICHED} FROM inputs)"""
 
 _FOLDED = "coalesce(regexp_replace(strip_accents(lower(text)), '^\\s+|\\s+$', '', 'g'), '')"
 _HEADER_TEXT = "trim(regexp_replace(strip_accents(lower(text)), '[^a-z0-9.]+', ' ', 'g'))"
+# Lines of two editions, the cells after the third in a list; a header has three columns or four.
+_LINES = """SELECT *, 3 + len(extra) AS n_cells, CASE survey_year WHEN 2023 THEN 3 ELSE 4 END AS width,
+  concat_ws(',', o_orderkey, '"' || o_orderpriority || ', ' || o_orderstatus || '"', o_custkey) ||
+    CASE o_orderkey % 16 WHEN 0 THEN ',more' WHEN 1 THEN ',' WHEN 2 THEN ',,x' WHEN 3 THEN ',"a,b"' WHEN 4 THEN ',' WHEN 6 THEN ',,' ELSE '' END AS line
+FROM (SELECT *, CAST(2024 - o_orderkey % 2 AS INT) AS survey_year,
+  CASE o_orderkey % 16 WHEN 0 THEN ['more'] WHEN 1 THEN [''] WHEN 2 THEN ['', 'x'] WHEN 3 THEN ['a,b'] WHEN 4 THEN [''] WHEN 6 THEN ['', ''] ELSE [] END AS extra FROM orders) o"""
+
 _SPANNING = "SELECT * REPLACE (replace(text, '. ', '.' || chr(10) || ' ' || chr(10)) AS text) FROM documents"
 _CELL = f"CASE WHEN {{0}} NOT IN ({_strings(NULL_TOKENS)}) THEN {{0}} END"
 _MAPPING = ", ".join(
@@ -324,6 +331,7 @@ FROM (SELECT doc_id, {_HEADER_TEXT} AS norm FROM documents)""",
         ),
         "find_column_ranked": headers([], powerbi=True),
         "resolve_schema": headers([_words(field) for field in HEADER_RULES], powerbi=True),
+        "resolve_rules": headers([_words(field) for field in HEADER_RULES], powerbi=True),
         "mapping_report": f"""WITH present AS (SELECT DISTINCT survey_year, edition FROM ({_orders(RESPONDENTS)}) r),
 fields AS (SELECT unnest([{_strings(INPUT_FIELDS[2:])}]) AS field)
 SELECT p.survey_year, p.edition, f.field, m.source_header FROM present p CROSS JOIN fields f
@@ -351,13 +359,28 @@ FROM part""",
 FROM lineitem""",
         "gold_all": gold_contents(SILVER),
         "run_job": gold_contents(PIPELINE),
+        "gold_updated": gold_contents(SILVER),
+        "job_gold": gold_contents(SILVER),
+        "job_silver": f"WITH {PIPELINE} SELECT * FROM silver",
+        "land_changed": """SELECT CASE o_orderkey % 3 WHEN 1 THEN 2023 WHEN 2 THEN 2024 ELSE 2025 END::INTEGER AS survey_year,
+  CAST(o_orderkey AS VARCHAR) AS c0, CAST(o_custkey AS VARCHAR) AS c1, o_orderpriority AS c2
+FROM orders WHERE o_orderkey % 3 <> 2 OR o_orderkey % 6 = 2""",
+        "contract_violations": f"""WITH {PIPELINE} SELECT count(*) AS n_rows, 0::BIGINT AS null_years, 0::BIGINT AS bad_flags,
+  count(*) FILTER (salary_band IS NOT NULL AND salary_midpoint IS NULL) AS unknown_bands FROM silver""",
+        "silver_in_catalog": silver("""SELECT survey_year, count(*) AS n, sum(is_employed)::BIGINT AS employed FROM (
+  SELECT * REPLACE (CASE WHEN gender IS NULL THEN survey_year - 2 ELSE survey_year END::INTEGER AS survey_year) FROM silver) s
+WHERE survey_year BETWEEN 2023 AND 2025 GROUP BY survey_year"""),
         "pick_largest_file": """SELECT year, length FROM (SELECT CAST(year(o_orderdate) AS VARCHAR) AS year,
   CAST(sum(strlen(concat_ws(',', o_orderkey, o_custkey, o_orderstatus)) + 1) AS BIGINT) AS length FROM orders GROUP BY 1)
 ORDER BY length DESC, year LIMIT 1""",
         "scan_csv_spanning": f"""SELECT CAST(doc_id AS VARCHAR) AS c0, {_CELL.format('text')} AS c1,
   {_CELL.format('lang')} AS c2, {_CELL.format('source')} AS c3, CAST(n_chars AS VARCHAR) AS c4 FROM ({_SPANNING}) d""",
         "scan_csv_irregular": f"""SELECT CAST(doc_id AS VARCHAR) AS c0, {_CELL.format('text')} AS c1,
-  lang || ' 5" tela' AS c2, source || 's' AS c3 FROM ({_SPANNING}) d""",
+  lang || ' 5" tela' AS c2, '"' || source || '"s' AS c3 FROM ({_SPANNING}) d""",
+        "scan_csv_rejects": f"""SELECT survey_year, o_orderkey, line AS record,
+  'a record has ' || n_cells || ' cells, the header has ' || width AS reason FROM ({_LINES}) l WHERE n_cells > width""",
+        "scan_csv_accepted": f"""SELECT survey_year, CAST(o_orderkey AS VARCHAR) AS c0, o_orderpriority || ', ' || o_orderstatus AS c1,
+  CAST(o_custkey AS VARCHAR) AS c2, nullif(extra[1], '') AS c3 FROM ({_LINES}) l WHERE n_cells <= width""",
         "gold_roundtrip": gold("region_work_model"),
         "gold_csv_roundtrip": gold("sector"),
         "q_overview": gold("overview"),

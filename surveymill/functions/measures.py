@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -39,10 +39,11 @@ def pick(value: Column | str, key: Column | str, wanted) -> Column:
 
 
 def share_of_total(grouped: DataFrame, value: str, within: str, name: str = "share_pct") -> DataFrame:
-    """Percentage of each group in the total of its ``within`` partition.
+    """Percentage of each group in the total of its ``within`` key; groups without a key are together.
 
-    ``grouped`` is an aggregate: one row per group, so a window partition holds as many rows as
-    there are categories, whatever the size of the table it was counted from.
+    ``grouped`` is an aggregate: one row per group. Totals are added up a second time from it and joined back, so that no task
+    holds all groups of a key: partial sums come from every task, and where a key has many groups Spark splits them.
     """
-    total = F.sum(value).over(Window.partitionBy(within))
-    return grouped.withColumn(name, F.round(F.col(value) / total * 100, 1))
+    totals = grouped.groupBy(F.col(within).alias("_within")).agg(F.sum(value).alias("_total"))
+    joined = grouped.join(totals, F.col(within).eqNullSafe(F.col("_within")))
+    return joined.withColumn(name, F.round(F.col(value) / F.col("_total") * 100, 1)).drop("_within", "_total")

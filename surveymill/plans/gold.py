@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -166,6 +167,7 @@ _SHARED_CELLS = {
     "edition": (c.EDITION_KEYS, c.EDITION_MEASURES),
     "role": (c.ROLE_KEYS, c.ROLE_MEASURES),
 }
+CELL_SETS = {**_SHARED_CELLS, "place": (c.PLACE_KEYS, c.PLACE_MEASURES), "sector": (c.SECTOR_KEYS, c.PLACE_MEASURES)}
 
 
 def gold_tables(silver: DataFrame) -> dict[str, DataFrame]:
@@ -199,3 +201,43 @@ def build_gold(spark: SparkSession, silver: str, gold: str, csv: str | None = No
         for name, table in tables.items():
             write_gold_csv(table, f"{csv.rstrip('/')}/{name}")
     return tables
+
+
+def cell_store(gold: str, cell_set: str) -> str:
+    return f"{gold.rstrip('/')}/_store/{cell_set}"
+
+
+def changed_cells(silver: DataFrame, cell_set: str, years: Iterable[int]) -> DataFrame:
+    """The cells of some years, of a set. Only these years' partitions of the respondents are read."""
+    return c.add_up(c.units(silver.filter(F.col("survey_year").isin(*years))), *CELL_SETS[cell_set])
+
+
+def update_gold(spark: SparkSession, silver: str, gold: str, years: Iterable[int], csv: str | None = None) -> dict[str, DataFrame]:
+    """Bring all gold tables up to date after the respondents of some years have changed.
+
+    Cells are kept in a store partitioned by year beside the tables. The years' partitions are made anew and replace the old ones;
+    the tables are added up from the store. The first call must name all years. A year whose respondents are gone
+    loses its cells.
+    """
+    years = sorted(set(years))
+    respondents = read_silver(spark, silver)
+    there = [row[0] for row in respondents.filter(F.col("survey_year").isin(*years)).select("survey_year").distinct().collect()]
+
+    def update(cell_set: str) -> None:
+        store = cell_store(gold, cell_set)
+        cells = changed_cells(respondents, cell_set, years)
+        cells.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("survey_year").parquet(store)
+        for year in set(years) - set(there):
+            remove(spark, f"{store}/survey_year={year}")
+        kept = spark.read.schema(cells.schema).parquet(store)
+        for name, (table, source) in GOLD_TABLES.items():
+            if source == cell_set:
+                write_gold(table(kept), f"{gold.rstrip('/')}/{name}")
+
+    with ThreadPoolExecutor(len(CELL_SETS)) as pool:
+        list(pool.map(inheritable_thread_target(spark)(update), CELL_SETS))
+    tables = read_gold(spark, gold, GOLD_TABLES)
+    if csv is not None:
+        for name, table in tables.items():
+            write_gold_csv(table, f"{csv.rstrip('/')}/{name}")
+    return tables

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import csv
+import re
+
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from checks.fixture import DECOY_HEADERS, EDITION_HEADERS, respondents, work_folder, write_bronze
@@ -12,11 +16,11 @@ from surveymill.functions.measures import condition_pct, flag_pct, mean, pick, r
 from surveymill.operators.respondents import SILVER_COLUMNS, enrich
 from surveymill.plans import cells as c
 from surveymill.plans.analyses import ANALYSES, analyse
-from surveymill.plans.gold import GOLD_TABLES, gold_tables
-from surveymill.plans.silver import build_silver, harmonised, mapping_report, open_editions
+from surveymill.plans.gold import CELL_SETS, GOLD_TABLES, changed_cells, gold_tables, update_gold
+from surveymill.plans.silver import build_silver, harmonised, mapping, mapping_report, open_editions
 from surveymill.plans.statements import STATEMENTS, ask
 from surveymill.sources.editions import Locations, edition_path, registry, retain_registered
-from surveymill.sources.lake import read_gold_csv, read_silver, register_tables, write_silver
+from surveymill.sources.lake import read_gold_csv, read_silver, register_silver, register_tables, write_silver
 from surveymill.sources.landing import land_edition
 
 SF = "/root/testdata/sf0.001"
@@ -53,8 +57,8 @@ def test_silver_from_landed_editions_is_the_same(spark, lake, tmp_path):
         land_edition(spark, edition_path(layers.bronze, year), f"{tmp_path}/landed", year)
     landed = build_silver(spark, f"{tmp_path}/landed", f"{tmp_path}/silver", landed=True)
     assert _sorted(landed) == _sorted(read_silver(spark, layers.respondents))
-    edition = open_editions(spark, f"{tmp_path}/landed", landed=True)[2025]
-    assert set(edition.headers) == {*EDITION_HEADERS[2025].values(), DECOY_HEADERS[2025]}
+    catalog = open_editions(spark, f"{tmp_path}/landed", landed=True).catalog.filter("survey_year = 2025").collect()
+    assert {r["header"] for r in catalog} == {*EDITION_HEADERS[2025].values(), DECOY_HEADERS[2025]}
 
 
 def test_run_from_downloads_and_printed_mapping(spark, lake, tmp_path, capsys):
@@ -76,16 +80,25 @@ def test_mapping_report_lists_every_field(spark, lake):
     }
 
 
-def test_only_mapped_columns_are_parsed(spark, lake):
-    edition = open_editions(spark, lake[1].bronze)[2025]
-    plan = edition.rows.select("c0")._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<c0:string>" in plan
-
-
-def test_silver_is_one_pass_without_a_shuffle(spark, lake):
+def test_only_mapped_columns_are_read(spark, lake, tmp_path):
+    for year in EDITIONS:
+        land_edition(spark, edition_path(lake[1].bronze, year), f"{tmp_path}/landed", year)
+    opened = open_editions(spark, f"{tmp_path}/landed", landed=True)
+    decoy = opened.catalog.filter(F.col("header").isin(*DECOY_HEADERS.values())).select("pos").distinct().collect()
+    assert [r["pos"] for r in decoy] == [3]
+    plan = harmonised(spark, opened)._jdf.queryExecution().executedPlan().toString()
+    read = re.search(r"ReadSchema: struct<([^>]*)>", plan[plan.index("c0") :])[1].split(",")
+    mapped = {r["pos"] for r in mapping(opened).filter("pos IS NOT NULL").collect()}
+    assert 3 in mapped or "c3:string" not in read
+    assert plan.count("FileScan parquet [c0") == 1
+
+
+def test_silver_is_one_scan_without_a_shuffle_of_rows(spark, lake):
     rows = enrich(harmonised(spark, open_editions(spark, lake[1].bronze)))
     plan = rows._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan csv") == 3 and "Exchange" not in plan and "Python" not in plan
+    assert plan.count("FileScan csv") == 1 and "SortMergeJoin" not in plan and "Python" not in plan
+    # the rows are the streamed side of broadcast joins with tables of a row for each edition
+    assert plan.count("BroadcastHashJoin [survey_year") >= 2
 
 
 def test_rebuilding_one_edition_leaves_the_others(spark, tmp_path):
@@ -127,8 +140,10 @@ def test_gold_from_added_up_cells_equals_gold_from_units(spark):
 def test_gold_filters_and_columns_reach_the_scan(spark, lake):
     silver = read_silver(spark, lake[1].respondents)
     tables = gold_tables(silver)
-    plan = tables["market_structure"]._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan") == 1
+    market = tables["market_structure"]
+    market.collect()
+    plan = market._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan") == 1 and "ReusedExchange" in plan  # totals are made of the same groups
     assert "PushedFilters: [IsNotNull(is_employed), EqualTo(is_employed,1)]" in plan
     assert "ReadSchema: struct<job_family:string,is_employed:int>" in plan
     tech = tables["tech_adoption"]._jdf.queryExecution().executedPlan().toString()
@@ -245,7 +260,7 @@ def test_locations(monkeypatch):
 def test_command_line(monkeypatch):
     calls = []
     monkeypatch.setattr(jobs, "session", lambda name: type("S", (), {"stop": lambda self: calls.append("stop")})())
-    monkeypatch.setattr(jobs, "build_silver", lambda s, b, t, landed: calls.append((b, t, landed)))
+    monkeypatch.setattr(jobs, "build_silver", lambda s, b, t, landed, rejects: calls.append((b, t, landed)))
     monkeypatch.setattr(jobs, "build_gold", lambda s, silver, gold, csv: calls.append((silver, gold, csv)))
     monkeypatch.setattr(jobs, "land_downloads", lambda s, d, b: calls.append((d, b)))
     monkeypatch.setattr(jobs, "register_tables", lambda s, database, gold, names: calls.append((database, gold)))
@@ -303,3 +318,70 @@ def test_gold_folders_become_catalog_tables(spark, lake):
         for name in GOLD_TABLES:
             spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
         spark.sql(f"DROP DATABASE IF EXISTS {database}")
+
+
+def test_gold_kept_up_to_date_equals_a_full_build(spark, tmp_path):
+    complete = enrich(respondents(spark, SF))
+    path, gold = f"{tmp_path}/silver", f"{tmp_path}/gold"
+    write_silver(complete.filter("survey_year <> 2025").union(complete.filter("survey_year = 2023")), path)
+    update_gold(spark, path, gold, [2023, 2024])
+    write_silver(complete.filter("survey_year IN (2023, 2025)"), path, editions_only=True)
+    tables = update_gold(spark, path, gold, [2023, 2025])
+    direct = gold_tables(complete)
+    for name in GOLD_TABLES:
+        assert _sorted(tables[name]) == _sorted(direct[name]), name
+    for cell_set in CELL_SETS:  # only the changed year is read
+        plan = changed_cells(read_silver(spark, path), cell_set, [2025])._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"PartitionFilters: \[[^]]*survey_year#\d+ = 2025", plan) or "IN (2025)" in plan, plan
+    # an edition that is gone
+    spark.createDataFrame([], complete.schema)
+    write_silver(complete.filter("survey_year <> 2024"), path)
+    tables = update_gold(spark, path, gold, [2024])
+    assert {r["survey_year"] for r in tables["overview"].collect()} == {2023, 2025}
+
+
+def test_contract_violations_are_counted_while_writing(spark, lake, tmp_path):
+    observed = Observation("contract")
+    silver = build_silver(spark, lake[1].bronze, f"{tmp_path}/silver", observed=observed)
+    counts = observed.get
+    assert counts["n_rows"] == silver.count() == 1500 and counts["null_years"] == counts["bad_flags"] == 0
+    assert counts["unknown_bands"] == silver.filter("salary_band IS NOT NULL AND salary_midpoint IS NULL").count() > 0
+
+
+def test_rejected_records_do_not_stop_the_build(spark, lake, tmp_path):
+    bronze = f"{tmp_path}/bronze"
+    write_bronze(spark, SF, bronze)
+    file = tmp_path / "bronze" / "survey_year=2024" / "extra.csv"
+    header = open_editions(spark, bronze).catalog.filter("survey_year = 2024").orderBy("pos").collect()
+    with file.open("w") as out:
+        csv.writer(out, lineterminator="\n").writerows([[r["header"] for r in header], ["x"] * (len(header) + 2)])
+    with pytest.raises(Exception, match="cells, the header has"):
+        build_silver(spark, bronze, f"{tmp_path}/s1")
+    silver = build_silver(spark, bronze, f"{tmp_path}/s2", rejects=f"{tmp_path}/rejects")
+    assert _sorted(silver) == _sorted(read_silver(spark, lake[1].respondents))
+    (rejected,) = spark.read.parquet(f"{tmp_path}/rejects").collect()
+    assert rejected["survey_year"] == 2024 and rejected["reason"] == f"a record has {len(header) + 2} cells, the header has {len(header)}"
+
+
+def test_silver_in_the_catalog_has_registered_years_only(spark, tmp_path):
+    rows = enrich(respondents(spark, SF)).withColumn("survey_year", F.col("survey_year") - F.col("is_employed"))
+    write_silver(rows, f"{tmp_path}/s")
+    database = "survey_silver_test"
+    try:
+        register_silver(spark, database, f"{tmp_path}/s")
+        table = spark.table(f"{database}.professionals")
+        assert {r[0] for r in table.select("survey_year").distinct().collect()} == set(EDITIONS)
+        assert table.columns == read_silver(spark, f"{tmp_path}/s").columns or set(table.columns) == set(SILVER_COLUMNS)
+        plan = table.filter("survey_year = 2024")._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(survey_year" in plan
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+
+def test_share_of_total_of_many_groups_is_no_window(spark):
+    groups = spark.range(200_000).selectExpr("CAST(id % 2 AS INT) AS y", "id AS g", "id % 7 AS v").groupBy("y", "g").agg(F.sum("v").alias("n"))
+    shared = share_of_total(groups, "n", "y", "share")
+    assert "Window" not in shared._jdf.queryExecution().executedPlan().toString()
+    assert shared.columns == ["y", "g", "n", "share"] and shared.count() == 200_000
+    odd = spark.createDataFrame([(None, 1), (None, 3), (1, 5)], "y int, n int")
+    assert sorted(map(tuple, share_of_total(odd, "n", "y").collect()), key=repr) == [(1, 5, 100.0), (None, 1, 25.0), (None, 3, 75.0)]
