@@ -26,9 +26,9 @@ from surveymill.llm import blocks
 
 K = 5
 SCALE = 256
-FIRST = 1 / 32  # share of the lists that the first step reads; each further step reads as far again
-LEFT = 1 / 16  # scores are resolved once at most this share of a block is left
-LOOKED_AT = 64  # vectors whose bounds tell whether those of all are worth their while
+FIRST = 1 / 16  # share of the lists that the first step reads; each further step reads as far again
+LEFT = 1 / 4  # scores are resolved once at most this share of a block is left
+LOOKED_AT = 32  # vectors whose bounds tell whether those of all are worth their while
 
 
 def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = SCALE) -> DataFrame:
@@ -48,7 +48,12 @@ class Lists:
         columns = vectors.T.astype(np.float64)
         self.order = np.argsort(columns, axis=1, kind="stable")
         self.values = np.take_along_axis(columns, self.order, axis=1)
+        self.place = np.empty(self.order.shape, np.int32)  # of each vector in each list
+        np.put_along_axis(self.place, self.order, np.arange(len(vectors), dtype=np.int32)[None, :], axis=1)
         self.read = self.resolved = 0
+        # room that all queries use again: fresh memory costs more than what is done in it
+        self._mask, self._unmet = np.empty(self.order.shape, bool), np.empty(self.order.shape)
+        self._added = np.empty(len(vectors))
 
     def candidates(self, query: np.ndarray, own: int, k: int) -> np.ndarray:
         """Vectors that may be among the k best, by reading the lists."""
@@ -64,34 +69,36 @@ class Lists:
         pull = np.abs(weights) * (highest - lowest)
         pull = pull / pull.mean() if pull.any() else np.ones(len(lists))
         depth = np.zeros(len(lists), np.int64)
-        sums, seen = np.zeros(n), np.zeros((len(lists), n))
-        share = FIRST
+        place = self.place if len(lists) == len(self.place) else self.place[lists]
+        sums, down = np.zeros(n), (weights > 0)[:, None]
+        share, few = FIRST, np.arange(0, n, max(1, n // LOOKED_AT))
         while True:
             ends = np.minimum(n, np.maximum(depth, np.ceil(share * n * np.maximum(pull, FIRST)).astype(np.int64)))
-            met, parts = [], []
             for j, (number, a, b) in enumerate(zip(lists.tolist(), depth.tolist(), ends.tolist(), strict=True)):
                 if b > a:
                     piece = slice(n - b, n - a) if weights[j] > 0 else slice(a, b)
-                    met.append(self.order[number, piece])
-                    parts.append(weights[j] * self.values[number, piece])
-                    seen[j, met[-1]] = 1
-            if met:
-                sums += np.bincount(np.concatenate(met), weights=np.concatenate(parts), minlength=n)
+                    added = np.multiply(self.values[number, piece], weights[j], out=self._added[: b - a])
+                    np.add.at(sums, self.order[number, piece], added)
             self.read += int((ends - depth).sum())
             depth, share = ends, 2 * share
             frontier = weights * np.where(weights > 0, self.values[lists, n - depth], self.values[lists, depth - 1])
             bounds = np.stack([frontier, at_worst])
 
-            def bound(picked, bounds=bounds):
-                unread = bounds.sum(axis=1)[:, None] - bounds @ seen[:, picked]
+            def bound(picked, bounds=bounds, depth=depth[:, None]):
+                places = place[:, picked]
+                rows, columns = places.shape
+                mask, unmet = (r[:rows, :columns] if columns <= n else np.empty(places.shape, r.dtype) for r in (self._mask, self._unmet))
+                np.less(places, np.where(down, n - depth, depth), out=mask)
+                np.copyto(unmet, np.not_equal(mask, ~down, out=mask))
+                unread = bounds @ unmet
                 return sums[picked] + unread[0] + margin, sums[picked] + unread[1] - margin
 
             done = bool((depth == n).all())
             if not done:
-                best_sums = np.argpartition(sums, n - k - 1)[n - k - 1 :]  # one more than k: the own may be among them
-                floor = np.sort(bound(best_sums[best_sums != own])[1])[-k:].min()
-                few = np.linspace(0, n - 1, min(n, LOOKED_AT)).astype(np.int64)
-                if (bound(few)[0] >= floor).mean() > 2 * LEFT:
+                leading = np.argpartition(sums, n - k - 1)[n - k - 1 :]  # one more than k: the own may be among them
+                leading = leading[leading != own]
+                best, worst = bound(np.concatenate([leading, few]))
+                if (best[len(leading) :] >= np.sort(worst[: len(leading)])[-k]).mean() > 2 * LEFT:
                     continue
             best, worst = bound(slice(None))
             if own >= 0:

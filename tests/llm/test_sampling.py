@@ -131,3 +131,14 @@ def test_long_units_and_scripts_without_blanks():
         (ids,) = own.sample([text], np.array([3], np.uint64))
         assert own.decode(ids) == text
     assert time.process_time() - start < 20
+
+
+def test_ids_of_a_whole_table(spark):
+    """The query's hashes against samples drawn in one process, a text at a time."""
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", F.xxhash64(F.lit(0), "doc_id").alias("seed")).collect()
+    own = sampling.Sampler(sampling.public_model())
+    drawn = [(d.doc_id, own.sample([d.text or ""], np.array([d.seed], np.int64).view(np.uint64))[0].tolist()) for d in docs]
+    expected = spark.createDataFrame(drawn, "doc_id long, ids array<int>").select("doc_id", F.size("ids").cast("long"), F.xxhash64("ids"))
+    got = op8_sampled_pieces(spark, folder).select("doc_id", "n_pieces", "ids_hash")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))

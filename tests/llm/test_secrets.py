@@ -244,3 +244,22 @@ def test_no_candidate_moves_the_cut_far(encoding, share):
             far += abs(place - before) > 1
         before = place
     assert far < 60  # of 1500
+
+
+def test_random_spans_of_a_whole_table(spark):
+    """All spans of the query against the scan of the same texts in one process, with secrets of several encodings added."""
+    rng = random.Random(21)
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    alphabets = [secrets._BASE64[:62], secrets._BASE36, secrets._BASE32]
+    added = [(i, f"{t or ''} key/{''.join(rng.choices(rng.choice(alphabets), k=rng.choice([24, 32, 44])))} end") for i, t in docs[:60]]
+    rows = docs + [(10**6 + i, t) for i, t in added]
+    scanned = {i: secrets.scan(t or "") for i, t in rows}
+    bins = {}
+    for _, candidates in scanned.values():
+        for *_, name, p in candidates:
+            bins.setdefault(name, [0] * secrets.BINS)[min(secrets.BINS - 1, int(p * secrets.BINS))] += 1
+    lowest = secrets.class_cuts(bins)
+    expected = {i: sorted([*base, *((a, 3, b) for a, b in secrets.accepted(found, lowest))]) for i, (base, found) in scanned.items()}
+    got = secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert {r.doc_id: [tuple(s) for s in r.spans] for r in got} == expected
+    assert sum(any(kind == 3 for _, kind, _ in spans) for spans in expected.values()) > 40
