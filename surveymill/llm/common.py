@@ -46,21 +46,21 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
-def runs(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows whose text or binary ``column`` holds about SLICE_BYTES."""
+def runs(batch: pa.RecordBatch, column: int, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows whose text or binary ``column`` holds about ``size`` bytes."""
     ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(batch.column(column)), 0).cast(pa.int64())).to_pylist()
     start = 0
     while start < len(ends):
-        limit, stop = (ends[start - 1] if start else 0) + SLICE_BYTES, start + 1
+        limit, stop = (ends[start - 1] if start else 0) + size, start + 1
         while stop < len(ends) and ends[stop] <= limit:
             stop += 1
         yield batch.slice(start, stop - start)
         start = stop
 
 
-def slices(batch: pa.RecordBatch, text: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+def slices(batch: pa.RecordBatch, text: int, size: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """The runs of a batch, each with the texts of column ``text`` (null: empty)."""
-    for part in runs(batch, text):
+    for part in runs(batch, text, size):
         yield part, [x or "" for x in part.column(text).to_pylist()]
 
 

@@ -24,6 +24,7 @@ from surveymill.llm.common import arrow_schema, runs, slices, work_folder
 from surveymill.llm.tokens import END_ID, encoder, public_file
 
 BLOCK = 1024
+TOGETHER = 1_000_000  # bytes of text or words that are coded at a time: their arrays stay in the processor's cache
 # Fixed values of the coding: ids to a word for the selectors 0 to 13; the width is 60 bits by that.
 COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 ESCAPE = 15
@@ -169,7 +170,7 @@ def write_tokens(
         part, before, encode_text = TaskContext.get().partitionId(), 0, encoder(tokenizer).encode
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for rows, texts in slices(batch, 1):
+            for rows, texts in slices(batch, 1, TOGETHER):
                 lists = [np.frombuffer(encode_text(text) + end, "<u4") for text in texts]
                 counts = np.array([len(x) for x in lists], np.int64)
                 starts = before + np.cumsum(counts) - counts
@@ -214,7 +215,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in runs(batch, batch.schema.get_field_index("words")):
+            for part in runs(batch, batch.schema.get_field_index("words"), TOGETHER):
                 lists = [
                     (np.asarray(offsets), np.frombuffer(words, "<u8"), n)
                     for offsets, words, n in zip(
