@@ -23,6 +23,7 @@ from surveymill.fixed_values import (
     POWERBI_PHRASE,
 )
 from surveymill.functions.text import contains_any, header_name, header_token, literal, matches
+from surveymill.sources.lake import is_small
 
 _PLACES = "10000000000BD"  # beyond any length or position; four numbers below it fit one decimal
 RESOLVED_FIELDS = INPUT_FIELDS[2:]  # survey_year and edition come from the registry
@@ -70,9 +71,15 @@ def best_headers(headers: DataFrame, rules: dict[str, tuple[str, bool]], by: str
     ]
     answers = ", ".join(f"struct({literal(field)} AS field, {field} AS rank)" for field in rules)
     found = steps.groupBy(by).agg(*map(F.expr, best)).selectExpr(by, f"inline(array({answers}))")
+    return _with_headers(found, headers, by)
+
+
+def _with_headers(found: DataFrame, headers: DataFrame, by: str) -> DataFrame:
+    """``(by, field, rank)`` as ``(by, field, source_header, pos)``. Merged: a catalog compresses so well that Spark would take
+    it for small and send it through the driver."""
     places = found.selectExpr(by, "field", f"CAST(rank % {_PLACES} AS INT) AS pos")
     texts = headers.select(by, "pos", F.col("header").alias("source_header"))
-    return places.join(texts, [by, "pos"], "left").select(by, "field", "source_header", "pos")
+    return places.join(texts.hint("merge"), [by, "pos"], "left").select(by, "field", "source_header", "pos")
 
 
 def find_column(
@@ -141,28 +148,32 @@ def resolve_by_rules(headers: DataFrame, rules: DataFrame, by: str = "survey_yea
 
     Headers and rules meet through an inverted index: a header fits a rule only if it holds every piece of three characters of
     the rule's words, so each rule is looked up under the one that fewest headers hold. Rule words are then tested on the
-    headers found. A rule without a word of that length is tested on every header.
+    headers found. A rule without a word of that length is tested on every header. Each distinct header is looked up once.
+    Only a table of few rules is broadcast: the sides that grow with the catalog are merged, however well they compress.
     """
-    names = headers.select(by, "pos", "header", header_name(F.col("header")).alias("name"))
+    few = is_small(rules)
+
+    def of_rules(frame: DataFrame) -> DataFrame:
+        return F.broadcast(frame) if few else frame.hint("merge")
+
+    names = headers.select("header").distinct().withColumn("name", header_name(F.col("header")))
     names = names.withColumn("padded", F.concat(F.lit(" "), "name", F.lit(" ")))
-    pieces = names.select(by, "pos", F.explode(_grams(F.col("padded"))).alias("gram"))
+    pieces = names.select("header", F.explode(_grams(F.col("padded"))).alias("gram"))
     long = F.filter("include", lambda n: F.length(n) >= 3)
     every = rules.filter(F.size(long) == 0)
     wanted = rules.select("field", "step", F.explode(F.array_distinct(F.flatten(F.transform(long, _grams)))).alias("gram"))
-    held = pieces.join(wanted.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("n"))
+    held = pieces.join(of_rules(wanted.select("gram").distinct()), "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("n"))
     rarest = wanted.join(held, "gram", "left").groupBy("field", "step").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("key"))
     keyed = rules.join(rarest.select("field", "step", F.col("key.gram").alias("gram")), ["field", "step"])
     if not every.isEmpty():
         keyed = keyed.unionByName(every.withColumn("gram", F.lit("")))
-        pieces = pieces.unionByName(names.select(by, "pos", F.lit("").alias("gram")))
-    found = pieces.join(keyed, "gram").drop("gram").join(names, [by, "pos"])
+        pieces = pieces.unionByName(names.select("header", F.lit("").alias("gram")))
+    found = pieces.join(of_rules(keyed), "gram").drop("gram").hint("merge").join(names.hint("merge"), "header")
     fits = F.forall("include", lambda n: F.contains(F.col("padded"), n)) & ~F.exists("exclude", lambda n: F.contains(F.col("padded"), n))
-    lengths = found.filter(fits).withColumns({
-        "name_length": F.expr("IF(shortest, length(name), 0)"), "header_length": F.expr("IF(shortest, length(header), 0)"),
-    })
-    best = lengths.groupBy(by, "field").agg(F.min(F.expr(_rank("step", True))).alias("rank"))
+    lengths = found.filter(fits).select("header", "field", "step", F.expr("IF(shortest, length(name), 0)").alias("name_length"), F.expr("IF(shortest, length(header), 0)").alias("header_length"))
+    places = headers.select(by, "pos", "header")
+    ranked = lengths.hint("merge").join(places.hint("merge"), "header").select(by, "field", F.expr(_rank("step", True)).alias("rank"))
     fields = F.array(*[F.lit(row["field"]) for row in rules.select("field").distinct().collect()])  # a row for each field
-    asked = headers.select(by).distinct().withColumn("field", F.explode(fields))
-    places = asked.join(best, [by, "field"], "left").selectExpr(by, "field", f"CAST(rank % {_PLACES} AS INT) AS pos")
-    texts = headers.select(by, "pos", F.col("header").alias("source_header"))
-    return places.join(texts, [by, "pos"], "left").select(by, "field", "source_header", "pos")
+    asked = headers.select(by).distinct().select(by, F.explode(fields).alias("field"), F.lit(None).cast(ranked.schema["rank"].dataType).alias("rank"))
+    best = asked.unionByName(ranked).groupBy(by, "field").agg(F.min("rank").alias("rank"))
+    return _with_headers(best, headers, by)

@@ -109,3 +109,18 @@ def test_rules_as_a_table_find_what_compiled_rules_find(spark):
     assert "Cartesian" not in plan and "NestedLoop" not in plan
     expected = by_table.best_headers(catalog, {field: by_table.chain(steps) for field, steps in rules.items()})
     assert sorted(map(repr, found.collect())) == sorted(map(repr, expected.collect()))
+
+
+def test_no_catalog_is_broadcast(spark):
+    """However well its headers compress: editions by the thousand would pass through the driver."""
+    texts = [quoted for quoted, _, _ in CATALOG_HEADERS]
+    catalog = spark.range(0, 30_000, 1, 4).selectExpr(
+        "CAST(id DIV 48 AS INT) AS survey_year", "CAST(id % 48 AS INT) AS pos",
+        f"element_at(array({', '.join(repr(t) for t in texts)}), CAST(id * 7 % {len(texts)} AS INT) + 1) AS header",
+    )
+    rules = by_table.rules_table(spark, {"sector": HEADER_RULES["sector"], "gender": HEADER_RULES["gender"]})
+    for found in (by_table.resolve_by_rules(catalog, rules), find_powerbi(catalog)):
+        assert len(found.collect()) >= 625
+        final = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        joins = [line for line in final.splitlines() if "BroadcastHashJoin" in line]
+        assert not [line for line in joins if "survey_year" in line or "header" in line]
