@@ -7,7 +7,8 @@ from pyspark.sql import SparkSession
 # The respondent projection has 43 columns. Generated as one method it passes the size up to which
 # the JVM compiles methods (8000 bytes) and runs interpreted, about four times slower. With this
 # limit such a stage is generated as many small methods instead; smaller stages stay fused.
-_RUNTIME = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+# Rows of a few years are written to a file each without a sort by year before; beyond that number they are sorted.
+_RUNTIME = {"spark.sql.codegen.hugeMethodLimit": "8000", "spark.sql.maxConcurrentOutputFileWriters": "4"}
 
 
 def tune(spark: SparkSession) -> SparkSession:

@@ -4,15 +4,17 @@ Spark's own reader parses the files, with records that may span lines (``multiLi
 parallel work comes from many files, or from landing an edition as Parquet (see ``landing``). Columns are
 addressed by position, because headers hold quotes, dots, parentheses and duplicates.
 
-Any number of files and editions takes the same few jobs. One finds the first record of every file: a minimum of
-record numbers for each file, joined back to the same scan. The header rows it yields are a small table, and
-the other scans are planned from what it says: the widest header, and whether blank lines come before one.
+Any number of files and editions takes the same few jobs. One finds the header row of every file: the first line that is
+not blank, by Spark's reader of lines, which is far cheaper than parsing and cuts files into splits. Only files whose header
+is more than that line are parsed for it. The header rows are a small table, and
+the records are scanned, once, as it says: the widest header, and whether blank lines come before one.
 
 Records end at line feeds; a carriage return before one is not kept, nor one that ends a record's last cell. Blank
 lines, of nothing but blanks and tabs, are no records. Files of one edition whose headers differ are an error. A
 record of more cells than the header is rejected: an error where rows are asked for, a row of the
-reject table where that is. Spark keeps the text of records that do not have as many cells as the schema; the
-number of their cells is where a mark added to the text is found.
+reject table where that is. Spark keeps the text of records that do not have as many cells as the schema; it has as many
+commas more than the cells that are seen as there are cells but one. How many cells a rejected record has is where a mark
+added to its text is found.
 """
 
 from __future__ import annotations
@@ -22,17 +24,18 @@ import io
 import sys
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveymill.functions.text import null_tokens
-from surveymill.sources.lake import is_small, small, stage, work_folder
+from surveymill.functions.text import literal, null_tokens
+from surveymill.sources.lake import SMALL_ROWS, is_small, small, stage, work_folder
 
 _FILES = {"pathGlobFilter": "*.csv", "recursiveFileLookup": True}
 _PARSE = {"multiLine": True, "escape": '"', "maxCharsPerColumn": -1, "lineSep": "\n"}
-_RAW, _MARK = "_raw", "\x02end of record\x03"
+_RAW, _N, _MARK = "_raw", "_n", "\x02end of record\x03"
 _COUNTED = 8  # cells beyond the schema that are still counted
 _YEAR = r"/survey_year=(\d+)/"
 HEADS = "file string, blank long, header array<string>, closed boolean"
@@ -60,7 +63,7 @@ class Editions:
     rejects: DataFrame | None = None
 
 
-def csv_files(spark: SparkSession, path: str) -> DataFrame:
+def csv_files(spark: SparkSession, path) -> DataFrame:
     """``(path, length, modified, file)`` of the CSV files at or below a path; contents are not read. ``file`` is the path as
     scans name it."""
     listed = spark.read.format("binaryFile").options(**_FILES).load(path)
@@ -105,7 +108,7 @@ def _scan(spark: SparkSession, paths, width: int, header: bool) -> DataFrame:
 
 def _is_blank() -> Column:
     """Spark reads no text without a cell, so the first one is asked as well."""
-    return F.coalesce(F.col(_RAW).rlike(r"\A[ \t]*\z") & (F.btrim(F.coalesce("c0", F.lit("")), F.lit(" \t\r")) == ""), F.lit(False))
+    return F.coalesce((F.btrim(F.coalesce("c0", F.lit("")), F.lit(" \t\r")) == "") & F.col(_RAW).rlike(r"\A[ \t]*\z"), F.lit(False))
 
 
 def _header_cells(text: str) -> tuple[list[str], bool]:
@@ -117,28 +120,69 @@ def _header_cells(text: str) -> tuple[list[str], bool]:
         return [], False
 
 
+def _one_line(text: str | None) -> tuple[list[str] | None, bool | None]:
+    """The cells of a header that is no more than this line; nothing if it may be."""
+    if text is None or text.startswith("\ufeff"):
+        return None, None
+    cells, closed = _header_cells(text)
+    if not closed or not "".join(cells).strip(" \t\r"):
+        return None, None
+    return cells, True
+
+
 def first_records(spark: SparkSession, paths) -> DataFrame:
-    """``(file, blank, header, closed)`` of every file with a record: blank lines before its first one, and that one.
+    """``(file, blank, header, closed)`` of every file with a record: whether lines of blanks come before its first one, and
+    that one.
 
-    A written table, a row for each file. Record numbers are compared within one plan only, in which both scans cut the
+    A written table, a row for each file. Line numbers are compared within one plan only, in which both scans cut the
     files alike.
     """
+    folder = work_folder(spark)
+    lines = spark.read.options(**_FILES, lineSep="\n").text(paths)
+    lines = lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("number"))
+    first = lines.filter("block = 0")
+    shown = F.expr("IF(ascii(value) > 32, true, btrim(value, ' \t\r') <> '')")  # most lines need no look at all of them
+    numbers = first.groupBy("file").agg(F.min(F.when(F.col("value") != "", F.col("number"))).alias("begin"), F.min(F.when(shown, F.col("number"))).alias("head"))
+    listed = csv_files(spark, paths).filter("length > 0").select("file")
+    numbers = numbers.filter("head IS NOT NULL").select("begin", "head")
+    if is_small(listed):  # a row for each file, as many as ``numbers``
+        numbers = F.broadcast(numbers)
+    heads = first.join(numbers, F.col("number") == F.col("head"))
+    picked = heads.select("file", (F.col("head") - F.col("begin")).alias("blank"), F.expr("IF(is_valid_utf8(value), value, NULL)").alias("value"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _heads(batch, [_one_line(text) for text in batch.column(2).to_pylist()])
+
+    found = stage(picked.mapInArrow(run, HEADS), f"{folder}/first-lines").filter("closed")
+    others = [unquote(row["file"]) for row in listed.join(found, "file", "left_anti").collect()]  # files with longer headers
+    return found.unionByName(_parsed_first_records(spark, others, f"{folder}/first-records")) if others else found
+
+
+def _heads(batch: pa.RecordBatch, cells: list[tuple]) -> pa.RecordBatch:
+    header = pa.array([c for c, _ in cells], pa.list_(pa.field("element", pa.string())))
+    closed = pa.array([ok for _, ok in cells], pa.bool_())
+    return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), header, closed], ["file", "blank", "header", "closed"])
+
+
+def _parsed_first_records(spark: SparkSession, paths, folder: str) -> DataFrame:
+    """:func:`first_records` of files whose first record may span lines: a minimum of record numbers for each file, joined back
+    to the same scan."""
     scanned = _scan(spark, paths, 1, header=False)  # so the text is there of all records but those of one cell
     blank = F.col(_RAW).isNull() & (F.btrim(F.coalesce("c0", F.lit("")), F.lit(" \t\r")) == "")
     numbers = scanned.groupBy("file").agg(F.min("number").alias("begin"), F.min(F.when(~blank, F.col("number"))).alias("head"))
     numbers = numbers.filter("head IS NOT NULL").withColumnRenamed("file", "of")
+    if len(paths) <= SMALL_ROWS:
+        numbers = F.broadcast(numbers)
     heads = scanned.join(numbers, (F.col("file") == F.col("of")) & (F.col("number") == F.col("head")))
     picked = heads.select("file", (F.col("head") - F.col("begin")).alias("blank"), _RAW, "c0")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, firsts = (batch.column(i).to_pylist() for i in (2, 3))
-            cells = [([(first or "").removesuffix("\r")], True) if text is None else _header_cells(text) for text, first in zip(texts, firsts, strict=True)]
-            header = pa.array([c for c, _ in cells], pa.list_(pa.field("element", pa.string())))
-            closed = pa.array([ok for _, ok in cells], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), header, closed], ["file", "blank", "header", "closed"])
+            yield _heads(batch, [([(first or "").removesuffix("\r")], True) if text is None else _header_cells(text) for text, first in zip(texts, firsts, strict=True)])
 
-    return stage(picked.mapInArrow(run, HEADS), f"{work_folder(spark)}/first-records")
+    return stage(picked.mapInArrow(run, HEADS), folder)
 
 
 def _checked(heads: DataFrame, by: Column) -> DataFrame:
@@ -157,11 +201,17 @@ def _checked(heads: DataFrame, by: Column) -> DataFrame:
 
 
 def _records(spark: SparkSession, paths, width: int, heads: DataFrame) -> DataFrame:
-    """``(cells..., _raw, file)`` of all records but blank ones and headers, without the carriage return of a line end."""
-    found = _data_records(spark, paths, width, heads)
-    *others, last = _columns(width)
-    cut = [f"IF({_RAW} IS NOT NULL AND endswith({c}, '\r'), left({c}, length({c}) - 1), {c}) AS {c}" for c in others]
-    return found.selectExpr(*cut, f"IF(endswith({last}, '\r'), left({last}, length({last}) - 1), {last}) AS {last}", _RAW, "file")
+    """``(cells..., _raw, _n, file)`` of all records but blank ones and headers, without the carriage return of a line end.
+    ``_n`` is the number of cells; of more than ``width``, some number over it."""
+    columns = _columns(width)
+    count = f"IF({_RAW} IS NULL, {width}, {_commas(_RAW)} - {_commas('concat_ws(' + ', '.join([literal(''), *columns]) + ')')} + 1)"
+    found = _data_records(spark, paths, width, heads).selectExpr(*columns, _RAW, f"{count} AS {_N}", "file")
+    cut = [f"IF({_N} = {n} AND endswith({c}, '\r'), left({c}, length({c}) - 1), {c}) AS {c}" for n, c in enumerate(columns, 1)]
+    return found.selectExpr(*cut, _RAW, _N, "file")
+
+
+def _commas(text: str) -> str:
+    return f"(length({text}) - length(replace({text}, ',', '')))"
 
 
 def _data_records(spark: SparkSession, paths, width: int, heads: DataFrame) -> DataFrame:
@@ -184,12 +234,6 @@ def _cell_count(width: int) -> str:
     return f"CASE WHEN {_RAW} IS NULL THEN {width} ELSE coalesce(nullif({place}, 0) - 1, {width + _COUNTED + 1}) END"
 
 
-def _too_long(width: int, header_width: str) -> str:
-    """Whether a record has more cells than its header. Only one with as many commas is counted."""
-    commas = f"length({_RAW}) - length(replace({_RAW}, ',', ''))"
-    return f"CASE WHEN {_RAW} IS NULL THEN {width} > {header_width} WHEN {commas} < {header_width} THEN false ELSE {_cell_count(width)} > {header_width} END"
-
-
 def _reason(width: int, header_width: str) -> str:
     return f"concat('a record has ', {_cell_count(width)}, ' cells, the header has ', {header_width})"
 
@@ -203,7 +247,7 @@ def _record(width: int) -> str:
 def _fail_on_long(records: DataFrame, width: int, header_width: str) -> DataFrame:
     """The records, with an error for one that is too long. A filter, so that no choice of columns drops the test."""
     text = f"concat({_reason(width, header_width)}, ': ', left({_record(width)}, 200))"
-    return records.filter(F.expr(f"IF({_too_long(width, header_width)}, CAST(raise_error({text}) AS BOOLEAN), true)"))
+    return records.filter(F.expr(f"IF({_N} > {header_width}, CAST(raise_error({text}) AS BOOLEAN), true)"))
 
 
 def scan_edition(spark: SparkSession, path: str) -> Edition:
@@ -255,10 +299,14 @@ def scan_editions(
         found = {row["survey_year"] for row in widths.select("survey_year").collect()}
         raise ValueError(f"no header row below {next(path for year, path in paths.items() if year not in found)}")
     width = max(2, most)
-    records = dated(_records(spark, where, width, heads)).join(small(widths), "survey_year")
+    if is_small(heads):  # then what is known of a file comes in one join
+        of_file = F.broadcast(heads.select("file", "survey_year").join(widths, "survey_year"))
+        records = _records(spark, where, width, heads).join(of_file, "file")
+    else:
+        records = dated(_records(spark, where, width, heads)).join(small(widths), "survey_year")
     columns = ["survey_year", *_columns(most)]
     if not rejects:
         return Editions(catalog, _fail_on_long(records, width, "width").select(*columns))
-    long = F.expr(_too_long(width, "width"))
+    long = F.expr(f"{_N} > width")
     rejected = records.filter(long).selectExpr("survey_year", "file", f"{_record(width)} AS record", f"{_reason(width, 'width')} AS reason")
     return Editions(catalog, records.filter(~long).select(*columns), rejected)

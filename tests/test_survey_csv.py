@@ -10,6 +10,7 @@ from collections import Counter
 import pandas
 import pytest
 
+from surveymill.sources import survey_csv
 from surveymill.sources.landing import land, land_downloads, land_edition, pick_largest, read_landed
 from surveymill.sources.landing import changed_sources, read_landed_editions, read_manifest
 from surveymill.sources.survey_csv import clean, csv_files, scan_edition, scan_editions, unique_names
@@ -295,3 +296,23 @@ def test_landed_files_are_bounded(spark, tmp_path):
     sources = csv_files(spark, f"{tmp_path}/s.csv").selectExpr("2024 AS survey_year", "file", "length", "modified")
     assert land(spark, sources, f"{tmp_path}/bronze", max_records=300) == [2024]
     assert len(list((tmp_path / "bronze" / "survey_year=2024").glob("part-*"))) == 4
+
+
+def test_headers_of_one_line_are_found_without_parsing_files(spark, tmp_path, monkeypatch):
+    """Only files whose header may be more than their first line are parsed for it; all give the same header."""
+    parsed = []
+    parse = survey_csv._parsed_first_records
+    monkeypatch.setattr(survey_csv, "_parsed_first_records", lambda spark, paths, folder: parsed.extend(paths) or parse(spark, paths, folder))
+    texts = {"a": "x,y z\n1,2\n", "b": '\n  \n"x","y z"\r\n1,"2\n3"\r\n', "bom": "\ufeffx,y z\n1,2\n", "none": "\n \n", "empty": ""}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.csv").write_bytes(text.encode())
+    (tmp_path / "long.csv").write_text('x,"y\nz"\n1,2\n')
+    heads = {r["file"].rsplit("/", 1)[1]: (r["header"], r["closed"], r["blank"] > 0) for r in survey_csv.first_records(spark, str(tmp_path)).collect()}
+    same = ["x", "y z"]
+    assert heads == {"a.csv": (same, True, False), "b.csv": (same, True, True), "bom.csv": (same, True, False), "long.csv": (["x", "y\nz"], True, False)}
+    assert sorted(path.rsplit("/", 1)[1] for path in parsed) == ["long.csv", "none.csv"]
+
+
+def test_a_carriage_return_within_a_short_record_is_kept(spark, tmp_path):
+    (tmp_path / "r.csv").write_bytes(b'a,b,c,d\r\n"x\r",y\r\n"p\r",q,,s\r\n')
+    assert _cells(scan_edition(spark, str(tmp_path / "r.csv"))) == _expected([["x\r", "y", None, None], ["p\r", "q", None, "s"]])
