@@ -100,13 +100,13 @@ def scan_csv_spanning(spark, sf_dir):
 
 
 def scan_csv_irregular(spark, sf_dir):
-    """Quotes that open nothing, beside records that span lines, in several files."""
+    """Quotes that open nothing or close before a cell's end, beside records that span lines, in several files."""
     path = f"{work_folder(spark)}/survey.csv"
     quoted = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
     line = F.concat_ws(",", "doc_id", quoted, F.concat("lang", F.lit(' 5" tela')), F.concat(F.lit('"'), "source", F.lit('"s')))
     records = _spanning_text(spark, sf_dir).repartitionByRange("doc_id").select(line.alias("value"))
     _write_lines(records, "doc_id,text,lang,source", path)
-    return survey_csv.clean(survey_csv.scan_edition(spark, path).rows)
+    return survey_csv.clean(survey_csv.scan_edition(spark, path, close_quotes=True).rows)
 
 
 def _rejected(spark, sf_dir):

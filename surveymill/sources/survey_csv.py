@@ -36,6 +36,10 @@ from surveymill.sources.lake import SMALL_ROWS, is_small, small, stage, work_fol
 _FILES = {"pathGlobFilter": "*.csv", "recursiveFileLookup": True}
 _PARSE = {"multiLine": True, "escape": '"', "maxCharsPerColumn": -1, "lineSep": "\n"}
 _RAW, _N, _MARK = "_raw", "_n", "\x02end of record\x03"
+#: A cell that starts with a closed quoted part: its content, and the text that follows.
+_QUOTED = r'\A"([^"]*+(?:""[^"]*+)*+)"(?s:(.*))\z'
+#: The next cell of a record, after a comma.
+_NEXT_CELL = r',("[^"]*+(?:""[^"]*+)*+"[^,]*+|[^,]*+)'
 _COUNTED = 8  # cells beyond the schema that are still counted
 _YEAR = r"/survey_year=(\d+)/"
 HEADS = "file string, blank long, header array<string>, closed boolean"
@@ -122,7 +126,7 @@ def _header_cells(text: str) -> tuple[list[str], bool]:
 
 def _one_line(text: str | None) -> tuple[list[str] | None, bool | None]:
     """The cells of a header that is no more than this line; nothing if it may be."""
-    if text is None or text.startswith("\ufeff"):
+    if text is None:
         return None, None
     cells, closed = _header_cells(text)
     if not closed or not "".join(cells).strip(" \t\r"):
@@ -200,14 +204,33 @@ def _checked(heads: DataFrame, by: Column) -> DataFrame:
 # --- records -------------------------------------------------------------------------------------
 
 
-def _records(spark: SparkSession, paths, width: int, heads: DataFrame) -> DataFrame:
+def _records(spark: SparkSession, paths, width: int, heads: DataFrame, close_quotes: bool = False) -> DataFrame:
     """``(cells..., _raw, _n, file)`` of all records but blank ones and headers, without the carriage return of a line end.
-    ``_n`` is the number of cells; of more than ``width``, some number over it."""
+    ``_n`` is the number of cells; of more than ``width``, some number over it. To ``close_quotes``, the text is wanted of all
+    records that are rows: ``width`` must be more than any header's."""
     columns = _columns(width)
     count = f"IF({_RAW} IS NULL, {width}, {_commas(_RAW)} - {_commas('concat_ws(' + ', '.join([literal(''), *columns]) + ')')} + 1)"
     found = _data_records(spark, paths, width, heads).selectExpr(*columns, _RAW, f"{count} AS {_N}", "file")
     cut = [f"IF({_N} = {n} AND endswith({c}, '\r'), left({c}, length({c}) - 1), {c}) AS {c}" for n, c in enumerate(columns, 1)]
-    return found.selectExpr(*cut, _RAW, _N, "file")
+    records = found.selectExpr(*cut, _RAW, _N, "file")
+    return _close_quotes(records, width) if close_quotes else records
+
+
+def _close_quotes(records: DataFrame, width: int) -> DataFrame:
+    """Records whose text is kept, with the quotes taken off cells that have text after the closing one (``"x"s`` is ``xs``).
+
+    Spark leaves such a cell as it is but for doubled quotes, so the content is taken from the text of the record. Only
+    records with a cell that begins with a quote are looked at.
+    """
+    columns = _columns(width)
+    listed, mark = ", ".join(columns), "\x02"
+    found = f"regexp_extract_all(concat(',', {_RAW}), {literal(_NEXT_CELL)}, 1)"
+    head, tail = (f"regexp_extract(get(texts, i), {literal(_QUOTED)}, {n})" for n in (1, 2))
+    closed = f"IF(btrim({tail}, ' \t\r') = '', c, concat(replace({head}, '\"\"', '\"'), {tail}))"
+    cells = f"transform(array({found}), texts -> transform(array({listed}), (c, i) -> IF(startswith(c, '\"'), {closed}, c)))[0]"
+    some = f"contains(concat_ws({literal(mark)}, '', {listed}), {literal(mark + chr(34))})"
+    looked = records.selectExpr("*", f"CASE WHEN {_RAW} IS NOT NULL AND {some} THEN {cells} END AS closed")
+    return looked.selectExpr(*[f"IF(closed IS NULL, {c}, closed[{n}]) AS {c}" for n, c in enumerate(columns)], _RAW, _N, "file")
 
 
 def _commas(text: str) -> str:
@@ -224,18 +247,18 @@ def _data_records(spark: SparkSession, paths, width: int, heads: DataFrame) -> D
     return scanned.join(numbers, F.col("file") == F.col("of")).filter("number > head")
 
 
-def _cell_count(width: int) -> str:
-    """Cells of a record that is read as ``width`` columns: exact up to _COUNTED more, then one beyond that."""
-    schema = ", ".join(f"{c} string" for c in _columns(width + _COUNTED + 1))
+def _cell_count(width: int, most: int) -> str:
+    """Cells of a record that is read as ``width`` columns: exact up to _COUNTED more than ``most``, then one beyond that."""
+    schema = ", ".join(f"{c} string" for c in _columns(most + _COUNTED + 1))
     options = ", ".join(f"'{k}', '{str(v).lower()}'" for k, v in _PARSE.items() if k != "lineSep")
-    ends = ", ".join(f"coalesce(endswith(s.{c}, '{_MARK}'), false)" for c in _columns(width + _COUNTED + 1))
+    ends = ", ".join(f"coalesce(endswith(s.{c}, '{_MARK}'), false)" for c in _columns(most + _COUNTED + 1))
     read = f"from_csv(concat({_RAW}, ',', '{_MARK}'), '{schema}', map({options}))"
     place = f"transform(array({read}), s -> array_position(array({ends}), true))[0]"
-    return f"CASE WHEN {_RAW} IS NULL THEN {width} ELSE coalesce(nullif({place}, 0) - 1, {width + _COUNTED + 1}) END"
+    return f"CASE WHEN {_RAW} IS NULL THEN {width} ELSE coalesce(nullif({place}, 0) - 1, {most + _COUNTED + 1}) END"
 
 
-def _reason(width: int, header_width: str) -> str:
-    return f"concat('a record has ', {_cell_count(width)}, ' cells, the header has ', {header_width})"
+def _reason(width: int, most: int, header_width: str) -> str:
+    return f"concat('a record has ', {_cell_count(width, most)}, ' cells, the header has ', {header_width})"
 
 
 def _record(width: int) -> str:
@@ -244,22 +267,23 @@ def _record(width: int) -> str:
     return f"coalesce({_RAW}, to_csv(struct({', '.join(_columns(width))}), {as_is}))"
 
 
-def _fail_on_long(records: DataFrame, width: int, header_width: str) -> DataFrame:
+def _fail_on_long(records: DataFrame, width: int, most: int, header_width: str) -> DataFrame:
     """The records, with an error for one that is too long. A filter, so that no choice of columns drops the test."""
-    text = f"concat({_reason(width, header_width)}, ': ', left({_record(width)}, 200))"
+    text = f"concat({_reason(width, most, header_width)}, ': ', left({_record(width)}, 200))"
     return records.filter(F.expr(f"IF({_N} > {header_width}, CAST(raise_error({text}) AS BOOLEAN), true)"))
 
 
-def scan_edition(spark: SparkSession, path: str) -> Edition:
-    """All rows of one edition's CSV files, cells as raw text."""
+def scan_edition(spark: SparkSession, path: str, close_quotes: bool = False) -> Edition:
+    """All rows of one edition's CSV files, cells as raw text. ``close_quotes``: a cell in which text follows the closing
+    quote loses its quotes, as in pandas; else it is left as Spark reads it, quotes and all."""
     heads = first_records(spark, path)
     headers = _checked(heads, F.lit(0)).first()
     if headers is None:
         raise ValueError(f"no header row below {path}")
     names = unique_names(headers["header"])
-    width = max(2, len(names))
-    records = _records(spark, path, width, heads)
-    return Edition(names, _fail_on_long(records, width, str(len(names))).select(*_columns(len(names))))
+    width = max(2, len(names)) + close_quotes
+    records = _records(spark, path, width, heads, close_quotes)
+    return Edition(names, _fail_on_long(records, width, max(2, len(names)), str(len(names))).select(*_columns(len(names))))
 
 
 def header_catalog(spark: SparkSession, headers: DataFrame) -> DataFrame:
@@ -277,12 +301,12 @@ def header_catalog(spark: SparkSession, headers: DataFrame) -> DataFrame:
 
 
 def scan_editions(
-    spark: SparkSession, paths: Mapping, files: DataFrame | None = None, years: int | None = None, rejects: bool = False
+    spark: SparkSession, paths: Mapping, files: DataFrame | None = None, years: int | None = None, rejects: bool = False, close_quotes: bool = True
 ) -> Editions:
     """All editions in one plan, the paths of their folders by year.
 
     The year of a file is that of the ``survey_year=YYYY`` folder it lies in; or what ``files`` ``(file, survey_year)`` says, a row for
-    each file, for ``years`` years. ``rejects``: records that are too long are left out of ``rows`` and are the rows of ``rejects``.
+    each file, for ``years`` years. ``close_quotes`` as in :func:`scan_edition`. ``rejects``: records that are too long are left out of ``rows`` and are the rows of ``rejects``.
     """
 
     def dated(frame: DataFrame) -> DataFrame:
@@ -298,15 +322,15 @@ def scan_editions(
     if n < (len(paths) if years is None else years):
         found = {row["survey_year"] for row in widths.select("survey_year").collect()}
         raise ValueError(f"no header row below {next(path for year, path in paths.items() if year not in found)}")
-    width = max(2, most)
+    width = max(2, most) + close_quotes
     if is_small(heads):  # then what is known of a file comes in one join
         of_file = F.broadcast(heads.select("file", "survey_year").join(widths, "survey_year"))
-        records = _records(spark, where, width, heads).join(of_file, "file")
+        records = _records(spark, where, width, heads, close_quotes).join(of_file, "file")
     else:
-        records = dated(_records(spark, where, width, heads)).join(small(widths), "survey_year")
+        records = dated(_records(spark, where, width, heads, close_quotes)).join(small(widths), "survey_year")
     columns = ["survey_year", *_columns(most)]
     if not rejects:
-        return Editions(catalog, _fail_on_long(records, width, "width").select(*columns))
+        return Editions(catalog, _fail_on_long(records, width, max(2, most), "width").select(*columns))
     long = F.expr(f"{_N} > width")
-    rejected = records.filter(long).selectExpr("survey_year", "file", f"{_record(width)} AS record", f"{_reason(width, 'width')} AS reason")
+    rejected = records.filter(long).selectExpr("survey_year", "file", f"{_record(width)} AS record", f"{_reason(width, max(2, most), 'width')} AS reason")
     return Editions(catalog, records.filter(~long).select(*columns), rejected)

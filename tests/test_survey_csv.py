@@ -298,6 +298,25 @@ def test_landed_files_are_bounded(spark, tmp_path):
     assert len(list((tmp_path / "bronze" / "survey_year=2024").glob("part-*"))) == 4
 
 
+def test_text_after_a_closing_quote_is_read_as_pandas_reads_it(spark, tmp_path):
+    """The quotes go, whatever the cell holds, also from records narrower than the widest edition's; whole cells keep theirs."""
+    odd = ['"web"s', '"a""b"s', '"a"b"s', '"a"""s', '""x"s', '"a,b"s', '"a\nb"s', '"a"s "b', '"l""\n""m"t', '""""x', '"p"  x']
+    whole = ['"""web""s"', '""""', '"""a"",""b"" c"', ' "x"s', '5" tela', '""', '"""q"""', "z"]
+    cells = [*odd, *whole, *odd[:3]]
+    records = [f"id{n},{a},{b}" for n, a in enumerate(cells) for b in (cells[n - 1], "z", "")]
+    text = "id,a,b\n" + "\n".join(records) + '\nend,"x"s\n'
+    (tmp_path / "survey_year=2023").mkdir()
+    (tmp_path / "survey_year=2024").mkdir()
+    (tmp_path / "survey_year=2023" / "s.csv").write_text(text)
+    (tmp_path / "survey_year=2024" / "s.csv").write_text("a,b,c,d,e\n1,2,3,4,5\n")
+    frame = pandas.read_csv(io.StringIO(text, newline=""), dtype=str, keep_default_na=False, index_col=False)
+    expected = Counter(tuple(c if isinstance(c, str) and c else None for c in row) for row in frame.itertuples(index=False, name=None))
+    one = scan_edition(spark, f"{tmp_path}/survey_year=2023", close_quotes=True)
+    assert _blank_as_null(_cells(one)) == expected
+    both = scan_editions(spark, {year: f"{tmp_path}/survey_year={year}" for year in (2023, 2024)}).rows
+    assert _blank_as_null(Counter(map(tuple, both.filter("survey_year = 2023").select("c0", "c1", "c2").collect()))) == expected
+
+
 def test_headers_of_one_line_are_found_without_parsing_files(spark, tmp_path, monkeypatch):
     """Only files whose header may be more than their first line are parsed for it; all give the same header."""
     parsed = []
