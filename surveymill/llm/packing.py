@@ -29,25 +29,40 @@ PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, seq
 
 
 def difference(sizes: list[int], windows: int) -> list[list[int]]:
-    """Multiway differencing: the piece numbers of each window."""
+    """Multiway differencing: the piece numbers of each window.
+
+    A partial partition knows the two it was merged from and how their windows were paired; which window a piece ends in
+    is read from the last merge back to the pieces.
+    """
     heap = []
     for number, size in enumerate(sizes):
         sums = np.zeros(windows, np.int64)
         sums[0] = size
-        heap.append((-size, number, sums, [[number], *([] for _ in range(windows - 1))]))
+        heap.append((-size, number, sums))
     heapq.heapify(heap)
+    merges = []
     turn = len(sizes)
     while len(heap) > 1:
-        _, _, a, a_pieces = heapq.heappop(heap)
-        _, _, b, b_pieces = heapq.heappop(heap)
-        sums = a + b[::-1]
+        _, a, a_sums = heapq.heappop(heap)
+        _, b, b_sums = heapq.heappop(heap)
+        sums = a_sums + b_sums[::-1]
         order = np.argsort(-sums, kind="stable")
         sums = sums[order]
         sums -= sums[-1]
-        pieces = [a_pieces[i] + b_pieces[windows - 1 - i] for i in order.tolist()]
-        heapq.heappush(heap, (-int(sums[0]), turn, sums, pieces))
+        merges.append((a, b, order))
+        heapq.heappush(heap, (-int(sums[0]), turn, sums))
         turn += 1
-    return [window for window in heap[0][3] if window] if heap else []
+    if not heap:
+        return []
+    ends = {heap[0][1]: np.arange(windows)}  # of a partial partition: where each of its windows ends up
+    for made, (a, b, order) in zip(range(turn - 1, len(sizes) - 1, -1), reversed(merges), strict=True):
+        paired = np.empty(windows, np.int64)
+        paired[order] = ends.pop(made)
+        ends[a], ends[b] = paired, paired[::-1]
+    dealt: list[list[int]] = [[] for _ in range(windows)]
+    for number in range(len(sizes)):
+        dealt[ends[number][0]].append(number)
+    return [window for window in dealt if window]
 
 
 def fill(sizes: list[int], capacity: int) -> list[list[int]]:

@@ -183,3 +183,23 @@ def test_a_small_store_forgets_and_learns_again(monkeypatch, together):
         expected = own._tokenizer.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(own.encode(text), "<u4").tolist() == expected
         assert len(own._pieces.young) <= 40 + 200
+
+
+def test_differencing_deals_as_merging_lists_does():
+    """Windows read back from the merges are those that carrying every window's pieces through each merge gives."""
+
+    def plain(sizes, windows):
+        heap = [(-size, n, [(size, [n]), *[(0, [])] * (windows - 1)]) for n, size in enumerate(sizes)]
+        for turn in range(len(sizes), 2 * len(sizes) - 1):
+            heap.sort(key=lambda part: part[:2])
+            (_, _, a), (_, _, b), *heap = heap
+            merged = sorted(((x + y, p + q) for (x, p), (y, q) in zip(a, reversed(b))), key=lambda w: -w[0])
+            merged = [(size - merged[-1][0], pieces) for size, pieces in merged]
+            heap.append((-merged[0][0], turn, merged))
+        return [sorted(pieces) for _, pieces in heap[0][2] if pieces] if heap else []
+
+    rng = random.Random(7)
+    for _ in range(60):
+        sizes = [rng.randint(1, rng.choice([3, 256])) for _ in range(rng.choice([0, 1, 2, 9, 60]))]
+        windows = rng.choice([1, 2, 5, 64])
+        assert [sorted(window) for window in packing.difference(sizes, windows)] == plain(sizes, windows)
